@@ -21,7 +21,8 @@ def key_column() -> Column:
     return F.coalesce(F.nullif("sink_pk", F.lit("")), F.lit(DEFAULT_KEY_COLUMN))
 
 
-def _columns(trim: bool = False) -> Column:
+def listed_columns(trim: bool = False) -> Column:
+    """The column names a config row lists, blanks included unless trimmed."""
     listed = F.split("sink_columns", ",", -1)
     return F.transform(listed, F.trim) if trim else listed
 
@@ -31,7 +32,7 @@ def _routes(config: DataFrame, trim: bool, max_rows: int) -> DataFrame:
         config.select(
             F.col("source_table").alias("table"),
             "sink_table",
-            _columns(trim).alias("sink_columns"),
+            listed_columns(trim).alias("sink_columns"),
             key_column().alias("key_column"),
         ),
         max_rows,
@@ -89,7 +90,7 @@ def schema_plan(config: DataFrame, trim: bool = False) -> DataFrame:
     return config.select(
         "sink_table",
         key_column().alias("_key"),
-        F.posexplode(_columns(trim)).alias("_index", "column"),
+        F.posexplode(listed_columns(trim)).alias("_index", "column"),
     ).select(
         "sink_table",
         (F.col("_index") + 1).cast("bigint").alias("position"),
@@ -100,4 +101,4 @@ def schema_plan(config: DataFrame, trim: bool = False) -> DataFrame:
 
 def schema_errors(config: DataFrame, trim: bool = False) -> DataFrame:
     """Config rows whose key is not among their columns: no table can be made."""
-    return config.where(~F.array_contains(_columns(trim), key_column()))
+    return config.where(~F.array_contains(listed_columns(trim), key_column()))

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Window, functions as F
 
@@ -20,6 +21,16 @@ def stored(frame: DataFrame) -> DataFrame:
     return frame.checkpoint()
 
 
+@contextmanager
+def kept(frame: DataFrame) -> Iterator[DataFrame]:
+    """The frame held in memory or on disk for several passes; lost parts are recomputed."""
+    held = frame.persist()
+    try:
+        yield held
+    finally:
+        held.unpersist()
+
+
 def lookup_side(frame: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """The frame marked for broadcast if its row count is small enough.
 

@@ -238,4 +238,13 @@ SELECT sink_table, key, "column", value FROM ranked WHERE age = 1"""
     sql["fn_to_ts"] = """
 SELECT o_orderkey, epoch_us(date_trunc('day', o_orderdate)) // 1000 - 28800000 AS day_ms,
        epoch_us(date_trunc('second', o_orderdate)) // 1000 - 28800000 AS full_ms FROM orders"""
+    for stream, batch in (
+        ("log_split_stream", "log_split_all"),
+        ("visitor_flag_stream", "visitor_flag_repair"),
+        ("unique_visitor_stream", "unique_visitor_detail"),
+        ("user_jump_stream", "user_jump_detail"),
+        ("cart_add_stream", "cart_add_enriched"),
+        ("dim_upsert_stream", "dim_upsert_latest"),
+    ):
+        sql[stream] = sql[batch]
     return sql
