@@ -1,66 +1,77 @@
-"""JSON objects as ``map<string, variant>``: every field is kept, read or not."""
+"""JSON objects as text: reading known fields, and writing objects that keep the others.
+
+Nested objects are handled as the text they had in the line, which costs one pass
+of the parser and keeps what is in them to the letter. Turning parsed values back
+into text is several times slower than splicing.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-JSON_OPTIONS = {"allowUnquotedFieldNames": "true"}
+# JSON proper only: what is copied from a line into a fact must stay valid.
+JSON_OPTIONS = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
 
 
-def with_object(lines: DataFrame, value: str = "value", name: str = "obj") -> DataFrame:
-    """Add ``name``, the parsed object, or NULL if the text is not one JSON object.
+def single_object(text: Column, schema: str) -> Column:
+    """The object as an array of one struct, or an empty array if the text is no object.
 
-    The text is parsed as the only element of an array, so trailing text after a
-    complete object makes the row invalid rather than being ignored. A repeated
-    key makes it invalid too, unless the session allows duplicate variant keys
-    (then the last one counts). Parsing sits in a generator on purpose: a filter
-    on parsed fields would otherwise be pushed below and parse every row twice.
+    The text is parsed as the only element of an array, so that text after a
+    complete object makes it invalid rather than being ignored.
     """
     parsed = F.from_json(
-        F.concat(F.lit("["), F.col(value), F.lit("]")), "array<variant>", JSON_OPTIONS
+        F.concat(F.lit("["), text, F.lit("]")), f"array<struct<{schema}>>", JSON_OPTIONS
     )
-    single = F.flatten(F.filter(F.array(parsed), lambda items: F.size(items) == 1))
-    objects = F.transform(single, fields_of)
-    return lines.select("*", F.explode_outer(objects).alias(name))
-
+    one = F.filter(F.array(parsed), lambda items: F.size(items) == 1)
+    return F.filter(F.flatten(one), lambda row: row.isNotNull())
 
-def present(field: Column) -> Column:
-    """A field counts as absent when missing and when JSON null."""
-    return field.isNotNull() & ~F.is_variant_null(field)
 
+def explode_once(lines: DataFrame, rows: Column, *keep: str) -> DataFrame:
+    """``keep`` and the column ``row``: the element of ``rows``, or NULL without one.
 
-def text_at(field: Column, path: str = "$") -> Column:
-    return F.try_variant_get(field, path, "string")
-
+    A generator on purpose: filters on parsed fields cannot be pushed below it,
+    where they would parse every line a second time. The outer form, as the inner
+    one adds such a filter itself.
+    """
+    return lines.select(*keep, F.explode_outer(rows).alias("row"))
 
-def long_at(field: Column, path: str = "$") -> Column:
-    return F.try_variant_get(field, path, "bigint")
 
+def long_of(text: Column) -> Column:
+    """A number given as JSON number or text, without its fraction."""
+    return F.coalesce(text.try_cast("bigint"), text.try_cast("double").try_cast("bigint"))
 
-def elements(field: Column) -> Column:
-    """Elements of a JSON array; NULL if the field is not an array."""
-    return F.try_variant_get(field, "$", "array<variant>")
 
+def is_object(text: Column) -> Column:
+    """Whether the text of a field is that of an object."""
+    return F.coalesce(text.startswith("{"), F.lit(False))
 
-def without(obj: Column, *keys: str) -> Column:
-    return F.map_filter(obj, lambda key, _: ~key.isin(*keys))
 
+def quoted(text: Column) -> Column:
+    """Text as a JSON string."""
+    return F.to_json(text.cast("variant"))
 
-def with_fields(obj: Column, **fields: Column) -> Column:
-    """Set fields of a ``map<string, variant>``, replacing those it has."""
-    added = [part for key, value in fields.items() for part in (F.lit(key), value)]
-    return F.map_concat(without(obj, *fields), F.create_map(*added))
 
+def member(name: str, text: Column) -> Column:
+    """``"name":text``, or NULL if there is no text; ``text`` is JSON already."""
+    return F.concat(F.lit(f'"{name}":'), text)
 
-def as_variant(value: Column) -> Column:
-    """A scalar or a map as VARIANT."""
-    return value.cast("variant")
 
+def object_of(*members: Column) -> Column:
+    """An object of the members that are not NULL."""
+    return F.concat(F.lit("{"), F.concat_ws(",", *members), F.lit("}"))
 
-def object_as_variant(obj: Column) -> Column:
-    return F.to_variant_object(obj)
 
+def other_members(text: Column, left_out: Column) -> Column:
+    """The members of an object except some, as text; NULL if there are none.
 
-def fields_of(field: Column) -> Column:
-    """Fields of a nested JSON object; NULL if the field is not an object."""
-    return F.try_variant_get(field, "$", "map<string,variant>")
+    ``left_out`` is an array of names. A repeated key inside a nested value is no
+    VARIANT in sessions that do not allow it; then values pass as JSON strings.
+    """
+    typed = F.from_json(text, "map<string,variant>", JSON_OPTIONS)
+    plain = F.transform_values(
+        F.from_json(text, "map<string,string>", JSON_OPTIONS), lambda _, v: v.cast("variant")
+    )
+    others = F.to_json(
+        F.map_filter(F.coalesce(typed, plain), lambda key, _: ~F.array_contains(left_out, key))
+    )
+    return F.nullif(F.substring(others, F.lit(2), F.length(others) - 2), F.lit(""))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, functions as F
@@ -15,34 +16,50 @@ from tidewater.contract import (
     START_TOPIC,
 )
 from tidewater.functions.json_rows import (
-    as_variant,
-    elements,
-    fields_of,
-    long_at,
-    present,
-    text_at,
-    with_fields,
-    with_object,
-    without,
+    explode_once,
+    is_object,
+    long_of,
+    member,
+    object_of,
+    other_members,
+    quoted,
+    single_object,
 )
 from tidewater.functions.times import to_day
 
+# columns parse_logs adds besides mid, is_new and ts
+LINE_PARTS = ("common", "page", "err", "start", "displays", "actions")
+
 LOG_TOPICS = (ERROR_TOPIC, START_TOPIC, PAGE_TOPIC, DISPLAY_TOPIC, ACTION_TOPIC, DIRTY_TOPIC)
 
 
+# Nested values stay text; see functions.json_rows.
+LINE_FIELDS = (
+    "common string, page string, ts string, err string, start string, "
+    "displays array<string>, actions array<string>"
+)
+VISITOR_FIELDS = "mid string, is_new string"
+PAGE_FIELDS = "common struct<mid:string>, page struct<last_page_id:string>, ts string"
+
+
 def parse_logs(lines: DataFrame) -> DataFrame:
-    """Add ``obj, mid, is_new, ts`` to text lines.
+    """Add ``mid, is_new, ts`` and the fields a split needs to text lines.
 
     A line is dirty when it is not a JSON object or has no visitor or no time;
     then ``mid`` or ``ts`` is NULL. No line is removed.
     """
-    common = F.col("obj")["common"]
-    return with_object(lines).withColumns(
-        {
-            "mid": text_at(common, "$.mid"),
-            "is_new": text_at(common, "$.is_new"),
-            "ts": long_at(F.col("obj")["ts"]),
-        }
+    rows = F.transform(
+        single_object(F.col("value"), LINE_FIELDS),
+        lambda row: F.struct(
+            row.alias("line"), F.from_json(row["common"], VISITOR_FIELDS).alias("visitor")
+        ),
+    )
+    return explode_once(lines, rows, *lines.columns).select(
+        *lines.columns,
+        F.col("row.visitor.mid"),
+        F.col("row.visitor.is_new"),
+        long_of(F.col("row.line.ts")).alias("ts"),
+        *[F.col(f"row.line.{name}") for name in LINE_PARTS],
     )
 
 
@@ -75,65 +92,85 @@ def split_logs(
     """
     if shape not in ("nested", "flat"):
         raise ValueError(f"unknown shape {shape!r}")
-    obj = F.col("obj")
-    build = _nested_items if shape == "nested" else _flat_items
-
-    def one(topic: str, value: Column) -> Column:
-        return F.array(F.struct(F.lit(topic).alias("topic"), value.alias("value")))
-
-    def many(topic: str, values: Column) -> Column:
-        facts = F.transform(
-            values, lambda text: F.struct(F.lit(topic).alias("topic"), text.alias("value"))
-        )
-        return F.coalesce(facts, none)
-
+    item_text = _nested_item if shape == "nested" else _flat_item
+    repaired = F.col("repaired") if "repaired" in parsed.columns else F.lit(False)
     none = F.array().cast("array<struct<topic:string,value:string>>")
 
-    def pick(topic: str, facts: Column) -> Column:
-        return facts if topic in topics else none
+    def fact(topic: str, text: Column) -> Column:
+        return F.struct(F.lit(topic).alias("topic"), text.alias("value"))
+
+    def one(topic: str, text: Column) -> Column:
+        return F.array(fact(topic, text)) if topic in topics else none
 
-    errors = F.when(present(obj["err"]), one(ERROR_TOPIC, F.to_json(obj))).otherwise(none)
-    starts = one(START_TOPIC, F.to_json(without(obj, "err")))
-    pages = F.concat(
-        pick(PAGE_TOPIC, one(PAGE_TOPIC, F.to_json(without(obj, "err", "displays", "actions")))),
-        pick(DISPLAY_TOPIC, many(DISPLAY_TOPIC, build("display", obj["displays"], True))),
-        pick(ACTION_TOPIC, many(ACTION_TOPIC, build("action", obj["actions"], with_action_ts))),
+    def each(topic: str, kind: str, with_ts: bool) -> Column:
+        if topic not in topics:
+            return none
+        items = F.transform(
+            F.col(f"{kind}s"), lambda item: fact(topic, item_text(kind, item, with_ts))
+        )
+        return F.coalesce(items, none)
+
+    def line_without(*names: str) -> Column:
+        """The line as it came, if nothing in it changes; otherwise put together anew."""
+        has_none = [F.col(name).isNull() for name in names]
+        unchanged = functools.reduce(Column.__and__, has_none, ~repaired)
+        return F.when(unchanged, F.col("value")).otherwise(_rebuilt(names))
+
+    start_facts = one(START_TOPIC, line_without("err"))
+    page_facts = F.concat(
+        one(PAGE_TOPIC, line_without("err", "displays", "actions")),
+        each(DISPLAY_TOPIC, "display", True),
+        each(ACTION_TOPIC, "action", with_action_ts),
     )
     facts = F.when(
         is_clean(),
         F.concat(
-            pick(ERROR_TOPIC, errors),
-            F.when(present(obj["start"]), pick(START_TOPIC, starts)).otherwise(pages),
+            F.when(F.col("err").isNotNull(), one(ERROR_TOPIC, line_without())).otherwise(none),
+            F.when(F.col("start").isNotNull(), start_facts).otherwise(page_facts),
         ),
-    ).otherwise(pick(DIRTY_TOPIC, one(DIRTY_TOPIC, F.col("value"))))
+    ).otherwise(one(DIRTY_TOPIC, F.col("value")))
     # The outer form keeps Spark from evaluating the facts once more to drop empty ones.
     return parsed.select(*keep, F.inline_outer(facts)).where(F.col("topic").isNotNull())
 
 
-def _nested_items(kind: str, field: Column, with_ts: bool) -> Column:
-    common, page = F.col("obj")["common"], F.col("obj")["page"]
-    shared = [common.alias("common"), F.when(present(page), page).alias("page")]
-    if with_ts:
-        shared.append(F.col("ts"))
-    return F.transform(
-        elements(field), lambda item: F.to_json(F.struct(item.alias(kind), *shared))
+def _page() -> Column:
+    return F.when(is_object(F.col("page")), F.col("page"))
+
+
+def _rebuilt(names: Sequence[str]) -> Column:
+    """The line with the repaired common part and without some fields."""
+    copied = F.when(_page().isNotNull(), F.array(F.lit("common"), F.lit("page"))).otherwise(
+        F.array(F.lit("common"))
+    )
+    left_out = F.concat(copied, F.array(*[F.lit(name) for name in names]).cast("array<string>"))
+    return object_of(
+        member("common", F.col("common")),
+        member("page", _page()),
+        other_members(F.col("value"), left_out),
+    )
+
+
+def _nested_item(kind: str, item: Column, with_ts: bool) -> Column:
+    return object_of(
+        member(kind, F.when(is_object(item), item).otherwise(quoted(item))),
+        member("common", F.col("common")),
+        member("page", _page()),
+        *[member("ts", F.col("ts").cast("string"))] * with_ts,
     )
 
 
-def _flat_items(kind: str, field: Column, with_ts: bool) -> Column:
+def _flat_item(kind: str, item: Column, with_ts: bool) -> Column:
     added = {
-        "common": as_variant(F.to_json(F.col("obj")["common"])),
-        "page_id": as_variant(text_at(F.col("obj")["page"], "$.page_id")),
+        "common": quoted(F.col("common")),
+        "page_id": quoted(F.get_json_object("page", "$.page_id")),
     }
     if with_ts:
-        added["ts"] = as_variant(F.col("ts"))
-    empty = F.create_map().cast("map<string,variant>")
-
-    def flatten(item: Column) -> Column:
-        merged = with_fields(F.coalesce(fields_of(item), empty), **added)
-        return F.to_json(F.map_filter(merged, lambda _, value: value.isNotNull()))
-
-    return F.transform(elements(field), flatten)
+        added["ts"] = F.col("ts").cast("string")
+    own = F.when(is_object(item), item)
+    replaced = F.array(*[F.lit(name) for name in added])
+    return object_of(
+        other_members(own, replaced), *[member(name, text) for name, text in added.items()]
+    )
 
 
 def read_pages(
@@ -147,16 +184,19 @@ def read_pages(
     ``on_error="fail"``. ``observation`` reports how many there were as "dropped".
     An entry is a page that was not reached from another page.
     """
-    parsed = parse_logs(lines)
-    page = F.col("obj")["page"]
-    good = F.coalesce(is_clean() & present(page), F.lit(False))
-    rows = parsed.select(
-        *lines.columns,
-        "mid",
-        "ts",
-        to_day("ts").alias("dt"),
-        text_at(page, "$.last_page_id").isNull().alias("is_entry"),
-        good.alias("_good"),
+    row = F.col("row")
+    good = row["common"]["mid"].isNotNull() & F.col("ts").isNotNull() & row["page"].isNotNull()
+    rows = (
+        explode_once(lines, single_object(F.col("value"), PAGE_FIELDS), *lines.columns)
+        .withColumn("ts", long_of(row["ts"]))
+        .select(
+            *lines.columns,
+            row["common"]["mid"].alias("mid"),
+            "ts",
+            to_day("ts").alias("dt"),
+            row["page"]["last_page_id"].isNull().alias("is_entry"),
+            F.coalesce(good, F.lit(False)).alias("_good"),
+        )
     )
     if on_error == "fail":
         message = F.concat(F.lit("not a page log: "), F.coalesce("value", F.lit("null")))

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from tidewater.contract import ARRIVAL
-from tidewater.functions.json_rows import as_variant, fields_of, object_as_variant, with_fields
+from tidewater.functions.json_rows import member, object_of, other_members
 from tidewater.functions.times import to_day, to_previous_day
 from tidewater.operators.logs import clean_logs
 from tidewater.operators.scale import (
@@ -52,17 +52,17 @@ def wrong_flags(anchors: DataFrame) -> DataFrame:
 def apply_anchors(
     parsed: DataFrame, wrong: DataFrame, max_rows: int = BROADCAST_ROWS
 ) -> DataFrame:
-    """Set ``is_new`` to "0" (also inside ``obj``) on lines of another day than the anchor.
+    """Set ``is_new`` to "0", also inside ``common``, on lines of another day than the anchor.
 
     Only lines that call the visitor new take part in the join. In a shuffle join
     all others are spread by a key that matches nothing, so neither dirty lines
-    nor a busy visitor's settled lines pile up in one task.
+    nor a busy visitor's settled lines pile up in one task. Adds ``repaired``.
     """
     new = F.col("is_new").eqNullSafe("1") & F.col("mid").isNotNull() & F.col("ts").isNotNull()
     spread = F.concat(F.lit("\0"), F.xxhash64("value").cast("string"))
     repair = new & F.col("anchor").isNotNull() & (to_day("ts") != F.col("anchor"))
-    common = object_as_variant(
-        with_fields(fields_of(F.col("obj")["common"]), is_new=as_variant(F.lit("0")))
+    common = object_of(
+        other_members(F.col("common"), F.array(F.lit("is_new"))), member("is_new", F.lit('"0"'))
     )
     return (
         parsed.withColumn("_key", F.when(new, F.col("mid")).otherwise(spread))
@@ -71,16 +71,14 @@ def apply_anchors(
             "_key",
             "left",
         )
-        .withColumn("_repair", repair)
+        .withColumn("repaired", F.coalesce(repair, F.lit(False)))
         .withColumns(
             {
-                "is_new": F.when(F.col("_repair"), "0").otherwise(F.col("is_new")),
-                "obj": F.when(
-                    F.col("_repair"), with_fields(F.col("obj"), common=common)
-                ).otherwise(F.col("obj")),
+                "is_new": F.when(F.col("repaired"), "0").otherwise(F.col("is_new")),
+                "common": F.when(F.col("repaired"), common).otherwise(F.col("common")),
             }
         )
-        .select(*parsed.columns)
+        .drop("_key", "anchor")
     )
 
 

@@ -18,6 +18,15 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+def spread(rows: DataFrame, *keys: str) -> DataFrame:
+    """Rows of a table in fewer splits than there are cores, over all cores.
+
+    Making and parsing text is costly next to reading; big tables have splits enough.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores, *keys) if rows.rdd.getNumPartitions() < cores else rows
+
+
 def _event_ms() -> Column:
     return F.unix_millis(F.col("ts").cast("timestamp"))
 
@@ -70,7 +79,7 @@ def log_lines(
         F.array(cut, F.lit(None), F.lit("[1]")), (F.floor(event / 50) % 3 + 1).cast("int")
     )
     offset = event if in_time_order else (event + 300 * (event % 7)) * 7 + 6 - event % 7
-    records = table(spark, folder, "events").select(
+    records = spread(table(spark, folder, "events"), "event_id").select(
         F.when(event % 50 == 0, dirty).otherwise(clean).alias("value"), offset.alias("offset")
     )
     return records.withColumn("value", F.coalesce("value", F.lit("")))
@@ -110,7 +119,8 @@ def cart_change_lines(spark: SparkSession, folder: str) -> DataFrame:
             ),
         ).alias("old"),
     )
-    return table(spark, folder, "lineitem").select(
+    items = spread(table(spark, folder, "lineitem"), "l_orderkey", "l_linenumber")
+    return items.select(
         F.to_json(fields).alias("value"), order.alias("offset")
     )
 

@@ -39,21 +39,17 @@ def _fields(value: DataFrame, **columns: str) -> DataFrame:
 def src_text_lines(spark: SparkSession, folder: str) -> DataFrame:
     lines = inputs.log_lines(spark, folder)
     return logs.parse_logs(lines).select(
-        F.expr("try_variant_get(obj['event_id'], '$', 'bigint')").alias("event_id"),
+        F.when(logs.is_clean(), event_id()).alias("event_id"),
         (F.col("value") == "").alias("is_empty"),
     )
 
 
 def log_parse(spark: SparkSession, folder: str) -> DataFrame:
     clean = logs.clean_logs(logs.parse_logs(inputs.log_lines(spark, folder)))
-    return clean.select(
-        F.expr("try_variant_get(obj['event_id'], '$', 'bigint')").alias("event_id"),
-        "mid",
-        "is_new",
-        "ts",
-        F.expr("try_variant_get(obj['page'], '$.page_id', 'string')").alias("page_id"),
-        F.expr("try_variant_get(obj['page'], '$.last_page_id', 'string')").alias("last_page_id"),
-        F.expr("try_variant_get(obj['extra'], '$', 'string')").alias("extra"),
+    return _fields(
+        clean.select("value", "mid", "is_new", "ts"),
+        event_id="row.event_id", mid="mid", is_new="is_new", ts="ts",
+        page_id="row.page.page_id", last_page_id="row.page.last_page_id", extra="row.extra",
     )
 
 
@@ -67,11 +63,9 @@ def _repaired(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def visitor_flag_repair(spark: SparkSession, folder: str) -> DataFrame:
-    return logs.clean_logs(_repaired(spark, folder)).select(
-        F.expr("try_variant_get(obj['event_id'], '$', 'bigint')").alias("event_id"),
-        "mid",
-        "ts",
-        F.expr("try_variant_get(obj['common'], '$.is_new', 'string')").alias("is_new"),
+    clean = logs.clean_logs(_repaired(spark, folder))
+    return clean.select(
+        event_id(), "mid", "ts", F.get_json_object("common", "$.is_new").alias("is_new")
     )
 
 

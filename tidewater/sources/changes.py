@@ -7,28 +7,22 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from tidewater.contract import ARRIVAL, CONFIG_COLUMNS
-from tidewater.functions.json_rows import JSON_OPTIONS
+from tidewater.functions.json_rows import explode_once, single_object
 from tidewater.operators.scale import order_key
 
-CHANGE_SCHEMA = (
-    "struct<database:string,`table`:string,type:string,"
-    "data:map<string,string>,old:map<string,string>>"
+CHANGE_FIELDS = (
+    "database string, `table` string, type string, "
+    "data map<string,string>, old map<string,string>"
 )
 _CONFIG_ROW = "struct<" + ",".join(f"{name}:string" for name in CONFIG_COLUMNS) + ">"
-CONFIG_CHANGE_SCHEMA = f"struct<before:{_CONFIG_ROW},after:{_CONFIG_ROW}>"
+CONFIG_CHANGE_FIELDS = f"before {_CONFIG_ROW}, after {_CONFIG_ROW}"
 
 
 def _decode(lines: DataFrame, schema: str) -> DataFrame:
-    """One row per valid line; lines that are not one JSON object give none."""
-    parsed = F.from_json(
-        F.concat(F.lit("["), F.col("value"), F.lit("]")), f"array<{schema}>", JSON_OPTIONS
-    )
-    single = F.flatten(F.filter(F.array(parsed), lambda items: F.size(items) == 1))
-    # Outer, then a filter on the result: the inner form would parse twice.
+    """``row`` of each valid line; lines that are not one JSON object give none."""
     rest = [name for name in lines.columns if name != "value"]
-    return lines.select(*rest, F.explode_outer(single).alias("_row")).where(
-        F.col("_row").isNotNull()
-    )
+    rows = single_object(F.col("value"), schema)
+    return explode_once(lines, rows, *rest).where(F.col("row").isNotNull())
 
 
 def decode_changes(lines: DataFrame, processing_time: bool = False) -> DataFrame:
@@ -38,7 +32,7 @@ def decode_changes(lines: DataFrame, processing_time: bool = False) -> DataFrame
     ``pt``, the time the batch started.
     """
     rest = [name for name in lines.columns if name != "value"]
-    changes = _decode(lines, CHANGE_SCHEMA).select(*rest, "_row.*")
+    changes = _decode(lines, CHANGE_FIELDS).select(*rest, "row.*")
     if processing_time:
         changes = changes.withColumn("pt", F.current_timestamp())
     return changes
@@ -51,12 +45,12 @@ def decode_config(lines: DataFrame, arrival: Sequence[str] = ARRIVAL) -> DataFra
     removes the table's mapping.
     """
     latest = (
-        _decode(lines, CONFIG_CHANGE_SCHEMA)
+        _decode(lines, CONFIG_CHANGE_FIELDS)
         .withColumn(
-            "source_table", F.coalesce("_row.after.source_table", "_row.before.source_table")
+            "source_table", F.coalesce("row.after.source_table", "row.before.source_table")
         )
         .where(F.col("source_table").isNotNull())
         .groupBy("source_table")
-        .agg(F.max_by("_row.after", order_key(arrival)).alias("after"))
+        .agg(F.max_by("row.after", order_key(arrival)).alias("after"))
     )
     return latest.where(F.col("after").isNotNull()).select("after.*")
