@@ -7,33 +7,40 @@ into text is several times slower than splicing.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 # JSON proper only: what is copied from a line into a fact must stay valid.
 JSON_OPTIONS = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
 
 
-def single_object(text: Column, schema: str) -> Column:
-    """The object as an array of one struct, or an empty array if the text is no object.
+def with_object(lines: DataFrame, fields: str) -> DataFrame:
+    """Add ``row``, the ``fields`` of the object in ``value``, or NULL if it is none.
 
-    The text is parsed as the only element of an array, so that text after a
-    complete object makes it invalid rather than being ignored.
+    The text is parsed as the only element of an array, so that text after a complete object makes it
+    invalid rather than being ignored. The row comes out of a generator, on
+    purpose: filters on parsed fields cannot be pushed below it, where they would
+    parse every line a second time. The outer form, as the inner one adds such a
+    filter itself; and the generator only reads a column, as it does not take part
+    in code generation.
     """
     parsed = F.from_json(
-        F.concat(F.lit("["), text, F.lit("]")), f"array<struct<{schema}>>", JSON_OPTIONS
+        F.concat(F.lit("["), F.col("value"), F.lit("]")), f"array<struct<{fields}>>", JSON_OPTIONS
+    )
+    return (
+        lines.withColumn("_parsed", parsed)
+        .withColumn("_rows", F.when(F.size("_parsed") == 1, F.col("_parsed")))
+        .select(*lines.columns, F.explode_outer("_rows").alias("row"))
     )
-    one = F.filter(F.array(parsed), lambda items: F.size(items) == 1)
-    return F.filter(F.flatten(one), lambda row: row.isNotNull())
 
 
-def explode_once(lines: DataFrame, rows: Column, *keep: str) -> DataFrame:
-    """``keep`` and the column ``row``: the element of ``rows``, or NULL without one.
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often it is used.
 
-    A generator on purpose: filters on parsed fields cannot be pushed below it,
-    where they would parse every line a second time. The outer form, as the inner
-    one adds such a filter itself.
+    Inside a conditional branch Spark computes repeated expressions repeatedly.
     """
-    return lines.select(*keep, F.explode_outer(rows).alias("row"))
+    return F.get(F.transform(F.array(value), use), 0)
 
 
 def long_of(text: Column) -> Column:
@@ -74,4 +81,7 @@ def other_members(text: Column, left_out: Column) -> Column:
     others = F.to_json(
         F.map_filter(F.coalesce(typed, plain), lambda key, _: ~F.array_contains(left_out, key))
     )
-    return F.nullif(F.substring(others, F.lit(2), F.length(others) - 2), F.lit(""))
+    return once(
+        others,
+        lambda text: F.nullif(F.substring(text, F.lit(2), F.length(text) - 2), F.lit("")),
+    )

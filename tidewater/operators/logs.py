@@ -16,14 +16,13 @@ from tidewater.contract import (
     START_TOPIC,
 )
 from tidewater.functions.json_rows import (
-    explode_once,
     is_object,
     long_of,
     member,
     object_of,
     other_members,
     quoted,
-    single_object,
+    with_object,
 )
 from tidewater.functions.times import to_day
 
@@ -48,18 +47,17 @@ def parse_logs(lines: DataFrame) -> DataFrame:
     A line is dirty when it is not a JSON object or has no visitor or no time;
     then ``mid`` or ``ts`` is NULL. No line is removed.
     """
-    rows = F.transform(
-        single_object(F.col("value"), LINE_FIELDS),
-        lambda row: F.struct(
-            row.alias("line"), F.from_json(row["common"], VISITOR_FIELDS).alias("visitor")
-        ),
-    )
-    return explode_once(lines, rows, *lines.columns).select(
-        *lines.columns,
-        F.col("row.visitor.mid"),
-        F.col("row.visitor.is_new"),
-        long_of(F.col("row.line.ts")).alias("ts"),
-        *[F.col(f"row.line.{name}") for name in LINE_PARTS],
+    visitor = F.from_json("row.common", VISITOR_FIELDS)
+    return (
+        with_object(lines, LINE_FIELDS)
+        .withColumn("visitor", visitor)
+        .select(
+            *lines.columns,
+            "visitor.mid",
+            "visitor.is_new",
+            long_of(F.col("row.ts")).alias("ts"),
+            *[F.col(f"row.{name}") for name in LINE_PARTS],
+        )
     )
 
 
@@ -129,8 +127,10 @@ def split_logs(
             F.when(F.col("start").isNotNull(), start_facts).otherwise(page_facts),
         ),
     ).otherwise(one(DIRTY_TOPIC, F.col("value")))
-    # The outer form keeps Spark from evaluating the facts once more to drop empty ones.
-    return parsed.select(*keep, F.inline_outer(facts)).where(F.col("topic").isNotNull())
+    # A column first, as generators are not compiled; and the outer form, as the inner
+    # one would evaluate the facts once more to drop lines without any.
+    exploded = parsed.withColumn("_facts", facts).select(*keep, F.inline_outer("_facts"))
+    return exploded.where(F.col("topic").isNotNull())
 
 
 def _page() -> Column:
@@ -187,7 +187,7 @@ def read_pages(
     row = F.col("row")
     good = row["common"]["mid"].isNotNull() & F.col("ts").isNotNull() & row["page"].isNotNull()
     rows = (
-        explode_once(lines, single_object(F.col("value"), PAGE_FIELDS), *lines.columns)
+        with_object(lines, PAGE_FIELDS)
         .withColumn("ts", long_of(row["ts"]))
         .select(
             *lines.columns,

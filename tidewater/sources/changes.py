@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from tidewater.contract import ARRIVAL, CONFIG_COLUMNS
-from tidewater.functions.json_rows import explode_once, single_object
+from tidewater.functions.json_rows import with_object
 from tidewater.operators.scale import order_key
 
 CHANGE_FIELDS = (
@@ -20,9 +20,7 @@ CONFIG_CHANGE_FIELDS = f"before {_CONFIG_ROW}, after {_CONFIG_ROW}"
 
 def _decode(lines: DataFrame, schema: str) -> DataFrame:
     """``row`` of each valid line; lines that are not one JSON object give none."""
-    rest = [name for name in lines.columns if name != "value"]
-    rows = single_object(F.col("value"), schema)
-    return explode_once(lines, rows, *rest).where(F.col("row").isNotNull())
+    return with_object(lines, schema).drop("value").where(F.col("row").isNotNull())
 
 
 def decode_changes(lines: DataFrame, processing_time: bool = False) -> DataFrame:
