@@ -155,4 +155,4 @@ def test_lines_are_parsed_once(spark):
     """A filter on parsed fields must not reach below the parser."""
     rows = logs.clean_logs(logs.parse_logs(frame(spark, [line()])))
     plan = rows._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("ArrayType(StructType(StructField(common") <= 1
+    assert plan.count("from_json(ArrayType") == 1

@@ -24,7 +24,7 @@ def key_column() -> Column:
 def listed_columns(trim: bool = False) -> Column:
     """The column names a config row lists, blanks included unless trimmed."""
     listed = F.split("sink_columns", ",", -1)
-    return F.transform(listed, F.trim) if trim else listed
+    return F.transform(listed, lambda name: F.trim(name)) if trim else listed
 
 
 def _routes(config: DataFrame, trim: bool, max_rows: int) -> DataFrame:
@@ -64,11 +64,15 @@ def unrouted(changes: DataFrame, config: DataFrame, max_rows: int = BROADCAST_RO
     return changes.join(known, "table", "left_anti")
 
 
-def routed_values(routed: DataFrame, arrival: Sequence[str] = ARRIVAL) -> DataFrame:
+def routed_values(
+    routed: DataFrame, arrival: Sequence[str] = ARRIVAL, keep: Sequence[str] = ()
+) -> DataFrame:
     """One row per routed column: ``sink_table, key, column, value`` and arrival."""
-    return routed.select(
-        "sink_table", "key", *arrival, F.explode("data").alias("column", "value")
+    # The inner explode would add a filter that cuts the data a second time.
+    values = routed.select(
+        *keep, "sink_table", "key", *arrival, F.explode_outer("data").alias("column", "value")
     )
+    return values.where(F.col("column").isNotNull())
 
 
 def latest_values(values: DataFrame, arrival: Sequence[str] = ARRIVAL) -> DataFrame:

@@ -31,15 +31,18 @@ def kept(frame: DataFrame) -> Iterator[DataFrame]:
         held.unpersist()
 
 
+def is_small(frame: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
+    """Whether the frame has at most ``max_rows`` rows; counts no further than that."""
+    return frame.limit(max_rows + 1).count() <= max_rows
+
+
 def lookup_side(frame: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """The frame marked for broadcast if its row count is small enough.
 
     Beyond that it is returned as it is: Spark then shuffles both sides, and
     adaptive execution splits the partitions a hot key has filled.
     """
-    if frame.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(frame)
-    return frame
+    return F.broadcast(frame) if is_small(frame, max_rows) else frame
 
 
 def order_key(columns: Sequence[str]):

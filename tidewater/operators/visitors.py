@@ -4,15 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tidewater.contract import ARRIVAL
 from tidewater.functions.json_rows import member, object_of, other_members
 from tidewater.functions.times import to_day, to_previous_day
-from tidewater.operators.logs import clean_logs
+from tidewater.operators.logs import clean_logs, is_clean
 from tidewater.operators.scale import (
     BROADCAST_ROWS,
     HOT_ROWS,
+    is_small,
     lookup_side,
     order_key,
     stored,
@@ -54,32 +55,31 @@ def apply_anchors(
 ) -> DataFrame:
     """Set ``is_new`` to "0", also inside ``common``, on lines of another day than the anchor.
 
-    Only lines that call the visitor new take part in the join. In a shuffle join
-    all others are spread by a key that matches nothing, so neither dirty lines
-    nor a busy visitor's settled lines pile up in one task. Adds ``repaired``.
+    Adds ``repaired``. With few visitors to repair, no line is shuffled. Beyond
+    that only the lines that call the visitor new are: the others, dirty ones
+    among them, cannot change and go round the join.
     """
-    new = F.col("is_new").eqNullSafe("1") & F.col("mid").isNotNull() & F.col("ts").isNotNull()
-    spread = F.concat(F.lit("\0"), F.xxhash64("value").cast("string"))
+    new = F.coalesce((F.col("is_new") == "1") & is_clean(), F.lit(False))
+    if is_small(wrong, max_rows):
+        return _repaired(parsed, F.broadcast(wrong), new)
+    settled = parsed.where(~new).withColumn("repaired", F.lit(False))
+    return _repaired(parsed.where(new), wrong, new).unionByName(settled)
+
+
+def _repaired(parsed: DataFrame, wrong: DataFrame, new: Column) -> DataFrame:
     repair = new & F.col("anchor").isNotNull() & (to_day("ts") != F.col("anchor"))
     common = object_of(
         other_members(F.col("common"), F.array(F.lit("is_new"))), member("is_new", F.lit('"0"'))
     )
-    return (
-        parsed.withColumn("_key", F.when(new, F.col("mid")).otherwise(spread))
-        .join(
-            lookup_side(wrong.select(F.col("mid").alias("_key"), "anchor"), max_rows),
-            "_key",
-            "left",
-        )
-        .withColumn("repaired", F.coalesce(repair, F.lit(False)))
-        .withColumns(
-            {
-                "is_new": F.when(F.col("repaired"), "0").otherwise(F.col("is_new")),
-                "common": F.when(F.col("repaired"), common).otherwise(F.col("common")),
-            }
-        )
-        .drop("_key", "anchor")
+    flagged = parsed.join(wrong, "mid", "left").withColumn(
+        "repaired", F.coalesce(repair, F.lit(False))
     )
+    return flagged.withColumns(
+        {
+            "is_new": F.when(F.col("repaired"), "0").otherwise(F.col("is_new")),
+            "common": F.when(F.col("repaired"), common).otherwise(F.col("common")),
+        }
+    ).select(*parsed.columns, "repaired")
 
 
 def repair_new_flag(

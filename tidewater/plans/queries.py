@@ -236,9 +236,7 @@ def _routed(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def dim_route(spark: SparkSession, folder: str) -> DataFrame:
-    return _routed(spark, folder).select(
-        "table", "sink_table", "key", F.explode("data").alias("column", "value")
-    )
+    return dims.routed_values(_routed(spark, folder), (), keep=("table",))
 
 
 def dim_unrouted(spark: SparkSession, folder: str) -> DataFrame:

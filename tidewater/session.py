@@ -12,13 +12,14 @@ def build_session(
     app_name: str = "tidewater",
     time_zone: str = "Asia/Shanghai",
     master: str | None = None,
+    input_bytes: int | None = None,
     **settings: str,
 ) -> SparkSession:
     """A session with the settings the pipelines are tuned for.
 
-    ``time_zone`` decides which calendar day a millisecond falls on. Shuffle
-    partitions are left to adaptive execution: it starts from the cluster's
-    setting and coalesces, and it splits the skewed partitions of joins.
+    ``time_zone`` decides which calendar day a millisecond falls on. With
+    ``input_bytes``, the size of what a batch reads, shuffles get partitions that
+    fit a task; adaptive execution merges small ones and splits skewed joins.
     """
     builder = (
         SparkSession.builder.appName(app_name)
@@ -32,6 +33,8 @@ def build_session(
         # Topics are few: keep one open file per topic instead of sorting rows by topic.
         .config("spark.sql.maxConcurrentOutputFileWriters", "16")
     )
+    if input_bytes is not None:
+        builder = builder.config("spark.sql.shuffle.partitions", shuffle_partitions(input_bytes))
     if master:
         builder = builder.master(master)
     for key, value in settings.items():
@@ -39,6 +42,15 @@ def build_session(
     return builder.getOrCreate()
 
 
+def shuffle_partitions(input_bytes: int, partition_bytes: int = 1 << 30) -> int:
+    """How many partitions keep each near ``partition_bytes``: 200 at least.
+
+    A gigabyte of text sorts within an executor's memory or spills once; at 100 TB
+    smaller partitions would make for more shuffle blocks than the driver can track.
+    """
+    return max(200, -(-input_bytes // partition_bytes))
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named in ``spark.checkpoint.dir``.
 

@@ -7,6 +7,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidewater.sinks.batches import write_once
+from tidewater.sources.lines import LINE_SCHEMA
 
 Sink = Callable[[DataFrame, int], None]
 
@@ -39,6 +40,9 @@ def as_topic(rows: DataFrame, topic: str) -> DataFrame:
 
 
 def read_topic(spark: SparkSession, path: str, topic: str | None = None) -> DataFrame:
-    """What ``folder_sink`` wrote; only the folders of the topic are read."""
-    rows = spark.read.parquet(path)
+    """What ``folder_sink`` wrote; only the folders of the topic are read.
+
+    Facts written without arrival columns have NULL there.
+    """
+    rows = spark.read.schema(f"{LINE_SCHEMA}, topic string, batch_id bigint").parquet(path)
     return rows if topic is None else rows.where(F.col("topic") == topic)
