@@ -32,8 +32,12 @@ def kept(frame: DataFrame) -> Iterator[DataFrame]:
 
 
 def is_small(frame: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether the frame has at most ``max_rows`` rows; counts no further than that."""
-    return frame.limit(max_rows + 1).count() <= max_rows
+    """Whether the frame has at most ``max_rows`` rows.
+
+    A full count: it is summed up in every task, while a limit before it would send
+    that many rows of every task to a single one.
+    """
+    return frame.count() <= max_rows
 
 
 def lookup_side(frame: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
@@ -45,6 +49,11 @@ def lookup_side(frame: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(frame) if is_small(frame, max_rows) else frame
 
 
+def hot_bound(frame: DataFrame, hot_rows: int | None) -> int | None:
+    """``hot_rows``, or None if the frame is too small for any key to be hot."""
+    return None if hot_rows is None or is_small(frame, hot_rows) else hot_rows
+
+
 def order_key(columns: Sequence[str]):
     """One value that orders rows like ``columns`` do."""
     return F.col(columns[0]) if len(columns) == 1 else F.struct(*columns)

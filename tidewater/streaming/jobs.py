@@ -22,7 +22,14 @@ from tidewater.contract import (
     VISIT_STATE_MS,
 )
 from tidewater.operators import bounces, carts, dims, logs, visitors
-from tidewater.operators.scale import HOT_ROWS, kept, lookup_side, order_key, stored
+from tidewater.operators.scale import (
+    HOT_ROWS,
+    hot_bound,
+    kept,
+    lookup_side,
+    order_key,
+    stored,
+)
 from tidewater.sinks.batches import BatchTable, last_per_key
 from tidewater.sinks.fanout import Sink, as_topic
 from tidewater.sinks.tables import ensure_tables, publish
@@ -132,7 +139,8 @@ def unique_visitors(
             here = stored(entries.select("mid").distinct())
             before = visits.before(spark, batch_id)
             known = stored(alive(before.join(lookup_side(here), "mid", "left_semi")))
-            found = stored(visitors.unique_visitors(entries, arrival, known, hot_rows))
+            bound = hot_bound(entries, hot_rows)
+            found = stored(visitors.unique_visitors(entries, arrival, known, bound))
         sink(as_topic(found.select("value", *arrival), UNIQUE_VISITOR_TOPIC), batch_id)
         visits.add(
             batch_id,
@@ -198,7 +206,7 @@ def user_jumps(
                 | (F.lit(closed + 1) - F.col("ts") >= within_ms)
             )
             judged = stored(
-                bounces.with_next_page(rows, arrival, hot_rows)
+                bounces.with_next_page(rows, arrival, hot_bound(rows, hot_rows))
                 .withColumn("settled", settled)
                 .withColumn("kind", bounces.bounce_kind(within_ms))
                 .where(~F.col("settled") | F.col("kind").isNotNull())
