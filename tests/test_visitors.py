@@ -37,9 +37,9 @@ def test_flag_rules(spark, flags, days, expected):
     assert [json.loads(row["common"]).get("is_new") for row in rows] == expected
 
 
-@pytest.mark.parametrize("max_rows", [0, 1000])
-def test_flags_agree_with_state(spark, max_rows):
-    """Both with the broadcast join and with the shuffle join beyond its bound."""
+@pytest.mark.parametrize("max_rows, hot_rows", [(1000, 1000), (0, 1000), (0, 100)])
+def test_flags_agree_with_state(spark, max_rows, hot_rows):
+    """With the broadcast join, and beyond its bound without and with a hot visitor."""
     dirty = ["", "xx", '{"ts":1}']
     rows, values = in_arrival_order(spark, as_lines(random_visits(600, seed=1)) + dirty)
     visits = []
@@ -49,7 +49,10 @@ def test_flags_agree_with_state(spark, max_rows):
             visits.append(
                 {"id": body["id"], "ts": body["ts"], **body["common"]}
             )
-    fixed = visitors.repair_new_flag(logs.parse_logs(rows), max_rows=max_rows).collect()
+    repaired = visitors.repair_new_flag(
+        logs.parse_logs(rows), max_rows=max_rows, hot_rows=hot_rows
+    )
+    fixed = repaired.collect()
     assert len(fixed) == 603
     found = {json.loads(row["value"])["id"]: row["is_new"] for row in fixed if row["mid"]}
     assert found == repaired_flags(visits)

@@ -22,11 +22,11 @@ from tidewater.operators.scale import (
 
 
 def visit_anchors(parsed: DataFrame, arrival: Sequence[str] = ARRIVAL) -> DataFrame:
-    """One row per visitor: ``mid, anchor, first_new_day, last_new_day``.
+    """One row per visitor: ``mid, anchor, first_new_day, last_new_day, lines``.
 
     The anchor is the day of the visitor's first-arrived line, or the day before
-    if that line says the visitor is not new. The other two bound the days on
-    which lines call the visitor new. Aggregated before the shuffle, so a visitor
+    if that line says the visitor is not new. The next two bound the days on which
+    lines call the visitor new; ``lines`` is how many there are. Aggregated before the shuffle, so a visitor
     with very many lines costs no more than one row per task.
     """
     new = F.col("is_new").eqNullSafe("1")
@@ -39,54 +39,73 @@ def visit_anchors(parsed: DataFrame, arrival: Sequence[str] = ARRIVAL) -> DataFr
             F.min_by(F.coalesce(day, to_previous_day("ts")), order_key(arrival)).alias("anchor"),
             F.min(day).alias("first_new_day"),
             F.max(day).alias("last_new_day"),
+            F.count("*").alias("lines"),
         )
     )
 
 
 def wrong_flags(anchors: DataFrame) -> DataFrame:
-    """``mid, anchor`` of the visitors with at least one flag to repair."""
+    """``mid, anchor, lines`` of the visitors with at least one flag to repair."""
     return anchors.where(
         (F.col("first_new_day") != F.col("anchor")) | (F.col("last_new_day") != F.col("anchor"))
-    ).select("mid", "anchor")
+    ).select("mid", "anchor", "lines")
 
 
 def apply_anchors(
-    parsed: DataFrame, wrong: DataFrame, max_rows: int = BROADCAST_ROWS
+    parsed: DataFrame,
+    wrong: DataFrame,
+    max_rows: int = BROADCAST_ROWS,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Set ``is_new`` to "0", also inside ``common``, on lines of another day than the anchor.
 
     Adds ``repaired``. With few visitors to repair, no line is shuffled. Beyond
     that only the lines that call the visitor new are: the others, dirty ones
-    among them, cannot change and go round the join.
+    among them, cannot change and go round the join. Visitors with more than
+    ``hot_rows`` lines are still broadcast (there are at most total / hot_rows of
+    them), and their lines are shuffled by their text, not to one task.
     """
     new = F.coalesce((F.col("is_new") == "1") & is_clean(), F.lit(False))
+    anchors = wrong.select("mid", "anchor")
     if is_small(wrong, max_rows):
-        return _repaired(parsed, F.broadcast(wrong), new)
+        return _repaired(parsed.join(F.broadcast(anchors), "mid", "left"), new, parsed.columns)
+    hot, cold = wrong.where(F.col("lines") > hot_rows), wrong.where(F.col("lines") <= hot_rows)
+    found = parsed.where(new).join(
+        lookup_side(hot.select("mid", F.col("anchor").alias("_hot"))), "mid", "left"
+    )
+    spread = F.concat(F.lit("\0"), F.xxhash64("value").cast("string"))
+    joined = (
+        found.withColumn("_key", F.when(F.col("_hot").isNull(), F.col("mid")).otherwise(spread))
+        .join(cold.select(F.col("mid").alias("_key"), "anchor"), "_key", "left")
+        .withColumn("anchor", F.coalesce("_hot", "anchor"))
+    )
     settled = parsed.where(~new).withColumn("repaired", F.lit(False))
-    return _repaired(parsed.where(new), wrong, new).unionByName(settled)
+    return _repaired(joined, new, parsed.columns).unionByName(settled)
 
 
-def _repaired(parsed: DataFrame, wrong: DataFrame, new: Column) -> DataFrame:
+def _repaired(joined: DataFrame, new: Column, columns: Sequence[str]) -> DataFrame:
     repair = new & F.col("anchor").isNotNull() & (to_day("ts") != F.col("anchor"))
     common = object_of(
         other_members(F.col("common"), F.array(F.lit("is_new"))), member("is_new", F.lit('"0"'))
     )
-    flagged = parsed.join(wrong, "mid", "left").withColumn(
-        "repaired", F.coalesce(repair, F.lit(False))
-    )
+    flagged = joined.withColumn("repaired", F.coalesce(repair, F.lit(False)))
     return flagged.withColumns(
         {
             "is_new": F.when(F.col("repaired"), "0").otherwise(F.col("is_new")),
             "common": F.when(F.col("repaired"), common).otherwise(F.col("common")),
         }
-    ).select(*parsed.columns, "repaired")
+    ).select(*columns, "repaired")
 
 
 def repair_new_flag(
-    parsed: DataFrame, arrival: Sequence[str] = ARRIVAL, max_rows: int = BROADCAST_ROWS
+    parsed: DataFrame,
+    arrival: Sequence[str] = ARRIVAL,
+    max_rows: int = BROADCAST_ROWS,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Parsed lines with the new-visitor flag corrected; see the functions above."""
-    return apply_anchors(parsed, stored(wrong_flags(visit_anchors(parsed, arrival))), max_rows)
+    wrong = stored(wrong_flags(visit_anchors(parsed, arrival)))
+    return apply_anchors(parsed, wrong, max_rows, hot_rows)
 
 
 def unique_visitors(
