@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidewater.llm import common, simhash
+from tidewater.llm import chat, common, line_rules, simhash
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -16,6 +16,22 @@ def op7_near_copies(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op3_line_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return line_rules.line_rules(_table(spark, folder, "documents"))
+
+
+def op8_chat_windows(spark: SparkSession, folder: str) -> DataFrame:
+    text = F.lit("</s>[INST] ok [/INST]")
+    more = spark.range(2).select(
+        F.lit(-1).cast("bigint").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        text.alias("text"),
+    )
+    turns = _table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.conversation_digests(chat.chat_windows(turns.unionByName(more)))
+
+
 def queries() -> dict:
     return {name: query for name, query in globals().items() if name.startswith("op")}
 
