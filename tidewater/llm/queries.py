@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidewater.llm import chat, common, line_rules, simhash
+from tidewater.llm import chat, common, decontam, line_rules, packing, simhash
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -16,6 +16,18 @@ def op7_near_copies(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op1_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    pieces = packing.token_pieces(_table(spark, folder, "documents"))
+    return packing.best_fit(
+        pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
+    )
+
+
+def op9_leaks(spark: SparkSession, folder: str) -> DataFrame:
+    items = decontam.as_question_and_answer(_table(spark, folder, "benchmark"))
+    return decontam.leaks(_table(spark, folder, "documents"), items)
+
+
 def op3_line_rules(spark: SparkSession, folder: str) -> DataFrame:
     return line_rules.line_rules(_table(spark, folder, "documents"))
 
