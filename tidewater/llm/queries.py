@@ -4,7 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidewater.llm import chat, common, decontam, line_rules, packing, simhash
+from tidewater.llm import (
+    chat,
+    common,
+    decontam,
+    langid,
+    line_rules,
+    packing,
+    simhash,
+    token_rollup,
+)
+from tidewater.session import new_folder
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -23,6 +33,16 @@ def op1_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op2_token_rollup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    return token_rollup.maintained_totals(docs, new_folder(spark, "llm-rollup"))
+
+
+def op5_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    return langid.identify(docs, langid.language_model(docs))
+
+
 def op9_leaks(spark: SparkSession, folder: str) -> DataFrame:
     items = decontam.as_question_and_answer(_table(spark, folder, "benchmark"))
     return decontam.leaks(_table(spark, folder, "documents"), items)
