@@ -12,6 +12,7 @@ from tidewater.llm import (
     line_rules,
     packing,
     simhash,
+    suffixes,
     token_rollup,
 )
 from tidewater.session import new_folder
@@ -43,6 +44,18 @@ def op5_language(spark: SparkSession, folder: str) -> DataFrame:
     return langid.identify(docs, langid.language_model(docs))
 
 
+def op10_repeated_passages(spark: SparkSession, folder: str) -> DataFrame:
+    found = suffixes.without_repeats(_table(spark, folder, "documents"))
+    removed = F.aggregate("span_lengths", F.lit(0).cast("bigint"), lambda total, one: total + one)
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size("span_lengths").cast("bigint").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op9_leaks(spark: SparkSession, folder: str) -> DataFrame:
     items = decontam.as_question_and_answer(_table(spark, folder, "benchmark"))
     return decontam.leaks(_table(spark, folder, "documents"), items)
