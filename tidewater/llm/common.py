@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from tidewater.operators.scale import lookup_side
 from tidewater.session import new_folder
 
 # What separates words: blank and the five ASCII controls from tab to carriage return.
@@ -97,7 +98,11 @@ def _columns(batch: pa.RecordBatch) -> dict:
     return found
 
 
-def only(docs: DataFrame, keep: DataFrame) -> DataFrame:
-    """The documents whose ``doc_id`` is in ``keep``; NULL matches NULL."""
-    ids = keep.select(F.col("doc_id").alias("_kept_id"))
-    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["_kept_id"]), "left_semi")
+def by_id(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
+    """The documents whose ``doc_id`` is (``left_semi``) or is not (``left_anti``) among the ids.
+
+    NULL matches NULL. ``ids`` should be written: they are counted, and sent to all
+    tasks if they are few enough, so that texts need not be shuffled.
+    """
+    ids = lookup_side(ids.select(F.col("doc_id").alias("_given_id")).distinct())
+    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["_given_id"]), how)

@@ -8,8 +8,7 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from tidewater.llm.common import in_python, words_of, written
-from tidewater.operators.scale import lookup_side
+from tidewater.llm.common import by_id, in_python, words_of, written
 
 K1, B = 1.2, 0.75
 PASSAGE_WORDS = 128
@@ -298,6 +297,4 @@ def as_question_and_answer(benchmark: DataFrame, answer_share: float = 1 / 3) ->
 
 def without_leaks(docs: DataFrame, items: DataFrame, **settings) -> DataFrame:
     """The documents in which no item leaks; of the rest, nothing stays."""
-    found = written(leaks(docs, items, **settings), "leaks")
-    ids = lookup_side(found.select(F.col("doc_id").alias("_leak_id")).distinct())
-    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["_leak_id"]), "left_anti")
+    return by_id(docs, written(leaks(docs, items, **settings), "leaks"), "left_anti")

@@ -10,7 +10,7 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from tidewater.llm.common import in_python, words_of
+from tidewater.llm.common import by_id, in_python, words_of, written
 
 FEATURES = 1 << 16
 # Labelled documents per language that the model is fitted on, and words of each.
@@ -327,3 +327,14 @@ def identify(docs: DataFrame, model: Model, with_words: bool = False) -> DataFra
     return in_python(
         rows, work, f"doc_id bigint, held_out boolean, lang_pred string, score double{more}"
     )
+
+
+def without_unknown(docs: DataFrame, least_score: float = 0.5) -> DataFrame:
+    """The documents with a language: predicted with a mean probability of ``least_score``.
+
+    Texts of two languages in equal parts and texts without letters go. Decisions are by
+    doc_id, so of rows with one doc_id all go with the worst.
+    """
+    found = written(identify(docs, language_model(docs)), "languages")
+    bad = (F.col("lang_pred") == UNKNOWN) | (F.col("score") < least_score)
+    return by_id(docs, found.where(bad), "left_anti")

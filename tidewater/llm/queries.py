@@ -8,8 +8,10 @@ from tidewater.llm import (
     chat,
     common,
     decontam,
+    kneser,
     langid,
     line_rules,
+    neural_lm,
     packing,
     simhash,
     suffixes,
@@ -39,6 +41,14 @@ def op2_token_rollup(spark: SparkSession, folder: str) -> DataFrame:
     return token_rollup.maintained_totals(docs, new_folder(spark, "llm-rollup"))
 
 
+def op4_text_scores(spark: SparkSession, folder: str) -> DataFrame:
+    return neural_lm.score_texts(_table(spark, folder, "documents"))
+
+
+def op6_perplexity(spark: SparkSession, folder: str) -> DataFrame:
+    return kneser.quality(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
 def op5_language(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
     return langid.identify(docs, langid.language_model(docs))

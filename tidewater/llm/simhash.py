@@ -9,7 +9,7 @@ import numpy as np
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidewater.llm.common import in_python, only, written
+from tidewater.llm.common import by_id, in_python, written
 from tidewater.llm.graph import components
 
 SHINGLE_WORDS = 3
@@ -174,11 +174,11 @@ def without_near_copies(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     Rows without doc_id stay if their whole group has none.
     """
     groups = written(near_copies(docs, radius), "groups")
-    keep = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    kept = only(docs, keep.select("doc_id").distinct())
-    repeated = keep.where("doc_id is not null").groupBy("doc_id").count().where("count > 1")
+    is_first = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    kept = by_id(docs, groups.where(~is_first), "left_anti")
+    repeated = groups.where(is_first & F.col("doc_id").isNotNull()).groupBy("doc_id").count()
+    repeated = written(repeated.where("count > 1"), "repeated")
     if repeated.isEmpty():
         return kept
-    again = only(kept, repeated).dropDuplicates(["doc_id"])
-    ids = repeated.select(F.col("doc_id").alias("_kept_id"))
-    return kept.join(ids, kept["doc_id"] == ids["_kept_id"], "left_anti").unionByName(again)
+    again = by_id(kept, repeated, "left_semi").dropDuplicates(["doc_id"])
+    return by_id(kept, repeated, "left_anti").unionByName(again)

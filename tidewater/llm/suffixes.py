@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from tidewater.llm.common import in_python, width, written
+from tidewater.llm.common import BLANKS, in_python, width, written
 
 MATCH = 50
 GRAM = 24
@@ -515,3 +515,22 @@ def _covered(block: Block, mine: Suffixes, windows, bits, match: int) -> np.ndar
     sums = np.cumsum(marks[:-1])
     before = np.concatenate((np.zeros(match, np.int64), sums))[: len(sums)]
     return sums > before
+
+
+def cut_documents(docs: DataFrame, match: int = MATCH) -> DataFrame:
+    """The documents with their repeated passages cut out, and ``n_chars`` of what is left.
+
+    Where a cut splits a sign, the rest of the sign goes too. Documents of which nothing
+    is left go; such that were empty before stay, with an empty text.
+    """
+    carry = [name for name in docs.columns if name not in ("doc_id", "text", "n_chars")]
+    found = without_repeats(docs, match, carry)
+    text = F.col("kept").cast("string")
+    whole = F.when(F.is_valid_utf8(text), text).otherwise(
+        F.replace(F.make_valid_utf8(text), F.lit("\ufffd"), F.lit(""))
+    )
+    found = found.withColumn("text", whole).withColumn(
+        "n_chars", F.length("text").cast("bigint")
+    )
+    left = (F.size("span_starts") == 0) | (F.btrim("text", F.lit(BLANKS)) != "")
+    return found.where(left).select(*docs.columns)
