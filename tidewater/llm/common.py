@@ -80,6 +80,9 @@ _ARROW = {
     "binary": pa.binary(),
 }
 
+# Columns of these types can go through in_python.
+PLAIN_TYPES = frozenset(_ARROW)
+
 
 def _arrow_type(name: str) -> pa.DataType:
     if name.startswith("array<"):

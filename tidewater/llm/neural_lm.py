@@ -243,11 +243,11 @@ def train(docs: DataFrame, words: Vocabulary, rounds: int = ROUNDS) -> np.ndarra
                     some = order[at : at + BATCH]
                     learner.step(a[some], b[some], numbers[some])
                 seen += len(numbers)
-            n = len(model.all)
-            yield {"i": np.arange(n), "v": model.all * float(seen), "n": np.full(n, seen)}
+            n = len(model.all) if seen else 0
+            yield {"i": np.arange(n), "v": model.all[:n] * float(seen), "n": np.full(n, seen)}
 
         learned = in_python(rows, work, "i int, v double, n bigint")
-        means = learned.groupBy("i").agg((F.sum("v") / F.sum("n")).alias("v")).where("v is not null")
+        means = learned.groupBy("i").agg((F.sum("v") / F.sum("n")).alias("v"))
         found = sorted((row["i"], row["v"]) for row in means.collect())
         if not found:
             break

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from tidewater.llm.common import BLANKS, in_python, width, written
+from tidewater.llm.common import BLANKS, PLAIN_TYPES, in_python, width, written
 
 MATCH = 50
 GRAM = 24
@@ -521,16 +521,31 @@ def cut_documents(docs: DataFrame, match: int = MATCH) -> DataFrame:
     """The documents with their repeated passages cut out, and ``n_chars`` of what is left.
 
     Where a cut splits a sign, the rest of the sign goes too. Documents of which nothing
-    is left go; such that were empty before stay, with an empty text.
+    is left go; such that were empty before stay, with an empty text. All other columns
+    are passed on, whatever their names and types.
     """
-    carry = [name for name in docs.columns if name not in ("doc_id", "text", "n_chars")]
-    found = without_repeats(docs, match, carry)
+    others = [name for name in docs.columns if name not in ("doc_id", "text", "n_chars")]
+    types = dict(docs.dtypes)
+    plain = {name: types[name] in PLAIN_TYPES for name in others}
+    carried = docs.select(
+        "doc_id",
+        "text",
+        *[
+            (F.col(f"`{name}`") if plain[name] else F.to_json(F.struct(F.col(f"`{name}`").alias("v"))))
+            .alias(f"_other{i}")
+            for i, name in enumerate(others)
+        ],
+    )
+    found = without_repeats(carried, match, [f"_other{i}" for i in range(len(others))])
     text = F.col("kept").cast("string")
     whole = F.when(F.is_valid_utf8(text), text).otherwise(
         F.replace(F.make_valid_utf8(text), F.lit("\ufffd"), F.lit(""))
     )
-    found = found.withColumn("text", whole).withColumn(
-        "n_chars", F.length("text").cast("bigint")
-    )
+    found = found.withColumn("text", whole)
     left = (F.size("span_starts") == 0) | (F.btrim("text", F.lit(BLANKS)) != "")
-    return found.where(left).select(*docs.columns)
+    columns = {"doc_id": F.col("doc_id").cast(types["doc_id"]), "text": F.col("text")}
+    columns["n_chars"] = F.length("text").cast("bigint")
+    for i, name in enumerate(others):
+        value = F.col(f"_other{i}")
+        columns[name] = value if plain[name] else F.from_json(value, f"v {types[name]}")["v"]
+    return found.where(left).select(*[columns[name].alias(name) for name in docs.columns])
