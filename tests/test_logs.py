@@ -6,7 +6,8 @@ from pyspark.errors import PySparkException
 from pyspark.sql import Observation
 
 from tidewater.contract import (
-    ACTION_TOPIC, DAY_MS, DIRTY_TOPIC, DISPLAY_TOPIC, ERROR_TOPIC, PAGE_TOPIC, START_TOPIC,
+    ACTION_TOPIC, DAY_MS, DIRTY_TOPIC, DISPLAY_TOPIC, ERROR_TOPIC, LEAST_MS, MOST_MS,
+    PAGE_TOPIC, START_TOPIC,
 )
 from tidewater.operators import logs, visitors
 
@@ -26,7 +27,11 @@ def facts(spark, *values, **options):
     "text",
     [
         "", "xx", "[1]", "5", "null", '{"a":1,', '{"common":{"mid":"m"},"ts":1} xx',
-        '{"common":{"mid":"m"},"ts":1}{"a":1}', '{"ts":1}', '{"common":{},"ts":1}',
+        '{"common":{"mid":"m"},"ts":1}{"a":1}', '{"common":{"mid":"m"},"ts":1}] junk',
+        '{"common":{"mid":"m"},"ts":1}]', '{"common":{"mid":"m"},"ts":1}],[{}',
+        '{"common":{"mid":"m"},"ts":1},{"_end":1}', '{"common":{"mid":"m"},"ts":9223372036854775807}',
+        f'{{"common":{{"mid":"m"}},"ts":{MOST_MS + 1}}}', f'{{"common":{{"mid":"m"}},"ts":{LEAST_MS - 1}}}',
+        '{"ts":1}', '{"common":{},"ts":1}',
         '{"common":{"mid":"m"}}', '{"common":{"mid":null},"ts":1}', '{"common":5,"ts":1}',
         '{"common":{"mid":"m"},"ts":"soon"}', "{'common':{'mid':'m'},'ts':1}",
     ],
@@ -156,3 +161,16 @@ def test_lines_are_parsed_once(spark):
     rows = logs.clean_logs(logs.parse_logs(frame(spark, [line()])))
     plan = rows._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("from_json(ArrayType") == 1
+
+
+@pytest.mark.parametrize("ts", [LEAST_MS, MOST_MS, 0, -1])
+def test_extreme_times_pass_every_step(spark, ts):
+    rows = visitors.repair_new_flag(logs.parse_logs(frame(spark, [line(ts=ts), line(ts=ts, is_new="0")])))
+    assert [row["ts"] for row in logs.clean_logs(rows).collect()] == [ts, ts]
+    pages = logs.read_pages(frame(spark, [line(ts=ts)]))
+    assert visitors.unique_visitors(logs.entry_pages(pages)).count() == 1
+
+
+def test_displays_that_are_no_array_go(spark):
+    found = facts(spark, json.dumps({**BODY, "displays": {"item": 1}, "actions": "x"}))
+    assert found == {PAGE_TOPIC: [BODY]}

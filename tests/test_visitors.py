@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidewater.contract import DAY_MS
 from tidewater.operators import logs, visitors
+from tidewater.operators.scale import arrival_key
 
 
 def in_arrival_order(spark, values):
@@ -79,3 +80,29 @@ def test_wrong_flags_holds_only_visitors_to_repair(spark):
     anchors = visitors.visit_anchors(logs.parse_logs(frame(spark, values)))
     assert [row["mid"] for row in visitors.wrong_flags(anchors).collect()] == ["bad"]
     assert anchors.where(F.col("mid") == "good").count() == 1
+
+
+def test_anchors_are_hashed_and_parsed_narrowly(spark):
+    """No sort before the first sums, and one parse of three fields."""
+    lines = frame(spark, as_lines(random_visits(20, seed=1)))
+    anchors = visitors.visit_anchors(logs.parse_visits(lines))
+    plan = anchors._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "HashAggregate" in plan
+    optimized = anchors._jdf.queryExecution().optimizedPlan().toString()
+    assert optimized.count("from_json(") == 1 and "displays" not in optimized
+
+
+def test_arrival_key_orders_like_the_columns(spark):
+    rows = frame(spark, [line(id=i) for i in range(30)])
+    order = ["timestamp", "partition", "offset"]
+    by_columns = [row["offset"] for row in rows.orderBy(*order).collect()]
+    by_key = [row["offset"] for row in rows.orderBy(arrival_key(order)).collect()]
+    assert by_key == by_columns
+
+
+@pytest.mark.parametrize("narrow", [False, True])
+def test_repair_with_and_without_lines(spark, narrow):
+    lines = frame(spark, as_lines(random_visits(200, seed=2)))
+    found = visitors.repair_new_flag(logs.parse_logs(lines), lines=lines if narrow else None)
+    expected = visitors.repair_new_flag(logs.parse_logs(lines))
+    assert sorted(map(str, found.collect())) == sorted(map(str, expected.collect()))

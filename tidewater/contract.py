@@ -41,6 +41,9 @@ TEXT_ZONE_OFFSET = "+08:00"
 
 # times, in milliseconds
 DAY_MS = 86_400_000
+# Times a timestamp of microseconds can hold, and a day before and after them too.
+LEAST_MS = -9_223_372_036_854_775 + DAY_MS
+MOST_MS = 9_223_372_036_854_775 - DAY_MS
 BOUNCE_WITHIN_MS = 10_000
 LATENESS_MS = 2_000
 VISIT_STATE_MS = 86_400_000

@@ -18,20 +18,27 @@ JSON_OPTIONS = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
 def with_object(lines: DataFrame, fields: str) -> DataFrame:
     """Add ``row``, the ``fields`` of the object in ``value``, or NULL if it is none.
 
-    The text is parsed as the only element of an array, so that text after a complete object makes it
-    invalid rather than being ignored. The row comes out of a generator, on
+    The text is parsed as the first element of an array whose second one holds the
+    text's hash. So it must be one object and nothing more: the parser stops at the end
+    of the first complete array, and no text closes the array before a mark it cannot
+    know. The row comes out of a generator, on
     purpose: filters on parsed fields cannot be pushed below it, where they would
     parse every line a second time. The outer form, as the inner one adds such a
     filter itself; and the generator only reads a column, as it does not take part
     in code generation.
     """
-    parsed = F.from_json(
-        F.concat(F.lit("["), F.col("value"), F.lit("]")), f"array<struct<{fields}>>", JSON_OPTIONS
+    value, parsed = F.col("value"), F.col("_parsed")
+    marked = F.concat(
+        F.lit("["), value, F.lit(',{"_end":'), F.xxhash64(value).cast("string"), F.lit("}]")
     )
+    whole = (F.size(parsed) == 2) & (F.get(parsed, 1)["_end"] == F.xxhash64(value))
     return (
-        lines.withColumn("_parsed", parsed)
-        .withColumn("_rows", F.when(F.size("_parsed") == 1, F.col("_parsed")))
-        .select(*lines.columns, F.explode_outer("_rows").alias("row"))
+        lines.withColumn(
+            "_parsed", F.from_json(marked, f"array<struct<{fields},_end:bigint>>", JSON_OPTIONS)
+        )
+        .withColumn("_rows", F.when(whole, F.slice("_parsed", 1, 1)))
+        .select(*lines.columns, F.explode_outer("_rows").alias("_row"))
+        .select(*lines.columns, F.col("_row").dropFields("_end").alias("row"))
     )
 
 

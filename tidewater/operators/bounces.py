@@ -13,9 +13,16 @@ from tidewater.operators.scale import HOT_ROWS, with_neighbour
 def with_next_page(
     pages: DataFrame, arrival: Sequence[str] = ARRIVAL, hot_rows: int | None = HOT_ROWS
 ) -> DataFrame:
-    """Add the next page of the same visitor in event time: ``next_ts, next_is_entry``."""
+    """Add the next page of the same visitor in event time: ``next_ts, next_is_entry``.
+
+    Only entry pages can be bounces, so the text of the others is left out (NULL) before
+    they are shuffled and sorted.
+    """
+    narrow = pages
+    if "value" in pages.columns:
+        narrow = pages.withColumn("value", F.when(F.col("is_entry"), F.col("value")))
     return with_neighbour(
-        pages,
+        narrow,
         "mid",
         ("ts", *arrival),
         {"next_ts": "ts", "next_is_entry": "is_entry"},

@@ -16,6 +16,7 @@ from tidewater.contract import (
     START_TOPIC,
 )
 from tidewater.functions.json_rows import (
+    JSON_OPTIONS,
     is_object,
     long_of,
     member,
@@ -24,7 +25,7 @@ from tidewater.functions.json_rows import (
     quoted,
     with_object,
 )
-from tidewater.functions.times import to_day
+from tidewater.functions.times import in_range, to_day
 
 # columns parse_logs adds besides mid, is_new and ts
 LINE_PARTS = ("common", "page", "err", "start", "displays", "actions")
@@ -35,17 +36,18 @@ LOG_TOPICS = (ERROR_TOPIC, START_TOPIC, PAGE_TOPIC, DISPLAY_TOPIC, ACTION_TOPIC,
 # Nested values stay text; see functions.json_rows.
 LINE_FIELDS = (
     "common string, page string, ts string, err string, start string, "
-    "displays array<string>, actions array<string>"
+    "displays string, actions string"
 )
 VISITOR_FIELDS = "mid string, is_new string"
+VISIT_FIELDS = "common struct<mid:string,is_new:string>, ts string"
 PAGE_FIELDS = "common struct<mid:string>, page struct<last_page_id:string>, ts string"
 
 
 def parse_logs(lines: DataFrame) -> DataFrame:
     """Add ``mid, is_new, ts`` and the fields a split needs to text lines.
 
-    A line is dirty when it is not a JSON object or has no visitor or no time;
-    then ``mid`` or ``ts`` is NULL. No line is removed.
+    A line is dirty when it is not a JSON object, or has no visitor or no time that can be
+    dated; then ``mid`` or ``ts`` is NULL. No line is removed.
     """
     visitor = F.from_json("row.common", VISITOR_FIELDS)
     return (
@@ -55,12 +57,23 @@ def parse_logs(lines: DataFrame) -> DataFrame:
             *lines.columns,
             "visitor.mid",
             "visitor.is_new",
-            long_of(F.col("row.ts")).alias("ts"),
+            in_range(long_of(F.col("row.ts"))).alias("ts"),
             *[F.col(f"row.{name}") for name in LINE_PARTS],
         )
     )
 
 
+def parse_visits(lines: DataFrame) -> DataFrame:
+    """Like ``parse_logs``, but only ``mid, is_new, ts``: for passes that need no more."""
+    row = F.col("row")
+    return with_object(lines, VISIT_FIELDS).select(
+        *lines.columns,
+        row["common"]["mid"].alias("mid"),
+        row["common"]["is_new"].alias("is_new"),
+        in_range(long_of(row["ts"])).alias("ts"),
+    )
+
+
 def is_clean() -> Column:
     return F.col("mid").isNotNull() & F.col("ts").isNotNull()
 
@@ -86,6 +99,7 @@ def split_logs(
     fact or a page fact with one fact per display and per action. ``shape`` is
     "nested" (display, common and page as objects) or "flat" (the display's own
     fields, common as text, page_id). Actions carry no time unless asked for.
+    ``displays`` or ``actions`` that are no array give no facts, and go from the page fact.
     Every line is read once, whatever number of ``topics`` is wanted.
     """
     if shape not in ("nested", "flat"):
@@ -103,9 +117,9 @@ def split_logs(
     def each(topic: str, kind: str, with_ts: bool) -> Column:
         if topic not in topics:
             return none
-        items = F.transform(
-            F.col(f"{kind}s"), lambda item: fact(topic, item_text(kind, item, with_ts))
-        )
+        text = F.col(f"{kind}s")
+        listed = F.from_json(F.when(text.startswith("["), text), "array<string>", JSON_OPTIONS)
+        items = F.transform(listed, lambda item: fact(topic, item_text(kind, item, with_ts)))
         return F.coalesce(items, none)
 
     def line_without(*names: str) -> Column:
@@ -188,7 +202,7 @@ def read_pages(
     good = row["common"]["mid"].isNotNull() & F.col("ts").isNotNull() & row["page"].isNotNull()
     rows = (
         with_object(lines, PAGE_FIELDS)
-        .withColumn("ts", long_of(row["ts"]))
+        .withColumn("ts", in_range(long_of(row["ts"])))
         .select(
             *lines.columns,
             row["common"]["mid"].alias("mid"),

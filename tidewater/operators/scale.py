@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+import operator
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
@@ -9,8 +11,9 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from tidewater.session import shared_folder
 
-# A side with at most this many (narrow) rows is sent to every executor.
+# A side with at most this many rows and bytes of text is sent to every executor.
 BROADCAST_ROWS = 500_000
+BROADCAST_BYTES = 64 << 20
 # A key with more rows than this is sorted in several tasks.
 HOT_ROWS = 5_000_000
 
@@ -41,12 +44,21 @@ def is_small(frame: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
 
 
 def lookup_side(frame: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """The frame marked for broadcast if its row count is small enough.
+    """The frame marked for broadcast if its rows and their text are small enough.
 
     Beyond that it is returned as it is: Spark then shuffles both sides, and
-    adaptive execution splits the partitions a hot key has filled.
+    adaptive execution splits the partitions a hot key has filled. The frame is counted
+    first, so give one that is cheap to evaluate again, or stored.
     """
-    return F.broadcast(frame) if is_small(frame, max_rows) else frame
+    texts = [
+        F.coalesce(F.length(F.to_json(F.struct(F.col(f"`{name}`")))), F.lit(0))
+        for name, kind in frame.dtypes
+        if "string" in kind or "binary" in kind or "array" in kind
+    ]
+    sums = functools.reduce(operator.add, texts, F.lit(0)).cast("bigint")
+    seen = frame.agg(F.count("*").alias("rows"), F.sum(sums).alias("bytes")).first()
+    small = seen["rows"] <= max_rows and (seen["bytes"] or 0) <= BROADCAST_BYTES
+    return F.broadcast(frame) if small else frame
 
 
 def hot_bound(frame: DataFrame, hot_rows: int | None) -> int | None:
@@ -59,6 +71,36 @@ def order_key(columns: Sequence[str]):
     return F.col(columns[0]) if len(columns) == 1 else F.struct(*columns)
 
 
+# Digits of a time in microseconds, a partition and an offset in one decimal.
+_ARRIVAL_DIGITS = (17, 5, 16)
+
+
+def arrival_key(columns: Sequence[str]):
+    """Like ``order_key``, with one decimal for a (timestamp, partition, offset).
+
+    Aggregates that compare structs sort all rows first; decimals are hashed. Times
+    before 1970 or after the year 5138, more than 100,000 partitions and offsets from 10^16
+    on do not fit and are an error.
+    """
+    if len(columns) != 3:
+        return order_key(columns)
+    time, partition, offset = columns
+    parts = (F.unix_micros(time), F.col(partition).cast("bigint"), F.col(offset).cast("bigint"))
+    fits = functools.reduce(
+        operator.and_,
+        [(part >= 0) & (part < 10**digits) for part, digits in zip(parts, _ARRIVAL_DIGITS)],
+    )
+    # Partition and offset have 21 digits: as text, since products of decimals are slower.
+    low = F.concat(
+        F.lpad(parts[1].cast("string"), _ARRIVAL_DIGITS[1], "0"),
+        F.lpad(parts[2].cast("string"), _ARRIVAL_DIGITS[2], "0"),
+    )
+    packed = F.concat(parts[0].cast("string"), low).cast("decimal(38,0)")
+    return F.when(fits, packed).otherwise(
+        F.raise_error(F.lit("arrival beyond what one number holds")).cast("decimal(38,0)")
+    )
+
+
 def with_neighbour(
     rows: DataFrame,
     key: str,

@@ -9,10 +9,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tidewater.contract import ARRIVAL
 from tidewater.functions.json_rows import member, object_of, other_members
 from tidewater.functions.times import to_day, to_previous_day
-from tidewater.operators.logs import clean_logs, is_clean
+from tidewater.operators.logs import clean_logs, is_clean, parse_visits
 from tidewater.operators.scale import (
     BROADCAST_ROWS,
     HOT_ROWS,
+    arrival_key,
     is_small,
     lookup_side,
     order_key,
@@ -36,7 +37,7 @@ def visit_anchors(parsed: DataFrame, arrival: Sequence[str] = ARRIVAL) -> DataFr
         .select("mid", "is_new", "ts", *arrival, to_day("ts").alias("_day"))
         .groupBy("mid")
         .agg(
-            F.min_by(F.coalesce(day, to_previous_day("ts")), order_key(arrival)).alias("anchor"),
+            F.min_by(F.coalesce(day, to_previous_day("ts")), arrival_key(arrival)).alias("anchor"),
             F.min(day).alias("first_new_day"),
             F.max(day).alias("last_new_day"),
             F.count("*").alias("lines"),
@@ -102,9 +103,15 @@ def repair_new_flag(
     arrival: Sequence[str] = ARRIVAL,
     max_rows: int = BROADCAST_ROWS,
     hot_rows: int = HOT_ROWS,
+    lines: DataFrame | None = None,
 ) -> DataFrame:
-    """Parsed lines with the new-visitor flag corrected; see the functions above."""
-    wrong = stored(wrong_flags(visit_anchors(parsed, arrival)))
+    """Parsed lines with the new-visitor flag corrected; see the functions above.
+
+    With ``lines``, the text the lines were parsed from, the pass that looks for anchors
+    reads three fields of it and not all of the parsed ones.
+    """
+    visits = parsed if lines is None else parse_visits(lines)
+    wrong = stored(wrong_flags(visit_anchors(visits, arrival)))
     return apply_anchors(parsed, wrong, max_rows, hot_rows)
 
 

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from tidewater.contract import LEAST_MS, MOST_MS
+
 # Arrival of the lines below: the offset within a one-partition topic.
 OFFSET = ("offset",)
 DATABASE = "shop"
@@ -37,7 +39,8 @@ def log_lines(
     """``value, offset`` from ``events``.
 
     Lines arrive out of time order by up to 1800 events unless ``in_time_order``.
-    Every 50th line is dirty. With ``as_pages`` every line has a page and none a
+    Every 50th line is dirty: cut, empty, no object, with something behind the object, or
+    of a time without a date. With ``as_pages`` every line has a page and none a
     start, as in a page log.
     """
     event = F.col("event_id")
@@ -74,10 +77,15 @@ def log_lines(
     clean = F.when(event % 5 == 1, F.to_json(fields, {"ignoreNullFields": "false"})).otherwise(
         F.to_json(fields)
     )
+    # No array: some of the lines without displays have an object there.
+    no_array = F.concat(F.lit('{"displays":{"item":1},'), F.substring(clean, F.lit(2), F.length(clean)))
+    clean = F.when((event % 8 == 4) & (event % 5 != 1), no_array).otherwise(clean)
     cut = F.concat(F.lit('{"event_id":'), event.cast("string"), F.lit(',"common":{'))
-    dirty = F.element_at(
-        F.array(cut, F.lit(None), F.lit("[1]")), (F.floor(event / 50) % 3 + 1).cast("int")
-    )
+    whole = F.concat(cut, F.lit('"mid":"m"},"page":{},"ts":'))
+    times = ["9223372036854775807", "-9223372036854775808", str(MOST_MS + 1), str(LEAST_MS - 1)]
+    tails = ["1}] junk", "1}]", "1}],[{}", *[f"{time}}}" for time in times]]
+    forms = [cut, F.lit(None), F.lit("[1]"), *[F.concat(whole, F.lit(tail)) for tail in tails]]
+    dirty = F.element_at(F.array(*forms), (F.floor(event / 50) % len(forms) + 1).cast("int"))
     offset = event if in_time_order else (event + 300 * (event % 7)) * 7 + 6 - event % 7
     records = spread(table(spark, folder, "events"), "event_id").select(
         F.when(event % 50 == 0, dirty).otherwise(clean).alias("value"), offset.alias("offset")

@@ -148,16 +148,21 @@ def oracle_sql() -> dict[str, str]:
     sql: dict[str, str] = {}
     sql["src_text_lines"] = """
 SELECT CASE WHEN event_id % 50 <> 0 THEN event_id END AS event_id,
-       event_id % 50 = 0 AND (event_id // 50) % 3 = 1 AS is_empty FROM events"""
+       event_id % 50 = 0 AND (event_id // 50) % 10 = 1 AS is_empty FROM events"""
     sql["log_parse"] = f"""WITH {_LOG}
 SELECT event_id, mid, sent_new AS is_new, ms AS ts,
        CASE WHEN NOT is_start THEN event_type END AS page_id,
        CASE WHEN NOT is_start THEN last_page_id END AS last_page_id, props AS extra FROM log"""
     sql["log_dirty"] = f"""
-SELECT CASE (event_id // 50) % 3 WHEN 0 THEN {_CUT} WHEN 1 THEN '' ELSE '[1]' END AS value
+SELECT CASE (event_id // 50) % 10 WHEN 0 THEN {_CUT} WHEN 1 THEN '' WHEN 2 THEN '[1]'
+       ELSE {_CUT} || '"mid":"m"}},"page":{{}},"ts":' || CASE (event_id // 50) % 10
+            WHEN 3 THEN '1}}] junk' WHEN 4 THEN '1}}]' WHEN 5 THEN '1}}],[{{}}'
+            WHEN 6 THEN '9223372036854775807}}' WHEN 7 THEN '-9223372036854775808}}'
+            WHEN 8 THEN '9223371950454776}}' ELSE '-9223371950454776}}' END END AS value
 FROM events WHERE event_id % 50 = 0"""
     sql["visitor_flag_repair"] = f"""WITH {_FIXED}
 SELECT event_id, mid, ms AS ts, is_new FROM fixed"""
+    sql["visitor_flag_repair_arrival"] = sql["visitor_flag_repair"]
     sql["log_split_error"] = f"""WITH {_FIXED}
 SELECT event_id, mid, is_new, ms AS ts, event_id % 5 AS err_code
 FROM fixed WHERE event_type = 'error'"""

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidewater.contract import (
     ACTION_TOPIC,
+    ARRIVAL,
     DIRTY_TOPIC,
     DISPLAY_TOPIC,
     ERROR_TOPIC,
@@ -58,8 +59,8 @@ def log_dirty(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _repaired(spark: SparkSession, folder: str) -> DataFrame:
-    parsed = logs.parse_logs(inputs.log_lines(spark, folder))
-    return visitors.repair_new_flag(parsed, OFFSET)
+    lines = inputs.log_lines(spark, folder)
+    return visitors.repair_new_flag(logs.parse_logs(lines), OFFSET, lines=lines)
 
 
 def visitor_flag_repair(spark: SparkSession, folder: str) -> DataFrame:
@@ -69,6 +70,21 @@ def visitor_flag_repair(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def visitor_flag_repair_arrival(spark: SparkSession, folder: str) -> DataFrame:
+    """The same in the order of topics: time of arrival, partition, offset."""
+    offset = F.col("offset").cast("bigint")
+    lines = inputs.log_lines(spark, folder).select(
+        "value",
+        F.timestamp_millis(F.floor(offset / 100)).alias("timestamp"),
+        (F.floor(offset / 10) % 10).cast("int").alias("partition"),
+        offset.alias("offset"),
+    )
+    clean = logs.clean_logs(visitors.repair_new_flag(logs.parse_logs(lines), ARRIVAL, lines=lines))
+    return clean.select(
+        event_id(), "mid", "ts", F.get_json_object("common", "$.is_new").alias("is_new")
+    )
+
+
 def _facts(spark: SparkSession, folder: str, topic: str, shape: str = "nested") -> DataFrame:
     return logs.split_logs(_repaired(spark, folder), shape, topics=(topic,))
 
@@ -273,7 +289,7 @@ def fn_to_ts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 BATCH = (
-    src_text_lines, log_parse, log_dirty, visitor_flag_repair,
+    src_text_lines, log_parse, log_dirty, visitor_flag_repair, visitor_flag_repair_arrival,
     log_split_error, log_split_start, log_split_page, log_split_display, log_split_action,
     log_split_display_flat, log_split_action_flat, log_split_all,
     uv_entry_pages, unique_visitor_detail, unique_visitor_per_day,

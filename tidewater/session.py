@@ -61,7 +61,7 @@ def shared_folder(spark: SparkSession) -> str:
     if not folder:
         folder = context.getCheckpointDir()
     if not folder:
-        if not context.master.startswith("local"):
+        if context.master != "local" and not context.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         folder = tempfile.mkdtemp(prefix="tidewater-")
     if context.getCheckpointDir() is None:
