@@ -55,6 +55,23 @@ def test_cart_adds(spark):
     assert row == {"id": "1", "source_type": "7", "source_type_name": "friend"}
 
 
+def test_dimensions_in_one_shot(spark):
+    folder = new_folder(spark, "test")
+    changes = [json.dumps({"database": "d", "table": "t", "type": "insert", "data": {"id": i, "n": "x"}}) for i in (1, 2)]
+    frame(spark, changes).write.parquet(f"{folder}/db")
+    schema = "source_table string, sink_table string, sink_columns string, sink_pk string, sink_extend string"
+    spark.createDataFrame([("t", "dim_shot", "id,n", "id", None)], schema).write.parquet(f"{folder}/config")
+    run("dimensions", f"{folder}/work", f"{folder}/db", "none", "--lookup-option", f"path={folder}/config", "--target-database", "shot")
+    assert sorted(map(tuple, spark.table("shot.dim_shot").collect())) == [("1", "x"), ("2", "x")]
+
+
+def test_failing_on_bad_page_logs(spark):
+    folder = new_folder(spark, "test")
+    frame(spark, [line(), "xx"]).write.parquet(f"{folder}/pages")
+    with pytest.raises(Exception, match="not a page log"):
+        run("user-jumps", f"{folder}/work", f"{folder}/pages", f"{folder}/facts", "--on-error", "fail")
+
+
 def test_arguments():
     with pytest.raises(SystemExit):
         parser().parse_args(["unknown", "--work", "x"])

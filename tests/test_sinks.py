@@ -1,7 +1,12 @@
+import json
+
 import pytest
+from helpers import frame
 from pyspark.sql import Row
 
-from tidewater.operators import dims
+from tidewater.contract import ARRIVAL
+
+from tidewater.operators import dims, logs
 from tidewater.plans.inputs import routing_config
 from tidewater.session import new_folder
 from tidewater.sinks import fanout, tables
@@ -73,6 +78,24 @@ def test_kafka_records(spark):
     assert sorted(bytes(row["value"]) for row in sent.collect()) == [b"", "é".encode()]
 
 
+def test_kafka_headers_tell_where_a_fact_is_from(spark):
+    """Equal for a batch that is sent again, whatever the partitioning; one per fact."""
+    body = {"common": {"mid": "m"}, "ts": 1, "page": {}, "displays": [{"item": 1}, {"item": 1}]}
+    lines = frame(spark, [json.dumps(body)] * 5)
+
+    def sent(rows):
+        facts = logs.split_logs(logs.parse_logs(rows), keep=ARRIVAL, numbered=True)
+        return [
+            (row["topic"], bytes(row["value"]), tuple((h["key"], bytes(h["value"])) for h in row["headers"]))
+            for row in fanout.kafka_records(facts).collect()
+        ]
+
+    once, again = sent(lines), sent(lines.repartition(7))
+    assert sorted(once) == sorted(again)
+    assert len({headers for _, _, headers in once}) == len(once) == 15
+    assert {key for key, _ in once[0][2]} == {"source-partition", "source-offset", "source-nth"}
+
+
 def test_create_statement_quotes(spark):
     text = tables.create_statement("d", "t", ["a", "b`c"], "a", "it's", "/x")
     assert "`b``c` STRING" in text and "'extend' = 'it\\'s'" in text
@@ -80,10 +103,20 @@ def test_create_statement_quotes(spark):
 
 def test_key_must_be_listed(spark):
     wrong = routing_config(spark).replace("s_suppkey", "id", ["sink_pk"])
-    with pytest.raises(ValueError, match="dim_supplier"):
+    with pytest.raises(ValueError, match="of 1 tables.*dim_supplier"):
         tables.planned_tables(wrong)
 
 
+def test_sources_of_one_table_add_up_their_columns(spark):
+    schema = "source_table string, sink_table string, sink_columns string, sink_pk string, sink_extend string"
+    rows = [("b", "t", "id,y", None, "e"), ("a", "t", "x,id", "id", None)]
+    found = tables.planned_tables(spark.createDataFrame(rows, schema))
+    assert found == [Row(sink_table="t", columns=["x", "id", "y"], key="id", extend="")]
+    rows.append(("c", "t", "x,z", "z", None))
+    with pytest.raises(ValueError, match="differ in the key"):
+        tables.planned_tables(spark.createDataFrame(rows, schema))
+
+
 def test_tables_are_made_and_published(spark):
     path = new_folder(spark, "test")
     config = routing_config(spark).where("source_table = 'supplier'")
@@ -103,6 +136,16 @@ def test_tables_are_made_and_published(spark):
     tables.publish(values, made, "sinks_test", path, 0)
     tables.publish(values.where("key = '1'"), made, "sinks_test", path, 1)
     assert [tuple(row) for row in spark.table("sinks_test.dim_supplier").collect()] == [("1", "x'y")]
+    assert tables.snapshots(spark, f"{path}/dim_supplier") == [0, 1]
+    # A new process, whose catalogue is empty, finds the newest snapshot; and new columns.
+    spark.sql("DROP TABLE sinks_test.dim_supplier")
+    wider = config.replace("s_suppkey,s_name", "s_suppkey,s_name,s_more", ["sink_columns"])
+    known = {}
+    tables.ensure_tables(spark, config, "sinks_test", path, known)
+    tables.ensure_tables(spark, wider, "sinks_test", path, known)
+    assert [tuple(row) for row in spark.table("sinks_test.dim_supplier").collect()] == [("1", "x'y", None)]
     old = spark.read.parquet(f"{path}/dim_supplier/version=0")
     assert sorted(tuple(row) for row in old.collect()) == [("1", "x'y"), ("2", None)]
     assert dims.schema_errors(config).count() == 0
+    tables.publish(values, made, "sinks_test", path, 2)
+    assert tables.snapshots(spark, f"{path}/dim_supplier") == [1, 2]

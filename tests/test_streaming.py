@@ -122,9 +122,76 @@ def test_late_rows_are_dropped_and_counted(spark):
     second = [line("m", START_MS + 6_999, last="q", id=2), line("x", START_MS + 50_000, last="q", id=3)]
     process(frame(spark, second), 1)
     assert marks.latest(spark).first()["late"] == 1
+    process(frame(spark, [line("m", START_MS + 7, last="q", id=4)]), 2)
+    process(frame(spark, [line("y", START_MS + 60_000, last="q", id=5)]), 3)
+    assert marks.latest(spark).first()["late"] == 2
     assert ids(facts().collect()) == [0, 1]
 
 
+def test_drops_are_counted_by_reason(spark):
+    run = new_folder(spark, "test")
+    drops = jobs.drops_table(f"{run}/drops")
+    good = [line(ts=START_MS, id=0)]
+    bad = ["xx", "", '{"common":{"mid":"m"},"ts":9223372036854775807,"page":{}}']
+    sink = folder_sink(f"{run}/facts")
+    uv = jobs.unique_visitors(jobs.last_visits(f"{run}/uv"), sink, drops=drops)
+    run_twice(uv, [frame(spark, good + bad)])
+    process, _ = dimension_job(spark, [("t", "dim_drops", "id", "id", None)], drops=jobs.drops_table(f"{run}/dim"))
+    run_twice(process, [frame(spark, ["xx", dimension_line({"id": 1}), dimension_line({"id": 1}, table="u")])])
+    cart = jobs.cart_adds(folder_sink(f"{run}/cart"), "d", "topic", drops=jobs.drops_table(f"{run}/carts"))
+    run_twice(cart, [frame(spark, ["xx", "yy"])])
+
+    def totals(path):
+        return sorted(map(tuple, jobs.drop_totals(spark, jobs.drops_table(path)).collect()))
+
+    assert totals(f"{run}/drops") == [("unique-visitors", "no page log", 3)]
+    assert totals(f"{run}/dim") == [("dimensions", "no change row", 1), ("dimensions", "no route: u", 1)]
+    assert totals(f"{run}/carts") == [("cart-adds", "no change row", 2)]
+
+
+@pytest.mark.parametrize("job", ["visitors", "jumps"])
+def test_bad_page_logs_can_fail_the_job(spark, job):
+    if job == "jumps":
+        process, *_ = jump_job(spark, on_error="fail")
+    else:
+        run = new_folder(spark, "test")
+        process = jobs.unique_visitors(
+            jobs.last_visits(f"{run}/v"), folder_sink(f"{run}/f"), on_error="fail"
+        )
+    with pytest.raises(Exception, match="not a page log"):
+        process(frame(spark, [line(), "xx"]), 0)
+
+
+def test_tables_can_be_read_after_every_batch(spark):
+    """Also with a grown config, two sources of one table, and in a process started anew."""
+    run = new_folder(spark, "test")
+    schema = "source_table string, sink_table string, sink_columns string, sink_pk string, sink_extend string"
+    config = [("t", "dim_live", "id,name", "id", None), ("u", "dim_live", "id,size", "id", None)]
+
+    def process():
+        return jobs.dimensions(
+            jobs.dimension_values(f"{run}/values"), lambda s: s.createDataFrame(config, schema),
+            "streaming_test", f"{run}/tables", merge_every=100,
+        )
+
+    def found():
+        return sorted(map(tuple, spark.table("streaming_test.dim_live").collect()), key=str)
+
+    first = process()
+    first(frame(spark, [dimension_line({"id": 1, "name": "a"})]), 0)
+    assert found() == [("1", "a", None)]
+    first(frame(spark, [dimension_line({"id": 1, "size": 5}, table="u")]), 1)
+    assert found() == [("1", "a", "5")]
+    spark.sql("DROP TABLE streaming_test.dim_live")
+    config[0] = ("t", "dim_live", "id,name,color", "id", None)
+    second = process()
+    second(frame(spark, [dimension_line({"id": 9}, table="elsewhere")]), 2)
+    assert sorted(spark.table("streaming_test.dim_live").columns) == ["color", "id", "name", "size"]
+    second(frame(spark, [dimension_line({"id": 2, "color": "red"})]), 3)
+    rows = spark.table("streaming_test.dim_live").select("id", "name", "size", "color").collect()
+    assert sorted(map(tuple, rows)) == [("1", "a", "5", None), ("2", None, None, "red")]
+
+
 def test_row_at_the_watermark_is_in_time(spark):
     process, _, marks, facts = jump_job(spark)
     process(frame(spark, [line("m", START_MS, id=0), line("x", START_MS + 9_000, last="q", id=1)]), 0)

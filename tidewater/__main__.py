@@ -8,9 +8,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from tidewater.contract import PAGE_TOPIC, TOPIC_DB, TOPIC_LOG
-from tidewater.session import build_session
+from tidewater.session import build_session, shuffle_partitions
 from tidewater.sinks.fanout import Sink, folder_sink, kafka_sink
-from tidewater.sources.lines import as_lines, file_lines
+from tidewater.sources.lines import file_lines, kafka_lines, kafka_options, stored_bytes
 from tidewater.streaming import jobs
 
 SOURCE_TOPIC = {
@@ -43,6 +43,8 @@ def parser() -> argparse.ArgumentParser:
     made.add_argument("--scoped", action="store_true", help="cart updates of that database only")
     made.add_argument("--target-topic", default="dwd_trade_cart_add")
     made.add_argument("--target-database", default="dim")
+    made.add_argument("--on-error", choices=("drop", "fail"), default="drop", help="lines that are no page log")
+    made.add_argument("--batch-gb", type=float, help="size of a batch; of files without --interval, it is known")
     return made
 
 
@@ -50,8 +52,9 @@ def _stream(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     options = pairs(args.source_option)
     if args.source == "files":
         return file_lines(spark, options.pop("path"), **options)
-    settings = {"subscribe": SOURCE_TOPIC[args.job], **options}
-    return as_lines(spark.readStream.format("kafka").options(**settings).load())
+    servers = options.pop("kafka.bootstrap.servers", "")
+    topic = options.pop("subscribe", SOURCE_TOPIC[args.job])
+    return kafka_lines(spark, kafka_options(servers, topic) | options)
 
 
 def _sink(args: argparse.Namespace) -> Sink:
@@ -63,6 +66,7 @@ def _sink(args: argparse.Namespace) -> Sink:
 
 def _process(args: argparse.Namespace) -> jobs.Process:
     work = args.work.rstrip("/")
+    drops = jobs.drops_table(f"{work}/drops")
 
     def lookup(spark: SparkSession) -> DataFrame:
         return spark.read.format(args.lookup).options(**pairs(args.lookup_option)).load()
@@ -70,27 +74,35 @@ def _process(args: argparse.Namespace) -> jobs.Process:
     if args.job == "dimensions":
         return jobs.dimensions(
             jobs.dimension_values(f"{work}/values"), lookup, args.target_database,
-            f"{work}/tables", source_database=args.database,
+            f"{work}/tables", source_database=args.database, drops=drops,
         )
     sink = _sink(args)
     if args.job == "log-split":
         return jobs.log_split(jobs.first_visits(f"{work}/visits"), sink, args.shape)
     if args.job == "unique-visitors":
-        return jobs.unique_visitors(jobs.last_visits(f"{work}/visits"), sink)
+        return jobs.unique_visitors(
+            jobs.last_visits(f"{work}/visits"), sink, on_error=args.on_error, drops=drops
+        )
     if args.job == "user-jumps":
         return jobs.user_jumps(
-            jobs.open_pages(f"{work}/open"), jobs.high_marks(f"{work}/marks"), sink
+            jobs.open_pages(f"{work}/open"), jobs.high_marks(f"{work}/marks"), sink,
+            on_error=args.on_error, drops=drops,
         )
     if not args.database:
         raise SystemExit("cart-adds needs --database")
     return jobs.cart_adds(
-        sink, args.database, args.target_topic, lookup if args.lookup_option else None, args.scoped
+        sink, args.database, args.target_topic, lookup if args.lookup_option else None,
+        args.scoped, drops,
     )
 
 
 def main(argv: Sequence[str] | None = None) -> None:
     args = parser().parse_args(argv)
-    spark = build_session(f"tidewater {args.job}", args.time_zone)
+    size = int(args.batch_gb * 1e9) if args.batch_gb else None
+    spark = build_session(f"tidewater {args.job}", args.time_zone, input_bytes=size)
+    if size is None and args.source == "files" and not args.interval:
+        size = stored_bytes(spark, pairs(args.source_option)["path"])
+        spark.conf.set("spark.sql.shuffle.partitions", shuffle_partitions(size))
     trigger = {"processingTime": args.interval} if args.interval else {"availableNow": True}
     query = jobs.start(
         _stream(spark, args), _process(args), f"{args.work.rstrip('/')}/checkpoint", trigger

@@ -92,9 +92,12 @@ def split_logs(
     topics: Sequence[str] = LOG_TOPICS,
     with_action_ts: bool = False,
     keep: Sequence[str] = (),
+    numbered: bool = False,
 ) -> DataFrame:
     """Rows of ``(topic, value)``, the facts each parsed line gives rise to.
 
+    ``numbered`` adds ``nth``, the fact's place among those of its line.
+
     An error line goes out whole, then goes on without its error as either a start
     fact or a page fact with one fact per display and per action. ``shape`` is
     "nested" (display, common and page as objects) or "flat" (the display's own
@@ -143,8 +146,11 @@ def split_logs(
     ).otherwise(one(DIRTY_TOPIC, F.col("value")))
     # A column first, as generators are not compiled; and the outer form, as the inner
     # one would evaluate the facts once more to drop lines without any.
-    exploded = parsed.withColumn("_facts", facts).select(*keep, F.inline_outer("_facts"))
-    return exploded.where(F.col("topic").isNotNull())
+    exploded = parsed.withColumn("_facts", facts).select(
+        *keep, F.posexplode_outer("_facts").alias("nth", "_fact")
+    )
+    columns = [*keep, "_fact.topic", "_fact.value", *["nth"] * numbered]
+    return exploded.select(*columns).where(F.col("topic").isNotNull())
 
 
 def _page() -> Column:
@@ -187,17 +193,8 @@ def _flat_item(kind: str, item: Column, with_ts: bool) -> Column:
     )
 
 
-def read_pages(
-    lines: DataFrame,
-    on_error: str = "drop",
-    observation: Observation | None = None,
-) -> DataFrame:
-    """Add ``mid, ts, dt, is_entry`` to page-log lines.
-
-    Lines without a page, visitor or time are dropped, or fail the job with
-    ``on_error="fail"``. ``observation`` reports how many there were as "dropped".
-    An entry is a page that was not reached from another page.
-    """
+def flagged_pages(lines: DataFrame, on_error: str = "drop") -> DataFrame:
+    """Like ``read_pages``, with the lines it drops, and ``_good``: whether it keeps a line."""
     row = F.col("row")
     good = row["common"]["mid"].isNotNull() & F.col("ts").isNotNull() & row["page"].isNotNull()
     rows = (
@@ -217,9 +214,28 @@ def read_pages(
         rows = rows.withColumn("_good", F.when(F.col("_good"), True).otherwise(F.raise_error(message)))
     elif on_error != "drop":
         raise ValueError(f"unknown on_error {on_error!r}")
+    return rows
+
+
+def good_pages(flagged: DataFrame) -> DataFrame:
+    return flagged.where("_good").drop("_good")
+
+
+def read_pages(
+    lines: DataFrame,
+    on_error: str = "drop",
+    observation: Observation | None = None,
+) -> DataFrame:
+    """Add ``mid, ts, dt, is_entry`` to page-log lines.
+
+    Lines without a page, visitor or time are dropped, or fail the job with
+    ``on_error="fail"``. ``observation`` reports how many there were as "dropped".
+    An entry is a page that was not reached from another page.
+    """
+    rows = flagged_pages(lines, on_error)
     if observation is not None:
         rows = rows.observe(observation, F.count_if(~F.col("_good")).alias("dropped"))
-    return rows.where("_good").drop("_good")
+    return good_pages(rows)
 
 
 def entry_pages(pages: DataFrame) -> DataFrame:

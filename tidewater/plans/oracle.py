@@ -252,4 +252,21 @@ SELECT o_orderkey, epoch_us(date_trunc('day', o_orderdate)) // 1000 - 28800000 A
         ("dim_upsert_stream", "dim_upsert_latest"),
     ):
         sql[stream] = sql[batch]
+    sql["dim_tables_stream"] = f"SELECT * FROM ({sql['dim_upsert_latest']}) WHERE value IS NOT NULL"
+    sql["drops_stream"] = f"""WITH {_DIMENSIONS}
+SELECT 'user-jumps' AS job, 'no page log' AS reason, count(*) AS "count"
+FROM events WHERE event_id % 50 = 0
+UNION ALL SELECT 'dimensions', 'no route: nation', count(*) FROM changes WHERE "table" = 'nation'"""
+    # Three slices of equal width in arrival order, over dirty lines too.
+    sql["user_jump_late_stream"] = f"""WITH arrivals AS (
+  SELECT (event_id + 300 * (event_id % 7)) * 7 + 6 - event_id % 7 AS arrival,
+         event_id % 50 <> 0 AS good, epoch_us(ts) // 1000 AS ms FROM events
+),
+sliced AS (
+  SELECT good, ms, (arrival - min(arrival) OVER ())
+         // ((max(arrival) OVER () - min(arrival) OVER ()) // 3 + 1) AS slice FROM arrivals
+),
+highs AS (SELECT slice, max(ms) AS high FROM sliced WHERE good GROUP BY slice)
+SELECT count(*) AS late FROM sliced AS s
+WHERE good AND ms <= (SELECT max(high) FROM highs AS h WHERE h.slice < s.slice) - 2000 - 1"""
     return sql

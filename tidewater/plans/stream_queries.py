@@ -139,7 +139,62 @@ def dim_upsert_stream(spark: SparkSession, folder: str) -> DataFrame:
     return values.select("sink_table", "key", "column", "value")
 
 
+def dim_tables_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """What the published tables hold after a last batch that merges nothing."""
+    run = new_folder(spark, "dimensions")
+    database = f"dims_{run[-8:]}"
+    process = jobs.dimensions(
+        jobs.dimension_values(f"{run}/values"), inputs.routing_config, database,
+        f"{run}/tables", merge_every=2,
+    )
+    feed(spark, inputs.dimension_change_lines(spark, folder), run, process)
+    found = None
+    for row in inputs.routing_config(spark).select("sink_table", "sink_pk").collect():
+        rows = spark.table(f"{database}.{row['sink_table']}")
+        part = rows.select(
+            F.lit(row["sink_table"]).alias("sink_table"),
+            F.col(row["sink_pk"]).alias("key"),
+            F.explode(
+                F.array(
+                    *[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").alias("value")) for c in rows.columns]
+                )
+            ).alias("one"),
+        ).select("sink_table", "key", "one.*")
+        found = part if found is None else found.unionByName(part)
+    return found.where("value is not null")
+
+
+def _page_log_drops(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Drops of a job over lines out of time order, and the marks it leaves."""
+    run = new_folder(spark, "drops")
+    drops, marks = jobs.drops_table(f"{run}/drops"), jobs.high_marks(f"{run}/marks")
+    process = jobs.user_jumps(
+        jobs.open_pages(f"{run}/open"), marks, folder_sink(f"{run}/facts"), WITHIN_MS, drops=drops
+    )
+    feed(spark, inputs.log_lines(spark, folder, as_pages=True), run, process)
+    return jobs.drop_totals(spark, drops), marks.latest(spark)
+
+
+def drops_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines and rows left out by the page-log and the dimension jobs."""
+    pages, _ = _page_log_drops(spark, folder)
+    run = new_folder(spark, "drops")
+    drops = jobs.drops_table(f"{run}/drops")
+    process = jobs.dimensions(
+        jobs.dimension_values(f"{run}/values"), inputs.routing_config, f"dims_{run[-8:]}",
+        f"{run}/tables", drops=drops,
+    )
+    feed(spark, inputs.dimension_change_lines(spark, folder), run, process)
+    return pages.unionByName(jobs.drop_totals(spark, drops))
+
+
+def user_jump_late_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """How many rows came behind the watermark of the batches before, in all batches."""
+    _, marks = _page_log_drops(spark, folder)
+    return marks.select(F.col("late").cast("bigint").alias("late"))
+
+
 STREAMS = (
     log_split_stream, visitor_flag_stream, unique_visitor_stream, user_jump_stream,
-    cart_add_stream, dim_upsert_stream,
+    cart_add_stream, dim_upsert_stream, dim_tables_stream, drops_stream, user_jump_late_stream,
 )

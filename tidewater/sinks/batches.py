@@ -7,17 +7,17 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
-def _path(spark: SparkSession, path: str):
+def hadoop_path(spark: SparkSession, path: str):
     return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
 
 
-def _file_system(spark: SparkSession, path: str):
-    return _path(spark, path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+def file_system(spark: SparkSession, path: str):
+    return hadoop_path(spark, path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
 def is_complete(spark: SparkSession, path: str) -> bool:
     """Whether a write to this folder has finished."""
-    return _file_system(spark, path).exists(_path(spark, f"{path}/_SUCCESS"))
+    return file_system(spark, path).exists(hadoop_path(spark, f"{path}/_SUCCESS"))
 
 
 def write_once(frame: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
@@ -44,10 +44,10 @@ class BatchTable:
 
     def _versions(self, spark: SparkSession, kind: str) -> list[int]:
         parent = f"{self.path}/{kind}"
-        files = _file_system(spark, parent)
-        if not files.exists(_path(spark, parent)):
+        files = file_system(spark, parent)
+        if not files.exists(hadoop_path(spark, parent)):
             return []
-        names = [status.getPath().getName() for status in files.listStatus(_path(spark, parent))]
+        names = [status.getPath().getName() for status in files.listStatus(hadoop_path(spark, parent))]
         numbers = sorted(int(name.partition("=")[2]) for name in names if "=" in name)
         return [number for number in numbers if is_complete(spark, self._folder(kind, number))]
 
@@ -64,7 +64,7 @@ class BatchTable:
             for number in self._versions(spark, kind):
                 if number < needed[0] or (kind == "delta" and number == needed[0]):
                     folder = self._folder(kind, number)
-                    _file_system(spark, folder).delete(_path(spark, folder), True)
+                    file_system(spark, folder).delete(hadoop_path(spark, folder), True)
 
     def before(self, spark: SparkSession, batch_id: int) -> DataFrame:
         """The state before the batch, with the ``batch_id`` that wrote each row."""

@@ -19,13 +19,30 @@ def folder_sink(path: str, partition_by: Sequence[str] = ("topic",)) -> Sink:
     )
 
 
+# Where a fact comes from, as far as its rows tell: the same for a batch sent again.
+ORIGIN = ("partition", "offset", "nth")
+
+
 def kafka_records(rows: DataFrame) -> DataFrame:
-    """Records as Spark's Kafka writer wants them; no value becomes an empty one."""
-    return rows.select("topic", F.coalesce("value", F.lit("")).cast("binary").alias("value"))
+    """Records as Spark's Kafka writer wants them; no value becomes an empty one.
+
+    Headers name the source's partition and offset and the fact's number in its line,
+    so that consumers can tell a fact that was sent twice.
+    """
+    headers = [
+        F.struct(
+            F.lit(f"source-{name}").alias("key"),
+            F.col(name).cast("string").cast("binary").alias("value"),
+        )
+        for name in ORIGIN
+        if name in rows.columns
+    ]
+    columns = ["topic", F.coalesce("value", F.lit("")).cast("binary").alias("value")]
+    return rows.select(*columns, *[F.array(*headers).alias("headers")] * bool(headers))
 
 
 def kafka_sink(servers: str, **options: str) -> Sink:
-    """To the topic each row names. A replayed batch is sent again (at least once)."""
+    """To the topic each row names. A replayed batch is sent again, with equal headers."""
 
     def write(rows: DataFrame, batch_id: int) -> None:
         settings: Mapping[str, str] = {"kafka.bootstrap.servers": servers, **options}
@@ -44,5 +61,6 @@ def read_topic(spark: SparkSession, path: str, topic: str | None = None) -> Data
 
     Facts written without arrival columns have NULL there.
     """
-    rows = spark.read.schema(f"{LINE_SCHEMA}, topic string, batch_id bigint").parquet(path)
+    schema = f"{LINE_SCHEMA}, nth int, topic string, batch_id bigint"
+    rows = spark.read.schema(schema).parquet(path)
     return rows if topic is None else rows.where(F.col("topic") == topic)

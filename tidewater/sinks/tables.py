@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
 from tidewater.operators.dims import key_column, listed_columns, schema_errors
-from tidewater.sinks.batches import write_once
+from tidewater.sinks.batches import file_system, hadoop_path, is_complete, write_once
+
+PARALLEL_TABLES = 8
 
 
 def _name(*parts: str) -> str:
@@ -30,40 +34,96 @@ def create_statement(
     )
 
 
-def planned_tables(config: DataFrame, max_tables: int = 10_000) -> list[Row]:
-    """``sink_table, columns, key, extend`` of each table; one row per table."""
-    wrong = [row["sink_table"] for row in schema_errors(config).limit(20).collect()]
-    if wrong:
-        raise ValueError(f"the key is not among the columns of {wrong}")
-    first = F.min_by(
-        F.struct(
-            listed_columns().alias("columns"),
-            key_column().alias("key"),
-            F.coalesce("sink_extend", F.lit("")).alias("extend"),
-        ),
+def planned_tables(config: DataFrame) -> list[Row]:
+    """``sink_table, columns, key, extend`` of each table; one row per table.
+
+    Sources of one table add up their columns, in the order of the sources' names; they
+    must agree on the key.
+    """
+    wrong = schema_errors(config).select("sink_table").distinct()
+    count = wrong.count()
+    if count:
+        names = [row["sink_table"] for row in wrong.orderBy("sink_table").limit(20).collect()]
+        raise ValueError(f"the key is not among the columns of {count} tables, such as {names}")
+    source = F.struct(
         "source_table",
+        listed_columns().alias("columns"),
+        key_column().alias("key"),
+        F.coalesce("sink_extend", F.lit("")).alias("extend"),
     )
-    rows = config.groupBy("sink_table").agg(first.alias("first")).select("sink_table", "first.*")
-    tables = rows.limit(max_tables + 1).collect()
-    if len(tables) > max_tables:
-        raise ValueError(f"more than {max_tables} dimension tables configured")
-    return tables
-
-
-def ensure_tables(spark: SparkSession, config: DataFrame, database: str, path: str) -> list[Row]:
-    """Create the tables that do not exist yet; returns all of the config's tables."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {_name(database)}")
+    rows = (
+        config.groupBy("sink_table")
+        .agg(F.sort_array(F.collect_list(source)).alias("sources"))
+        .select(
+            "sink_table",
+            F.array_distinct(F.flatten(F.col("sources.columns"))).alias("columns"),
+            F.array_distinct("sources.key").alias("keys"),
+            F.col("sources")[0]["extend"].alias("extend"),
+        )
+        .collect()
+    )
+    for row in rows:
+        if len(row["keys"]) > 1:
+            raise ValueError(f"sources of {row['sink_table']} differ in the key: {row['keys']}")
+    return [Row(sink_table=r[0], columns=r[1], key=r[2][0], extend=r[3]) for r in rows]
+
+
+def snapshots(spark: SparkSession, folder: str) -> list[int]:
+    """Numbers of the complete snapshots of a table, oldest first."""
+    files = file_system(spark, folder)
+    if not files.exists(hadoop_path(spark, folder)):
+        return []
+    names = [status.getPath().getName() for status in files.listStatus(hadoop_path(spark, folder))]
+    numbers = [name.partition("=")[2] for name in names if name.startswith("version=")]
+    found = sorted(int(number) for number in numbers if number.isdigit())
+    return [number for number in found if is_complete(spark, f"{folder}/version={number}")]
+
+
+def ensure_tables(
+    spark: SparkSession,
+    config: DataFrame,
+    database: str,
+    path: str,
+    known: dict[str, Row] | None = None,
+) -> list[Row]:
+    """Create the tables that do not exist yet; returns all of the config's tables.
+
+    A table points at its newest complete snapshot, also when a new process with an
+    empty catalogue creates it again: the folders are what lasts. New columns are
+    added. ``known`` holds the tables as they were last time, and is brought up to
+    date: statements are run for new and changed ones only.
+    """
+    known = {} if known is None else known
+    if not known:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {_name(database)}")
     tables = planned_tables(config)
     for table in tables:
-        location = f"{path.rstrip('/')}/{table.sink_table}/version=none"
+        if known.get(table.sink_table) == table:
+            continue
+        name, folder = _name(database, table.sink_table), f"{path.rstrip('/')}/{table.sink_table}"
+        versions = snapshots(spark, folder)
+        location = f"{folder}/version={versions[-1] if versions else 'none'}"
         spark.sql(
             create_statement(
                 database, table.sink_table, table.columns, table.key, table.extend, location
             )
         )
+        there = set(spark.table(name).columns)
+        added = [column for column in table.columns if column not in there]
+        if added:
+            listed = ", ".join(f"{_name(column)} STRING" for column in added)
+            spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({listed})")
+        if versions:
+            _point(spark, database, table.sink_table, location)
+        known[table.sink_table] = table
     return tables
 
 
+def _point(spark: SparkSession, database: str, table: str, location: str) -> None:
+    spark.sql(f"ALTER TABLE {_name(database, table)} SET LOCATION {_text(location)}")
+    spark.catalog.refreshTable(_name(database, table))
+
+
 def wide_table(values: DataFrame, sink_table: str, columns: Sequence[str]) -> DataFrame:
     """One row per key from latest values (one per table, key and column)."""
     return (
@@ -82,11 +142,21 @@ def wide_table(values: DataFrame, sink_table: str, columns: Sequence[str]) -> Da
 def publish(
     values: DataFrame, tables: Sequence[Row], database: str, path: str, version: int
 ) -> None:
-    """Write a new snapshot of every table, then point the table at it."""
+    """Write a new snapshot of each of these tables, then point the table at it.
+
+    Tables are independent of each other, so several are written at a time. The
+    snapshot before stays for those who are reading it; older ones are deleted.
+    """
     spark = values.sparkSession
-    for table in tables:
-        target = f"{path.rstrip('/')}/{table.sink_table}/version={version}"
-        write_once(wide_table(values, table.sink_table, table.columns), target)
-        name = _name(database, table.sink_table)
-        spark.sql(f"ALTER TABLE {name} SET LOCATION {_text(target)}")
-        spark.catalog.refreshTable(f"{database}.{table.sink_table}")
+
+    def one(table: Row) -> None:
+        folder = f"{path.rstrip('/')}/{table.sink_table}"
+        write_once(
+            wide_table(values, table.sink_table, table.columns), f"{folder}/version={version}"
+        )
+        _point(spark, database, table.sink_table, f"{folder}/version={version}")
+        for old in snapshots(spark, folder)[:-2]:
+            file_system(spark, folder).delete(hadoop_path(spark, f"{folder}/version={old}"), True)
+
+    with ThreadPoolExecutor(PARALLEL_TABLES) as pool:
+        list(pool.map(inheritable_thread_target(spark)(one), tables))

@@ -23,17 +23,24 @@ def _decode(lines: DataFrame, schema: str) -> DataFrame:
     return with_object(lines, schema).drop("value").where(F.col("row").isNotNull())
 
 
+def flagged_changes(lines: DataFrame, processing_time: bool = False) -> DataFrame:
+    """Like ``decode_changes``, with a row of NULLs for each line it drops, and ``_good``."""
+    rest = [name for name in lines.columns if name != "value"]
+    changes = with_object(lines, CHANGE_FIELDS).select(
+        *rest, "row.*", F.col("row").isNotNull().alias("_good")
+    )
+    if processing_time:
+        changes = changes.withColumn("pt", F.current_timestamp())
+    return changes
+
+
 def decode_changes(lines: DataFrame, processing_time: bool = False) -> DataFrame:
     """``database, table, type, data, old`` of change lines, plus their arrival columns.
 
     Values in ``data`` and ``old`` are text, as written. ``processing_time`` adds
     ``pt``, the time the batch started.
     """
-    rest = [name for name in lines.columns if name != "value"]
-    changes = _decode(lines, CHANGE_FIELDS).select(*rest, "row.*")
-    if processing_time:
-        changes = changes.withColumn("pt", F.current_timestamp())
-    return changes
+    return flagged_changes(lines, processing_time).where("_good").drop("_good")
 
 
 def decode_config(lines: DataFrame, arrival: Sequence[str] = ARRIVAL) -> DataFrame:

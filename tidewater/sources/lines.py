@@ -46,6 +46,14 @@ def kafka_lines(spark: SparkSession, options: Mapping[str, str], stream: bool =
     return as_lines(reader.format("kafka").options(**options).load())
 
 
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """How many bytes the files of a path, which may be a pattern, have."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = files.globStatus(target) or []
+    return sum(files.getContentSummary(status.getPath()).getLength() for status in found)
+
+
 def file_lines(
     spark: SparkSession,
     path: str,

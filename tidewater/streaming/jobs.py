@@ -33,7 +33,7 @@ from tidewater.operators.scale import (
 from tidewater.sinks.batches import BatchTable, last_per_key
 from tidewater.sinks.fanout import Sink, as_topic
 from tidewater.sinks.tables import ensure_tables, publish
-from tidewater.sources.changes import decode_changes
+from tidewater.sources.changes import flagged_changes
 
 Process = Callable[[DataFrame, int], None]
 ARRIVAL_TYPES = {"timestamp": "timestamp", "partition": "int", "offset": "bigint"}
@@ -62,6 +62,32 @@ def start(
     )
 
 
+# --- dropped rows -------------------------------------------------------------
+
+
+def drops_table(path: str) -> BatchTable:
+    """What jobs left out: ``job, reason, count`` of each batch."""
+    return BatchTable(path, "job string, reason string, count bigint")
+
+
+def drop_totals(spark: SparkSession, drops: BatchTable) -> DataFrame:
+    """``job, reason, count`` over all batches."""
+    rows = drops.latest(spark).groupBy("job", "reason")
+    return rows.agg(F.sum("count").cast("bigint").alias("count"))
+
+
+def _report(drops: BatchTable | None, batch_id: int, job: str, counts: DataFrame) -> None:
+    """Record the ``reason, count`` rows of a batch."""
+    if drops is not None:
+        drops.add(batch_id, counts.where("count > 0").select(F.lit(job).alias("job"), "reason", "count"))
+
+
+def _bad_lines(flagged: DataFrame, reason: str) -> DataFrame:
+    return flagged.agg(F.count_if(~F.col("_good")).alias("count")).select(
+        F.lit(reason).alias("reason"), "count"
+    )
+
+
 # --- log split ---------------------------------------------------------------
 
 
@@ -97,9 +123,11 @@ def log_split(
 
     def process(lines: DataFrame, batch_id: int) -> None:
         with kept(lines) as held:
-            parsed = logs.parse_logs(held)
-            wrong = visitors.wrong_flags(anchors_so_far(parsed, visits, batch_id, arrival))
-            facts = logs.split_logs(visitors.apply_anchors(parsed, wrong), shape, keep=arrival)
+            parsed, narrow = logs.parse_logs(held), logs.parse_visits(held)
+            wrong = visitors.wrong_flags(anchors_so_far(narrow, visits, batch_id, arrival))
+            facts = logs.split_logs(
+                visitors.apply_anchors(parsed, wrong), shape, keep=arrival, numbered=True
+            )
             sink(facts, batch_id)
         if visits.due(batch_id, merge_every):
             spark = lines.sparkSession
@@ -124,8 +152,13 @@ def unique_visitors(
     merge_every: int = 20,
     hot_rows: int | None = HOT_ROWS,
     clock: Callable[[], int] = lambda: int(time.time() * 1000),
+    on_error: str = "drop",
+    drops: BatchTable | None = None,
 ) -> Process:
-    """Page-log lines to unique-visitor facts. State lives ``state_ms`` from its last write."""
+    """Page-log lines to unique-visitor facts. State lives ``state_ms`` from its last write.
+
+    Lines that are no page log are counted in ``drops``, or fail the job (``on_error``).
+    """
 
     def process(lines: DataFrame, batch_id: int) -> None:
         spark = lines.sparkSession
@@ -135,12 +168,15 @@ def unique_visitors(
             latest = last_per_key(state, ["mid"], ["last_day", "written_ms"])
             return latest.where(F.col("written_ms") > now - state_ms)
 
-        with kept(logs.entry_pages(logs.read_pages(lines))) as entries:
+        flagged = logs.flagged_pages(lines, on_error).where("is_entry or not _good")
+        with kept(flagged) as held:
+            entries = logs.entry_pages(logs.good_pages(held))
             here = stored(entries.select("mid").distinct())
             before = visits.before(spark, batch_id)
             known = stored(alive(before.join(lookup_side(here), "mid", "left_semi")))
             bound = hot_bound(entries, hot_rows)
             found = stored(visitors.unique_visitors(entries, arrival, known, bound))
+            _report(drops, batch_id, "unique-visitors", _bad_lines(held, "no page log"))
         sink(as_topic(found.select("value", *arrival), UNIQUE_VISITOR_TOPIC), batch_id)
         visits.add(
             batch_id,
@@ -166,7 +202,7 @@ def open_pages(path: str, arrival: Sequence[str] = ARRIVAL) -> BatchTable:
 
 
 def high_marks(path: str) -> BatchTable:
-    """Highest event time so far, and how many rows came too late in the last batch."""
+    """Highest event time so far, and how many rows have come too late so far."""
     return BatchTable(path, "high bigint, late bigint")
 
 
@@ -178,9 +214,13 @@ def user_jumps(
     lateness_ms: int = LATENESS_MS,
     arrival: Sequence[str] = ARRIVAL,
     hot_rows: int | None = HOT_ROWS,
+    on_error: str = "drop",
+    drops: BatchTable | None = None,
 ) -> Process:
     """Page-log lines to bounce facts, in event time.
 
+    Lines that are no page log are counted in ``drops``, or fail the job (``on_error``).
+
     The watermark trails the highest event time by ``lateness_ms``. Rows behind
     the watermark of the batches before are dropped and counted. A page is settled
     once no row still to come can be its next page within the window.
@@ -189,8 +229,9 @@ def user_jumps(
     def process(lines: DataFrame, batch_id: int) -> None:
         spark = lines.sparkSession
         mark = marks.before(spark, batch_id).first()
-        high = mark["high"] if mark else None
-        with kept(logs.read_pages(lines).drop("dt")) as pages:
+        high, late_before = (mark["high"], mark["late"]) if mark else (None, 0)
+        with kept(logs.flagged_pages(lines, on_error).drop("dt")) as held:
+            pages = logs.good_pages(held)
             closed_before = -(2**62) if high is None else high - lateness_ms - 1
             seen = pages.agg(
                 F.max("ts").alias("high"), F.count_if(F.col("ts") <= closed_before).alias("late")
@@ -211,6 +252,7 @@ def user_jumps(
                 .withColumn("kind", bounces.bounce_kind(within_ms))
                 .where(~F.col("settled") | F.col("kind").isNotNull())
             )
+            _report(drops, batch_id, "user-jumps", _bad_lines(held, "no page log"))
         sink(
             as_topic(judged.where("settled").select("value", *arrival), USER_JUMP_TOPIC), batch_id
         )
@@ -222,7 +264,7 @@ def user_jumps(
             batch_id,
             spark.range(1).select(
                 F.lit(high).cast("bigint").alias("high"),
-                F.lit(seen["late"]).cast("bigint").alias("late"),
+                F.lit(late_before + seen["late"]).cast("bigint").alias("late"),
             ),
         )
 
@@ -249,18 +291,20 @@ def cart_adds(
     topic: str,
     load_dictionary: Callable[[SparkSession], DataFrame] | None = None,
     scoped: bool = False,
+    drops: BatchTable | None = None,
 ) -> Process:
     """Change lines to cart-add facts; the dictionary is read anew for every batch."""
 
     def process(lines: DataFrame, batch_id: int) -> None:
-        found = carts.cart_adds(
-            decode_changes(lines, processing_time=True), database, scoped
-        )
-        if load_dictionary is not None:
-            dictionary = load_dictionary(lines.sparkSession)
-            found = carts.with_source_type_name(found, dictionary)
-        text = F.to_json(F.struct(*found.columns)).alias("value")
-        sink(as_topic(found.select(text), topic), batch_id)
+        with kept(flagged_changes(lines, processing_time=True)) as held:
+            found = carts.cart_adds(held.where("_good").drop("_good"), database, scoped)
+            if load_dictionary is not None:
+                # Stored, so that it is counted and sent as one state of the table.
+                dictionary = stored(load_dictionary(lines.sparkSession))
+                found = carts.with_source_type_name(found, dictionary)
+            text = F.to_json(F.struct(*found.columns)).alias("value")
+            sink(as_topic(found.select(text), topic), batch_id)
+            _report(drops, batch_id, "cart-adds", _bad_lines(held, "no change row"))
 
     return process
 
@@ -292,39 +336,48 @@ def dimensions(
     arrival: Sequence[str] = ARRIVAL,
     source_database: str | None = None,
     merge_every: int = 10,
+    drops: BatchTable | None = None,
 ) -> Process:
     """Change lines to dimension tables, by the config as it is when the batch starts.
 
-    A batch only adds the values it changed. Every ``merge_every`` batches these
-    are merged, and each table is pointed at a new snapshot. A row without a key
-    fails the batch: nothing is lost in silence.
+    Every batch ends with new snapshots of the tables it changed, so they can be read at
+    once, and after a restart. Its values are added to the store, and merged there every
+    ``merge_every`` batches. A row without a key fails the batch; lines that are no
+    change row and rows of tables without a route are counted in ``drops``.
     """
+    known: dict[str, Row] = {}
 
     def process(lines: DataFrame, batch_id: int) -> None:
         spark = lines.sparkSession
-        config = load_config(spark)
-        tables = ensure_tables(spark, config, database, tables_path)
-        changes = dims.dimension_changes(decode_changes(lines), source_database)
-        routed = dims.route(changes, config)
-        key = F.when(F.col("key").isNotNull(), F.col("key")).otherwise(
-            F.raise_error(F.concat(F.lit("change without a key for "), F.col("sink_table")))
-        )
-        values = dims.routed_values(routed.withColumn("key", key), arrival)
-        store.add(
-            batch_id,
-            dims.latest_values(values, arrival).select(
-                "key", "column", "value", *arrival, "sink_table"
-            ),
-        )
+        config = stored(load_config(spark))
+        tables = ensure_tables(spark, config, database, tables_path, known)
+        with kept(flagged_changes(lines)) as held:
+            good = held.where("_good").drop("_good")
+            changes = dims.dimension_changes(good, source_database)
+            routed = dims.route(changes, config)
+            key = F.when(F.col("key").isNotNull(), F.col("key")).otherwise(
+                F.raise_error(F.concat(F.lit("change without a key for "), F.col("sink_table")))
+            )
+            values = dims.routed_values(routed.withColumn("key", key), arrival)
+            store.add(
+                batch_id,
+                dims.latest_values(values, arrival).select(
+                    "key", "column", "value", *arrival, "sink_table"
+                ),
+            )
+            unrouted = dims.unrouted(changes, config).groupBy("table").agg(F.count("*").alias("count"))
+            reason = F.concat(F.lit("no route: "), F.coalesce("table", F.lit("no table"))).alias("reason")
+            bad = _bad_lines(held, "no change row").unionByName(unrouted.select(reason, "count"))
+            _report(drops, batch_id, "dimensions", bad)
+        touched = store.before(spark, batch_id + 1).where(F.col("batch_id") == batch_id)
+        names = {row["sink_table"] for row in touched.select("sink_table").distinct().collect()}
+        changed = [table for table in tables if table.sink_table in names]
+        if changed:
+            rows = current_values(spark, store, arrival, before=batch_id + 1)
+            rows = rows.where(F.col("sink_table").isin(*[table.sink_table for table in changed]))
+            publish(rows, changed, database, tables_path, batch_id)
         if store.due(batch_id, merge_every):
-            merge(spark, tables, batch_id)
-
-    def merge(spark: SparkSession, tables: Sequence[Row], batch_id: int) -> None:
-        merged = current_values(spark, store, arrival, before=batch_id + 1)
-        store.replace(
-            batch_id, merged.select("key", "column", "value", *arrival, "sink_table")
-        )
-        snapshot = store.before(spark, batch_id + 1)
-        publish(snapshot, tables, database, tables_path, batch_id)
+            merged = current_values(spark, store, arrival, before=batch_id + 1)
+            store.replace(batch_id, merged.select("key", "column", "value", *arrival, "sink_table"))
 
     return process
