@@ -614,8 +614,8 @@ def test_wand_finds_all_above():
     rng = random.Random(4)
     terms = [f"t{i}".encode() for i in range(60)]
     postings = [(entry, term, rng.random() ** 3) for entry in range(300) for term in rng.sample(terms, rng.randint(1, 20))]
-    index = decontam.Index(postings, block=4)
     weight = {(entry, term): impact for entry, term, impact in postings}
+    indexes = {t: decontam.Index(postings, t, block=4) for t in (0.2, 0.8, 1.5, 3.0)}
     for _ in range(200):
         query = rng.sample(terms, rng.randint(1, 30))
         threshold = rng.choice([0.2, 0.8, 1.5, 3.0])
@@ -624,7 +624,8 @@ def test_wand_finds_all_above():
             score = sum(weight.get((entry, term), 0.0) for term in query)
             if score >= threshold:
                 expected[entry] = score
-        found = index.above([index.number[t] for t in query if t in index.number], threshold)
+        index = indexes[threshold]
+        found = index.above([index.number[t] for t in query if t in index.number])
         assert found.keys() == expected.keys()
         assert all(found[e] == pytest.approx(expected[e]) for e in expected)
 

@@ -15,7 +15,7 @@ PASSAGE_WORDS = 128
 # Score above which a passage retrieves an item, as a share of what the item itself scores.
 THRESHOLD = 0.6
 OVERLAP = 0.8
-BLOCK = 32
+BLOCK = 8
 # Words of benchmark items in one index; beyond it, several are searched in turn.
 INDEX_WORDS = 2_000_000
 _PLAIN = bytes(
@@ -30,88 +30,58 @@ def plain_words(text: bytes | None) -> list[bytes]:
 
 
 class Index:
-    """Posting lists of entries (parts of items), with the most that any block adds.
+    """Posting lists of entries (parts of items), for one score threshold.
 
     A posting's impact is the term's BM25 weight in the entry, divided by what the
     entry's own words score: an entry that a passage holds whole scores 1.
+
+    Search is by WAND over blocks of entries. An entry's essential terms are its rarest
+    ones, so many that all others together stay below the threshold: without one of them
+    the entry cannot reach it, so pivots come from the lists of essential terms alone. A
+    pivot's block is skipped if the maxima of all terms' blocks do not reach the threshold.
     """
 
-    def __init__(self, postings: Sequence[tuple[int, bytes, float]], block: int = BLOCK):
-        by_term: dict[bytes, list[tuple[int, float]]] = {}
+    def __init__(
+        self, postings: Sequence[tuple[int, bytes, float]], threshold: float, block: int = BLOCK
+    ):
+        by_entry: dict[int, list[tuple[bytes, float]]] = {}
+        frequency = Counter(term for _, term, _ in postings)
         for entry, term, impact in postings:
-            by_term.setdefault(term, []).append((entry, impact))
-        self.block = block
-        self.number: dict[bytes, int] = {}
-        self.entries: list[list[int]] = []
-        self.impacts: list[list[float]] = []
-        self.block_max: list[list[float]] = []
-        for term in sorted(by_term):
-            lists = sorted(by_term[term])
-            self.number[term] = len(self.entries)
-            impacts = [impact for _, impact in lists]
-            self.entries.append([entry for entry, _ in lists])
-            self.impacts.append(impacts)
-            self.block_max.append(
-                [max(impacts[i : i + block]) for i in range(0, len(impacts), block)]
-            )
-        self.most = np.array([max(blocks) for blocks in self.block_max] + [0.0])
-
-    def above(self, terms: Sequence[int], threshold: float) -> dict[int, float]:
-        """All entries that score ``threshold`` or more for the distinct terms."""
-        eps = 1e-9
-        threshold -= eps
-        size, most = self.block, self.most
-        cursors = [[self.entries[t][0], 0, t] for t in set(terms)]
+            by_entry.setdefault(entry, []).append((term, impact))
+        self.block, self.threshold = block, threshold - 1e-9
+        self.number = {term: i for i, term in enumerate(sorted(frequency))}
+        self.impacts: list[dict[int, float]] = [{} for _ in frequency]
+        self.block_max: list[dict[int, float]] = [{} for _ in frequency]
+        self.pivots: list[list[int]] = [[] for _ in frequency]
+        for entry, terms in sorted(by_entry.items()):
+            # Of equally frequent words, long ones are rarer in text.
+            terms.sort(key=lambda item: (frequency[item[0]], -len(item[0]), item[0]))
+            left = sum(impact for _, impact in terms)
+            for term, impact in terms:
+                number = self.number[term]
+                self.impacts[number][entry] = impact
+                top = self.block_max[number]
+                top[entry // block] = max(impact, top.get(entry // block, 0.0))
+                if left >= self.threshold:
+                    self.pivots[number].append(entry)
+                left -= impact
+        self.essential = np.array([bool(entries) for entries in self.pivots] + [False])
+
+    def above(self, terms: Sequence[int]) -> dict[int, float]:
+        """All entries that score the threshold or more for the distinct terms."""
         found: dict[int, float] = {}
-        while cursors:
-            cursors.sort()
-            bound = 0.0
-            for pivot, cursor in enumerate(cursors):
-                bound += most[cursor[2]]
-                if bound >= threshold:
-                    break
-            else:
-                return found
-            entry = cursors[pivot][0]
-            while pivot + 1 < len(cursors) and cursors[pivot + 1][0] == entry:
-                pivot += 1
-            # The blocks in which the pivot entry would be: their maxima, and where they end.
-            bound, ends = 0.0, cursors[pivot + 1][0] if pivot + 1 < len(cursors) else 1 << 62
-            for cursor in cursors[: pivot + 1]:
-                entries, at = self.entries[cursor[2]], cursor[1]
-                block = at // size
-                while (block + 1) * size <= len(entries) and entries[(block + 1) * size - 1] < entry:
-                    block += 1
-                if block * size < len(entries):
-                    bound += self.block_max[cursor[2]][block]
-                    last = min((block + 1) * size, len(entries)) - 1
-                    ends = min(ends, entries[last] + 1)
-            if bound >= threshold:
-                goal = entry
-                score = 0.0
-                for cursor in cursors[: pivot + 1]:
-                    self._seek(cursor, goal)
-                    if cursor[0] == goal:
-                        score += self.impacts[cursor[2]][cursor[1]]
-                        self._seek(cursor, goal + 1)
-                if score >= threshold:
-                    found[goal] = score + 0.0
-            else:
-                goal = max(ends, entry + 1)
-                for cursor in cursors[: pivot + 1]:
-                    self._seek(cursor, goal)
-            cursors = [cursor for cursor in cursors if cursor[0] >= 0]
+        at, bound = -1, 0.0
+        for entry in sorted({entry for term in terms for entry in self.pivots[term]}):
+            if entry // self.block != at:
+                at = entry // self.block
+                bound = sum(self.block_max[term].get(at, 0.0) for term in terms)
+            if bound < self.threshold:
+                continue
+            score = sum(self.impacts[term].get(entry, 0.0) for term in terms)
+            if score >= self.threshold:
+                found[entry] = score
         return found
 
-    def _seek(self, cursor: list, goal: int) -> None:
-        """Move the cursor to its first entry from ``goal`` on; -1 behind the last."""
-        if cursor[0] >= goal or cursor[0] < 0:
-            return
-        entries, at = self.entries[cursor[2]], cursor[1]
-        while at < len(entries) and entries[at] < goal:
-            at += 1
-        cursor[0], cursor[1] = (entries[at], at) if at < len(entries) else (-1, at)
-
 
 def share_found(wanted: Counter, there: Counter) -> float:
     """Share of the wanted words, repeats counted, that are there; 1 if none is wanted."""
@@ -123,13 +93,13 @@ class Searcher:
     """Searches one document for all entries of an index."""
 
     def __init__(self, postings, items, passage_words, threshold, overlap):
-        self.index = Index(postings)
+        self.index = Index(postings, threshold)
         # entry -> (item, question, answer, words of both)
         self.items = {
             entry: (item, Counter(question), Counter(answer), len(question) + len(answer))
             for entry, item, question, answer in items
         }
-        self.words, self.threshold, self.overlap = passage_words, threshold, overlap
+        self.words, self.overlap = passage_words, overlap
 
     def leaks(self, text: bytes | None) -> dict[int, tuple[float, float, float]]:
         """``item -> (score, question overlap, answer overlap)`` of each verified leak."""
@@ -138,20 +108,17 @@ class Searcher:
         terms = np.array([get(word, none) for word in words], np.int64)
         if not (terms < none).any():
             return {}
-        # Every passage's upper bound at once: no entry can score more than its words' maxima.
-        sums = np.concatenate(([0.0], np.cumsum(self.index.most[terms])))
+        # Passages without an essential term of any entry, all at once.
+        sums = np.concatenate(([0], np.cumsum(self.index.essential[terms])))
         step = self.words // 2
         starts = np.arange(0, max(1, len(words) - step), step)
         stops = np.minimum(starts + self.words, len(words))
-        hopeful = np.nonzero(sums[stops] - sums[starts] >= self.threshold - 1e-6)[0]
         best: dict[int, tuple[float, float, float]] = {}
-        for at in hopeful:
+        for at in np.nonzero(sums[stops] > sums[starts])[0]:
             start, stop = int(starts[at]), int(stops[at])
-            here = np.unique(terms[start:stop])
-            here = here[here < none]
-            if self.index.most[here].sum() < self.threshold - 1e-6:
-                continue
-            for entry, score in self.index.above(here.tolist(), self.threshold).items():
+            here = set(terms[start:stop].tolist())
+            here.discard(none)
+            for entry, score in self.index.above(sorted(here)).items():
                 item, question, answer, length = self.items[entry]
                 more = max(0, length - step)
                 there = Counter(words[max(0, start - more) : stop + more])
@@ -216,9 +183,9 @@ def leaks(
     """``doc_id, item_id, score, question_overlap, answer_overlap``: items found in documents.
 
     ``items`` has ``item_id, question, answer``. Every passage of every document (128
-    words, one starting each 64) is a query. Passages whose words' maxima do not reach the
-    threshold retrieve nothing, and are passed over in one array operation; the others go
-    through block-max WAND, which gives all entries above the threshold. A retrieved
+    words, one starting each 64) is a query. Passages without an essential term of any item
+    retrieve nothing, and are passed over in one array operation; the others go through
+    block-max WAND, which gives all entries above the threshold. A retrieved
     item counts if shares of ``overlap`` of its question's and of its answer's words are
     there. The index goes to every task; it holds ``index_words`` words of items at
     most, and more items are searched in several rounds with the same weights.
