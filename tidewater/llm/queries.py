@@ -12,6 +12,7 @@ from tidewater.llm import (
     langid,
     line_rules,
     neural_lm,
+    oracle,
     packing,
     simhash,
     suffixes,
@@ -92,4 +93,9 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """Models, fingerprints and token ids cannot be said in SQL; the others are below."""
+    return {
+        "op3_line_rules": oracle.LINE_RULES,
+        "op8_chat_windows": oracle.CHAT_WINDOWS,
+        "op10_repeated_passages": oracle.REPEATED_PASSAGES,
+    }
