@@ -10,7 +10,7 @@ from tidewater.operators import dims, logs
 from tidewater.plans.inputs import routing_config
 from tidewater.session import new_folder
 from tidewater.sinks import fanout, tables
-from tidewater.sinks.batches import BatchTable, is_complete, last_per_key, write_once
+from tidewater.sinks.batches import BatchTable, KeyedTable, is_complete, last_per_key, write_once
 
 
 def numbers(spark, *values):
@@ -53,6 +53,35 @@ def test_batch_table(spark):
     assert table._versions(spark, "delta") == [2, 3]
 
 
+def test_keyed_table_reads_and_merges_touched_buckets(spark):
+    table = KeyedTable(new_folder(spark, "test"), "n int", "n", buckets=8)
+    for batch_id in range(6):
+        table.add(batch_id, numbers(spark, *range(10 * batch_id, 10 * batch_id + 10)))
+        if batch_id == 3:
+            table.merge(spark, batch_id, lambda rows: rows.drop("batch_id"))
+    assert found(table.before(spark, 9)) == list(range(60))
+    one = table.before(spark, 9, numbers(spark, 7))
+    buckets = {name.partition("/bucket=")[2].partition("/")[0] for name in one.inputFiles()}
+    assert len(buckets) == 1 and 7 in found(one) and len(found(one)) < 30
+    # A replay of the merging batch reads what it read then.
+    assert found(table.before(spark, 3)) == list(range(30))
+
+    # A merge after a batch of one key writes that key's bucket only.
+    small = KeyedTable(new_folder(spark, "test"), "n int", "n", buckets=8)
+    small.add(0, numbers(spark, *range(40)))
+    small.merge(spark, 0, lambda rows: rows.drop("batch_id"))
+    small.add(1, numbers(spark, 100))
+    small.merge(spark, 1, lambda rows: rows.drop("batch_id"))
+    small.merge(spark, 1, lambda rows: rows.drop("batch_id"))
+    assert len(small._buckets_in(spark, "full", 0)) == 8
+    assert len(small._buckets_in(spark, "full", 1)) == 1
+    assert found(small.latest(spark)) == [*range(40), 100]
+    small.add(2, numbers(spark, 100))
+    small.merge(spark, 2, lambda rows: rows.select("n").distinct())
+    assert found(small.latest(spark)) == [*range(40), 100]
+    assert len(small._buckets_in(spark, "full", 0)) == 7
+
+
 def test_last_per_key(spark):
     rows = spark.createDataFrame([("a", 1, 0), ("a", 2, 3), ("b", 3, 1)], "k string, n int, batch_id long")
     assert found(last_per_key(rows, ["k"], ["n"])) == [2, 3]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -95,6 +95,103 @@ class BatchTable:
         return every > 0 and batch_id % every == every - 1
 
 
+class KeyedTable(BatchTable):
+    """A ``BatchTable`` cut into buckets by a key, each in folders of its own.
+
+    A batch reads only the buckets its keys are in, and a merge writes only those that
+    changed since the merge before; of each bucket, the newest merge counts.
+    """
+
+    def __init__(self, path: str, schema: str, key: str, buckets: int = 64):
+        super().__init__(path, f"{schema}, bucket int", ("bucket",))
+        self.key, self.buckets = key, buckets
+
+    def _bucketed(self, frame: DataFrame) -> DataFrame:
+        bucket = F.pmod(F.xxhash64(self.key), F.lit(self.buckets)).cast("int")
+        return frame.withColumn("bucket", bucket).repartition("bucket")
+
+    def add(self, batch_id: int, frame: DataFrame) -> None:
+        super().add(batch_id, self._bucketed(frame))
+
+    def _newest(self, spark: SparkSession, batch_id: int) -> dict[int, int]:
+        """Of each merged bucket, the newest merge before the batch."""
+        found: dict[int, int] = {}
+        for number in self._versions(spark, "full"):
+            if number < batch_id:
+                found |= dict.fromkeys(self._buckets_in(spark, "full", number), number)
+        return found
+
+    def _buckets_in(self, spark: SparkSession, kind: str, number: int) -> list[int]:
+        folder = self._folder(kind, number)
+        listed = file_system(spark, folder).listStatus(hadoop_path(spark, folder))
+        names = [status.getPath().getName() for status in listed]
+        return [int(name.partition("=")[2]) for name in names if name.startswith("bucket=")]
+
+    def before(
+        self, spark: SparkSession, batch_id: int, keys: DataFrame | None = None
+    ) -> DataFrame:
+        """The state before the batch; with ``keys``, only of buckets these are in."""
+        wanted = None
+        if keys is not None:
+            rows = self._bucketed(keys.select(self.key)).select("bucket").distinct().collect()
+            wanted = {row["bucket"] for row in rows}
+        return self._rows(spark, batch_id, wanted)
+
+    def _rows(self, spark: SparkSession, batch_id: int, wanted: set[int] | None) -> DataFrame:
+        newest = self._newest(spark, batch_id)
+        start = max(newest.values(), default=-1)
+        deltas = [n for n in self._versions(spark, "delta") if start < n < batch_id]
+        frames = []
+        for kind, numbers in (("full", sorted(set(newest.values()))), ("delta", deltas)):
+            paths = [
+                f"{self._folder(kind, number)}/bucket={bucket}"
+                for number in numbers
+                for bucket in self._buckets_in(spark, kind, number)
+                if (wanted is None or bucket in wanted)
+                and (kind == "delta" or newest[bucket] == number)
+            ]
+            if paths:
+                frames.append(
+                    spark.read.schema(f"{self.schema}, batch_id bigint")
+                    .option("basePath", f"{self.path}/{kind}")
+                    .parquet(*paths)
+                )
+        if not frames:
+            return spark.createDataFrame([], f"{self.schema}, batch_id bigint").drop("bucket")
+        rows = frames[0] if len(frames) == 1 else frames[0].unionByName(frames[1])
+        return rows.drop("bucket")
+
+    def merge(
+        self, spark: SparkSession, batch_id: int, combine: Callable[[DataFrame], DataFrame]
+    ) -> None:
+        """Replace the rows of every bucket changed since the last merge by ``combine`` of them.
+
+        A bucket of which ``combine`` leaves nothing keeps its older rows, so what it drops
+        (expired rows, say) must be dropped by readers as well.
+        Folders that neither this state nor a replay of the batch needs are deleted.
+        """
+        before = self._newest(spark, batch_id)
+        start = max(before.values(), default=-1)
+        deltas = [n for n in self._versions(spark, "delta") if start < n <= batch_id]
+        changed = {bucket for n in deltas for bucket in self._buckets_in(spark, "delta", n)}
+        if changed:
+            rows = self._rows(spark, batch_id + 1, changed)
+            write_once(
+                self._bucketed(combine(rows)), self._folder("full", batch_id), self.partition_by
+            )
+        old = [number for number in self._versions(spark, "full") if number < batch_id]
+        for number in old:
+            for bucket in self._buckets_in(spark, "full", number):
+                if before.get(bucket) != number:
+                    self._delete(spark, f"{self._folder('full', number)}/bucket={bucket}")
+        for number in self._versions(spark, "delta"):
+            if number <= start:
+                self._delete(spark, self._folder("delta", number))
+
+    def _delete(self, spark: SparkSession, folder: str) -> None:
+        file_system(spark, folder).delete(hadoop_path(spark, folder), True)
+
+
 def last_per_key(frame: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
     """Per key, the row of the newest batch."""
     newest = F.max_by(F.struct(*columns), "batch_id").alias("_row")

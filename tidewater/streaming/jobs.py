@@ -30,7 +30,7 @@ from tidewater.operators.scale import (
     order_key,
     stored,
 )
-from tidewater.sinks.batches import BatchTable, last_per_key
+from tidewater.sinks.batches import BatchTable, KeyedTable, last_per_key
 from tidewater.sinks.fanout import Sink, as_topic
 from tidewater.sinks.tables import ensure_tables, publish
 from tidewater.sources.changes import flagged_changes
@@ -91,19 +91,19 @@ def _bad_lines(flagged: DataFrame, reason: str) -> DataFrame:
 # --- log split ---------------------------------------------------------------
 
 
-def first_visits(path: str) -> BatchTable:
+def first_visits(path: str) -> KeyedTable:
     """Visitors met so far: grows with visitors, not with lines."""
-    return BatchTable(path, "mid string, anchor date")
+    return KeyedTable(path, "mid string, anchor date", "mid")
 
 
 def anchors_so_far(
-    parsed: DataFrame, visits: BatchTable, batch_id: int, arrival: Sequence[str]
+    parsed: DataFrame, visits: KeyedTable, batch_id: int, arrival: Sequence[str]
 ) -> DataFrame:
     """Like ``visit_anchors``, but an anchor set by an earlier batch stays."""
     spark = parsed.sparkSession
     here = stored(visitors.visit_anchors(parsed, arrival))
     known = (
-        visits.before(spark, batch_id)
+        visits.before(spark, batch_id, here)
         .select("mid", F.col("anchor").alias("known"))
         .join(lookup_side(here.select("mid")), "mid", "left_semi")
     )
@@ -113,7 +113,7 @@ def anchors_so_far(
 
 
 def log_split(
-    visits: BatchTable,
+    visits: KeyedTable,
     sink: Sink,
     shape: str = "nested",
     arrival: Sequence[str] = ARRIVAL,
@@ -130,8 +130,7 @@ def log_split(
             )
             sink(facts, batch_id)
         if visits.due(batch_id, merge_every):
-            spark = lines.sparkSession
-            visits.replace(batch_id, visits.before(spark, batch_id + 1).drop("batch_id"))
+            visits.merge(lines.sparkSession, batch_id, lambda rows: rows.drop("batch_id"))
 
     return process
 
@@ -139,13 +138,13 @@ def log_split(
 # --- daily unique visitors ---------------------------------------------------
 
 
-def last_visits(path: str) -> BatchTable:
+def last_visits(path: str) -> KeyedTable:
     """Day of each visitor's last counted visit; entries expire."""
-    return BatchTable(path, "mid string, last_day date, written_ms bigint")
+    return KeyedTable(path, "mid string, last_day date, written_ms bigint", "mid")
 
 
 def unique_visitors(
-    visits: BatchTable,
+    visits: KeyedTable,
     sink: Sink,
     arrival: Sequence[str] = ARRIVAL,
     state_ms: int = VISIT_STATE_MS,
@@ -172,7 +171,7 @@ def unique_visitors(
         with kept(flagged) as held:
             entries = logs.entry_pages(logs.good_pages(held))
             here = stored(entries.select("mid").distinct())
-            before = visits.before(spark, batch_id)
+            before = visits.before(spark, batch_id, here)
             known = stored(alive(before.join(lookup_side(here), "mid", "left_semi")))
             bound = hot_bound(entries, hot_rows)
             found = stored(visitors.unique_visitors(entries, arrival, known, bound))
@@ -186,7 +185,7 @@ def unique_visitors(
             ),
         )
         if visits.due(batch_id, merge_every):
-            visits.replace(batch_id, alive(visits.before(spark, batch_id + 1)))
+            visits.merge(spark, batch_id, alive)
 
     return process
 
