@@ -27,7 +27,7 @@ def as_bag(rows, names):
     return sorted(repr(tuple(row[i] for i in order)) for row in rows)
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(driver.oracle_sql()))
 def test_query(spark, expected, name):
     found = driver.queries()[name](spark, FOLDER)
     cursor = expected.execute(driver.oracle_sql()[name])
