@@ -44,6 +44,7 @@ def parser() -> argparse.ArgumentParser:
     made.add_argument("--target-topic", default="dwd_trade_cart_add")
     made.add_argument("--target-database", default="dim")
     made.add_argument("--on-error", choices=("drop", "fail"), default="drop", help="lines that are no page log")
+    made.add_argument("--buckets", type=int, default=64, help="of the visitors' state; never change it")
     made.add_argument("--batch-gb", type=float, help="size of a batch; of files without --interval, it is known")
     return made
 
@@ -78,10 +79,10 @@ def _process(args: argparse.Namespace) -> jobs.Process:
         )
     sink = _sink(args)
     if args.job == "log-split":
-        return jobs.log_split(jobs.first_visits(f"{work}/visits"), sink, args.shape)
+        return jobs.log_split(jobs.first_visits(f"{work}/visits", args.buckets), sink, args.shape)
     if args.job == "unique-visitors":
         return jobs.unique_visitors(
-            jobs.last_visits(f"{work}/visits"), sink, on_error=args.on_error, drops=drops
+            jobs.last_visits(f"{work}/visits", args.buckets), sink, on_error=args.on_error, drops=drops
         )
     if args.job == "user-jumps":
         return jobs.user_jumps(

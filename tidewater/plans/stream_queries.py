@@ -19,6 +19,8 @@ from tidewater.sources.lines import file_lines
 from tidewater.streaming import jobs
 
 N_SLICES = 3
+# Of the state of the few visitors in the test tables.
+BUCKETS = 8
 
 
 def as_records(lines: DataFrame) -> DataFrame:
@@ -58,7 +60,7 @@ def feed(
 def _log_split(spark: SparkSession, folder: str) -> DataFrame:
     run = new_folder(spark, "log-split")
     process = jobs.log_split(
-        jobs.first_visits(f"{run}/visits"), folder_sink(f"{run}/facts"), merge_every=2
+        jobs.first_visits(f"{run}/visits", BUCKETS), folder_sink(f"{run}/facts"), merge_every=2
     )
     feed(spark, inputs.log_lines(spark, folder), run, process)
     return read_topic(spark, f"{run}/facts")
@@ -78,7 +80,7 @@ def visitor_flag_stream(spark: SparkSession, folder: str) -> DataFrame:
 def unique_visitor_stream(spark: SparkSession, folder: str) -> DataFrame:
     run = new_folder(spark, "unique-visitors")
     process = jobs.unique_visitors(
-        jobs.last_visits(f"{run}/visits"), folder_sink(f"{run}/facts"), merge_every=2
+        jobs.last_visits(f"{run}/visits", BUCKETS), folder_sink(f"{run}/facts"), merge_every=2
     )
     feed(spark, inputs.log_lines(spark, folder, as_pages=True), run, process)
     row = F.from_json("value", ROW_SCHEMA)

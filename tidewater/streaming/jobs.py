@@ -91,9 +91,9 @@ def _bad_lines(flagged: DataFrame, reason: str) -> DataFrame:
 # --- log split ---------------------------------------------------------------
 
 
-def first_visits(path: str) -> KeyedTable:
+def first_visits(path: str, buckets: int = 64) -> KeyedTable:
     """Visitors met so far: grows with visitors, not with lines."""
-    return KeyedTable(path, "mid string, anchor date", "mid")
+    return KeyedTable(path, "mid string, anchor date", "mid", buckets)
 
 
 def anchors_so_far(
@@ -138,9 +138,9 @@ def log_split(
 # --- daily unique visitors ---------------------------------------------------
 
 
-def last_visits(path: str) -> KeyedTable:
+def last_visits(path: str, buckets: int = 64) -> KeyedTable:
     """Day of each visitor's last counted visit; entries expire."""
-    return KeyedTable(path, "mid string, last_day date, written_ms bigint", "mid")
+    return KeyedTable(path, "mid string, last_day date, written_ms bigint", "mid", buckets)
 
 
 def unique_visitors(
