@@ -91,7 +91,7 @@ def split(text):
 def gold_ids(text):
     from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(packing.vocabulary_path())
+    tokenizer = Tokenizer.from_file(packing.vocabulary_path() + ".json")
     return tokenizer.encode(text or "", add_special_tokens=False).ids
 
 
@@ -101,6 +101,7 @@ def gold_ids(text):
         "", " ", "  a", "a  b", "a \n b", "a\n\n b\n", "it's we'll'", "x1 22é\u00a0y", "tab\t\tz ",
         "\u3000a b\u2003", "\x1cq\x85w", "<|endoftext|> a<|endoftext|>b", "日本語 テキスト。", "a\r\nb \r\n",
         "é" * 50, "don't   stop\n\n\n", "😀 😀😀",
+        "x" * 50_000, "ab " * 20_000, "\u180e \u200b\ufeff", "²½ Ⅷ ٣", "e\u0301 à́",
     ],
 )
 def test_ids_are_the_tokenizers(text):
