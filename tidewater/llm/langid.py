@@ -21,25 +21,47 @@ EPOCHS, BATCH, RATE, DECAY = 6, 256, 0.3, 1e-4
 # A chain is a line; longer lines are cut.
 CHAIN_WORDS = 256
 LEXICON_COUNT = 5
-CACHE_WORDS = 300_000
+CACHE_WORDS = 200_000
 UNKNOWN = "und"
+SIGNS = ".,;:!?\"'()[]{}|#*$%&<>"
 
 
-def features(word: bytes, lexicon: dict[bytes, tuple[int, ...]]) -> list[int]:
-    """Numbers of a word's affixes, letter pairs and triples, and lexicon entries."""
+class _FeatureNumbers(dict):
+    """Numbers of feature names, kept once computed."""
+
+    def __missing__(self, name: str) -> int:
+        if len(self) > CACHE_WORDS:
+            self.clear()
+        number = self[name] = zlib.crc32(name.encode()) % FEATURES
+        return number
+
+
+_feature_numbers = _FeatureNumbers()
+
+
+def form_of(word: bytes) -> str:
+    """The word in lower case without signs around it; empty if it has no letter."""
     text = word.decode("utf-8", "replace").lower()
-    if not any(sign.isalpha() for sign in text):
+    form = text.strip(SIGNS)
+    if form.isalpha() or any(map(str.isalpha, text)):
+        return form
+    return ""
+
+
+def features(form: str, lexicon: dict[str, tuple[int, ...]]) -> list[int]:
+    """Numbers of a form's affixes, letter pairs and triples, and lexicon entries."""
+    if not form:
         return []
-    text = text.strip(".,;:!?\"'()[]{}|#*$%&<>")
-    framed = f"^{text}$"
-    names = {f"p{framed[:n]}" for n in (2, 3, 4)} | {f"s{framed[-n:]}" for n in (2, 3, 4, 5)}
-    names |= {framed[i : i + n] for n in (2, 3) for i in range(len(framed) - n + 1)}
-    key = text.encode()
-    for label in lexicon.get(key, ()):
-        names.add(f"l{label}")
-    if key in lexicon:
-        names.add(f"w{text}")
-    return [zlib.crc32(name.encode()) % FEATURES for name in sorted(names)]
+    framed = f"^{form}$"
+    names = {framed[i : i + 2] for i in range(len(framed) - 1)}
+    names.update([framed[i : i + 3] for i in range(len(framed) - 2)])
+    names.update([f"p{framed[:n]}" for n in (2, 3, 4)])
+    names.update([f"s{framed[-n:]}" for n in (2, 3, 4, 5)])
+    labels = lexicon.get(form)
+    if labels is not None:
+        names.update([f"l{label}" for label in labels])
+        names.add(f"w{form}")
+    return sorted(map(_feature_numbers.__getitem__, names))
 
 
 @dataclass
@@ -47,11 +69,11 @@ class Model:
     languages: list[str]
     weights: np.ndarray  # feature x language
     moves: np.ndarray  # language x language, log
-    lexicon: dict[bytes, tuple[int, ...]]
+    lexicon: dict[str, tuple[int, ...]]
 
-    def emissions(self, words: Sequence[bytes]) -> np.ndarray:
-        """Summed weights of each word's features."""
-        lists = [features(word, self.lexicon) for word in words]
+    def emissions(self, forms: Sequence[str]) -> np.ndarray:
+        """Summed weights of each form's features."""
+        lists = [features(form, self.lexicon) for form in forms]
         counts = np.array([len(one) for one in lists])
         flat = np.array([f for one in lists for f in one], np.int64)
         return _summed(self.weights[flat], counts)
@@ -64,7 +86,9 @@ def _summed(rows: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return sums[ends] - sums[ends - counts]
 
 
-def posteriors(scores: np.ndarray, lengths: np.ndarray, moves: np.ndarray):
+def posteriors(
+    scores: np.ndarray, lengths: np.ndarray, moves: np.ndarray, with_pairs: bool = True
+):
     """Forward-backward over padded chains (chain, position, label).
 
     Gives each position's label probabilities, and the expected moves of all chains.
@@ -87,7 +111,7 @@ def posteriors(scores: np.ndarray, lengths: np.ndarray, moves: np.ndarray):
     found /= found.sum(axis=2, keepdims=True)
     found *= inside[:, :, None]
     pairs = np.zeros((labels, labels))
-    if size > 1:
+    if with_pairs and size > 1:
         to = (here * backward)[:, 1:]
         joint = np.einsum("cti,ij,ctj->ct", forward[:, :-1], step, to)
         both = inside[:, 1:] / joint
@@ -103,11 +127,10 @@ def fit(rows: Sequence[tuple[str, list[bytes]]], seed: int = 0) -> Model:
     """
     languages = sorted({language for language, _ in rows})
     number = {language: i for i, language in enumerate(languages)}
-    counts: dict[bytes, Counter] = defaultdict(Counter)
+    counts: dict[str, Counter] = defaultdict(Counter)
     for language, words in rows:
         for word in words:
-            key = word.decode("utf-8", "replace").lower().strip(".,;:!?\"'()[]{}|#*$%&<>").encode()
-            counts[key][number[language]] += 1
+            counts[form_of(word)][number[language]] += 1
     lexicon = {
         word: tuple(sorted(label for label, n in seen.items() if n >= LEXICON_COUNT))
         for word, seen in counts.items()
@@ -128,7 +151,7 @@ def fit(rows: Sequence[tuple[str, list[bytes]]], seed: int = 0) -> Model:
         ids = [vocabulary.setdefault(word, len(vocabulary)) for word in words]
         for at in range(0, len(ids), SEGMENT):
             segments.append((number[language], ids[at : at + SEGMENT]))
-    lists = [np.array(features(word, lexicon), np.int64) for word in vocabulary]
+    lists = [np.array(features(form_of(word), lexicon), np.int64) for word in vocabulary]
     sizes = np.array([len(one) for one in lists])
     starts = np.cumsum(sizes) - sizes
     flat = np.concatenate(lists) if lists else np.zeros(0, np.int64)
@@ -177,30 +200,32 @@ class Labeller:
 
     def __init__(self, model: Model):
         self.model = model
+        self.words: dict[bytes, int] = {}
         self._clear()
 
     def _clear(self) -> None:
-        self.number: dict[bytes, int] = {}
+        self.words.clear()
+        self.forms = {"": 0}  # the first row is for words without letters
         self.scores = np.zeros((1 << 12, len(self.model.languages)), np.float32)
-        self.letters = np.zeros(1 << 12, bool)
 
     def _numbers(self, words: list[bytes]) -> np.ndarray:
-        if len(self.number) > CACHE_WORDS:
+        """Each word's row of scores. Full caches keep what the latest texts hold."""
+        if len(self.forms) > CACHE_WORDS:
             self._clear()
-        number = self.number
-        new = list({word for word in words if word not in number})
+        distinct = set(words)
+        if len(self.words) + len(distinct) > 2 * CACHE_WORDS:
+            self.words = {word: self.words[word] for word in distinct if word in self.words}
+        forms = {word: form_of(word) for word in distinct.difference(self.words)}
+        new = sorted(set(forms.values()).difference(self.forms))
         if new:
-            first, need = len(number), len(number) + len(new)
+            first, need = len(self.forms), len(self.forms) + len(new)
             if need > len(self.scores):
-                more = max(need, 2 * len(self.scores)) - len(self.scores)
-                self.scores = np.concatenate((self.scores, np.zeros((more, self.scores.shape[1]), np.float32)))
-                self.letters = np.concatenate((self.letters, np.zeros(more, bool)))
+                more = np.zeros((max(need, 2 * len(self.scores)) - len(self.scores), self.scores.shape[1]))
+                self.scores = np.concatenate((self.scores, more.astype(np.float32)))
             self.scores[first:need] = self.model.emissions(new)
-            self.letters[first:need] = [
-                any(sign.isalpha() for sign in word.decode("utf-8", "replace")) for word in new
-            ]
-            number.update(zip(new, range(first, need)))
-        return np.fromiter(map(number.__getitem__, words), np.int64, len(words))
+            self.forms.update(zip(new, range(first, need)))
+        self.words.update({word: self.forms[form] for word, form in forms.items()})
+        return np.fromiter(map(self.words.__getitem__, words), np.int64, len(words))
 
     def label(self, texts: Sequence[bytes | None]):
         """Per text: mean probabilities of the languages, and each word's (NULL: none).
@@ -228,9 +253,9 @@ class Labeller:
             places = starts[some][:, None] + np.arange(size)[None, :]
             inside = np.arange(size)[None, :] < lengths[some][:, None]
             scores = self.scores[ids[np.minimum(places, len(ids) - 1)]].astype(np.float64)
-            found, _ = posteriors(scores, lengths[some], self.model.moves)
+            found, _ = posteriors(scores, lengths[some], self.model.moves, with_pairs=False)
             shares[places[inside]] = found[inside]
-        letters = self.letters[ids] if len(ids) else np.zeros(0, bool)
+        letters = ids > 0
         counted = shares * letters[:, None]
         begin = 0
         for end in ends:
