@@ -17,7 +17,7 @@ from tidewater.operators.scale import lookup_side
 # Units of the model: frequent words of the trusted text, and classes by last bytes.
 OWN_WORDS, CLASSES = 256, 128
 # Trigrams whose probability every worker holds; those of others are joined.
-HEAD_TRIGRAMS = 600_000
+HEAD_TRIGRAMS = 1_500_000
 PAGE_BITS = 16
 QUANTILE = 0.995
 # A language with fewer trusted texts to measure takes the limit of all languages.
@@ -166,7 +166,7 @@ def _head(shares: DataFrame, head: int) -> tuple[np.ndarray, np.ndarray]:
     table = shares.where(F.lit(False) if least is None else level >= least).select("code", "p").toArrow()
     codes, p = table["code"].to_numpy(), table["p"].to_numpy()
     order = np.argsort(codes)
-    return codes[order], p[order]
+    return codes[order].astype(np.int32), p[order].astype(np.float32)  # codes are below 2^26
 
 
 def log_probabilities(docs: DataFrame, model: Model, shares: DataFrame) -> DataFrame:
