@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidewater.llm.common import in_python, words_of, written
 from tidewater.llm.packing import encoder, vocabulary_path
+from tidewater.operators.scale import lookup_side
 from tidewater.sinks.batches import BatchTable
 
 KEY = ("source", "lang", "tokenizer")
@@ -115,8 +116,8 @@ def maintained_totals(docs: DataFrame, path: str) -> DataFrame:
     rollup.commit(0, inserts(counts))
 
     least = rows.groupBy("hash").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n"))
-    firsts = least.where("n > 1").select("hash", F.col("doc_id").alias("first"))
-    copies = rows.select("doc_id", "hash").join(firsts, "hash")
+    firsts = written(least.where("n > 1").select("hash", F.col("doc_id").alias("first")), "firsts")
+    copies = rows.select("doc_id", "hash").join(lookup_side(firsts), "hash")
     gone = written(
         copies.where(~F.coalesce(F.col("doc_id") <= F.col("first"), F.col("first").isNull()))
         .select("doc_id")
