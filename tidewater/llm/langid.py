@@ -22,6 +22,8 @@ EPOCHS, BATCH, RATE, DECAY = 6, 256, 0.3, 1e-4
 CHAIN_WORDS = 256
 LEXICON_COUNT = 5
 CACHE_WORDS = 200_000
+# Forms, and texts, that are worked on at a time.
+SLICE, TEXTS = 4_000, 400
 UNKNOWN = "und"
 SIGNS = ".,;:!?\"'()[]{}|#*$%&<>"
 
@@ -222,12 +224,19 @@ class Labeller:
             if need > len(self.scores):
                 more = np.zeros((max(need, 2 * len(self.scores)) - len(self.scores), self.scores.shape[1]))
                 self.scores = np.concatenate((self.scores, more.astype(np.float32)))
-            self.scores[first:need] = self.model.emissions(new)
+            for at in range(0, len(new), SLICE):  # a form has some twenty features
+                some = new[at : at + SLICE]
+                self.scores[first + at : first + at + len(some)] = self.model.emissions(some)
             self.forms.update(zip(new, range(first, need)))
         self.words.update({word: self.forms[form] for word, form in forms.items()})
         return np.fromiter(map(self.words.__getitem__, words), np.int64, len(words))
 
     def label(self, texts: Sequence[bytes | None]):
+        """``_label`` of all texts, some at a time."""
+        for at in range(0, len(texts), TEXTS):
+            yield from self._label(texts[at : at + TEXTS])
+
+    def _label(self, texts: Sequence[bytes | None]):
         """Per text: mean probabilities of the languages, and each word's (NULL: none).
 
         The mean is over words with letters; None without any.
