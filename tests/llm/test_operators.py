@@ -442,6 +442,37 @@ def test_perplexities(docs):
         assert found[row["doc_id"]]["log10_prob"] == pytest.approx(total, rel=1e-5)
 
 
+def test_every_trusted_word_has_its_own_probability(spark):
+    # 900 words with one ending: more than any fixed number of own words, one class by last bytes
+    rng = random.Random(8)
+    words = [f"{''.join(rng.choices('abcdefgh', k=8))}ung" for _ in range(900)]
+    trusted = spark.createDataFrame([(i, "de", " ".join(words)) for i in range(3)], "doc_id bigint, lang string, text string")
+    other = [f"{word[:8][::-1]}zung" for word in words]
+    texts = {1: " ".join(words), 2: " ".join(rng.sample(words, 900)), 3: " ".join(other)}
+    asked = spark.createDataFrame([(i, "de", t) for i, t in texts.items()], "doc_id bigint, lang string, text string")
+    for head in (10, kneser.HEAD_GRAMS):
+        model, grams = kneser.fit(trusted, head=head)
+        found = {r["doc_id"]: r["log10_prob"] for r in kneser.log_probabilities(asked, model, grams).collect()}
+        p = plain_kneser_ney([neural_lm.tokens(" ".join(words).encode())] * 3, model.words.number, model.width)
+        for i, text in texts.items():
+            start = model.width - 1
+            units = [start, start, *map(model.words.number, neural_lm.tokens(text.encode()))]
+            total = sum(math.log10(p(gram)) for gram in zip(units, units[1:], units[2:]))
+            assert found[i] == pytest.approx(total, rel=1e-5)
+        assert len(set(map(model.words.number, map(str.encode, words)))) == 900
+        assert found[1] > found[2] + 500 > found[3] + 500  # order counts, and so do words
+
+
+def test_gram_keys_are_sparks(spark):
+    from pyspark.sql import functions as F
+
+    numbers = np.random.default_rng(1).integers(-(1 << 63), (1 << 63) - 1, (3, 50))
+    frame = spark.createDataFrame([tuple(map(int, row)) for row in numbers.T], "a bigint, b bigint, c bigint")
+    for names in ("a", "ab", "abc"):
+        rows = frame.select(F.xxhash64(*names)).collect()
+        assert [r[0] for r in rows] == kneser.gram_key(*numbers[: len(names)]).tolist()
+
+
 def test_quality_of_odd_rows(spark, odd, nothing):
     schema = "doc_id bigint, quality int, toxic int, text string"
     labels = spark.createDataFrame(

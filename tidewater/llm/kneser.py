@@ -1,4 +1,4 @@
-"""Quality by perplexity: an interpolated modified Kneser-Ney model of trusted text."""
+"""Quality by perplexity: an interpolated modified Kneser-Ney model of trusted text's words."""
 
 from __future__ import annotations
 
@@ -8,22 +8,29 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+import xxhash
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tidewater.llm.common import in_python, written
-from tidewater.llm.neural_lm import Numbers, Vocabulary, contexts, tokens, vocabulary, word_counts
+from tidewater.llm.neural_lm import contexts, tokens
 from tidewater.operators.scale import lookup_side
 
-# Units of the model: frequent words of the trusted text, and classes by last bytes.
-OWN_WORDS, CLASSES = 256, 128
-# Trigrams whose probability every worker holds; those of others are joined.
-HEAD_TRIGRAMS = 1_500_000
+# N-grams whose weight every worker holds; those of others are joined.
+HEAD_GRAMS = 1_500_000
+# Bits of the filter that tells which n-grams cannot be in the table, per n-gram and at most.
+FILTER_BITS, MOST_FILTER_BITS = 16, 1 << 28
 PAGE_BITS = 16
 QUANTILE = 0.995
 # A language with fewer trusted texts to measure takes the limit of all languages.
 LEAST_TEXTS = 20
 # One in so many trusted texts is not learned from, but sets the limits.
 MEASURED = 5
+# The number of what stands before a text.
+START = 0
+HASH_SEED = 42
+CACHE_WORDS = 200_000
+# Bytes of text whose n-grams are looked up at a time.
+PIECE_BYTES = 1 << 20
 
 
 def discounts(counts_of_counts: dict[int, int]) -> tuple[float, float, float]:
@@ -37,41 +44,96 @@ def discounts(counts_of_counts: dict[int, int]) -> tuple[float, float, float]:
     return tuple(found)
 
 
-def _taken(count, taken: tuple[float, float, float]):
-    return np.where(count >= 3, taken[2], np.where(count == 2, taken[1], np.where(count == 1, taken[0], 0.0)))
+class Words(dict):
+    """A number per word, its 64-bit hash, kept once computed."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) > CACHE_WORDS:
+            self.clear()
+        number = xxhash.xxh64_intdigest(word, seed=HASH_SEED)
+        found = self[word] = number - (1 << 64) if number >> 63 else number
+        return found
+
+    def number(self, word: bytes) -> int:
+        return self[word]
+
+    def of(self, texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
+        flat = [word for text in texts for word in text]
+        numbers = np.fromiter(map(self.__getitem__, flat), np.int64, len(flat))
+        return numbers, np.cumsum([len(text) for text in texts], dtype=np.int64)
+
+
+_P1, _P2, _P3, _P4, _P5 = (
+    np.uint64(p)
+    for p in (
+        0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5,
+    )
+)
+
+
+def _turned(x: np.ndarray, by: int) -> np.ndarray:
+    return (x << np.uint64(by)) | (x >> np.uint64(64 - by))
+
+
+def gram_key(*numbers: np.ndarray) -> np.ndarray:
+    """What ``xxhash64`` of Spark gives for these bigint columns."""
+    found = np.full(len(numbers[0]), HASH_SEED, np.uint64)
+    for one in numbers:
+        found = found + _P5 + np.uint64(8)
+        found = found ^ (_turned(one.view(np.uint64) * _P2, 31) * _P1)
+        found = _turned(found, 27) * _P1 + _P4
+        found = (found ^ (found >> np.uint64(33))) * _P2
+        found = (found ^ (found >> np.uint64(29))) * _P3
+        found = found ^ (found >> np.uint64(32))
+    return found.view(np.int64)
 
 
 @dataclass
 class Model:
-    """Everything below trigrams, and which trigrams there are."""
+    """What every worker holds: the head's weights and a filter of all n-grams."""
 
-    words: Vocabulary
-    lower: np.ndarray  # p(c | b), by b and c
-    backoff: np.ndarray  # weight of the lower order, by a and b
-    seen: np.ndarray  # a bit for each trigram's code
-    head: np.ndarray  # codes in order ...
-    head_p: np.ndarray  # ... and their own share of the probability
+    words: Words
+    distinct: int  # words of the trusted text, the end included
+    unknown: float  # log10 of the probability of each word without one of its own
+    head: np.ndarray  # keys of n-grams in order ...
+    head_weight: np.ndarray  # ... and their weights
+    rest: bool  # whether the table has others
+    seen: np.ndarray | None  # a bit for each place that an n-gram of the rest may have; None: all
 
     @property
     def width(self) -> int:
-        return self.words.size + 1  # with the start
+        return self.distinct + 2  # with the unknown word and the start
 
 
-def trigram_counts(docs: DataFrame, words: Vocabulary) -> DataFrame:
-    """``code, n``: the code is (a * width + b) * width + c."""
-    shared = docs.sparkSession.sparkContext.broadcast(words)
+def trigram_counts(docs: DataFrame) -> DataFrame:
+    """``a, b, c, n``: numbers of three words, summed up in every batch before the shuffle."""
 
     def work(batches: Iterator[dict]) -> Iterator[dict]:
-        words = shared.value
-        lookup, width = Numbers(words), words.size + 1
+        words = Words()
         for batch in batches:
-            numbers, ends = lookup.of([tokens(text) for text in batch["text"]])
-            a, b = contexts(numbers, ends, words.size)
-            codes, n = np.unique((a * width + b) * width + numbers, return_counts=True)
-            yield {"code": codes, "n": n}
+            for texts in _pieces(batch["text"]):
+                c, ends = words.of([tokens(text) for text in texts])
+                a, b = contexts(c, ends, START)
+                _, at, n = np.unique(gram_key(a, b, c), return_index=True, return_counts=True)
+                yield {"a": a[at], "b": b[at], "c": c[at], "n": n}
+
+    rows = in_python(
+        docs.select(F.col("text").cast("string")), work, "a bigint, b bigint, c bigint, n bigint"
+    )
+    return rows.groupBy("a", "b", "c").agg(F.sum("n").cast("bigint").alias("n"))
+
 
-    rows = in_python(docs.select(F.col("text").cast("string")), work, "code bigint, n bigint")
-    return rows.groupBy("code").agg(F.sum("n").cast("bigint").alias("n"))
+def _pieces(texts: list[bytes | None]) -> Iterator[list[bytes | None]]:
+    """The texts in order, some at a time; a long one by itself."""
+    some, size = [], 0
+    for text in texts:
+        if some and size + len(text or b"") > PIECE_BYTES:
+            yield some
+            some, size = [], 0
+        some.append(text)
+        size += len(text or b"")
+    if some:
+        yield some
 
 
 def _counts_of_counts(frame: DataFrame, column: str) -> dict[int, int]:
@@ -79,157 +141,241 @@ def _counts_of_counts(frame: DataFrame, column: str) -> dict[int, int]:
     return {row[column]: row["count"] for row in rows}
 
 
-def fit(docs: DataFrame, head: int = HEAD_TRIGRAMS) -> tuple[Model, DataFrame]:
-    """The model of these documents, and its trigrams' shares (``code, p``), written.
+def _off(column: str, taken: tuple[float, float, float]) -> Column:
+    n = F.col(column)
+    return F.when(n >= 3, taken[2]).when(n == 2, taken[1]).otherwise(taken[0])
 
-    Counts, continuation counts and their sums are grouped and joined by Spark. The
-    driver gets tables over pairs of units, the head and one bit per possible trigram:
-    sizes fixed by the number of units, whatever the text.
-    """
-    counts = written(word_counts(docs), "trusted-words")
-    words = vocabulary(counts, own_words=OWN_WORDS, suffix_classes=CLASSES)
-    width = words.size + 1
-    trigrams = written(trigram_counts(docs, words), "trigrams")
-    pair, context = F.col("code") % (width * width), F.floor(F.col("code") / width)
 
+def fit(docs: DataFrame, head: int = HEAD_GRAMS) -> tuple[Model, DataFrame]:
+    """The model of these documents, and the weights of all their n-grams (``key, weight``), written.
+
+    Log probabilities of a text are sums of weights, one for each of its words, pairs and
+    triples, zero for those without any: a word's is that of its own probability over an
+    unknown word's and of its backoff, a longer one's what it changes against the
+    shorter one, and its backoff. All tables are grouped and joined by Spark; the driver
+    gets the head, sums and the filter.
+    """
+    trigrams = written(trigram_counts(docs), "trigrams")
     taken = discounts(_counts_of_counts(trigrams, "n"))
-    off = F.when(F.col("n") >= 3, taken[2]).when(F.col("n") == 2, taken[1]).otherwise(taken[0])
-    totals = written(
-        trigrams.groupBy(context.cast("bigint").alias("context")).agg(
-            F.sum("n").alias("total"), F.sum(off).alias("off")
+    before, last, key = F.xxhash64("a", "b"), F.xxhash64("b", "c"), F.xxhash64("a", "b", "c")
+    after_two = written(
+        trigrams.groupBy(before.alias("before")).agg(
+            F.sum("n").alias("total"), F.sum(_off("n", taken)).alias("off")
+        ),
+        "after-two",
+    )
+    # Lower orders count in how many contexts a pair or word occurs, not how often.
+    pairs = written(
+        trigrams.groupBy("b", "c").agg(F.count("*").alias("n"), F.sum("n").alias("times")), "pairs"
+    )
+    pair_taken = discounts(_counts_of_counts(pairs, "n"))
+    after_one = written(
+        pairs.groupBy("b").agg(
+            F.log10(F.sum(_off("n", pair_taken)) / F.sum("n")).alias("backoff"),
+            F.sum("n").alias("total"),
+        ),
+        "after-one",
+    )
+    single = written(
+        pairs.groupBy("c").agg(F.count("*").alias("n"), F.sum("times").alias("times")), "singles"
+    )
+    single_taken = discounts(_counts_of_counts(single, "n"))
+    sums = single.agg(
+        F.count("*").alias("words"), F.sum("n").alias("n"), F.sum(_off("n", single_taken)).alias("off")
+    ).first()
+    unknown = (sums["off"] / sums["n"] if sums["n"] else 1.0) / (sums["words"] + 1)
+    own = (F.col("n") - _off("n", single_taken)) / F.lit(float(sums["n"] or 1)) + F.lit(unknown)
+    words = written(single.select("c", F.log10(own).alias("word_log"), "times"), "words")
+
+    pair = F.log10(
+        (F.col("n") - _off("n", pair_taken)) / F.col("total")
+        + F.pow(F.lit(10.0), F.col("backoff") + F.col("word_log"))
+    )
+    pair_logs = written(
+        pairs.join(lookup_side(after_one), "b")
+        .join(lookup_side(words.select("c", "word_log")), "c")
+        .select(
+            last.alias("last"),
+            pair.alias("pair_log"),
+            (pair - F.col("backoff") - F.col("word_log")).alias("weight"),
+            "times",
         ),
-        "contexts",
+        "pair-logs",
     )
-    shares = written(
-        trigrams.withColumn("context", context.cast("bigint"))
-        .join(lookup_side(totals.select("context", "total")), "context")
-        .select("code", "n", ((F.col("n") - off) / F.col("total")).alias("p")),
-        "shares",
+    two_backoff = F.log10(F.col("off") / F.col("total"))
+    triple = F.log10(
+        (F.col("n") - _off("n", taken)) / F.col("total")
+        + F.pow(F.lit(10.0), two_backoff + F.col("pair_log"))
     )
-    backoff = np.ones(width * width)
-    rows = totals.select("context", (F.col("off") / F.col("total")).alias("w")).toArrow()
-    backoff[rows["context"].to_numpy()] = rows["w"].to_numpy()
-
-    # Lower orders count in how many contexts a pair or unit occurs, not how often.
-    bigrams = trigrams.groupBy(pair.cast("bigint").alias("pair")).agg(F.count("*").alias("n")).toArrow()
-    grid = np.zeros(width * width)
-    grid[bigrams["pair"].to_numpy()] = bigrams["n"].to_numpy()
-    grid = grid.reshape(width, width)
-    single = (grid > 0).sum(axis=0)
-    lower = _interpolated(grid, _interpolated(single[None, :], None)[0])
-
-    model = Model(words, lower, backoff.reshape(width, width), _seen(trigrams, width**3), *_head(shares, head))
-    return model, shares.select("code", "p")
-
-
-def _interpolated(grid: np.ndarray, below: np.ndarray | None) -> np.ndarray:
-    """Discounted shares of each row's counts, and the rest spread as ``below`` (or evenly)."""
-    found, n = np.unique(grid[grid > 0], return_counts=True)
-    taken = _taken(grid, discounts(dict(zip(found.astype(int).tolist(), n.tolist()))))
-    totals = grid.sum(axis=1, keepdims=True)
-    if below is None:  # all units but the start can follow
-        below = np.full(grid.shape[1], 1 / max(1, grid.shape[1] - 1))
-        below[-1] = 0
-    rest = np.divide(taken.sum(axis=1, keepdims=True), totals, out=np.ones_like(totals, float), where=totals > 0)
-    own = np.divide(grid - taken, totals, out=np.zeros(grid.shape), where=totals > 0)
-    return own + rest * below
-
-
-def _seen(trigrams: DataFrame, space: int) -> np.ndarray:
-    """A bit for each code, gathered in pages."""
+    triples = (
+        trigrams.select(before.alias("before"), last.alias("last"), key.alias("key"), "n")
+        .join(lookup_side(after_two), "before")
+        .join(lookup_side(pair_logs.select("last", "pair_log")), "last")
+        .select("key", (triple - two_backoff - F.col("pair_log")).alias("weight"), F.col("n").alias("times"))
+    )
+    zero = F.lit(0).cast("bigint").alias("times")
+    shorter = (
+        words.select(
+            F.xxhash64("c").alias("key"), (F.col("word_log") - math.log10(unknown)).alias("weight"), "times"
+        )
+        .unionByName(after_one.select(F.xxhash64("b").alias("key"), F.col("backoff").alias("weight"), zero))
+        .unionByName(pair_logs.select(F.col("last").alias("key"), "weight", "times"))
+        .unionByName(after_two.select(F.col("before").alias("key"), two_backoff.alias("weight"), zero))
+        .groupBy("key")
+        .agg(F.sum("weight").alias("weight"), F.sum("times").alias("times"))
+    )
+    grams = written(triples.unionByName(shorter), "grams")
+    level, size, in_head = _level_of_head(grams, head)
+    top = F.lit(False) if level is None else _times() >= level
+    table = grams.where(top).select("key", "weight").toArrow()
+    keys, weights = table["key"].to_numpy(), table["weight"].to_numpy()
+    order = np.argsort(keys)
+    rest = grams.where(~top).select("key", "weight")
+    model = Model(
+        Words(), sums["words"], math.log10(unknown), keys[order], weights[order].astype(np.float32),
+        size > in_head, _seen(rest, size - in_head),
+    )
+    return model, rest
+
+
+def _times() -> Column:
+    return F.least(F.col("times"), F.lit(1 << 20))
+
+
+def _level_of_head(grams: DataFrame, head: int) -> tuple[int | None, int, int]:
+    """How often the head's n-grams occur at least, without any tie left halfway; all, and the head's."""
+    rows = sorted(grams.groupBy(_times().alias("level")).count().collect(), reverse=True)
+    taken, least = 0, None
+    for row in rows:
+        if taken + row["count"] > head:
+            break
+        taken += row["count"]
+        least = row["level"]
+    return least, sum(row["count"] for row in rows), taken
+
+
+def _seen(grams: DataFrame, count: int) -> np.ndarray | None:
+    """A bit for each key's last digits, gathered in pages; None if hardly any would be zero."""
+    space = 1 << PAGE_BITS
+    while space < FILTER_BITS * count and space < MOST_FILTER_BITS:
+        space *= 2
+    if not count or count > space:
+        return None
     size = 1 << PAGE_BITS
 
     def page(table: pa.Table) -> pa.Table:
         bits = np.zeros(size, bool)
-        bits[table["code"].to_numpy() % size] = True
+        bits[table["at"].to_numpy()] = True
         return pa.table(
             {"page": table["page"][:1], "bits": pa.array([np.packbits(bits).tobytes()], pa.binary())}
         )
 
-    pages = trigrams.select("code", F.shiftright("code", PAGE_BITS).alias("page"))
-    found = np.zeros(-(-space // size) * (size // 8), np.uint8)
-    for row in pages.groupBy("page").applyInArrow(page, "page bigint, bits binary").collect():
+    place = F.col("key").bitwiseAND(F.lit(space - 1))
+    pages = grams.select(
+        place.bitwiseAND(F.lit(size - 1)).cast("int").alias("at"),
+        F.shiftright(place, PAGE_BITS).cast("int").alias("page"),
+    )
+    found = np.zeros(space // 8, np.uint8)
+    for row in pages.groupBy("page").applyInArrow(page, "page int, bits binary").toLocalIterator():
         at = row["page"] * (size // 8)
         found[at : at + size // 8] = np.frombuffer(row["bits"], np.uint8)
     return found
 
 
-def _head(shares: DataFrame, head: int) -> tuple[np.ndarray, np.ndarray]:
-    """The most frequent trigrams, ``head`` at most, without any tie left halfway."""
-    level = F.least(F.col("n"), F.lit(1 << 20))
-    taken, least = 0, None
-    for row in sorted(shares.groupBy(level.alias("level")).count().collect(), reverse=True):
-        taken += row["count"]
-        if taken > head:
-            break
-        least = row["level"]
-    table = shares.where(F.lit(False) if least is None else level >= least).select("code", "p").toArrow()
-    codes, p = table["code"].to_numpy(), table["p"].to_numpy()
-    order = np.argsort(codes)
-    return codes[order].astype(np.int32), p[order].astype(np.float32)  # codes are below 2^26
-
-
-def log_probabilities(docs: DataFrame, model: Model, shares: DataFrame) -> DataFrame:
+def log_probabilities(docs: DataFrame, model: Model, grams: DataFrame) -> DataFrame:
     """``doc_id, lang, n_tokens, log10_prob`` of all documents.
 
-    Trigrams that no trusted text has, and frequent ones, are settled next to the text.
-    The rest go out by document and trigram and are joined with the sharded table.
+    N-grams that no trusted text has, and frequent ones, are settled next to the text.
+    The rest go out by document, each with its number of times, and are joined with the
+    sharded table.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def work(batches: Iterator[dict]) -> Iterator[dict]:
         model = shared.value
-        lookup, width = Numbers(model.words), model.width
+        words = Words()
         for batch in batches:
-            numbers, ends = lookup.of([tokens(text) for text in batch["text"]])
-            a, b = contexts(numbers, ends, model.words.size)
-            codes = (a * width + b) * width + numbers
-            below = model.backoff[a, b] * model.lower[b, numbers]
-            there = (model.seen[codes >> 3] >> (7 - (codes & 7)).astype(np.uint8)) & 1
-            own = np.zeros(len(codes))
-            in_head = np.zeros(len(codes), bool)
-            if len(model.head):
-                at = np.searchsorted(model.head, codes).clip(0, len(model.head) - 1)
-                in_head = model.head[at] == codes
-                own[in_head] = model.head_p[at[in_head]]
-            later = there.astype(bool) & ~in_head
-            logs = np.where(later, 0.0, np.log10(np.where(later, 1.0, own + below)))
-            starts = np.concatenate(([0], ends[:-1])).astype(np.int64)
-            places = np.nonzero(later)[0]
-            cuts = np.searchsorted(places, np.concatenate((starts, ends[-1:])))
-            yield {
-                "doc_id": batch["doc_id"],
-                "lang": [None if one is None else one.decode() for one in batch["lang"]],
-                "n_tokens": np.diff(np.concatenate(([0], ends))),
-                "known": np.add.reduceat(logs, starts),
-                "codes": [codes[places[x:y]] for x, y in zip(cuts, cuts[1:])],
-                "below": [below[places[x:y]].astype(np.float32) for x, y in zip(cuts, cuts[1:])],
-            }
+            at = 0
+            for texts in _pieces(batch["text"]):
+                mine = slice(at, at + len(texts))
+                at += len(texts)
+                numbers, ends = words.of([tokens(text) for text in texts])
+                sizes = np.diff(ends, prepend=0)
+                yield {
+                    "doc_id": batch["doc_id"][mine],
+                    "lang": [None if one is None else one.decode() for one in batch["lang"][mine]],
+                    "n_tokens": sizes,
+                    **_settled(model, numbers, ends, sizes),
+                }
 
     rows = docs.select(
         F.col("doc_id").cast("bigint"), F.col("lang").cast("string"), F.col("text").cast("string")
     )
     schema = (
         "doc_id bigint, lang string, n_tokens bigint, known double, "
-        "codes array<bigint>, below array<float>"
-    )
-    local = written(
-        in_python(rows, work, schema).withColumn("row", F.monotonically_increasing_id()), "local"
+        "keys array<bigint>, times array<int>"
     )
-    open_ = local.select("row", F.explode(F.arrays_zip("codes", "below")).alias("at")).select(
-        "row", F.col("at.codes").alias("code"), F.col("at.below").alias("below")
+    local = in_python(rows, work, schema)
+    columns = ("doc_id", "lang", "n_tokens")
+    if not model.rest:
+        return local.select(*columns, F.col("known").alias("log10_prob"))
+    local = written(local.withColumn("row", F.monotonically_increasing_id()), "local")
+    open_ = local.select("row", F.explode(F.arrays_zip("keys", "times")).alias("at")).select(
+        "row", F.col("at.keys").alias("key"), F.col("at.times").alias("times")
     )
-    joined = open_.join(shares, "code").groupBy("row").agg(
-        F.sum(F.log10(F.col("p") + F.col("below"))).alias("more")
+    joined = open_.join(grams, "key").groupBy("row").agg(
+        F.sum(F.col("times") * F.col("weight")).alias("more")
     )
     return local.join(joined, "row", "left").select(
-        "doc_id",
-        "lang",
-        "n_tokens",
-        (F.col("known") + F.coalesce("more", F.lit(0.0))).alias("log10_prob"),
+        *columns, (F.col("known") + F.coalesce("more", F.lit(0.0))).alias("log10_prob")
     )
 
 
+def _settled(model: Model, numbers: np.ndarray, ends: np.ndarray, sizes: np.ndarray) -> dict:
+    """Per text what its n-grams in the head sum up to, and the others that may have weights."""
+    a, b = contexts(numbers, ends, START)
+    count = len(ends)
+    texts = np.arange(count)
+    by_token = np.repeat(texts, sizes)
+    begin = np.full(count, START, np.int64)  # the start is a context of its own, once a text
+    grams = [
+        (gram_key(numbers), by_token), (gram_key(b, numbers), by_token), (gram_key(a, b, numbers), by_token),
+        (gram_key(begin), texts), (gram_key(begin, begin), texts),
+    ]
+    known = model.unknown * sizes
+    keys, places = [], []
+    for found, text in grams:
+        left = np.ones(len(found), bool)
+        if len(model.head):
+            at = np.searchsorted(model.head, found).clip(0, len(model.head) - 1)
+            there = model.head[at] == found
+            known += np.bincount(text[there], model.head_weight[at[there]], count)
+            left = ~there
+        if not model.rest:
+            continue
+        if model.seen is not None:
+            place = found & (8 * len(model.seen) - 1)
+            left &= ((model.seen[place >> 3] >> (7 - (place & 7)).astype(np.uint8)) & 1).astype(bool)
+        keys.append(found[left])
+        places.append(text[left])
+    if not keys:
+        none = [np.zeros(0, np.int64)] * count
+        return {"known": known, "keys": none, "times": none}
+    key, text = np.concatenate(keys), np.concatenate(places)
+    order = np.lexsort((key, text))
+    key, text = key[order], text[order]
+    first = np.ones(len(key), bool)
+    first[1:] = (key[1:] != key[:-1]) | (text[1:] != text[:-1])
+    first = np.nonzero(first)[0]
+    times = np.diff(first, append=len(key)).astype(np.int32)
+    cuts = np.searchsorted(text[first], np.arange(count + 1))
+    return {
+        "known": known,
+        "keys": [key[first[x:y]] for x, y in zip(cuts, cuts[1:])],
+        "times": [times[x:y] for x, y in zip(cuts, cuts[1:])],
+    }
+
+
 def quality(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) -> DataFrame:
     """``doc_id, lang, n_tokens, log10_prob, perplexity, limit, kept``, one row per document.
 
@@ -238,8 +384,9 @@ def quality(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) -> D
     limit at ``quantile``. A language, NULL included, with fewer than 20 of these takes the
     limit over all; without any trusted text there is no limit, and all are kept.
 
-    The model is over units: frequent words, classes of others by their last bytes, and the
-    end of the text. NULL texts are empty (the end alone). Repeated rows and NULL doc_ids
+    The model is over whole words and the end of the text, however many there are; a word
+    that no text of the model has shares what unseen words get. Words and n-grams go by
+    64-bit hashes. NULL texts are empty (the end alone). Repeated rows and NULL doc_ids
     are judged each; NULL doc_ids are never trusted. Other columns are not read.
     """
     good = (F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0)
@@ -259,10 +406,10 @@ def quality(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) -> D
         )
         return frame.join(ids, frame["doc_id"] == ids["_id"], "left_semi")
 
-    model, shares = fit(among(docs, False))
+    model, grams = fit(among(docs, False))
     perplexity = F.pow(F.lit(10.0), -F.col("log10_prob") / F.col("n_tokens"))
     rows = written(
-        log_probabilities(docs, model, shares).withColumn("perplexity", perplexity), "perplexities"
+        log_probabilities(docs, model, grams).withColumn("perplexity", perplexity), "perplexities"
     )
     measured = among(rows, True)
     limit = F.percentile_approx("perplexity", quantile, 10_000).alias("own_limit")
