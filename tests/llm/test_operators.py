@@ -201,6 +201,18 @@ def test_totals_after_changes(spark, some, tmp_path):
     assert +got == +expected
 
 
+def test_totals_of_rows_that_share_an_id_or_have_none(spark, tmp_path):
+    rows = [
+        (None, "a\na", "s", "x"), (None, "b", "s", "x"), (None, "c d", "s", "x"), (1, "c d", "s", "x"),
+        (7, "e\ne", "t", "x"), (7, "f g h", "t", "x"), (7, "c d", "u", "x"), (8, "i\ni", "v", "x"), (None, "i\ni", "v", "x"),
+    ]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, source string, lang string").repartition(3)
+    got = {}
+    for r in token_rollup.maintained_totals(frame, f"file://{tmp_path}/shared").where("tokenizer = 'words_1'").collect():
+        got[r["source"]] = (r["documents"], r["tokens"])
+    assert got == {"s": (3, 4), "t": (2, 4), "v": (1, 1)}
+
+
 def test_batches_count_once_and_merge(spark, tmp_path):
     rollup = token_rollup.TokenRollup(f"file://{tmp_path}/totals")
     schema = "source string, lang string, tokenizer string, documents int, tokens bigint"

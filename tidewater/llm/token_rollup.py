@@ -96,49 +96,91 @@ class TokenRollup:
         )
 
 
+def _counted(docs: DataFrame) -> DataFrame:
+    """Per row: its key, a hash of its text, counts of it, and of it without repeated lines.
+
+    The latter are NULL if no line repeats. A table with a number for each row is written, so
+    that rows that share a doc_id or have none can be told apart.
+    """
+    path = vocabulary_path()
+
+    def work(batches: Iterator[dict]) -> Iterator[dict]:
+        sizes = lambda texts: [len(ids) // 4 for ids in encoder(path).encode(texts)]
+        for batch in batches:
+            changed = [at for at, text in enumerate(batch["revised"]) if text is not None]
+            again: list[int | None] = [None] * len(batch["text"])
+            for at, n in zip(changed, sizes([batch["revised"][at].decode() for at in changed])):
+                again[at] = n
+            yield batch | {"bpe": sizes([text.decode() for text in batch["text"]]), "new_bpe": again}
+
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    lines = F.split("text", "\n")
+    revised = F.when(
+        F.size(F.array_distinct(lines)) < F.size(lines), F.array_join(F.array_distinct(lines), "\n")
+    )
+    rows = (
+        docs.select(
+            F.col("doc_id").cast("bigint"),
+            F.col("source").cast("string"),
+            F.col("lang").cast("string"),
+            text.alias("text"),
+        )
+        .withColumn("hash", F.xxhash64("text"))
+        .withColumn("words", F.size(words_of(F.col("text"))).cast("bigint"))
+        .withColumn("revised", revised)
+        .withColumn(
+            "new_words", F.when(F.col("revised").isNotNull(), F.size(words_of(F.col("revised")))).cast("bigint")
+        )
+    )
+    names = (
+        "doc_id bigint, source string, lang string, hash bigint, "
+        "words bigint, bpe bigint, new_words bigint, new_bpe bigint"
+    )
+    counted = in_python(rows, work, names)
+    return written(counted.withColumn("row", F.monotonically_increasing_id()), "counts")
+
+
+def _by_tokenizer(rows: DataFrame, bpe: str, words: str) -> DataFrame:
+    both = F.array(
+        F.struct(F.lit(BPE).alias("tokenizer"), F.col(bpe).alias("tokens")),
+        F.struct(F.lit(WORDS).alias("tokenizer"), F.col(words).alias("tokens")),
+    )
+    return rows.withColumn("count", F.explode(both)).select("source", "lang", "count.*")
+
+
 def maintained_totals(docs: DataFrame, path: str) -> DataFrame:
     """The totals after three batches of changes, two of them sent twice.
 
     All documents are inserted; copies of a text with a smaller doc_id are deleted; the
     rest of those that repeat a line are revised: counted anew without the repeats.
+    Decisions are by row, whatever other rows have its doc_id or have none.
     NULL source or language is a key of its own; NULL texts count as empty and as copies
-    of each other; copies without doc_id go before all others, and of repeated rows with
-    one doc_id, all stay. Other columns are not read.
+    of each other; a copy without doc_id goes if one has a doc_id, and of copies with one
+    doc_id, or that all have none, all stay. Other columns are not read.
     """
     spark = docs.sparkSession
     rollup = TokenRollup(path)
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    rows = docs.select(
-        F.col("doc_id").cast("bigint"), "source", "lang", text.alias("text"),
-        F.xxhash64(text).alias("hash"),
-    )
-    counts = written(token_counts(rows), "counts")
-    rollup.commit(0, inserts(counts))
+    rows = _counted(docs)
+    rollup.commit(0, inserts(_by_tokenizer(rows, "bpe", "words")))
 
     least = rows.groupBy("hash").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n"))
-    firsts = written(least.where("n > 1").select("hash", F.col("doc_id").alias("first")), "firsts")
-    copies = rows.select("doc_id", "hash").join(lookup_side(firsts), "hash")
+    firsts = written(
+        least.where("n > 1").where("doc_id is not null").select("hash", F.col("doc_id").alias("first")),
+        "firsts",
+    )
+    copies = rows.select("row", "doc_id", "hash").join(lookup_side(firsts), "hash")
     gone = written(
-        copies.where(~F.coalesce(F.col("doc_id") <= F.col("first"), F.col("first").isNull()))
-        .select("doc_id")
-        .distinct(),
-        "gone",
+        copies.where(~F.coalesce(F.col("doc_id") <= F.col("first"), F.lit(False))).select("row"), "gone"
     )
+    deleted = rows.join(lookup_side(gone), "row", "left_semi")
+    rollup.commit(1, deletes(_by_tokenizer(deleted, "bpe", "words")))
 
-    def among(frame: DataFrame, ids: DataFrame, how: str) -> DataFrame:
-        ids = ids.select(F.col("doc_id").alias("_id"))
-        return frame.join(ids, frame["doc_id"].eqNullSafe(ids["_id"]), how)
-
-    rollup.commit(1, deletes(among(counts, gone, "left_semi")))
-
-    lines = F.split("text", "\n")
-    repeating = rows.where(F.size(F.array_distinct(lines)) < F.size(lines))
-    changed = among(repeating, gone, "left_anti").withColumn(
-        "text", F.array_join(F.array_distinct(lines), "\n")
-    )
-    new = written(token_counts(changed), "revised")
-    old = among(counts, new.select("doc_id").distinct(), "left_semi")
+    revised = rows.where("new_bpe is not null").join(lookup_side(gone), "row", "left_anti")
+    old, new = _by_tokenizer(revised, "bpe", "words"), _by_tokenizer(revised, "new_bpe", "new_words")
     rollup.commit(2, revisions(old, new))
-    for batch_id, changes in ((0, inserts(counts)), (2, revisions(old, new))):
+    for batch_id, changes in (
+        (0, inserts(_by_tokenizer(rows, "bpe", "words"))),
+        (2, revisions(old, new)),
+    ):
         rollup.commit(batch_id, changes)
     return rollup.totals(spark)
