@@ -582,6 +582,34 @@ def test_one_of_each_group_stays(odd, nothing):
     assert simhash.without_near_copies(nothing).count() == 0
 
 
+def test_stages_judge_rows_that_share_an_id_or_have_none(spark):
+    rng = random.Random(6)
+    words = ["".join(rng.choices("abcdefgh", k=6)) for _ in range(500)]
+    one, two, three, four, five = (" ".join(rng.sample(words, 60)) for _ in range(5))
+    rows = [
+        (1, ""), (None, None), (None, one), (None, one), (7, two), (7, three), (8, two), (3, three), (9, four), (9, four), (9, five),
+    ]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    kept = simhash.without_near_copies(frame).collect()
+    key = lambda row: (row[0] is None, *map(str, row))
+    assert sorted(map(tuple, kept), key=key) == sorted([(1, ""), (None, one), (7, two), (3, three), (9, four), (9, five)], key=key)
+
+    items = spark.createDataFrame([(1, two, three)], "item_id bigint, question string, answer string")
+    leaky = f"{two} {three}"
+    frame = spark.createDataFrame([(None, leaky), (None, one), (7, leaky), (7, four)], "doc_id bigint, text string")
+    left = {tuple(r) for r in decontam.without_leaks(frame, items).collect()}
+    assert left == {(None, one), (7, four)}
+
+
+def test_unknown_language_takes_its_row_alone(spark):
+    docs = common.tuned(spark).read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "lang", "text")
+    text = docs.where("lang = 'en' and length(text) > 900").first()["text"]
+    more = [(None, None, "###"), (None, None, text), (-7, None, "123"), (-7, None, text)]
+    left = langid.without_unknown(docs.unionByName(spark.createDataFrame(more, docs.schema)))
+    found = [tuple(r) for r in left.where("doc_id is null or doc_id = -7").select("doc_id", "text").collect()]
+    assert sorted(found, key=str) == sorted([(None, text), (-7, text)], key=str)
+
+
 # --- chat -------------------------------------------------------------------------------------
 
 

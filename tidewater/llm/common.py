@@ -7,7 +7,6 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidewater.operators.scale import lookup_side
 from tidewater.session import new_folder
 
 # What separates words: blank and the five ASCII controls from tab to carriage return.
@@ -70,6 +69,22 @@ def in_python(
     return frame.mapInArrow(run, schema)
 
 
+def filtered(docs: DataFrame, make: Callable[[], Callable[[list], list[bool]]]) -> DataFrame:
+    """The rows whose ``text`` is kept, each judged by itself, with all columns as they are.
+
+    Every task makes the judge once; it gets lists of texts (UTF-8 bytes or None).
+    """
+    at = [name.lower() for name in docs.columns].index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep = make()
+        for batch in batches:
+            texts = batch.column(at).cast(pa.large_string()).cast(pa.large_binary()).to_pylist()
+            yield batch.filter(pa.array(keep(texts), pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 _ARROW = {
     "bigint": pa.int64(),
     "int": pa.int32(),
@@ -99,13 +114,3 @@ def _columns(batch: pa.RecordBatch) -> dict:
             )
         found[name] = column.to_pylist()
     return found
-
-
-def by_id(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
-    """The documents whose ``doc_id`` is (``left_semi``) or is not (``left_anti``) among the ids.
-
-    NULL matches NULL. ``ids`` should be written: they are counted, and sent to all
-    tasks if they are few enough, so that texts need not be shuffled.
-    """
-    ids = lookup_side(ids.select(F.col("doc_id").alias("_given_id")).distinct())
-    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["_given_id"]), how)

@@ -8,7 +8,7 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from tidewater.llm.common import by_id, in_python, words_of, written
+from tidewater.llm.common import filtered, in_python, words_of, written
 
 K1, B = 1.2, 0.75
 PASSAGE_WORDS = 128
@@ -194,6 +194,15 @@ def leaks(
     without any word find nothing. Repeated rows and items are reported each; a NULL
     doc_id or item_id is reported as such. Other columns are not read.
     """
+    found = None
+    for index in _indexes(items, passage_words, index_words):
+        part = _search(docs, index, passage_words, threshold, overlap)
+        found = part if found is None else found.unionByName(part)
+    return found
+
+
+def _indexes(items: DataFrame, passage_words: int, index_words: int) -> Iterator[tuple]:
+    """The index of each round: postings, entries and item ids."""
     empty = F.lit("")
     numbered = written(
         items.select(
@@ -207,15 +216,12 @@ def leaks(
     postings = written(index_entries(numbered, passage_words), "postings")
     size = numbered.agg(F.sum(F.size(words_of(F.col("question"))) + F.size(words_of(F.col("answer"))))).first()[0]
     rounds = max(1, -(-(size or 0) // index_words))
-    found = None
     for turn in range(rounds):
         mine = F.pmod(F.xxhash64("number"), F.lit(rounds)) == turn
-        part = _search(docs, numbered.where(mine), postings.where(mine), passage_words, threshold, overlap)
-        found = part if found is None else found.unionByName(part)
-    return found
+        yield _gathered(numbered.where(mine), postings.where(mine))
 
 
-def _search(docs, items, postings, passage_words, threshold, overlap) -> DataFrame:
+def _gathered(items: DataFrame, postings: DataFrame) -> tuple:
     entries: dict[tuple[int, int], int] = {}
     listed = []
     for row in sorted(postings.collect()):  # bounded by index_words
@@ -229,7 +235,11 @@ def _search(docs, items, postings, passage_words, threshold, overlap) -> DataFra
             plain_words(row["answer"].encode()),
         )
     known = [(entry, number, *texts[number]) for (number, _), entry in entries.items()]
-    index = docs.sparkSession.sparkContext.broadcast((listed, known, ids))
+    return listed, known, ids
+
+
+def _search(docs, found_index, passage_words, threshold, overlap) -> DataFrame:
+    index = docs.sparkSession.sparkContext.broadcast(found_index)
 
     def work(batches: Iterator[dict]) -> Iterator[dict]:
         listed, known, ids = index.value
@@ -262,6 +272,25 @@ def as_question_and_answer(benchmark: DataFrame, answer_share: float = 1 / 3) ->
     )
 
 
-def without_leaks(docs: DataFrame, items: DataFrame, **settings) -> DataFrame:
-    """The documents in which no item leaks; of the rest, nothing stays."""
-    return by_id(docs, written(leaks(docs, items, **settings), "leaks"), "left_anti")
+def without_leaks(
+    docs: DataFrame,
+    items: DataFrame,
+    passage_words: int = PASSAGE_WORDS,
+    threshold: float = THRESHOLD,
+    overlap: float = OVERLAP,
+    index_words: int = INDEX_WORDS,
+) -> DataFrame:
+    """The documents in which no item leaks; of the rest, nothing stays.
+
+    Each row is judged by its own text, whatever its doc_id.
+    """
+    for found_index in _indexes(items, passage_words, index_words):
+        index = docs.sparkSession.sparkContext.broadcast(found_index)
+
+        def make(index=index):
+            listed, known, _ = index.value
+            searcher = Searcher(listed, known, passage_words, threshold, overlap)
+            return lambda texts: [not searcher.leaks(text) for text in texts]
+
+        docs = filtered(docs, make)
+    return docs

@@ -10,7 +10,7 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from tidewater.llm.common import by_id, in_python, words_of, written
+from tidewater.llm.common import filtered, in_python, words_of
 
 FEATURES = 1 << 16
 # Labelled documents per language that the model is fitted on, and words of each.
@@ -366,9 +366,23 @@ def identify(docs: DataFrame, model: Model, with_words: bool = False) -> DataFra
 def without_unknown(docs: DataFrame, least_score: float = 0.5) -> DataFrame:
     """The documents with a language: predicted with a mean probability of ``least_score``.
 
-    Texts of two languages in equal parts and texts without letters go. Decisions are by
-    doc_id, so of rows with one doc_id all go with the worst.
+    Texts of two languages in equal parts and texts without letters go. Each row is judged by
+    its own text, whatever its doc_id.
     """
-    found = written(identify(docs, language_model(docs)), "languages")
-    bad = (F.col("lang_pred") == UNKNOWN) | (F.col("score") < least_score)
-    return by_id(docs, found.where(bad), "left_anti")
+    shared = docs.sparkSession.sparkContext.broadcast(language_model(docs))
+
+    def make():
+        model = shared.value
+        labeller = Labeller(model)
+
+        def keep(texts: list) -> list[bool]:
+            if not model.languages:
+                return [False] * len(texts)
+            return [
+                mean is not None and float(min(1.0, mean.max())) >= least_score
+                for mean, _, _ in labeller.label(texts)
+            ]
+
+        return keep
+
+    return filtered(docs, make)

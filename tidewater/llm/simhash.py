@@ -9,8 +9,9 @@ import numpy as np
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidewater.llm.common import by_id, in_python, written
+from tidewater.llm.common import in_python, written
 from tidewater.llm.graph import components
+from tidewater.operators.scale import lookup_side
 
 SHINGLE_WORDS = 3
 HASH_SEED = 42
@@ -40,16 +41,23 @@ def fingerprint(text: bytes | None, shingle_words: int = SHINGLE_WORDS) -> int:
     return int(np.packbits(2 * ones > count, bitorder="little").view(np.uint64)[0])
 
 
+def text_hash() -> Column:
+    """A number for the row's text; with the doc_id it tells rows apart, but for equal ones."""
+    return F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
+
+
 def fingerprints(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
-    """``doc_id, fp`` (the fingerprint as a signed number) of each row."""
+    """``doc_id, text_hash, fp`` (the fingerprint as a signed number) of each row."""
 
     def work(batches: Iterator[dict]) -> Iterator[dict]:
         for batch in batches:
             found = [fingerprint(text, shingle_words) for text in batch["text"]]
-            yield {"doc_id": batch["doc_id"], "fp": np.array(found, np.uint64).view(np.int64)}
+            yield batch | {"fp": np.array(found, np.uint64).view(np.int64)}
 
-    rows = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
-    return in_python(rows, work, "doc_id bigint, fp bigint")
+    rows = docs.select(
+        F.col("doc_id").cast("bigint"), text_hash().alias("text_hash"), F.col("text").cast("string")
+    )
+    return in_python(rows, work, "doc_id bigint, text_hash bigint, fp bigint")
 
 
 def covering_masks(radius: int = RADIUS, bits: int = BITS) -> list[int]:
@@ -152,6 +160,11 @@ def near_copies(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     Repeated rows are returned as often as they occur. A row without doc_id gets the
     least id of its group, NULL if there is none. Other columns are not read.
     """
+    return _grouped(docs, radius).select("doc_id", "fp", "component_id")
+
+
+def _grouped(docs: DataFrame, radius: int) -> DataFrame:
+    """``doc_id, text_hash, fp, root, component_id``: the root is some fingerprint of the group."""
     rows = written(fingerprints(docs), "fingerprints")
     classes = rows.groupBy("fp").agg(F.min("doc_id").alias("least"))
     roots = components(links(classes.select("fp"), radius))
@@ -160,8 +173,8 @@ def near_copies(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     )
     labels = groups.join(
         groups.groupBy("root").agg(F.min("least").alias("component_id")), "root"
-    ).select("fp", "component_id")
-    return rows.join(labels, "fp").select("doc_id", "fp", "component_id")
+    ).select("fp", "root", "component_id")
+    return rows.join(labels, "fp").select("doc_id", "text_hash", "fp", "root", "component_id")
 
 
 def hex_digits(fp: Column) -> Column:
@@ -171,14 +184,35 @@ def hex_digits(fp: Column) -> Column:
 def without_near_copies(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     """The documents, one of each group: that with the least doc_id, of repeated rows one.
 
-    Rows without doc_id stay if their whole group has none.
+    Of a group without any doc_id one row stays. Rows with one doc_id, or without any, are
+    told apart by their texts' hashes: what other groups hold of them stays or goes by itself.
     """
-    groups = written(near_copies(docs, radius), "groups")
+    groups = written(_grouped(docs, radius), "groups")
     is_first = F.col("doc_id").eqNullSafe(F.col("component_id"))
-    kept = by_id(docs, groups.where(~is_first), "left_anti")
-    repeated = groups.where(is_first & F.col("doc_id").isNotNull()).groupBy("doc_id").count()
-    repeated = written(repeated.where("count > 1"), "repeated")
+    # Equal rows are counted first, so that a large group is as many rows as distinct texts.
+    texts = groups.groupBy("root", "doc_id", "text_hash", is_first.alias("is_first")).agg(
+        F.count("*").alias("count")
+    )
+    texts = written(texts, "texts")
+    stays = texts.where("is_first").groupBy("root").agg(F.min("text_hash").alias("stays"))
+    judged = texts.join(stays, "root").withColumn("kept", F.expr("is_first and text_hash = stays"))
+    judged = written(judged.select("doc_id", "text_hash", "count", "kept"), "judged")
+    kept = _by_text(docs, judged.where("not kept"), "left_anti")
+    repeated = judged.where("kept and count > 1")
     if repeated.isEmpty():
         return kept
-    again = by_id(kept, repeated, "left_semi").dropDuplicates(["doc_id"])
-    return by_id(kept, repeated, "left_anti").unionByName(again)
+    rows = _by_text(kept, repeated, "left_semi")
+    names = ("_doc_id", "_text_hash")
+    again = rows.select("*", F.col("doc_id").cast("bigint").alias(names[0]), text_hash().alias(names[1]))
+    again = again.dropDuplicates(list(names)).drop(*names)
+    return _by_text(kept, repeated, "left_anti").unionByName(again)
+
+
+def _by_text(docs: DataFrame, given: DataFrame, how: str) -> DataFrame:
+    """The documents whose doc_id and text are (or are not) among the given; NULL matches NULL."""
+    side = lookup_side(
+        given.select(F.col("doc_id").alias("_given_id"), F.col("text_hash").alias("_given_hash"))
+    )
+    same = docs["doc_id"].cast("bigint").eqNullSafe(side["_given_id"])
+    own = F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit("")))
+    return docs.join(side, same & (own == side["_given_hash"]), how)
