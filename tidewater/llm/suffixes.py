@@ -10,7 +10,10 @@ where it matters:
 2. Around each of these, the bytes of all its 50-byte strings are one suffix. Each
    block of documents sorts its distinct suffixes, front-codes them (length of the prefix
    shared with the one before, and the rest) and sends the runs to buckets by anchor.
-   A bucket merges its runs with a loser tree that carries the shared lengths along.
+   A bucket merges its runs with a loser tree that carries the shared lengths along, which
+   makes equal suffixes one. Their 50-byte strings are then matched by two 64-bit hashes of
+   each, not by the merged order: most start inside a suffix, and the order of suffixes
+   brings together only those that start one.
 3. Blocks get back one bit per string, and cut.
 """
 
