@@ -139,3 +139,78 @@ SELECT d.doc_id, length(h) // 2 AS n_bytes, CAST(coalesce(removed, 0) AS BIGINT)
        coalesce(n, 0) AS n_spans,
        sha256(unhex(coalesce(head, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
 FROM d LEFT JOIN sums USING (doc_id) LEFT JOIN cut USING (doc_id)"""
+
+_FIELDS = " || ".join(
+    f"coalesce(strlen({value}) || ':' || {value}, '-')"
+    for value in ("doc_id::VARCHAR", "source", "lang", "n_chars::VARCHAR", "{text}")
+)
+
+# The CRC-32 of doc_id's digits bit by bit: each byte is mixed in, then eight shifts (-1 is
+# a shift alone).
+MERKLE_MANIFEST = f"""WITH RECURSIVE given AS (
+  SELECT *, list_reduce(
+      list_concat([4294967295::BIGINT], flatten(list_transform(string_split(doc_id::VARCHAR, ''),
+        lambda x: [ascii(x)::BIGINT, -1, -1, -1, -1, -1, -1, -1]))),
+      lambda c, b: xor(xor(c, greatest(b, 0)) >> 1, 3988292384 * (xor(c, greatest(b, 0)) & 1))) AS state
+  FROM documents
+),
+leaves AS (
+  SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS pos,
+         sha256({_FIELDS.format(text="text")}) AS leaf,
+         sha256({_FIELDS.format(text="CASE WHEN xor(state, 4294967295) % 2 = 0 THEN replace(text, chr(10), '') ELSE text END")}) AS now
+  FROM given
+),
+tree AS (
+  SELECT source, 0 AS level, pos, leaf AS node, count(*) OVER (PARTITION BY source) AS n FROM leaves
+  UNION ALL
+  SELECT source, level + 1, pos // 3, sha256(string_agg(node, '' ORDER BY pos)), (any_value(n) + 2) // 3
+  FROM tree WHERE n > 1 GROUP BY source, level, pos // 3
+),
+subroots AS (
+  SELECT source, level AS height, node AS subroot,
+         row_number() OVER (ORDER BY encode(source) NULLS FIRST) - 1 AS place, count(*) OVER () AS n
+  FROM tree WHERE n = 1
+),
+top AS (
+  SELECT 0 AS level, place AS pos, subroot AS node, n FROM subroots
+  UNION ALL
+  SELECT level + 1, pos // 3, sha256(string_agg(node, '' ORDER BY pos)), (any_value(n) + 2) // 3
+  FROM top WHERE n > 1 GROUP BY level, pos // 3
+),
+steps AS (
+  SELECT source, level, pos, false AS above,
+         coalesce(string_agg(node, '') OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS before,
+         coalesce(string_agg(node, '') OVER (w ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS after
+  FROM tree WHERE n > 1 WINDOW w AS (PARTITION BY source, level, pos // 3 ORDER BY pos)
+  UNION ALL
+  SELECT s.source, s.height + t.level, s.place // power(3, t.level)::BIGINT, true, t.before, t.after
+  FROM subroots AS s JOIN (
+    SELECT level, pos,
+           coalesce(string_agg(node, '') OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS before,
+           coalesce(string_agg(node, '') OVER (w ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS after
+    FROM top WHERE n > 1 WINDOW w AS (PARTITION BY level, pos // 3 ORDER BY pos)
+  ) AS t ON t.pos = s.place // power(3, t.level)::BIGINT
+),
+path AS (
+  SELECT l.doc_id, s.level, s.before, s.after
+  FROM leaves AS l JOIN steps AS s
+    ON s.source IS NOT DISTINCT FROM l.source
+   AND (s.above OR s.pos = l.pos // power(3, s.level)::BIGINT)
+),
+folded AS (
+  SELECT doc_id, 0 AS level, now AS node FROM leaves
+  UNION ALL
+  SELECT f.doc_id, f.level + 1, sha256(p.before || f.node || p.after)
+  FROM folded AS f JOIN path AS p ON p.doc_id = f.doc_id AND p.level = f.level
+),
+proofs AS (
+  SELECT doc_id, string_agg(before || after, '' ORDER BY level) AS proof, count(*) AS height
+  FROM path GROUP BY doc_id
+)
+SELECT l.doc_id, l.leaf, s.subroot, r.node AS root, sha256(coalesce(p.proof, '')) AS proof_sha256,
+       f.node AS folded_root, f.node = r.node AS verified
+FROM leaves AS l
+JOIN subroots AS s ON s.source IS NOT DISTINCT FROM l.source
+JOIN (SELECT node FROM top WHERE n = 1) AS r ON true
+LEFT JOIN proofs AS p ON p.doc_id = l.doc_id
+JOIN folded AS f ON f.doc_id = l.doc_id AND f.level = coalesce(p.height, 0)"""
