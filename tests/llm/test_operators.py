@@ -823,7 +823,7 @@ def test_cut_documents_keep_their_columns(odd, nothing):
 
 def test_every_operator_has_a_query(spark):
     found = queries.queries()
-    assert sorted(int(name[2:].split("_")[0]) for name in found) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in found) == list(range(1, 14))
     assert package.__doc__
 
 

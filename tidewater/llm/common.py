@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from tidewater.operators.scale import lookup_side
 from tidewater.session import new_folder
 
 # What separates words: blank and the five ASCII controls from tab to carriage return.
@@ -38,6 +39,41 @@ def width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def ranked(rows: DataFrame, order: Sequence[str]) -> DataFrame:
+    """Add ``pos`` and ``size``: a row's place in its ``tree`` along ``order``, and the tree's rows.
+
+    Rows are range-partitioned, so a tree with a third of them is sorted in many tasks; only
+    counts per tree and partition (at most trees + partitions of them) are summed up.
+    ``order`` must be unique in a tree.
+    """
+    parts = width(rows.sparkSession)
+    placed = written(
+        rows.repartitionByRange(parts, "tree", *order)
+        .sortWithinPartitions("tree", *order)
+        .withColumn("_id", F.monotonically_increasing_id())
+        .withColumn("_part", F.shiftright("_id", 33).cast("int")),
+        "ranked",
+    )
+    whole = Window.partitionBy("tree")
+    before = whole.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    sums = written(
+        placed.groupBy("tree", "_part")
+        .agg(F.min("_id").alias("_first"), F.count("*").alias("_n"))
+        .select(
+            "tree",
+            "_part",
+            (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_shift"),
+            F.sum("_n").over(whole).cast("bigint").alias("size"),
+        ),
+        "ranges",
+    )
+    return (
+        placed.join(lookup_side(sums), ["tree", "_part"])
+        .withColumn("pos", (F.col("_id") + F.col("_shift")).cast("bigint"))
+        .drop("_id", "_part", "_shift")
+    )
+
+
 def lower_ascii(text: Column) -> Column:
     return F.translate(text, UPPER, UPPER.lower())
 

@@ -4,9 +4,9 @@ Rows of one source make a tree, ordered by doc_id; the roots of the trees, order
 source, make one more. While a level has several nodes, every three neighbours become
 the digest of their digests' text (the last run may be shorter, even one).
 
-Trees are worked off in blocks of 3^7 neighbours (or 3^``height``), which are whole subtrees. On the way up
-each block becomes one node, and the nodes of a level are cut into blocks again, until
-every tree has one. On the way down, the nodes of a level meet what lies outside of their
+Trees are worked off in blocks of 3^7 neighbours (or 3^``height``), which are whole
+subtrees. On the way up each block becomes one node, and the nodes of a level are cut into
+blocks again, until every tree has one. On the way down, the nodes of a level meet what lies outside of their
 blocks: both are cogrouped by superblock (a few blocks whose hash is equal), and one Python
 call makes the inner levels, joins the proofs and folds them. So no call holds more than
 some thousand rows, however large a tree is, and a block gets from outside only the
@@ -19,9 +19,9 @@ import hashlib
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from tidewater.llm.common import width, written
+from tidewater.llm.common import ranked, written
 from tidewater.operators.scale import lookup_side
 
 FAN = 3
@@ -147,41 +147,6 @@ def _finished(rows: pd.DataFrame, outer: pd.DataFrame, height: int) -> pd.DataFr
     return pd.DataFrame(found, columns=columns)
 
 
-def ranked(rows: DataFrame, order: Sequence[str]) -> DataFrame:
-    """Add ``pos`` and ``size``: a row's place in its ``tree`` along ``order``, and the tree's rows.
-
-    Rows are range-partitioned, so a tree with a third of them is sorted in many tasks; only
-    counts per tree and partition (at most trees + partitions of them) are summed up.
-    ``order`` must be unique in a tree.
-    """
-    parts = width(rows.sparkSession)
-    placed = written(
-        rows.repartitionByRange(parts, "tree", *order)
-        .sortWithinPartitions("tree", *order)
-        .withColumn("_id", F.monotonically_increasing_id())
-        .withColumn("_part", F.shiftright("_id", 33).cast("int")),
-        "ranked",
-    )
-    whole = Window.partitionBy("tree")
-    before = whole.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    sums = written(
-        placed.groupBy("tree", "_part")
-        .agg(F.min("_id").alias("_first"), F.count("*").alias("_n"))
-        .select(
-            "tree",
-            "_part",
-            (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_shift"),
-            F.sum("_n").over(whole).cast("bigint").alias("size"),
-        ),
-        "ranges",
-    )
-    return (
-        placed.join(lookup_side(sums), ["tree", "_part"])
-        .withColumn("pos", (F.col("_id") + F.col("_shift")).cast("bigint"))
-        .drop("_id", "_part", "_shift")
-    )
-
-
 def _superblocks(rows: DataFrame, count: int, block: Column) -> DataFrame:
     number = -(-count // SUPERBLOCK)
     return rows.withColumn("superblock", F.pmod(F.xxhash64("tree", block), F.lit(max(1, number))))

@@ -214,3 +214,46 @@ JOIN subroots AS s ON s.source IS NOT DISTINCT FROM l.source
 JOIN (SELECT node FROM top WHERE n = 1) AS r ON true
 LEFT JOIN proofs AS p ON p.doc_id = l.doc_id
 JOIN folded AS f ON f.doc_id = l.doc_id AND f.level = coalesce(p.height, 0)"""
+
+
+# Integers as doubles: their products and sums here are far below 2^53.
+_VECTORS = """
+  SELECT vec_id, label, list_transform(embedding, lambda x: floor({scale} * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"""
+
+TOP_K = f"""WITH vectors AS ({_VECTORS.format(scale=1024)}
+),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
+  FROM vectors AS q JOIN vectors AS c ON c.vec_id <> q.vec_id WHERE q.vec_id % 100 = 0
+),
+numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank
+  FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM numbered WHERE rank <= 10"""
+
+HARD_NEGATIVES = f"""WITH vectors AS ({_VECTORS.format(scale=256)} AND label IS NOT NULL
+),
+labelled AS (
+  SELECT vec_id, v, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label FROM vectors
+),
+scored AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same,
+         list_dot_product(a.v, c.v)::BIGINT AS score
+  FROM labelled AS a JOIN labelled AS c ON c.vec_id <> a.vec_id WHERE a.vec_id % 100 = 0
+),
+positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+),
+negatives AS (
+  SELECT anchor_id, positive_id, positive_score, vec_id AS negative_id, score AS negative_score,
+         row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::INTEGER AS rank
+  FROM positives JOIN scored USING (anchor_id)
+  WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score
+FROM negatives WHERE rank <= 10"""

@@ -12,12 +12,14 @@ from tidewater.llm import (
     langid,
     line_rules,
     merkle,
+    negatives,
     neural_lm,
     oracle,
     packing,
     simhash,
     suffixes,
     token_rollup,
+    topk,
 )
 from tidewater.session import new_folder
 
@@ -101,6 +103,20 @@ def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op12_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    return topk.top_k(_table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Every seventh row is labelled anew."""
+    vec_id, label = F.col("vec_id"), F.col("label")
+    return negatives.hard_negatives(
+        _table(spark, folder, "embeddings"),
+        F.when(label.isNotNull() & (vec_id % 7 == 0), (label + 1) % 10).otherwise(label),
+        vec_id % 100 == 0,
+    )
+
+
 def queries() -> dict:
     return {name: query for name, query in globals().items() if name.startswith("op")}
 
@@ -112,4 +128,6 @@ def oracle_sql() -> dict[str, str]:
         "op8_chat_windows": oracle.CHAT_WINDOWS,
         "op10_repeated_passages": oracle.REPEATED_PASSAGES,
         "op11_merkle_manifest": oracle.MERKLE_MANIFEST,
+        "op12_top_k": oracle.TOP_K,
+        "op13_hard_negatives": oracle.HARD_NEGATIVES,
     }
