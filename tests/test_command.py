@@ -4,6 +4,7 @@ import json
 
 import pytest
 from helpers import START_MS, as_lines, frame, ids, line, random_visits
+from pyspark.sql import functions as F
 
 from tidewater.__main__ import main, parser
 from tidewater.contract import PAGE_TOPIC, UNIQUE_VISITOR_TOPIC, USER_JUMP_TOPIC
@@ -23,7 +24,9 @@ def run(job, work, source, sink, *more):
 
 def test_logs_to_visitors_and_jumps(spark):
     folder = new_folder(spark, "test")
-    lines = frame(spark, as_lines(random_visits(100, seed=9)) + [line("x", START_MS + 10**9, last="q", id=-1)])
+    # The last lines close the windows, in both partitions.
+    closing = [line("x", START_MS + 10**9, last="q", id=-1)] * 3
+    lines = frame(spark, as_lines(random_visits(100, seed=9)) + closing)
     lines.write.parquet(f"{folder}/log")
     run("log-split", f"{folder}/split", f"{folder}/log", f"{folder}/facts")
     pages = f"{folder}/facts/batch_id=*/topic={PAGE_TOPIC}"
@@ -76,3 +79,48 @@ def test_arguments():
     with pytest.raises(SystemExit):
         parser().parse_args(["unknown", "--work", "x"])
     assert parser().parse_args(["user-jumps", "--work", "x"]).source == "kafka"
+
+
+def test_dimensions_by_a_config_log(spark):
+    """Routes come from a log only; the table follows them."""
+    folder = new_folder(spark, "test")
+    changes = [json.dumps({"database": "d", "table": "t", "type": "insert", "data": {"id": i, "n": "x", "m": "y"}}) for i in (1, 2)]
+    row = {"source_table": "t", "sink_table": "dim_t", "sink_columns": "id, n", "sink_pk": None, "sink_extend": None}
+    config = [json.dumps({"before": None, "after": row}), "no change"]
+    frame(spark, config).withColumn("timestamp", F.expr("timestamp - interval 1 day")).write.parquet(f"{folder}/config")
+    frame(spark, changes).write.parquet(f"{folder}/db")
+    name = f"db_{folder[-8:]}"
+    more = ["--config-option", f"path={folder}/config", "--target-database", name, "--trim"]
+    run("dimensions", f"{folder}/work", f"{folder}/db", f"{folder}/facts", *more)
+    rows = {tuple(row) for row in spark.table(f"{name}.dim_t").select("id", "n").collect()}
+    assert rows == {("1", "x"), ("2", "x")}
+    assert spark.table(f"{name}.dim_t").columns == ["id", "n"]
+
+
+def test_settings_reach_the_jobs(spark):
+    """A page five seconds on, judged by a window of two; and one that is sent again."""
+    folder = new_folder(spark, "test")
+    text = [line("a", START_MS, id=1), line("a", START_MS + 5000, id=2), line("a", START_MS + 5000, id=2), line("z", START_MS + 10**6, id=3)]
+    header = lambda name, value: F.struct(F.lit(name).alias("key"), value.cast("string").cast("binary").alias("value"))
+    # The third line is the second one again.
+    place = F.when(F.col("offset") == 2, 1).otherwise(F.col("offset"))
+    rows = frame(spark, text).withColumn("partition", F.lit(0)).withColumn("headers", F.array(header("source-partition", F.lit(0)), header("source-offset", place)))
+    rows.write.parquet(f"{folder}/pages")
+    for more, expected in ((["--within-ms", "2000"], [1, 2]), (["--hot-rows", "1"], [1, 2]), (["--keep-seen", "", "--within-ms", "2000"], [1, 2, 2])):
+        work = f"{folder}/work-{len(expected)}-{len(more)}"
+        run("user-jumps", work, f"{folder}/pages", f"{work}/facts", *more)
+        assert ids(read_topic(spark, f"{work}/facts").collect()) == expected
+
+
+def test_config_topic_and_headers_of_kafka(monkeypatch):
+    from tidewater import __main__ as command
+
+    asked = []
+    monkeypatch.setattr(command, "kafka_lines", lambda spark, options: asked.append(options) or options)
+    monkeypatch.setattr(command.jobs, "with_config", lambda changes, config: None)
+    base = ["--work", "w", "--source-option", "kafka.bootstrap.servers=h:1"]
+    command._stream(None, parser().parse_args(["user-jumps", *base]))
+    command._stream(None, parser().parse_args(["dimensions", *base, "--config-option", "startingOffsets=earliest"]))
+    assert [one["subscribe"] for one in asked] == [PAGE_TOPIC, "topic_db", "table_process"]
+    assert ["includeHeaders" in one for one in asked] == [True, False, False]
+    assert asked[2]["startingOffsets"] == "earliest" and "startingOffsets" not in asked[1]

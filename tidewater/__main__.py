@@ -4,14 +4,25 @@ from __future__ import annotations
 
 import argparse
 from collections.abc import Sequence
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewater.contract import PAGE_TOPIC, TOPIC_DB, TOPIC_LOG
+from tidewater.contract import (
+    BOUNCE_WITHIN_MS,
+    LATENESS_MS,
+    PAGE_TOPIC,
+    TOPIC_DB,
+    TOPIC_LOG,
+    VISIT_STATE_MS,
+)
+from tidewater.operators.scale import HOT_ROWS
 from tidewater.session import build_session, shuffle_partitions
 from tidewater.sinks.fanout import Sink, folder_sink, kafka_sink
 from tidewater.sources.lines import file_lines, kafka_lines, kafka_options, stored_bytes
 from tidewater.streaming import jobs
+from tidewater.streaming.jobs import IDLE
+from tidewater.streaming.replays import SeenFacts
 
 SOURCE_TOPIC = {
     "log-split": TOPIC_LOG,
@@ -22,6 +33,10 @@ SOURCE_TOPIC = {
 }
 
 
+# Where the routing config's log is looked for, unless an option names another topic.
+CONFIG_TOPIC = "table_process"
+
+
 def pairs(items: Sequence[str]) -> dict[str, str]:
     return dict(item.split("=", 1) for item in items)
 
@@ -44,18 +59,44 @@ def parser() -> argparse.ArgumentParser:
     made.add_argument("--target-topic", default="dwd_trade_cart_add")
     made.add_argument("--target-database", default="dim")
     made.add_argument("--on-error", choices=("drop", "fail"), default="drop", help="lines that are no page log")
+    made.add_argument("--config-option", action="append", default=[], metavar="K=V",
+                      help="source options of the routing config's log; --lookup is its snapshot then")
+    made.add_argument("--trim", action="store_true", help="ignore blanks around a route's columns")
+    made.add_argument("--with-action-ts", action="store_true", help="actions carry their line's time")
+    made.add_argument("--keep-seen", default="7 days", help='how long facts sent again are known; "" for never')
+    made.add_argument("--hot-rows", type=int, default=HOT_ROWS, help="a visitor of more rows is sorted in several tasks; 0: none is")
+    made.add_argument("--within-ms", type=int, default=BOUNCE_WITHIN_MS, help="time in which a bounce's next page must come")
+    made.add_argument("--lateness-ms", type=int, default=LATENESS_MS, help="how much later than the latest page one may come")
+    made.add_argument("--idle-minutes", type=float, default=IDLE.total_seconds() / 60, help="a partition without rows is not waited for after that")
+    made.add_argument("--state-hours", type=float, default=VISIT_STATE_MS / 3_600_000, help="how long a visit is known")
     made.add_argument("--buckets", type=int, default=64, help="of the visitors' state; never change it")
     made.add_argument("--batch-gb", type=float, help="size of a batch; of files without --interval, it is known")
     return made
 
 
-def _stream(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
-    options = pairs(args.source_option)
+# Jobs that read what the split has sent, and may find it twice.
+READS_FACTS = ("unique-visitors", "user-jumps")
+
+
+def _lines(
+    spark: SparkSession, args: argparse.Namespace, options: dict[str, str], topic: str
+) -> DataFrame:
+    headers = args.job in READS_FACTS
     if args.source == "files":
-        return file_lines(spark, options.pop("path"), **options)
+        return file_lines(spark, options.pop("path"), headers=headers, **options)
     servers = options.pop("kafka.bootstrap.servers", "")
-    topic = options.pop("subscribe", SOURCE_TOPIC[args.job])
-    return kafka_lines(spark, kafka_options(servers, topic) | options)
+    topic = options.pop("subscribe", topic)
+    return kafka_lines(spark, kafka_options(servers, topic, headers=headers) | options)
+
+
+def _stream(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
+    options = pairs(args.source_option)
+    lines = _lines(spark, args, dict(options), SOURCE_TOPIC[args.job])
+    if args.job != "dimensions" or not args.config_option:
+        return lines
+    # The same servers and settings, another topic or path.
+    config = _lines(spark, args, options | pairs(args.config_option), CONFIG_TOPIC)
+    return jobs.with_config(lines, config)
 
 
 def _sink(args: argparse.Namespace) -> Sink:
@@ -73,22 +114,33 @@ def _process(args: argparse.Namespace) -> jobs.Process:
         return spark.read.format(args.lookup).options(**pairs(args.lookup_option)).load()
 
     if args.job == "dimensions":
+        log = jobs.config_log(f"{work}/config-log") if args.config_option else None
+        if log is None and not args.lookup_option:
+            raise SystemExit("dimensions needs --lookup-option or --config-option")
         return jobs.dimensions(
-            jobs.dimension_values(f"{work}/values"), lookup, args.target_database,
-            f"{work}/tables", source_database=args.database, drops=drops,
-        )
+            jobs.dimension_values(f"{work}/values"), lookup if args.lookup_option else None,
+            args.target_database, f"{work}/tables", source_database=args.database, drops=drops,
+            log=log, trim=args.trim,
+        )
     sink = _sink(args)
+    hot_rows = args.hot_rows or None
+    seen = SeenFacts(f"{work}/seen", args.keep_seen) if args.keep_seen else None
     if args.job == "log-split":
-        return jobs.log_split(jobs.first_visits(f"{work}/visits", args.buckets), sink, args.shape)
+        return jobs.log_split(
+            jobs.first_visits(f"{work}/visits", args.buckets), sink, args.shape,
+            with_action_ts=args.with_action_ts,
+        )
     if args.job == "unique-visitors":
         return jobs.unique_visitors(
-            jobs.last_visits(f"{work}/visits", args.buckets), sink, on_error=args.on_error, drops=drops
-        )
+            jobs.last_visits(f"{work}/visits", args.buckets), sink, on_error=args.on_error,
+            drops=drops, seen=seen, hot_rows=hot_rows, state_ms=int(args.state_hours * 3_600_000),
+        )
     if args.job == "user-jumps":
         return jobs.user_jumps(
             jobs.open_pages(f"{work}/open"), jobs.high_marks(f"{work}/marks"), sink,
-            on_error=args.on_error, drops=drops,
-        )
+            args.within_ms, args.lateness_ms, hot_rows=hot_rows, on_error=args.on_error,
+            drops=drops, seen=seen, idle=timedelta(minutes=args.idle_minutes),
+        )
     if not args.database:
         raise SystemExit("cart-adds needs --database")
     return jobs.cart_adds(

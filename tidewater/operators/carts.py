@@ -2,18 +2,23 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidewater.contract import CART_COLUMNS, CART_TABLE
 from tidewater.operators.scale import BROADCAST_ROWS, lookup_side
 
 
-def cart_adds(changes: DataFrame, database: str, scoped: bool = False) -> DataFrame:
+def cart_adds(
+    changes: DataFrame, database: str, scoped: bool = False, keep: Sequence[str] = ()
+) -> DataFrame:
     """Rows put into a cart: inserts, and updates that raised the quantity.
 
     The quantity is the number added, so for updates the difference. As in SQL
     without parentheses, where AND binds before OR, database and table restrict
-    inserts only; ``scoped`` makes them restrict updates too.
+    inserts only; ``scoped`` makes them restrict updates too. ``keep`` names columns of the
+    changes that are passed on.
     """
     new, old = _quantity("data"), _quantity("old")
     in_cart = (F.col("database") == database) & (F.col("table") == CART_TABLE)
@@ -24,7 +29,7 @@ def cart_adds(changes: DataFrame, database: str, scoped: bool = False) -> DataFr
     columns["sku_num"] = F.when(inserted, columns["sku_num"]).otherwise(
         F.try_subtract(new, old).cast("string")
     )
-    extra = [name for name in ("pt",) if name in changes.columns]
+    extra = [name for name in ("pt", *keep) if name in changes.columns]
     return changes.where(kept).select(
         *[column.alias(name) for name, column in columns.items()], *extra
     )

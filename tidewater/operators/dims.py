@@ -4,9 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
-
-from tidewater.contract import ARRIVAL, DEFAULT_KEY_COLUMN, DIMENSION_CHANGE_TYPES
+from pyspark.sql import Column, DataFrame, Window, functions as F
+
+from tidewater.contract import (
+    ARRIVAL,
+    CONFIG_COLUMNS,
+    DEFAULT_KEY_COLUMN,
+    DIMENSION_CHANGE_TYPES,
+)
 from tidewater.operators.scale import BROADCAST_ROWS, lookup_side, order_key
 
 
@@ -27,13 +32,14 @@ def listed_columns(trim: bool = False) -> Column:
     return F.transform(listed, lambda name: F.trim(name)) if trim else listed
 
 
-def _routes(config: DataFrame, trim: bool, max_rows: int) -> DataFrame:
+def _routes(config: DataFrame, trim: bool, max_rows: int, *more: str) -> DataFrame:
     return lookup_side(
         config.select(
             F.col("source_table").alias("table"),
             "sink_table",
             listed_columns(trim).alias("sink_columns"),
             key_column().alias("key_column"),
+            *more,
         ),
         max_rows,
     )
@@ -47,17 +53,77 @@ def route(
     Names must match exactly; with ``trim``, blanks around the listed names are
     ignored. Rows of tables without a config are left out; see ``unrouted``.
     """
+    joined = changes.join(_routes(config, trim, max_rows), "table", "inner")
+    return _cut(joined, changes.columns)
+
+
+def _cut(joined: DataFrame, columns: Sequence[str]) -> DataFrame:
     listed = F.map_filter(
         F.col("data"), lambda name, _: F.array_contains(F.col("sink_columns"), name)
     )
     return (
-        changes.join(_routes(config, trim, max_rows), "table", "inner")
-        .withColumn("data", listed)
+        joined.withColumn("data", listed)
         .withColumn("key", F.col("data")[F.col("key_column")])
-        .select(*changes.columns, "sink_table", "key")
+        .select(*columns, "sink_table", "key")
     )
 
 
+def route_versions(config_changes: DataFrame, arrival: Sequence[str] = ARRIVAL) -> DataFrame:
+    """When each route was in force: the config's columns, ``valid_from`` and ``valid_to``.
+
+    A version lasts from its arrival (NULL: ever since) until the next change of the same
+    source table arrives (NULL: to this day). Of changes that arrive at the same time, the
+    last one counts. Removed routes are times without a version.
+    """
+    order = Window.partitionBy("source_table").orderBy(*arrival)
+    at = F.col(arrival[0])
+    return (
+        config_changes.withColumn("valid_to", F.lead(at).over(order))
+        .withColumn("valid_from", at)
+        .where(~F.col("removed"))
+        .where(F.col("valid_from").isNull() | F.col("valid_to").isNull() | (F.col("valid_from") < F.col("valid_to")))
+        .select(*CONFIG_COLUMNS, "valid_from", "valid_to")
+    )
+
+
+def _in_force(changes: DataFrame, routes: DataFrame, at: str) -> Column:
+    time = changes[at]
+    return (
+        (changes["table"] == routes["table"])
+        & (routes["valid_from"].isNull() | (time >= routes["valid_from"]))
+        & (routes["valid_to"].isNull() | (time < routes["valid_to"]))
+    )
+
+
+def route_as_of(
+    changes: DataFrame,
+    versions: DataFrame,
+    at: str = ARRIVAL[0],
+    trim: bool = False,
+    max_rows: int = BROADCAST_ROWS,
+) -> DataFrame:
+    """Like ``route``, by the version that was in force when the row arrived (column ``at``).
+
+    So a backfill, or a batch that runs again, routes rows as at first, whatever has become
+    of the config since. At most one version fits, since those of a table do not overlap.
+    """
+    routes = _routes(versions, trim, max_rows, "valid_from", "valid_to")
+    joined = changes.join(routes, _in_force(changes, routes, at)).drop(routes["table"])
+    return _cut(joined, changes.columns)
+
+
+def unrouted_as_of(
+    changes: DataFrame,
+    versions: DataFrame,
+    at: str = ARRIVAL[0],
+    max_rows: int = BROADCAST_ROWS,
+) -> DataFrame:
+    """Rows of tables that had no route when the row arrived."""
+    known = versions.select(F.col("source_table").alias("table"), "valid_from", "valid_to")
+    routes = lookup_side(known, max_rows)
+    return changes.join(routes, _in_force(changes, routes, at), "left_anti")
+
+
 def unrouted(changes: DataFrame, config: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Rows of tables the config does not know."""
     known = lookup_side(config.select(F.col("source_table").alias("table")), max_rows)

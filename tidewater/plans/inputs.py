@@ -226,3 +226,43 @@ def config_change_lines(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "part").select(
         F.to_json(fields, {"ignoreNullFields": "false"}).alias("value"), number.alias("offset")
     )
+
+
+# Every so many offsets of the change rows, the routes below change.
+ROUTE_STEP = 20
+
+
+def route_log_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """``value, offset`` from ``nation``: changes of the routes of three source tables.
+
+    Version k comes at offset ``ROUTE_STEP`` * k. Odd ones lead to another table and list the
+    key only; every fifth, from the fourth on, takes the routes away.
+    """
+    number = F.col("n_nationkey").cast("bigint")
+    sources = F.array(
+        *[
+            F.struct(F.lit(name).alias("source"), F.lit(key).alias("key"), F.lit(columns[1]).alias("title"))
+            for name, key, columns in _DIMENSIONS[:3]
+        ]
+    )
+    routes = table(spark, folder, "nation").select(
+        number.alias("number"), F.explode(sources).alias("one")
+    )
+    source = F.col("one.source")
+    row = F.struct(
+        source.alias("source_table"),
+        F.concat(F.lit("dim_"), source, F.lit("_"), (F.col("number") % 2).cast("string")).alias("sink_table"),
+        F.when(F.col("number") % 2 == 0, F.concat_ws(",", "one.key", "one.title"))
+        .otherwise(F.col("one.key")).alias("sink_columns"),
+        F.col("one.key").alias("sink_pk"),
+        F.lit(None).cast("string").alias("sink_extend"),
+    )
+    removed = F.col("number") % 5 == 3
+    fields = F.struct(
+        F.when(removed, F.struct(source.alias("source_table"))).alias("before"),
+        F.when(~removed, row).alias("after"),
+    )
+    return routes.select(
+        F.to_json(fields, {"ignoreNullFields": "false"}).alias("value"),
+        (F.col("number") * ROUTE_STEP).alias("offset"),
+    )

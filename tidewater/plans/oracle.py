@@ -235,6 +235,32 @@ SELECT "table", key FROM changes WHERE "table" = 'nation'"""
          row_number() OVER (PARTITION BY sink_table, key, "column" ORDER BY version DESC) AS age
   FROM routed
 )
+SELECT sink_table, key, "column", value FROM ranked WHERE age = 1"""
+    asof = f"""{_DIMENSIONS},
+arrivals AS (
+  SELECT changes.*, CAST(key AS BIGINT) * 2 + version AS arrival,
+         least(24, (CAST(key AS BIGINT) * 2 + version) // 20) AS k FROM changes
+),
+routed_then AS (
+  SELECT "table", 'dim_' || "table" || '_' || CAST(k % 2 AS VARCHAR) AS sink_table, key,
+         CASE "table" WHEN 'customer' THEN 'c_custkey' WHEN 'supplier' THEN 's_suppkey'
+              ELSE 'p_partkey' END AS "column", key AS value, arrival
+  FROM arrivals WHERE "table" <> 'nation' AND k % 5 <> 3
+  UNION ALL
+  SELECT "table", 'dim_' || "table" || '_0', key,
+         CASE "table" WHEN 'customer' THEN 'c_name' WHEN 'supplier' THEN 's_name' ELSE 'p_name' END,
+         title, arrival
+  FROM arrivals WHERE "table" <> 'nation' AND k % 5 <> 3 AND k % 2 = 0
+)"""
+    sql["dim_route_asof"] = f"""WITH {asof}
+SELECT "table", sink_table, key, "column", value, arrival FROM routed_then"""
+    sql["dim_unrouted_asof"] = f"""WITH {asof}
+SELECT "table", key, arrival FROM arrivals WHERE "table" = 'nation' OR k % 5 = 3"""
+    sql["dim_config_stream"] = f"""WITH {asof}, ranked AS (
+  SELECT sink_table, key, "column", value,
+         row_number() OVER (PARTITION BY sink_table, key, "column" ORDER BY arrival DESC) AS age
+  FROM routed_then
+)
 SELECT sink_table, key, "column", value FROM ranked WHERE age = 1"""
     sql["fn_to_date"] = "SELECT event_id, strftime(ts, '%Y-%m-%d') AS day FROM events"
     sql["fn_to_ymd_hms"] = (
@@ -248,6 +274,8 @@ SELECT o_orderkey, epoch_us(date_trunc('day', o_orderdate)) // 1000 - 28800000 A
         ("visitor_flag_stream", "visitor_flag_repair"),
         ("unique_visitor_stream", "unique_visitor_detail"),
         ("user_jump_stream", "user_jump_detail"),
+        ("user_jump_replay_stream", "user_jump_detail"),
+        ("user_jump_partitions_stream", "user_jump_detail"),
         ("cart_add_stream", "cart_add_enriched"),
         ("dim_upsert_stream", "dim_upsert_latest"),
     ):

@@ -17,7 +17,7 @@ from tidewater.functions.times import to_date_text, to_epoch_ms, to_second_text
 from tidewater.operators import bounces, carts, dims, logs, visitors
 from tidewater.plans import inputs
 from tidewater.plans.inputs import DATABASE, OFFSET
-from tidewater.sources.changes import decode_changes, decode_config
+from tidewater.sources.changes import config_changes, decode_changes, decode_config
 
 # The test events are hours apart, so bounces are sought within hours too.
 WITHIN_MS = 6 * 3_600_000
@@ -265,6 +265,23 @@ def dim_upsert_latest(spark: SparkSession, folder: str) -> DataFrame:
     return dims.latest_values(values, OFFSET).select("sink_table", "key", "column", "value")
 
 
+def dim_route_asof(spark: SparkSession, folder: str) -> DataFrame:
+    """Each row by the route that was in force when it came; the routes change all the time."""
+    changes = config_changes(inputs.route_log_lines(spark, folder), OFFSET)
+    versions = dims.route_versions(changes, OFFSET)
+    routed = dims.route_as_of(_dimension_changes(spark, folder), versions, OFFSET[0])
+    return dims.routed_values(routed, OFFSET, keep=("table",)).select(
+        "table", "sink_table", "key", "column", "value", F.col("offset").alias("arrival")
+    )
+
+
+def dim_unrouted_asof(spark: SparkSession, folder: str) -> DataFrame:
+    changes = config_changes(inputs.route_log_lines(spark, folder), OFFSET)
+    versions = dims.route_versions(changes, OFFSET)
+    rest = dims.unrouted_as_of(_dimension_changes(spark, folder), versions, OFFSET[0])
+    return rest.select("table", _any_key(), F.col("offset").alias("arrival"))
+
+
 def _event_times(spark: SparkSession, folder: str) -> DataFrame:
     events = inputs.table(spark, folder, "events")
     return events.select("event_id", F.unix_millis(F.col("ts").cast("timestamp")).alias("ms"))
@@ -296,5 +313,5 @@ BATCH = (
     user_jump_match, user_jump_timeout, user_jump_detail,
     cdc_decode, cart_add, cart_add_scoped, cart_add_enriched,
     dim_change_filter, dim_config_decode, dim_schema_plan, dim_route, dim_unrouted,
-    dim_upsert_latest, fn_to_date, fn_to_ymd_hms, fn_to_ts,
+    dim_route_asof, dim_unrouted_asof, dim_upsert_latest, fn_to_date, fn_to_ymd_hms, fn_to_ts,
 )

@@ -23,11 +23,11 @@ def folder_sink(path: str, partition_by: Sequence[str] = ("topic",)) -> Sink:
 ORIGIN = ("partition", "offset", "nth")
 
 
-def kafka_records(rows: DataFrame) -> DataFrame:
+def kafka_records(rows: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
     """Records as Spark's Kafka writer wants them; no value becomes an empty one.
 
     Headers name the source's partition and offset and the fact's number in its line,
-    so that consumers can tell a fact that was sent twice.
+    so that consumers can tell a fact that was sent twice: see ``streaming.replays``.
     """
     headers = [
         F.struct(
@@ -38,7 +38,7 @@ def kafka_records(rows: DataFrame) -> DataFrame:
         if name in rows.columns
     ]
     columns = ["topic", F.coalesce("value", F.lit("")).cast("binary").alias("value")]
-    return rows.select(*columns, *[F.array(*headers).alias("headers")] * bool(headers))
+    return rows.select(*columns, *[F.array(*headers).alias("headers")] * bool(headers), *extra)
 
 
 def kafka_sink(servers: str, **options: str) -> Sink:

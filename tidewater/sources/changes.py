@@ -43,6 +43,25 @@ def decode_changes(lines: DataFrame, processing_time: bool = False) -> DataFrame
     return flagged_changes(lines, processing_time).where("_good").drop("_good")
 
 
+def config_changes(lines: DataFrame, arrival: Sequence[str] = ARRIVAL) -> DataFrame:
+    """Every change of a route: ``source_table, removed``, the config's columns and arrival.
+
+    Lines that are no change of a config row, or name no source table, give none.
+    """
+    after = F.col("row")["after"]
+    source = F.coalesce(after["source_table"], F.col("row")["before"]["source_table"])
+    return (
+        _decode(lines, CONFIG_CHANGE_FIELDS)
+        .select(
+            source.alias("source_table"),
+            after.isNull().alias("removed"),
+            *[after[name].alias(name) for name in CONFIG_COLUMNS if name != "source_table"],
+            *arrival,
+        )
+        .where(F.col("source_table").isNotNull())
+    )
+
+
 def decode_config(lines: DataFrame, arrival: Sequence[str] = ARRIVAL) -> DataFrame:
     """Routing config now in force, one row per source table.
 

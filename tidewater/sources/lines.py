@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidewater.contract import ARRIVAL
 
 # What a file of lines must hold, and what a Kafka topic gives.
 LINE_SCHEMA = "value string, timestamp timestamp, partition int, offset bigint"
+HEADERS = "headers array<struct<key:string,value:binary>>"
+# Where a fact comes from, as its headers say; see ``sinks.fanout``.
+ORIGIN_COLUMNS = ("source_partition", "source_offset", "source_nth")
 
 
 def kafka_options(
@@ -18,11 +21,13 @@ def kafka_options(
     group_id: str | None = None,
     starting_offsets: str | None = None,
     max_offsets_per_trigger: int | None = None,
+    headers: bool = False,
 ) -> dict[str, str]:
     """Options of Spark's Kafka reader.
 
     Positions are kept in the query's checkpoint; ``starting_offsets`` matters only
-    for the first start. ``group_id`` is what the brokers see.
+    for the first start. ``group_id`` is what the brokers see. ``headers`` are needed to tell
+    facts that were sent twice; see ``as_lines``.
     """
     options = {"kafka.bootstrap.servers": servers, "subscribe": topic}
     if group_id:
@@ -31,14 +36,29 @@ def kafka_options(
         options["startingOffsets"] = starting_offsets
     if max_offsets_per_trigger:
         options["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
+    if headers:
+        options["includeHeaders"] = "true"
     return options
 
 
 def as_lines(records: DataFrame) -> DataFrame:
-    """``value`` as text (an empty one if the record has none) and the arrival columns."""
-    return records.select(
-        F.coalesce(F.col("value").cast("string"), F.lit("")).alias("value"), *ARRIVAL
-    )
+    """``value`` as text (an empty one if the record has none) and the arrival columns.
+
+    Records with ``headers`` also give ``source_partition, source_offset, source_nth``: where
+    the fact comes from, NULL where no header says it. Of a header that stands there twice, the
+    last one counts; one that is no number counts as none.
+    """
+    columns = [F.coalesce(F.col("value").cast("string"), F.lit("")).alias("value"), *ARRIVAL]
+    if "headers" in records.columns:
+        columns += [_header(name) for name in ORIGIN_COLUMNS]
+    return records.select(*columns)
+
+
+def _header(column: str) -> Column:
+    key = column.replace("_", "-")
+    found = F.filter("headers", lambda header: header["key"] == key)
+    text = F.try_element_at(found, F.lit(-1))["value"].cast("string")
+    return text.try_cast("bigint" if column == "source_offset" else "int").alias(column)
 
 
 def kafka_lines(spark: SparkSession, options: Mapping[str, str], stream: bool = True) -> DataFrame:
@@ -59,8 +79,11 @@ def file_lines(
     path: str,
     stream: bool = True,
     schema: str = LINE_SCHEMA,
+    headers: bool = False,
     **options: str,
 ) -> DataFrame:
-    """The same rows from a parquet folder, e.g. an archive of a topic."""
+    """The same rows from a parquet folder, e.g. an archive of a topic; see ``as_lines``."""
+    if headers:
+        schema = f"{schema}, {HEADERS}"
     reader = spark.readStream if stream else spark.read
     return as_lines(reader.schema(schema).options(**options).parquet(path))

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Sequence
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -16,6 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tidewater.contract import (
     ARRIVAL,
     BOUNCE_WITHIN_MS,
+    CONFIG_COLUMNS,
     LATENESS_MS,
     UNIQUE_VISITOR_TOPIC,
     USER_JUMP_TOPIC,
@@ -33,9 +35,14 @@ from tidewater.operators.scale import (
 from tidewater.sinks.batches import BatchTable, KeyedTable, last_per_key
 from tidewater.sinks.fanout import Sink, as_topic
 from tidewater.sinks.tables import ensure_tables, publish
-from tidewater.sources.changes import flagged_changes
+from tidewater.sources.changes import config_changes, flagged_changes
+from tidewater.streaming.replays import SeenFacts
 
 Process = Callable[[DataFrame, int], None]
+# Before all event times.
+NEVER = -(2**62)
+# A partition without rows for so long is not waited for.
+IDLE = timedelta(hours=1)
 ARRIVAL_TYPES = {"timestamp": "timestamp", "partition": "int", "offset": "bigint"}
 
 
@@ -88,6 +95,22 @@ def _bad_lines(flagged: DataFrame, reason: str) -> DataFrame:
     )
 
 
+def _left_out(marked: DataFrame) -> DataFrame:
+    """Lines that are no page log, and facts that were sent again."""
+    again = marked.agg(F.count_if(F.col("_again")).alias("count"))
+    return _bad_lines(marked.where("not _again"), "no page log").unionByName(
+        again.select(F.lit("sent again").alias("reason"), "count")
+    )
+
+
+def _marked(
+    rows: DataFrame, seen: SeenFacts | None, batch_id: int, arrival: Sequence[str]
+) -> tuple[DataFrame, DataFrame | None]:
+    if seen is None:
+        return rows.withColumn("_again", F.lit(False)), None
+    return seen.marked(rows, batch_id, arrival)
+
+
 # --- log split ---------------------------------------------------------------
 
 
@@ -118,6 +141,7 @@ def log_split(
     shape: str = "nested",
     arrival: Sequence[str] = ARRIVAL,
     merge_every: int = 100,
+    with_action_ts: bool = False,
 ) -> Process:
     """Lines to facts of all topics, flags repaired."""
 
@@ -126,8 +150,9 @@ def log_split(
             parsed, narrow = logs.parse_logs(held), logs.parse_visits(held)
             wrong = visitors.wrong_flags(anchors_so_far(narrow, visits, batch_id, arrival))
             facts = logs.split_logs(
-                visitors.apply_anchors(parsed, wrong), shape, keep=arrival, numbered=True
-            )
+                visitors.apply_anchors(parsed, wrong), shape, with_action_ts=with_action_ts,
+                keep=arrival, numbered=True,
+            )
             sink(facts, batch_id)
         if visits.due(batch_id, merge_every):
             visits.merge(lines.sparkSession, batch_id, lambda rows: rows.drop("batch_id"))
@@ -153,10 +178,12 @@ def unique_visitors(
     clock: Callable[[], int] = lambda: int(time.time() * 1000),
     on_error: str = "drop",
     drops: BatchTable | None = None,
+    seen: SeenFacts | None = None,
 ) -> Process:
     """Page-log lines to unique-visitor facts. State lives ``state_ms`` from its last write.
 
     Lines that are no page log are counted in ``drops``, or fail the job (``on_error``).
+    With ``seen``, so are facts that the topic holds twice.
     """
 
     def process(lines: DataFrame, batch_id: int) -> None:
@@ -169,13 +196,17 @@ def unique_visitors(
 
         flagged = logs.flagged_pages(lines, on_error).where("is_entry or not _good")
         with kept(flagged) as held:
-            entries = logs.entry_pages(logs.good_pages(held))
+            marked, read = _marked(held, seen, batch_id, arrival)
+            pages = marked.where("not _again").drop("_again")
+            entries = logs.entry_pages(logs.good_pages(pages))
             here = stored(entries.select("mid").distinct())
             before = visits.before(spark, batch_id, here)
             known = stored(alive(before.join(lookup_side(here), "mid", "left_semi")))
             bound = hot_bound(entries, hot_rows)
             found = stored(visitors.unique_visitors(entries, arrival, known, bound))
-            _report(drops, batch_id, "unique-visitors", _bad_lines(held, "no page log"))
+            _report(drops, batch_id, "unique-visitors", _left_out(marked))
+            if seen is not None:
+                seen.record(spark, batch_id, read)
         sink(as_topic(found.select("value", *arrival), UNIQUE_VISITOR_TOPIC), batch_id)
         visits.add(
             batch_id,
@@ -201,8 +232,40 @@ def open_pages(path: str, arrival: Sequence[str] = ARRIVAL) -> BatchTable:
 
 
 def high_marks(path: str) -> BatchTable:
-    """Highest event time so far, and how many rows have come too late so far."""
-    return BatchTable(path, "high bigint, late bigint")
+    """Of each partition of the topic, the highest event time and the last arrival so far, and
+    how many rows came too late; and the time all of them are through with."""
+    return BatchTable(
+        path, "partition int, high bigint, seen timestamp, late bigint, closed bigint"
+    )
+
+
+def _through(marks: Sequence[Row], lateness_ms: int, idle: timedelta) -> int:
+    """The time up to which all partitions are through: no row up to it is waited for.
+
+    The slowest partition decides. One that has had no row for ``idle`` before the last
+    arrival in any partition is not waited for.
+    """
+    last = max((mark["seen"] for mark in marks if mark["seen"]), default=None)
+    awaited = [
+        mark["high"]
+        for mark in marks
+        if mark["high"] is not None and (last is None or mark["seen"] is None or last - mark["seen"] <= idle)
+    ]
+    return min(awaited, default=NEVER) - lateness_ms - 1
+
+
+def _risen(marks: Sequence[Row], here: Sequence[Row]) -> list[Row]:
+    """The partitions' marks after a batch; one row per partition, old or new."""
+    found = {mark["partition"]: mark for mark in marks}
+    for row in here:
+        old = found.get(row["partition"])
+        found[row["partition"]] = Row(
+            partition=row["partition"],
+            high=max((x["high"] for x in (old, row) if x and x["high"] is not None), default=None),
+            seen=max((x["seen"] for x in (old, row) if x and x["seen"] is not None), default=None),
+            late=row["late"] + (old["late"] if old else 0),
+        )
+    return list(found.values())
 
 
 def user_jumps(
@@ -215,31 +278,47 @@ def user_jumps(
     hot_rows: int | None = HOT_ROWS,
     on_error: str = "drop",
     drops: BatchTable | None = None,
+    seen: SeenFacts | None = None,
+    idle: timedelta = IDLE,
 ) -> Process:
     """Page-log lines to bounce facts, in event time.
 
     Lines that are no page log are counted in ``drops``, or fail the job (``on_error``).
-
-    The watermark trails the highest event time by ``lateness_ms``. Rows behind
-    the watermark of the batches before are dropped and counted. A page is settled
-    once no row still to come can be its next page within the window.
+    With ``seen``, so are facts that the topic holds twice: the second would be taken
+    for the visitor's next page.
+
+    The watermark trails the highest event time of the slowest partition by ``lateness_ms``;
+    a partition without rows for ``idle`` (by arrival times, so that a batch that runs again
+    sees the same) is not waited for. The watermark never falls. Rows behind the watermark of
+    the batches before are dropped and counted. A page is settled once no row still to come
+    can be its next page within the window.
     """
 
     def process(lines: DataFrame, batch_id: int) -> None:
         spark = lines.sparkSession
-        mark = marks.before(spark, batch_id).first()
-        high, late_before = (mark["high"], mark["late"]) if mark else (None, 0)
+        # One row per partition of the topic.
+        known = marks.before(spark, batch_id).drop("batch_id").collect()
+        closed_before = max((mark["closed"] for mark in known), default=NEVER)
         with kept(logs.flagged_pages(lines, on_error).drop("dt")) as held:
-            pages = logs.good_pages(held)
-            closed_before = -(2**62) if high is None else high - lateness_ms - 1
-            seen = pages.agg(
-                F.max("ts").alias("high"), F.count_if(F.col("ts") <= closed_before).alias("late")
-            ).first()
-            high = max(value for value in (high, seen["high"], -(2**62)) if value is not None)
-            closed = high - lateness_ms - 1
-            rows = pages.where(F.col("ts") > closed_before).unionByName(
-                pages_open.before(spark, batch_id).drop("batch_id")
+            marked, read = _marked(held, seen, batch_id, arrival)
+            pages = logs.good_pages(marked.where("not _again").drop("_again"))
+            partition = F.col("partition") if "partition" in arrival else F.lit(0)
+            arrived = F.col("timestamp") if "timestamp" in arrival else F.lit(None).cast("timestamp")
+            here = (
+                pages.groupBy(partition.cast("int").alias("partition"))
+                .agg(
+                    F.max("ts").alias("high"),
+                    F.max(arrived).alias("seen"),
+                    F.count_if(F.col("ts") <= closed_before).alias("late"),
+                )
+                .collect()
             )
+            risen = _risen(known, here)
+            closed = max(closed_before, _through(risen, lateness_ms, idle))
+            rows = pages.where(F.col("ts") > closed_before).select(
+                "value", *arrival, "mid", "ts", "is_entry"
+            )
+            rows = rows.unionByName(pages_open.before(spark, batch_id).drop("batch_id"))
             settled = (F.col("ts") <= closed) & (
                 ~F.col("is_entry")
                 | F.coalesce(F.col("next_ts") <= closed, F.lit(False))
@@ -251,7 +330,9 @@ def user_jumps(
                 .withColumn("kind", bounces.bounce_kind(within_ms))
                 .where(~F.col("settled") | F.col("kind").isNotNull())
             )
-            _report(drops, batch_id, "user-jumps", _bad_lines(held, "no page log"))
+            _report(drops, batch_id, "user-jumps", _left_out(marked))
+            if seen is not None:
+                seen.record(spark, batch_id, read)
         sink(
             as_topic(judged.where("settled").select("value", *arrival), USER_JUMP_TOPIC), batch_id
         )
@@ -259,13 +340,8 @@ def user_jumps(
         pages_open.replace(
             batch_id, still_open.select("value", *arrival, "mid", "ts", "is_entry")
         )
-        marks.replace(
-            batch_id,
-            spark.range(1).select(
-                F.lit(high).cast("bigint").alias("high"),
-                F.lit(late_before + seen["late"]).cast("bigint").alias("late"),
-            ),
-        )
+        now = [(m["partition"], m["high"], m["seen"], m["late"], closed) for m in risen]
+        marks.replace(batch_id, spark.createDataFrame(now, marks.schema))
 
     return process
 
@@ -292,17 +368,25 @@ def cart_adds(
     scoped: bool = False,
     drops: BatchTable | None = None,
 ) -> Process:
-    """Change lines to cart-add facts; the dictionary is read anew for every batch."""
+    """Change lines to cart-add facts; the dictionary is read anew for every batch.
+
+    Facts carry the arrival of their change, which the Kafka sink puts into headers.
+    """
 
     def process(lines: DataFrame, batch_id: int) -> None:
         with kept(flagged_changes(lines, processing_time=True)) as held:
-            found = carts.cart_adds(held.where("_good").drop("_good"), database, scoped)
+            good = held.where("_good").drop("_good")
+            arrival = [name for name in ARRIVAL if name in good.columns]
+            found = carts.cart_adds(good, database, scoped, keep=arrival)
             if load_dictionary is not None:
                 # Stored, so that it is counted and sent as one state of the table.
                 dictionary = stored(load_dictionary(lines.sparkSession))
                 found = carts.with_source_type_name(found, dictionary)
-            text = F.to_json(F.struct(*found.columns)).alias("value")
-            sink(as_topic(found.select(text), topic), batch_id)
+            names = [name for name in found.columns if name not in arrival]
+            text = F.to_json(F.struct(*names)).alias("value")
+            # A change gives one fact at most: the first of its line.
+            facts = found.select(text, *arrival, F.lit(0).alias("nth"))
+            sink(as_topic(facts, topic), batch_id)
             _report(drops, batch_id, "cart-adds", _bad_lines(held, "no change row"))
 
     return process
@@ -327,18 +411,68 @@ def current_values(
     return dims.latest_values(rows, ("batch_id", *arrival)).drop("batch_id")
 
 
+def config_log(path: str, arrival: Sequence[str] = ARRIVAL) -> BatchTable:
+    """All changes of the routing config so far, by arrival."""
+    columns = ", ".join(f"{name} string" for name in CONFIG_COLUMNS if name != "source_table")
+    return BatchTable(
+        path, f"source_table string, removed boolean, {columns}, {arrival_schema(arrival)}"
+    )
+
+
+# Which of two topics a line of a stream over both is from.
+CHANGES, CONFIG = "changes", "config"
+
+
+def with_config(changes: DataFrame, config: DataFrame) -> DataFrame:
+    """One stream of change lines and lines of the config's log, told apart by ``stream``."""
+    both = [
+        lines.select("value", *ARRIVAL, F.lit(name).alias("stream"))
+        for lines, name in ((changes, CHANGES), (config, CONFIG))
+    ]
+    return both[0].unionByName(both[1])
+
+
+def _record_config(
+    log: BatchTable,
+    lines: DataFrame,
+    batch_id: int,
+    load_config: Callable[[SparkSession], DataFrame] | None,
+    arrival: Sequence[str],
+) -> DataFrame:
+    """Add the batch's changes of the config; the versions known after it.
+
+    The first batch takes a snapshot, if there is one to load: routes in force ever since,
+    until the log says otherwise. A change that the snapshot has already, because the log is
+    read from an earlier point, is a version of its own from its arrival on, as it was.
+    """
+    spark = lines.sparkSession
+    new = config_changes(lines.where(F.col("stream") == CONFIG), arrival)
+    if load_config is not None and log.before(spark, batch_id).isEmpty():
+        routes = load_config(spark).select(*CONFIG_COLUMNS, F.lit(False).alias("removed"))
+        new = new.unionByName(routes, allowMissingColumns=True)
+    log.add(batch_id, new)
+    return stored(dims.route_versions(log.before(spark, batch_id + 1), arrival))
+
+
 def dimensions(
     store: BatchTable,
-    load_config: Callable[[SparkSession], DataFrame],
+    load_config: Callable[[SparkSession], DataFrame] | None,
     database: str,
     tables_path: str,
     arrival: Sequence[str] = ARRIVAL,
     source_database: str | None = None,
     merge_every: int = 10,
     drops: BatchTable | None = None,
+    log: BatchTable | None = None,
+    trim: bool = False,
 ) -> Process:
     """Change lines to dimension tables, by the config as it is when the batch starts.
 
+    With ``log``, by the config as it was when each row arrived: the stream has the lines of
+    the config's log too (``with_config``), and ``load_config`` gives the snapshot it starts
+    from, read once. Every row is judged by the versions known by the end of its batch.
+    ``trim`` ignores blanks around the columns a route lists.
+
     Every batch ends with new snapshots of the tables it changed, so they can be read at
     once, and after a restart. Its values are added to the store, and merged there every
     ``merge_every`` batches. A row without a key fails the batch; lines that are no
@@ -348,12 +482,22 @@ def dimensions(
 
     def process(lines: DataFrame, batch_id: int) -> None:
         spark = lines.sparkSession
-        config = stored(load_config(spark))
+        if log is None:
+            config = stored(load_config(spark))
+        else:
+            config = _record_config(log, lines, batch_id, load_config, arrival)
+            lines = lines.where(F.col("stream") == CHANGES)
+        if trim:
+            config = config.withColumn("sink_columns", F.array_join(dims.listed_columns(True), ","))
         tables = ensure_tables(spark, config, database, tables_path, known)
         with kept(flagged_changes(lines)) as held:
             good = held.where("_good").drop("_good")
             changes = dims.dimension_changes(good, source_database)
-            routed = dims.route(changes, config)
+            if log is None:
+                routed, rest = dims.route(changes, config), dims.unrouted(changes, config)
+            else:
+                routed = dims.route_as_of(changes, config, arrival[0])
+                rest = dims.unrouted_as_of(changes, config, arrival[0])
             key = F.when(F.col("key").isNotNull(), F.col("key")).otherwise(
                 F.raise_error(F.concat(F.lit("change without a key for "), F.col("sink_table")))
             )
@@ -364,7 +508,7 @@ def dimensions(
                     "key", "column", "value", *arrival, "sink_table"
                 ),
             )
-            unrouted = dims.unrouted(changes, config).groupBy("table").agg(F.count("*").alias("count"))
+            unrouted = rest.groupBy("table").agg(F.count("*").alias("count"))
             reason = F.concat(F.lit("no route: "), F.coalesce("table", F.lit("no table"))).alias("reason")
             bad = _bad_lines(held, "no change row").unionByName(unrouted.select(reason, "count"))
             _report(drops, batch_id, "dimensions", bad)
@@ -378,5 +522,7 @@ def dimensions(
         if store.due(batch_id, merge_every):
             merged = current_values(spark, store, arrival, before=batch_id + 1)
             store.replace(batch_id, merged.select("key", "column", "value", *arrival, "sink_table"))
+        if log is not None and log.due(batch_id, merge_every):
+            log.replace(batch_id, log.before(spark, batch_id + 1).drop("batch_id"))
 
     return process
