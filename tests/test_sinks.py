@@ -1,11 +1,11 @@
 import json
+import os
 
 import pytest
 from helpers import frame
-from pyspark.sql import Row
+from pyspark.sql import Row, functions as F
 
 from tidewater.contract import ARRIVAL
-
 from tidewater.operators import dims, logs
 from tidewater.plans.inputs import routing_config
 from tidewater.session import new_folder
@@ -144,6 +144,8 @@ def test_sources_of_one_table_add_up_their_columns(spark):
     rows.append(("c", "t", "x,z", "z", None))
     with pytest.raises(ValueError, match="differ in the key"):
         tables.planned_tables(spark.createDataFrame(rows, schema))
+    with pytest.raises(ValueError, match="_bucket"):
+        tables.planned_tables(spark.createDataFrame([("a", "t", "id,_BUCKET", None, "e")], schema))
 
 
 def test_tables_are_made_and_published(spark):
@@ -162,19 +164,67 @@ def test_tables_are_made_and_published(spark):
         ("dim_supplier", "2", "s_suppkey", "2"), ("other", "1", "s_name", "no"),
     ]
     values = spark.createDataFrame(rows, "sink_table string, key string, column string, value string")
-    tables.publish(values, made, "sinks_test", path, 0)
-    tables.publish(values.where("key = '1'"), made, "sinks_test", path, 1)
-    assert [tuple(row) for row in spark.table("sinks_test.dim_supplier").collect()] == [("1", "x'y")]
-    assert tables.snapshots(spark, f"{path}/dim_supplier") == [0, 1]
-    # A new process, whose catalogue is empty, finds the newest snapshot; and new columns.
+    tables.upsert(values, made, "sinks_test", path, 0)
+    more = [("dim_supplier", "2", "s_name", "two"), ("dim_supplier", "1", "s_name", None)]
+    tables.upsert(spark.createDataFrame(more, values.schema), made, "sinks_test", path, 1)
+    there = lambda: sorted(tuple(row) for row in spark.table("sinks_test.dim_supplier").collect())
+    assert there() == [("1", None), ("2", "two")]
+    # A new process, whose catalogue is empty, finds the newest version; and new columns.
     spark.sql("DROP TABLE sinks_test.dim_supplier")
     wider = config.replace("s_suppkey,s_name", "s_suppkey,s_name,s_more", ["sink_columns"])
     known = {}
     tables.ensure_tables(spark, config, "sinks_test", path, known)
     tables.ensure_tables(spark, wider, "sinks_test", path, known)
-    assert [tuple(row) for row in spark.table("sinks_test.dim_supplier").collect()] == [("1", "x'y", None)]
-    old = spark.read.parquet(f"{path}/dim_supplier/version=0")
-    assert sorted(tuple(row) for row in old.collect()) == [("1", "x'y"), ("2", None)]
+    assert there() == [("1", None, None), ("2", "two", None)]
     assert dims.schema_errors(config).count() == 0
-    tables.publish(values, made, "sinks_test", path, 2)
-    assert tables.snapshots(spark, f"{path}/dim_supplier") == [1, 2]
+    # A route that lists fewer columns than before leaves the others as they are.
+    last = spark.createDataFrame([("dim_supplier", "1", "s_more", "m"), ("dim_supplier", "3", "s_suppkey", "3")], values.schema)
+    for _ in range(2):
+        tables.upsert(last, made, "sinks_test", path, 7)
+        assert there() == [("1", None, "m"), ("2", "two", None), ("3", None, None)]
+
+
+def stored_files(path):
+    return {os.path.join(at, name): os.path.getsize(os.path.join(at, name)) for at, _, names in os.walk(path) for name in names if name.endswith(".parquet")}
+
+
+def test_one_changed_key_writes_one_bucket(spark):
+    """Of a table of a million rows; who reads sees whole versions, old or new."""
+    path, name = new_folder(spark, "test"), "sinks_bytes"
+    schema = "source_table string, sink_table string, sink_columns string, sink_pk string, sink_extend string"
+    config = spark.createDataFrame([("t", "wide", "key,old,note", "key", None)], schema)
+    made = tables.ensure_tables(spark, config, name, path)
+    one = F.array(*[F.struct(F.lit(c).alias("column"), F.concat(F.lit(c[0]), F.col("id").cast("string")).alias("value")) for c in ("old", "note")])
+    key = F.col("id").cast("string")
+    values = spark.range(1_000_000).select(F.lit("wide").alias("sink_table"), key.alias("key"), F.explode(
+        F.concat(one, F.array(F.struct(F.lit("key").alias("column"), key.alias("value"))))).alias("one"),
+    ).select("sink_table", "key", "one.*")
+    tables.upsert(values, made, name, path, 0)
+    first = stored_files(path)
+    old = spark.table(f"{name}.wide").where("key in ('5', '6')").orderBy("key")
+    assert [tuple(row) for row in old.collect()] == [("5", "o5", "n5"), ("6", "o6", "n6")]
+    change = spark.createDataFrame([("wide", "5", "note", "new")], "sink_table string, key string, column string, value string")
+    tables.upsert(change, made, name, path, 1)
+    second = stored_files(path)
+    written = sum(size for file, size in second.items() if file not in first)
+    assert written < 1.5 * sum(first.values()) / tables.BUCKETS
+    # A reader of the version before finds all of it; a new one the next version.
+    assert set(first) <= set(second)
+    assert [tuple(row) for row in old.collect()] == [("5", "o5", "n5"), ("6", "o6", "n6")]
+    rows = spark.table(f"{name}.wide")
+    assert rows.count() == 1_000_000
+    assert [tuple(row) for row in rows.where("key = '5'").collect()] == [("5", "o5", "new")]
+    # The version after that one deletes what nobody reads any more, and nothing else.
+    tables.upsert(change.replace("new", "newer", ["value"]), made, name, path, 2)
+    assert len(stored_files(path)) == len(second)
+    assert spark.table(f"{name}.wide").where("note = 'newer'").count() == 1
+    assert spark.table(f"{name}.wide").count() == 1_000_000
+
+
+def test_locations_name_every_bucket():
+    assert tables.table_location("/t", {}) == "/t/version=none"
+    assert tables.table_location("/t", {3: 1}) == "/t/version=1/_bucket=3"
+    assert tables.table_location("/t", {3: 1, 4: 1}) == "/t/version=1/_bucket={3,4}"
+    assert tables.table_location("/t", {3: 1, 4: 0, 5: 1}) == "/t/{version=0/_bucket=4,version=1/_bucket={3,5}}"
+    spread = {bucket: 10**6 + bucket for bucket in range(tables.BUCKETS)}
+    assert len(tables.table_location("/t", spread)) < 4000

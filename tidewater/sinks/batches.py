@@ -80,6 +80,10 @@ class BatchTable:
             return spark.createDataFrame([], f"{self.schema}, batch_id bigint")
         return frames[0] if len(frames) == 1 else frames[0].unionByName(frames[1])
 
+    def added(self, spark: SparkSession, batch_id: int) -> DataFrame:
+        """What a batch has added, as its first complete attempt wrote it."""
+        return self._read(spark, "delta", [batch_id])
+
     def _read(self, spark: SparkSession, kind: str, numbers: Sequence[int]) -> DataFrame:
         return (
             spark.read.schema(f"{self.schema}, batch_id bigint")

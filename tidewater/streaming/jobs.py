@@ -34,7 +34,7 @@ from tidewater.operators.scale import (
 )
 from tidewater.sinks.batches import BatchTable, KeyedTable, last_per_key
 from tidewater.sinks.fanout import Sink, as_topic
-from tidewater.sinks.tables import ensure_tables, publish
+from tidewater.sinks.tables import BUCKETS as TABLE_BUCKETS, ensure_tables, upsert
 from tidewater.sources.changes import config_changes, flagged_changes
 from tidewater.streaming.replays import SeenFacts
 
@@ -395,17 +395,20 @@ def cart_adds(
 # --- dimensions --------------------------------------------------------------
 
 
-def dimension_values(path: str, arrival: Sequence[str] = ARRIVAL) -> BatchTable:
+def dimension_values(
+    path: str, arrival: Sequence[str] = ARRIVAL, buckets: int = 64
+) -> KeyedTable:
     """Latest values of all dimension tables, one row per table, key and column."""
-    return BatchTable(
+    return KeyedTable(
         path,
-        f"key string, column string, value string, {arrival_schema(arrival)}, sink_table string",
-        partition_by=("sink_table",),
+        f"sink_table string, key string, column string, value string, {arrival_schema(arrival)}",
+        "key",
+        buckets,
     )
 
 
 def current_values(
-    spark: SparkSession, store: BatchTable, arrival: Sequence[str], before: int = 2**62
+    spark: SparkSession, store: KeyedTable, arrival: Sequence[str], before: int = 2**62
 ) -> DataFrame:
     rows = store.before(spark, before)
     return dims.latest_values(rows, ("batch_id", *arrival)).drop("batch_id")
@@ -455,7 +458,7 @@ def _record_config(
 
 
 def dimensions(
-    store: BatchTable,
+    store: KeyedTable,
     load_config: Callable[[SparkSession], DataFrame] | None,
     database: str,
     tables_path: str,
@@ -465,6 +468,7 @@ def dimensions(
     drops: BatchTable | None = None,
     log: BatchTable | None = None,
     trim: bool = False,
+    buckets: int = TABLE_BUCKETS,
 ) -> Process:
     """Change lines to dimension tables, by the config as it is when the batch starts.
 
@@ -473,9 +477,9 @@ def dimensions(
     from, read once. Every row is judged by the versions known by the end of its batch.
     ``trim`` ignores blanks around the columns a route lists.
 
-    Every batch ends with new snapshots of the tables it changed, so they can be read at
-    once, and after a restart. Its values are added to the store, and merged there every
-    ``merge_every`` batches. A row without a key fails the batch; lines that are no
+    Every batch ends with new versions of the tables it changed, so they can be read at once,
+    and after a restart; only those of their ``buckets`` that have a changed key are written.
+    Its values are added to the store, and merged there every ``merge_every`` batches. A row without a key fails the batch; lines that are no
     change row and rows of tables without a route are counted in ``drops``.
     """
     known: dict[str, Row] = {}
@@ -502,26 +506,21 @@ def dimensions(
                 F.raise_error(F.concat(F.lit("change without a key for "), F.col("sink_table")))
             )
             values = dims.routed_values(routed.withColumn("key", key), arrival)
-            store.add(
-                batch_id,
-                dims.latest_values(values, arrival).select(
-                    "key", "column", "value", *arrival, "sink_table"
-                ),
-            )
+            store.add(batch_id, dims.latest_values(values, arrival))
             unrouted = rest.groupBy("table").agg(F.count("*").alias("count"))
             reason = F.concat(F.lit("no route: "), F.coalesce("table", F.lit("no table"))).alias("reason")
             bad = _bad_lines(held, "no change row").unionByName(unrouted.select(reason, "count"))
             _report(drops, batch_id, "dimensions", bad)
-        touched = store.before(spark, batch_id + 1).where(F.col("batch_id") == batch_id)
+        touched = store.added(spark, batch_id)
         names = {row["sink_table"] for row in touched.select("sink_table").distinct().collect()}
         changed = [table for table in tables if table.sink_table in names]
-        if changed:
-            rows = current_values(spark, store, arrival, before=batch_id + 1)
-            rows = rows.where(F.col("sink_table").isin(*[table.sink_table for table in changed]))
-            publish(rows, changed, database, tables_path, batch_id)
+        upsert(touched, changed, database, tables_path, batch_id, buckets)
         if store.due(batch_id, merge_every):
-            merged = current_values(spark, store, arrival, before=batch_id + 1)
-            store.replace(batch_id, merged.select("key", "column", "value", *arrival, "sink_table"))
+            store.merge(
+                spark,
+                batch_id,
+                lambda rows: dims.latest_values(rows, ("batch_id", *arrival)).drop("batch_id"),
+            )
         if log is not None and log.due(batch_id, merge_every):
             log.replace(batch_id, log.before(spark, batch_id + 1).drop("batch_id"))
 
