@@ -7,22 +7,16 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from tidewater.contract import ARRIVAL, BOUNCE_WITHIN_MS
-from tidewater.operators.scale import HOT_ROWS, with_neighbour
+from tidewater.operators.scale import HOT_ROWS, stored, with_neighbour, with_texts
 
 
 def with_next_page(
     pages: DataFrame, arrival: Sequence[str] = ARRIVAL, hot_rows: int | None = HOT_ROWS
 ) -> DataFrame:
-    """Add the next page of the same visitor in event time: ``next_ts, next_is_entry``.
-
-    Only entry pages can be bounces, so the text of the others is left out (NULL) before
-    they are shuffled and sorted.
-    """
-    narrow = pages
-    if "value" in pages.columns:
-        narrow = pages.withColumn("value", F.when(F.col("is_entry"), F.col("value")))
+    """``mid, ts, is_entry`` and arrival of pages, and of the same visitor's next page in event
+    time: ``next_ts, next_is_entry``. Nothing else is shuffled and sorted."""
     return with_neighbour(
-        narrow,
+        pages.select("mid", "ts", "is_entry", *arrival),
         "mid",
         ("ts", *arrival),
         {"next_ts": "ts", "next_is_entry": "is_entry"},
@@ -50,14 +44,20 @@ def bounces(
     within_ms: int = BOUNCE_WITHIN_MS,
     arrival: Sequence[str] = ARRIVAL,
     hot_rows: int | None = HOT_ROWS,
+    lines: DataFrame | None = None,
 ) -> DataFrame:
-    """The bounced entry pages with their ``kind``, matches and timeouts in one pass."""
-    return (
+    """The bounced entry pages with their ``kind``, matches and timeouts in one pass.
+
+    ``mid, ts, value, kind`` and arrival. The text is fetched last, from ``lines`` (what the
+    pages were read from, so that these are not parsed again) or else from the pages.
+    """
+    found = (
         with_next_page(pages, arrival, hot_rows)
         .withColumn("kind", bounce_kind(within_ms))
         .where(F.col("kind").isNotNull())
         .drop("next_ts", "next_is_entry", "is_entry")
     )
+    return with_texts(stored(found), pages if lines is None else lines, arrival)
 
 
 def matched(found: DataFrame) -> DataFrame:

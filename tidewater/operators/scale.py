@@ -66,6 +66,42 @@ def hot_bound(frame: DataFrame, hot_rows: int | None) -> int | None:
     return None if hot_rows is None or is_small(frame, hot_rows) else hot_rows
 
 
+# What Spark's frequent-items sketch can track at most.
+_TRACKED = 1_000_000
+
+
+def hot_keys(rows: DataFrame, key: str, hot_rows: int) -> DataFrame:
+    """``key, count`` of the keys with more than ``hot_rows`` rows.
+
+    A sketch per task, merged, gives the candidates, which are counted exactly: no shuffle by
+    key. It is made large enough to miss none. Rows without a key do not count. The rows are
+    read twice, so give them stored.
+    """
+    total = rows.count()
+    tracked = max(10_000, 16 * total // hot_rows)
+    if total <= hot_rows:
+        candidates = rows.select(key).where("false")
+    elif tracked > _TRACKED:
+        candidates = rows.select(key)
+    else:
+        most = min(tracked, total // hot_rows + 1)
+        found = rows.agg(F.expr(f"approx_top_k(`{key}`, {most + 1}, {tracked})").alias("items"))
+        # A few items by construction: at most total / hot_rows keys can be hot.
+        items = found.select(F.explode("items").alias("one")).select(F.col("one.item").alias(key))
+        candidates = rows.select(key).join(F.broadcast(items), key, "left_semi")
+    return candidates.where(F.col(key).isNotNull()).groupBy(key).count().where(F.col("count") > hot_rows)
+
+
+def with_texts(found: DataFrame, rows: DataFrame, address: Sequence[str], text: str = "value") -> DataFrame:
+    """Rows found without their text, with it: by their ``address``, which must be unique.
+
+    So that texts are not carried through sorts and shuffles of which few rows come out. A
+    small result is broadcast and no text is shuffled. It is counted first, so give it stored.
+    """
+    columns = [*found.columns, text]
+    return rows.select(*address, text).join(lookup_side(found), list(address)).select(*columns)
+
+
 def order_key(columns: Sequence[str]):
     """One value that orders rows like ``columns`` do."""
     return F.col(columns[0]) if len(columns) == 1 else F.struct(*columns)
@@ -115,7 +151,8 @@ def with_neighbour(
     unique within a key. Keys with more than ``hot_rows`` rows (at most
     total / hot_rows of them) are cut into chunks along ``order``: each chunk is
     sorted in its own task, and its edge row gets its neighbour from the adjoining
-    chunk. ``hot_rows=None`` says that no key is hot and saves the counting pass.
+    chunk. Rows are evaluated once and stored to find these keys, so give narrow ones;
+    ``hot_rows=None`` says that no key is hot and saves that.
     """
     whole = Window.partitionBy(key).orderBy(*order)
 
@@ -126,17 +163,19 @@ def with_neighbour(
 
     if hot_rows is None:
         return in_window(rows, whole)
-    hot = stored(rows.groupBy(key).count().where(F.col("count") > hot_rows))
-    n_hot_rows = hot.agg(F.sum("count")).first()[0]
-    if n_hot_rows is None:
+    rows = stored(rows)
+    hot = hot_keys(rows, key, hot_rows).collect()  # few, see there
+    if not hot:
         return in_window(rows, whole)
 
-    hot_keys = lookup_side(hot.select(key))
+    n_hot_rows = sum(row["count"] for row in hot)
+    hot = rows.sparkSession.createDataFrame([(row[key], row["count"]) for row in hot], f"`{key}` {dict(rows.dtypes)[key]}, count bigint")
+    hot_side = F.broadcast(hot.select(key))
     n_chunks = max(2, -(-n_hot_rows // hot_rows))
     # The chunk numbers are used twice below, so they are stored: a second
     # evaluation could sample other range bounds.
     chunked = stored(
-        rows.join(hot_keys, key, "left_semi")
+        rows.join(hot_side, key, "left_semi")
         .repartitionByRange(n_chunks, key, *order)
         .withColumn("_chunk", F.spark_partition_id())
     )
@@ -162,5 +201,5 @@ def with_neighbour(
         )
         .drop("_chunk", "_edge", "_at_edge")
     )
-    cold = in_window(rows.join(hot_keys, key, "left_anti"), whole)
+    cold = in_window(rows.join(hot_side, key, "left_anti"), whole)
     return cold.unionByName(found)

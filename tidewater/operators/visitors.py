@@ -19,6 +19,7 @@ from tidewater.operators.scale import (
     order_key,
     stored,
     with_neighbour,
+    with_texts,
 )
 
 
@@ -115,21 +116,23 @@ def repair_new_flag(
     return apply_anchors(parsed, wrong, max_rows, hot_rows)
 
 
-def unique_visitors(
+def first_entries(
     entries: DataFrame,
     arrival: Sequence[str] = ARRIVAL,
     last_visit: DataFrame | None = None,
     hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
-    """Entry pages on another day than the visitor's entry page that arrived before.
+    """``mid, dt`` and arrival of the entry pages on another day than the visitor's entry page
+    that arrived before. Nothing else is shuffled and sorted.
 
     ``last_visit`` (``mid, last_day``) tells the day before the first of ``entries``.
     """
-    seen = with_neighbour(entries, "mid", arrival, {"_previous": "dt"}, -1, hot_rows)
+    narrow = entries.select("mid", "dt", *arrival)
+    seen = with_neighbour(narrow, "mid", arrival, {"_previous": "dt"}, -1, hot_rows)
     if last_visit is not None:
         # A visitor may have very many entries but only the first one needs the join.
         first = F.col("_previous").isNull()
-        spread = F.concat(F.lit("\0"), F.xxhash64("value").cast("string"))
+        spread = F.concat(F.lit("\0"), F.xxhash64(*arrival).cast("string"))
         seen = (
             seen.withColumn("_key", F.when(first, F.col("mid")).otherwise(spread))
             .join(
@@ -140,7 +143,23 @@ def unique_visitors(
             .withColumn("_previous", F.coalesce("_previous", F.when(first, F.col("last_day"))))
         )
     changed = F.col("_previous").isNull() | (F.col("_previous") != F.col("dt"))
-    return seen.where(changed).select(*entries.columns)
+    return seen.where(changed).select("mid", "dt", *arrival)
+
+
+def unique_visitors(
+    entries: DataFrame,
+    arrival: Sequence[str] = ARRIVAL,
+    last_visit: DataFrame | None = None,
+    hot_rows: int | None = HOT_ROWS,
+    lines: DataFrame | None = None,
+) -> DataFrame:
+    """The entries of ``first_entries`` with their text: ``mid, dt, value`` and arrival.
+
+    The text is fetched last, from ``lines`` (what the entries were read from, so that these
+    are not parsed again) or else from the entries.
+    """
+    found = stored(first_entries(entries, arrival, last_visit, hot_rows))
+    return with_texts(found, entries if lines is None else lines, arrival)
 
 
 def unique_visitors_per_day(

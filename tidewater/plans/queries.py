@@ -160,8 +160,12 @@ def log_split_all(spark: SparkSession, folder: str) -> DataFrame:
     return all_facts(logs.split_logs(_repaired(spark, folder)))
 
 
+def _page_lines(spark: SparkSession, folder: str) -> DataFrame:
+    return inputs.log_lines(spark, folder, as_pages=True)
+
+
 def _pages(spark: SparkSession, folder: str) -> DataFrame:
-    return logs.read_pages(inputs.log_lines(spark, folder, as_pages=True))
+    return logs.read_pages(_page_lines(spark, folder))
 
 
 def event_id() -> Column:
@@ -175,7 +179,7 @@ def uv_entry_pages(spark: SparkSession, folder: str) -> DataFrame:
 
 def unique_visitor_detail(spark: SparkSession, folder: str) -> DataFrame:
     entries = logs.entry_pages(_pages(spark, folder))
-    found = visitors.unique_visitors(entries, OFFSET)
+    found = visitors.unique_visitors(entries, OFFSET, lines=_page_lines(spark, folder))
     return found.select(event_id(), "mid", F.col("dt").cast("string"))
 
 
@@ -186,7 +190,8 @@ def unique_visitor_per_day(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _bounces(spark: SparkSession, folder: str) -> DataFrame:
-    return bounces.bounces(_pages(spark, folder), WITHIN_MS, OFFSET)
+    lines = _page_lines(spark, folder)
+    return bounces.bounces(logs.read_pages(lines), WITHIN_MS, OFFSET, lines=lines)
 
 
 def user_jump_match(spark: SparkSession, folder: str) -> DataFrame:

@@ -31,6 +31,7 @@ from tidewater.operators.scale import (
     lookup_side,
     order_key,
     stored,
+    with_texts,
 )
 from tidewater.sinks.batches import BatchTable, KeyedTable, last_per_key
 from tidewater.sinks.fanout import Sink, as_topic
@@ -203,11 +204,12 @@ def unique_visitors(
             before = visits.before(spark, batch_id, here)
             known = stored(alive(before.join(lookup_side(here), "mid", "left_semi")))
             bound = hot_bound(entries, hot_rows)
-            found = stored(visitors.unique_visitors(entries, arrival, known, bound))
+            found = stored(visitors.first_entries(entries, arrival, known, bound))
+            facts = with_texts(found, pages, arrival).select("value", *arrival)
             _report(drops, batch_id, "unique-visitors", _left_out(marked))
             if seen is not None:
                 seen.record(spark, batch_id, read)
-        sink(as_topic(found.select("value", *arrival), UNIQUE_VISITOR_TOPIC), batch_id)
+            sink(as_topic(facts, UNIQUE_VISITOR_TOPIC), batch_id)
         visits.add(
             batch_id,
             found.groupBy("mid").agg(
@@ -333,13 +335,11 @@ def user_jumps(
             _report(drops, batch_id, "user-jumps", _left_out(marked))
             if seen is not None:
                 seen.record(spark, batch_id, read)
-        sink(
-            as_topic(judged.where("settled").select("value", *arrival), USER_JUMP_TOPIC), batch_id
-        )
-        still_open = judged.where(~F.col("settled"))
-        pages_open.replace(
-            batch_id, still_open.select("value", *arrival, "mid", "ts", "is_entry")
-        )
+            # Both at their size: few rows come out of many.
+            settled_facts = with_texts(judged.where("settled").select(*arrival), rows, arrival)
+            sink(as_topic(settled_facts.select("value", *arrival), USER_JUMP_TOPIC), batch_id)
+            still_open = judged.where(~F.col("settled")).select(*arrival, "mid", "ts", "is_entry")
+            pages_open.replace(batch_id, with_texts(still_open, rows, arrival))
         now = [(m["partition"], m["high"], m["seen"], m["late"], closed) for m in risen]
         marks.replace(batch_id, spark.createDataFrame(now, marks.schema))
 
