@@ -48,8 +48,9 @@ def bounces(
 ) -> DataFrame:
     """The bounced entry pages with their ``kind``, matches and timeouts in one pass.
 
-    ``mid, ts, value, kind`` and arrival. The text is fetched last, from ``lines`` (what the
-    pages were read from, so that these are not parsed again) or else from the pages.
+    ``mid, ts, value, kind`` and arrival. The text is fetched last: from the pages, or from
+    ``lines``, what these were read from, so that they are not parsed again. Then no two lines
+    may have the same arrival; otherwise no two pages of one visitor and time.
     """
     found = (
         with_next_page(pages, arrival, hot_rows)
@@ -57,7 +58,9 @@ def bounces(
         .where(F.col("kind").isNotNull())
         .drop("next_ts", "next_is_entry", "is_entry")
     )
-    return with_texts(stored(found), pages if lines is None else lines, arrival)
+    if lines is None:
+        return with_texts(stored(found), pages, ("mid", "ts", *arrival))
+    return with_texts(stored(found), lines, arrival)
 
 
 def matched(found: DataFrame) -> DataFrame:

@@ -155,11 +155,14 @@ def unique_visitors(
 ) -> DataFrame:
     """The entries of ``first_entries`` with their text: ``mid, dt, value`` and arrival.
 
-    The text is fetched last, from ``lines`` (what the entries were read from, so that these
-    are not parsed again) or else from the entries.
+    The text is fetched last: from the entries, or from ``lines``, what these were read from,
+    so that they are not parsed again. Then no two lines may have the same arrival;
+    otherwise no two entries of one visitor.
     """
     found = stored(first_entries(entries, arrival, last_visit, hot_rows))
-    return with_texts(found, entries if lines is None else lines, arrival)
+    if lines is None:
+        return with_texts(found, entries, ("mid", *arrival))
+    return with_texts(found, lines, arrival)
 
 
 def unique_visitors_per_day(

@@ -205,7 +205,7 @@ def unique_visitors(
             known = stored(alive(before.join(lookup_side(here), "mid", "left_semi")))
             bound = hot_bound(entries, hot_rows)
             found = stored(visitors.first_entries(entries, arrival, known, bound))
-            facts = with_texts(found, pages, arrival).select("value", *arrival)
+            facts = with_texts(found, pages, ("mid", *arrival)).select("value", *arrival)
             _report(drops, batch_id, "unique-visitors", _left_out(marked))
             if seen is not None:
                 seen.record(spark, batch_id, read)
@@ -335,11 +335,11 @@ def user_jumps(
             _report(drops, batch_id, "user-jumps", _left_out(marked))
             if seen is not None:
                 seen.record(spark, batch_id, read)
-            # Both at their size: few rows come out of many.
-            settled_facts = with_texts(judged.where("settled").select(*arrival), rows, arrival)
-            sink(as_topic(settled_facts.select("value", *arrival), USER_JUMP_TOPIC), batch_id)
-            still_open = judged.where(~F.col("settled")).select(*arrival, "mid", "ts", "is_entry")
-            pages_open.replace(batch_id, with_texts(still_open, rows, arrival))
+            place = ("mid", "ts", *arrival)
+            over = with_texts(judged.where("settled").select(*place), rows, place)
+            sink(as_topic(over.select("value", *arrival), USER_JUMP_TOPIC), batch_id)
+            still_open = judged.where(~F.col("settled")).select(*place, "is_entry")
+            pages_open.replace(batch_id, with_texts(still_open, rows, place))
         now = [(m["partition"], m["high"], m["seen"], m["late"], closed) for m in risen]
         marks.replace(batch_id, spark.createDataFrame(now, marks.schema))
 
