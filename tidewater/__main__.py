@@ -22,6 +22,7 @@ from tidewater.sinks.fanout import Sink, folder_sink, kafka_sink
 from tidewater.sources.lines import file_lines, kafka_lines, kafka_options, stored_bytes
 from tidewater.streaming import jobs
 from tidewater.streaming.jobs import IDLE
+from tidewater.streaming.lookups import PinnedLookup
 from tidewater.streaming.replays import SeenFacts
 
 SOURCE_TOPIC = {
@@ -68,6 +69,8 @@ def parser() -> argparse.ArgumentParser:
     made.add_argument("--within-ms", type=int, default=BOUNCE_WITHIN_MS, help="time in which a bounce's next page must come")
     made.add_argument("--lateness-ms", type=int, default=LATENESS_MS, help="how much later than the latest page one may come")
     made.add_argument("--idle-minutes", type=float, default=IDLE.total_seconds() / 60, help="a partition without rows is not waited for after that")
+    made.add_argument("--lookup-minutes", type=float, default=60, help="how old a dictionary may be")
+    made.add_argument("--keep-rejects", action="store_true", help="keep the text of what is left out")
     made.add_argument("--state-hours", type=float, default=VISIT_STATE_MS / 3_600_000, help="how long a visit is known")
     made.add_argument("--buckets", type=int, default=64, help="of the visitors' state; never change it")
     made.add_argument("--batch-gb", type=float, help="size of a batch; of files without --interval, it is known")
@@ -113,14 +116,19 @@ def _process(args: argparse.Namespace) -> jobs.Process:
     def lookup(spark: SparkSession) -> DataFrame:
         return spark.read.format(args.lookup).options(**pairs(args.lookup_option)).load()
 
+    def pinned(minutes: float) -> PinnedLookup | None:
+        if not args.lookup_option:
+            return None
+        return PinnedLookup(f"{work}/lookup", lookup, int(minutes * 60_000))
+
     if args.job == "dimensions":
         log = jobs.config_log(f"{work}/config-log") if args.config_option else None
         if log is None and not args.lookup_option:
             raise SystemExit("dimensions needs --lookup-option or --config-option")
         return jobs.dimensions(
-            jobs.dimension_values(f"{work}/values"), lookup if args.lookup_option else None,
+            jobs.dimension_values(f"{work}/values"), pinned(0),
             args.target_database, f"{work}/tables", source_database=args.database, drops=drops,
-            log=log, trim=args.trim,
+            log=log, trim=args.trim, rejects=folder_sink(f"{work}/rejects") if args.keep_rejects else None,
         )
     sink = _sink(args)
     hot_rows = args.hot_rows or None
@@ -134,18 +142,20 @@ def _process(args: argparse.Namespace) -> jobs.Process:
         return jobs.unique_visitors(
             jobs.last_visits(f"{work}/visits", args.buckets), sink, on_error=args.on_error,
             drops=drops, seen=seen, hot_rows=hot_rows, state_ms=int(args.state_hours * 3_600_000),
+            keep_rejects=args.keep_rejects,
         )
     if args.job == "user-jumps":
         return jobs.user_jumps(
             jobs.open_pages(f"{work}/open"), jobs.high_marks(f"{work}/marks"), sink,
             args.within_ms, args.lateness_ms, hot_rows=hot_rows, on_error=args.on_error,
             drops=drops, seen=seen, idle=timedelta(minutes=args.idle_minutes),
+            keep_rejects=args.keep_rejects,
         )
     if not args.database:
         raise SystemExit("cart-adds needs --database")
     return jobs.cart_adds(
-        sink, args.database, args.target_topic, lookup if args.lookup_option else None,
-        args.scoped, drops,
+        sink, args.database, args.target_topic, pinned(args.lookup_minutes), args.scoped, drops,
+        args.keep_rejects,
     )
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 
 def hadoop_path(spark: SparkSession, path: str):
@@ -111,8 +111,10 @@ class KeyedTable(BatchTable):
         self.key, self.buckets = key, buckets
 
     def _bucketed(self, frame: DataFrame) -> DataFrame:
-        bucket = F.pmod(F.xxhash64(self.key), F.lit(self.buckets)).cast("int")
-        return frame.withColumn("bucket", bucket).repartition("bucket")
+        return frame.withColumn("bucket", self._bucket()).repartition("bucket")
+
+    def _bucket(self) -> Column:
+        return F.pmod(F.xxhash64(self.key), F.lit(self.buckets)).cast("int")
 
     def add(self, batch_id: int, frame: DataFrame) -> None:
         super().add(batch_id, self._bucketed(frame))
@@ -166,13 +168,18 @@ class KeyedTable(BatchTable):
         return rows.drop("bucket")
 
     def merge(
-        self, spark: SparkSession, batch_id: int, combine: Callable[[DataFrame], DataFrame]
+        self,
+        spark: SparkSession,
+        batch_id: int,
+        combine: Callable[[DataFrame], DataFrame],
+        expired: Column | None = None,
     ) -> None:
         """Replace the rows of every bucket changed since the last merge by ``combine`` of them.
 
-        A bucket of which ``combine`` leaves nothing keeps its older rows, so what it drops
-        (expired rows, say) must be dropped by readers as well.
-        Folders that neither this state nor a replay of the batch needs are deleted.
+        A bucket of which ``combine`` leaves nothing keeps its older rows until the next merge,
+        so what it drops (expired rows, say) must be dropped by readers as well. Buckets that
+        did not change and of which every row is ``expired`` are deleted, and folders
+        that neither this state nor a replay of the batch needs.
         """
         before = self._newest(spark, batch_id)
         start = max(before.values(), default=-1)
@@ -183,10 +190,17 @@ class KeyedTable(BatchTable):
             write_once(
                 self._bucketed(combine(rows)), self._folder("full", batch_id), self.partition_by
             )
+        over = set()
+        idle = set(before) - changed
+        if expired is not None and idle:
+            # All of a bucket's rows, and only what tells their age.
+            ages = self._rows(spark, batch_id + 1, idle).groupBy(self._bucket().alias("bucket"))
+            found = ages.agg(F.every(expired).alias("over")).where("over").collect()
+            over = {row["bucket"] for row in found}
         old = [number for number in self._versions(spark, "full") if number < batch_id]
         for number in old:
             for bucket in self._buckets_in(spark, "full", number):
-                if before.get(bucket) != number:
+                if before.get(bucket) != number or bucket in over:
                     self._delete(spark, f"{self._folder('full', number)}/bucket={bucket}")
         for number in self._versions(spark, "delta"):
             if number <= start:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidewater.sinks.batches import write_once
 from tidewater.sources.lines import LINE_SCHEMA
@@ -37,8 +37,15 @@ def kafka_records(rows: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
         for name in ORIGIN
         if name in rows.columns
     ]
+    if "reason" in rows.columns:  # of lines that were left out
+        reason = F.struct(F.lit("reason").alias("key"), F.col("reason").cast("binary").alias("value"))
+        headers.append(reason)
     columns = ["topic", F.coalesce("value", F.lit("")).cast("binary").alias("value")]
-    return rows.select(*columns, *[F.array(*headers).alias("headers")] * bool(headers), *extra)
+    return rows.select(*columns, *[_present(headers).alias("headers")] * bool(headers), *extra)
+
+
+def _present(headers: Sequence[Column]) -> Column:
+    return F.filter(F.array(*headers), lambda header: header["value"].isNotNull())
 
 
 def kafka_sink(servers: str, **options: str) -> Sink:

@@ -23,9 +23,11 @@ def _decode(lines: DataFrame, schema: str) -> DataFrame:
     return with_object(lines, schema).drop("value").where(F.col("row").isNotNull())
 
 
-def flagged_changes(lines: DataFrame, processing_time: bool = False) -> DataFrame:
+def flagged_changes(
+    lines: DataFrame, processing_time: bool = False, keep_text: bool = False
+) -> DataFrame:
     """Like ``decode_changes``, with a row of NULLs for each line it drops, and ``_good``."""
-    rest = [name for name in lines.columns if name != "value"]
+    rest = [name for name in lines.columns if name != "value" or keep_text]
     changes = with_object(lines, CHANGE_FIELDS).select(
         *rest, "row.*", F.col("row").isNotNull().alias("_good")
     )

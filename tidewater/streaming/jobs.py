@@ -11,7 +11,7 @@ import time
 from collections.abc import Callable, Sequence
 from datetime import timedelta
 
-from pyspark.sql import DataFrame, Row, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidewater.contract import (
@@ -37,6 +37,7 @@ from tidewater.sinks.batches import BatchTable, KeyedTable, last_per_key
 from tidewater.sinks.fanout import Sink, as_topic
 from tidewater.sinks.tables import BUCKETS as TABLE_BUCKETS, ensure_tables, upsert
 from tidewater.sources.changes import config_changes, flagged_changes
+from tidewater.streaming.lookups import Lookup, looked_up
 from tidewater.streaming.replays import SeenFacts
 
 Process = Callable[[DataFrame, int], None]
@@ -70,6 +71,9 @@ def start(
     )
 
 
+# What is left out, if it is kept: its text, arrival and reason.
+REJECTED_TOPIC = "rejected"
+
 # --- dropped rows -------------------------------------------------------------
 
 
@@ -104,6 +108,19 @@ def _left_out(marked: DataFrame) -> DataFrame:
     )
 
 
+def _rejected(rows: DataFrame, reason: Column, arrival: Sequence[str]) -> DataFrame:
+    """Lines left out, as they came: facts of a topic of their own, with the reason."""
+    columns = [F.lit(REJECTED_TOPIC).alias("topic"), "value", *arrival, reason.alias("reason")]
+    return rows.select(*columns)
+
+
+def _with_rejects(facts: DataFrame, rejects: Sequence[DataFrame]) -> DataFrame:
+    """Facts and rejects for one write."""
+    for one in rejects:
+        facts = facts.unionByName(one, allowMissingColumns=True)
+    return facts
+
+
 def _marked(
     rows: DataFrame, seen: SeenFacts | None, batch_id: int, arrival: Sequence[str]
 ) -> tuple[DataFrame, DataFrame | None]:
@@ -180,11 +197,13 @@ def unique_visitors(
     on_error: str = "drop",
     drops: BatchTable | None = None,
     seen: SeenFacts | None = None,
+    keep_rejects: bool = False,
 ) -> Process:
     """Page-log lines to unique-visitor facts. State lives ``state_ms`` from its last write.
 
-    Lines that are no page log are counted in ``drops``, or fail the job (``on_error``).
-    With ``seen``, so are facts that the topic holds twice.
+    Lines that are no page log are counted in ``drops``, or fail the job (``on_error``); with
+    ``keep_rejects`` they go to ``REJECTED_TOPIC``, in the same write as the facts.
+    With ``seen``, facts that the topic holds twice are left out and counted.
     """
 
     def process(lines: DataFrame, batch_id: int) -> None:
@@ -209,7 +228,9 @@ def unique_visitors(
             _report(drops, batch_id, "unique-visitors", _left_out(marked))
             if seen is not None:
                 seen.record(spark, batch_id, read)
-            sink(as_topic(facts, UNIQUE_VISITOR_TOPIC), batch_id)
+            bad = marked.where("not _again and not _good")
+            rejects = [_rejected(bad, F.lit("no page log"), arrival)] * keep_rejects
+            sink(_with_rejects(as_topic(facts, UNIQUE_VISITOR_TOPIC), rejects), batch_id)
         visits.add(
             batch_id,
             found.groupBy("mid").agg(
@@ -218,7 +239,7 @@ def unique_visitors(
             ),
         )
         if visits.due(batch_id, merge_every):
-            visits.merge(spark, batch_id, alive)
+            visits.merge(spark, batch_id, alive, expired=F.col("written_ms") <= now - state_ms)
 
     return process
 
@@ -282,12 +303,14 @@ def user_jumps(
     drops: BatchTable | None = None,
     seen: SeenFacts | None = None,
     idle: timedelta = IDLE,
+    keep_rejects: bool = False,
 ) -> Process:
     """Page-log lines to bounce facts, in event time.
 
-    Lines that are no page log are counted in ``drops``, or fail the job (``on_error``).
-    With ``seen``, so are facts that the topic holds twice: the second would be taken
-    for the visitor's next page.
+    Lines that are no page log are counted in ``drops``, or fail the job (``on_error``); with
+    ``keep_rejects`` they and late pages go to ``REJECTED_TOPIC``, in the same write as the
+    facts. With ``seen``, facts that the topic holds twice are left out and counted: the second
+    would be taken for the visitor's next page.
 
     The watermark trails the highest event time of the slowest partition by ``lateness_ms``;
     a partition without rows for ``idle`` (by arrival times, so that a batch that runs again
@@ -337,7 +360,14 @@ def user_jumps(
                 seen.record(spark, batch_id, read)
             place = ("mid", "ts", *arrival)
             over = with_texts(judged.where("settled").select(*place), rows, place)
-            sink(as_topic(over.select("value", *arrival), USER_JUMP_TOPIC), batch_id)
+            bad = marked.where("not _again and not _good")
+            late = pages.where(F.col("ts") <= closed_before)
+            rejects = [
+                _rejected(bad, F.lit("no page log"), arrival),
+                _rejected(late, F.lit("late"), arrival),
+            ] * keep_rejects
+            facts = as_topic(over.select("value", *arrival), USER_JUMP_TOPIC)
+            sink(_with_rejects(facts, rejects), batch_id)
             still_open = judged.where(~F.col("settled")).select(*place, "is_entry")
             pages_open.replace(batch_id, with_texts(still_open, rows, place))
         now = [(m["partition"], m["high"], m["seen"], m["late"], closed) for m in risen]
@@ -364,29 +394,33 @@ def cart_adds(
     sink: Sink,
     database: str,
     topic: str,
-    load_dictionary: Callable[[SparkSession], DataFrame] | None = None,
+    load_dictionary: Lookup | None = None,
     scoped: bool = False,
     drops: BatchTable | None = None,
+    keep_rejects: bool = False,
 ) -> Process:
-    """Change lines to cart-add facts; the dictionary is read anew for every batch.
+    """Change lines to cart-add facts; the dictionary is read anew for every batch, or pinned.
 
-    Facts carry the arrival of their change, which the Kafka sink puts into headers.
+    With ``keep_rejects``, lines that are no change row go to ``REJECTED_TOPIC``. Facts carry the arrival of their change, which the Kafka sink puts into headers.
     """
 
     def process(lines: DataFrame, batch_id: int) -> None:
-        with kept(flagged_changes(lines, processing_time=True)) as held:
+        with kept(flagged_changes(lines, processing_time=True, keep_text=keep_rejects)) as held:
             good = held.where("_good").drop("_good")
             arrival = [name for name in ARRIVAL if name in good.columns]
             found = carts.cart_adds(good, database, scoped, keep=arrival)
             if load_dictionary is not None:
                 # Stored, so that it is counted and sent as one state of the table.
-                dictionary = stored(load_dictionary(lines.sparkSession))
+                dictionary = stored(looked_up(load_dictionary, lines.sparkSession, batch_id))
                 found = carts.with_source_type_name(found, dictionary)
             names = [name for name in found.columns if name not in arrival]
             text = F.to_json(F.struct(*names)).alias("value")
             # A change gives one fact at most: the first of its line.
             facts = found.select(text, *arrival, F.lit(0).alias("nth"))
-            sink(as_topic(facts, topic), batch_id)
+            rejects = []
+            if keep_rejects:
+                rejects = [_rejected(held.where("not _good"), F.lit("no change row"), arrival)]
+            sink(_with_rejects(as_topic(facts, topic), rejects), batch_id)
             _report(drops, batch_id, "cart-adds", _bad_lines(held, "no change row"))
 
     return process
@@ -439,7 +473,7 @@ def _record_config(
     log: BatchTable,
     lines: DataFrame,
     batch_id: int,
-    load_config: Callable[[SparkSession], DataFrame] | None,
+    load_config: Lookup | None,
     arrival: Sequence[str],
 ) -> DataFrame:
     """Add the batch's changes of the config; the versions known after it.
@@ -451,7 +485,7 @@ def _record_config(
     spark = lines.sparkSession
     new = config_changes(lines.where(F.col("stream") == CONFIG), arrival)
     if load_config is not None and log.before(spark, batch_id).isEmpty():
-        routes = load_config(spark).select(*CONFIG_COLUMNS, F.lit(False).alias("removed"))
+        routes = looked_up(load_config, spark, batch_id).select(*CONFIG_COLUMNS, F.lit(False).alias("removed"))
         new = new.unionByName(routes, allowMissingColumns=True)
     log.add(batch_id, new)
     return stored(dims.route_versions(log.before(spark, batch_id + 1), arrival))
@@ -459,7 +493,7 @@ def _record_config(
 
 def dimensions(
     store: KeyedTable,
-    load_config: Callable[[SparkSession], DataFrame] | None,
+    load_config: Lookup | None,
     database: str,
     tables_path: str,
     arrival: Sequence[str] = ARRIVAL,
@@ -469,6 +503,7 @@ def dimensions(
     log: BatchTable | None = None,
     trim: bool = False,
     buckets: int = TABLE_BUCKETS,
+    rejects: Sink | None = None,
 ) -> Process:
     """Change lines to dimension tables, by the config as it is when the batch starts.
 
@@ -480,21 +515,22 @@ def dimensions(
     Every batch ends with new versions of the tables it changed, so they can be read at once,
     and after a restart; only those of their ``buckets`` that have a changed key are written.
     Its values are added to the store, and merged there every ``merge_every`` batches. A row without a key fails the batch; lines that are no
-    change row and rows of tables without a route are counted in ``drops``.
+    change row and rows of tables without a route are counted in ``drops``, and sent to
+    ``rejects`` as they came.
     """
     known: dict[str, Row] = {}
 
     def process(lines: DataFrame, batch_id: int) -> None:
         spark = lines.sparkSession
         if log is None:
-            config = stored(load_config(spark))
+            config = stored(looked_up(load_config, spark, batch_id))
         else:
             config = _record_config(log, lines, batch_id, load_config, arrival)
             lines = lines.where(F.col("stream") == CHANGES)
         if trim:
             config = config.withColumn("sink_columns", F.array_join(dims.listed_columns(True), ","))
         tables = ensure_tables(spark, config, database, tables_path, known)
-        with kept(flagged_changes(lines)) as held:
+        with kept(flagged_changes(lines, keep_text=rejects is not None)) as held:
             good = held.where("_good").drop("_good")
             changes = dims.dimension_changes(good, source_database)
             if log is None:
@@ -511,6 +547,9 @@ def dimensions(
             reason = F.concat(F.lit("no route: "), F.coalesce("table", F.lit("no table"))).alias("reason")
             bad = _bad_lines(held, "no change row").unionByName(unrouted.select(reason, "count"))
             _report(drops, batch_id, "dimensions", bad)
+            if rejects is not None:
+                lines_out = _rejected(held.where("not _good"), F.lit("no change row"), arrival)
+                rejects(lines_out.unionByName(_rejected(rest, reason, arrival)), batch_id)
         touched = store.added(spark, batch_id)
         names = {row["sink_table"] for row in touched.select("sink_table").distinct().collect()}
         changed = [table for table in tables if table.sink_table in names]
