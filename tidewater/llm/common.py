@@ -34,6 +34,14 @@ def written(frame: DataFrame, name: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(folder)
 
 
+def free_name(frame: DataFrame, name: str) -> str:
+    """A column name the frame does not have, made of the given one."""
+    taken = {column.lower() for column in frame.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def width(spark: SparkSession) -> int:
     """How many partitions a shuffle of the whole input has in this session."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

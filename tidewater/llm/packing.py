@@ -208,23 +208,28 @@ def best_fit(items: DataFrame, capacity: int = CAPACITY, size: str = "length") -
     the plan comes back. An item's rank among those of its size is its place in its
     partition, plus what earlier partitions have: no task sees all items of a size. Items
     that fill a sequence are not ranked. Items of size 0 or NULL get no sequence; larger
-    ones than ``capacity`` are an error. Columns named like the new ones are replaced.
+    ones than ``capacity`` are an error. Columns named like the new ones are replaced; all
+    others are passed on, whatever their names.
     """
     items = items.drop("sequence_id", "offset")
-    too_long = F.raise_error(F.concat(F.lit("larger than a sequence: "), F.col(size).cast("string")))
     columns = items.columns
+    # The caller's columns are one, so that no name of theirs meets one of ours.
+    too_long = F.raise_error(F.concat(F.lit("larger than a sequence: "), F.col(size).cast("string")))
     rows = written(
-        items.withColumn(size, F.when(F.col(size) > capacity, too_long).otherwise(F.col(size)))
-        .withColumn("_row", F.monotonically_increasing_id())
-        .withColumn("_part", F.spark_partition_id()),
+        items.select(
+            F.struct(*[F.col(f"`{name}`") for name in columns]).alias("_in"),
+            F.when(F.col(size) > capacity, too_long.cast("bigint")).otherwise(F.col(size)).cast("bigint").alias("_size"),
+            F.monotonically_increasing_id().alias("_row"),
+            F.spark_partition_id().alias("_part"),
+        ),
         "items",
     )
-    full = F.col(size) == capacity
-    part = rows.where((F.col(size) > 0) & ~full)
-    groups = part.groupBy(size, "_part").agg(F.count("*").alias("_n"))
-    earlier = Window.partitionBy(size).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    full = F.col("_size") == capacity
+    part = rows.where((F.col("_size") > 0) & ~full)
+    groups = part.groupBy("_size", "_part").agg(F.count("*").alias("_n"))
+    earlier = Window.partitionBy("_size").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     groups = written(groups.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0))), "sizes")
-    counts = groups.groupBy(size).agg(F.sum("_n")).collect()  # at most one row per size
+    counts = groups.groupBy("_size").agg(F.sum("_n")).collect()  # at most one row per size
     plan = packing_plan({int(n): int(count) for n, count in counts}, capacity)
     sizes, ranks, bins, first, offsets = (np.ascontiguousarray(c) for c in plan.T)
     starts = sizes * (1 << 50) + ranks
@@ -241,21 +246,17 @@ def best_fit(items: DataFrame, capacity: int = CAPACITY, size: str = "length") -
                 "_offset": offsets[at] + nth // bins[at] * length,
             }
 
-    order = Window.partitionBy(size, "_part").orderBy("_row")
+    order = Window.partitionBy("_size", "_part").orderBy("_row")
     ranked = (
-        part.select(size, "_part", "_row")
+        part.select("_size", "_part", "_row")
         .withColumn("_rank", F.row_number().over(order) - 1)
-        .join(groups.select(size, "_part", "_before"), [size, "_part"])
-        .select(
-            "_row",
-            F.col(size).cast("bigint").alias("_size"),
-            (F.col("_rank") + F.col("_before")).alias("_rank"),
-        )
+        .join(groups.select("_size", "_part", "_before"), ["_size", "_part"])
+        .select("_row", "_size", (F.col("_rank") + F.col("_before")).alias("_rank"))
     )
     placed = in_python(ranked, place, "_row bigint, _sequence bigint, _offset bigint")
     alone = F.when(full, -1 - F.col("_row"))
     return rows.join(placed, "_row", "left").select(
-        *columns,
+        *[F.col("_in")[name].alias(name) for name in columns],
         F.coalesce(alone, "_sequence").alias("sequence_id"),
         F.coalesce(F.when(full, F.lit(0)), "_offset").cast("bigint").alias("offset"),
     )

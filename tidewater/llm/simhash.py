@@ -9,7 +9,7 @@ import numpy as np
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidewater.llm.common import in_python, written
+from tidewater.llm.common import free_name, in_python, written
 from tidewater.llm.graph import components
 from tidewater.operators.scale import lookup_side
 
@@ -186,6 +186,7 @@ def without_near_copies(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
 
     Of a group without any doc_id one row stays. Rows with one doc_id, or without any, are
     told apart by their texts' hashes: what other groups hold of them stays or goes by itself.
+    All columns are passed on, whatever their names.
     """
     groups = written(_grouped(docs, radius), "groups")
     is_first = F.col("doc_id").eqNullSafe(F.col("component_id"))
@@ -202,9 +203,9 @@ def without_near_copies(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     if repeated.isEmpty():
         return kept
     rows = _by_text(kept, repeated, "left_semi")
-    names = ("_doc_id", "_text_hash")
+    names = [free_name(docs, name) for name in ("_doc_id", "_text_hash")]
     again = rows.select("*", F.col("doc_id").cast("bigint").alias(names[0]), text_hash().alias(names[1]))
-    again = again.dropDuplicates(list(names)).drop(*names)
+    again = again.dropDuplicates(names).drop(*names)
     return _by_text(kept, repeated, "left_anti").unionByName(again)
 
 
