@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
@@ -92,6 +93,14 @@ def words_of(text: Column) -> Column:
     return F.filter(parts, lambda word: word != "")
 
 
+def release() -> None:
+    """Give memory that is free back to the system: Python workers live on from task to task."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)
+
+
 def in_python(
     frame: DataFrame, work: Callable[[Iterator[dict]], Iterator[dict]], schema: str
 ) -> DataFrame:
@@ -109,6 +118,7 @@ def in_python(
             yield pa.RecordBatch.from_arrays(
                 [pa.array(out[field.name], field.type) for field in fields], schema=fields
             )
+        release()
 
     return frame.mapInArrow(run, schema)
 
@@ -125,6 +135,8 @@ def filtered(docs: DataFrame, make: Callable[[], Callable[[list], list[bool]]])
         for batch in batches:
             texts = batch.column(at).cast(pa.large_string()).cast(pa.large_binary()).to_pylist()
             yield batch.filter(pa.array(keep(texts), pa.bool_()))
+        del keep
+        release()
 
     return docs.mapInArrow(run, docs.schema)
 

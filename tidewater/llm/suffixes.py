@@ -10,8 +10,8 @@ where it matters:
 2. Around each of these, the bytes of all its 50-byte strings are one suffix. Each
    block of documents sorts its distinct suffixes, front-codes them (length of the prefix
    shared with the one before, and the rest) and sends the runs to buckets by anchor.
-   A bucket merges its runs with a loser tree that carries the shared lengths along, which
-   makes equal suffixes one. Their 50-byte strings are then matched by two 64-bit hashes of
+   A bucket merges its runs, a sixteenth of the anchors at a time, with a loser tree that
+   carries the shared lengths along, which makes equal suffixes one. Their 50-byte strings are then matched by two 64-bit hashes of
    each, not by the merged order: most start inside a suffix, and the order of suffixes
    brings together only those that start one.
 3. Blocks get back one bit per string, and cut.
@@ -27,12 +27,14 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from tidewater.llm.common import BLANKS, PLAIN_TYPES, in_python, width, written
+from tidewater.llm.common import BLANKS, PLAIN_TYPES, in_python, release, width, written
 
 MATCH = 50
 GRAM = 24
 # Bytes of text in a block: a Python worker needs about 60 times as much.
 BLOCK_BYTES = 2 << 20
+# A bucket is merged slice by slice, so that only a slice is decoded at a time.
+SLICES = 16
 ID_BITS = 40
 NO_ID = np.iinfo(np.int64).max
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -171,34 +173,52 @@ class Suffixes:
         places = self.starts[:, None] + np.arange(longest)[None, :]
         grid = block.data[np.minimum(places, max(0, len(block.data) - 1))]
         grid[np.arange(longest)[None, :] >= self.lengths[:, None]] = 0
-        head = bucket_of(anchors.ids[chosen], buckets).astype(">u4").view(np.uint8).reshape(-1, 4)
-        rows = np.hstack((head, grid, self.lengths.astype(np.uint8)[:, None]))
+        ids = anchors.ids[chosen]
+        head = bucket_of(ids, buckets).astype(">u4").view(np.uint8).reshape(-1, 4)
+        # The low bits, as buckets are made of the high ones.
+        part = (ids % np.uint64(SLICES)).astype(np.uint8)[:, None]
+        rows = np.hstack((head, part, grid, self.lengths.astype(np.uint8)[:, None]))
         rows = np.ascontiguousarray(rows).view(np.dtype((np.void, rows.shape[1]))).ravel()
         found, self.place = np.unique(rows, return_inverse=True)
-        flat = found.view(np.uint8).reshape(len(found), longest + 5)
+        flat = found.view(np.uint8).reshape(len(found), longest + 6)
         self.buckets = np.ascontiguousarray(flat[:, :4]).view(">u4").ravel().astype(np.int64)
-        self.grid, self.sizes = flat[:, 4:-1], flat[:, -1].astype(np.int64)
+        self.slices = flat[:, 4]
+        self.grid, self.sizes = flat[:, 5:-1], flat[:, -1].astype(np.int64)
         self.least = np.full(len(found), NO_ID, np.int64)
         np.minimum.at(self.least, self.place, block.keys[self.docs])
 
     def coded(self, first: int, end: int) -> bytes:
-        """The run of one bucket, front-coded."""
+        """The run of one bucket, front-coded; every slice starts with a whole suffix."""
         grid, sizes = self.grid[first:end], self.sizes[first:end]
         shared = np.zeros(len(grid), np.int64)
         differs = grid[1:] != grid[:-1]
         shared[1:] = np.where(differs.any(axis=1), differs.argmax(axis=1), grid.shape[1])
         shared[1:] = np.minimum(shared[1:], np.minimum(sizes[1:], sizes[:-1]))
+        slices = self.slices[first:end]
+        shared[1:][slices[1:] != slices[:-1]] = 0
         columns = np.arange(grid.shape[1])[None, :]
         rest = grid[(columns >= shared[:, None]) & (columns < sizes[:, None])]
+        counts = np.bincount(slices, minlength=SLICES)
         return _pack(
-            shared.astype(np.uint8), sizes.astype(np.uint8), rest.tobytes(), self.least[first:end]
+            shared.astype(np.uint8), sizes.astype(np.uint8), rest.tobytes(), self.least[first:end], counts
         )
 
 
-def decoded(value: bytes) -> tuple[list[bytes], list[int], np.ndarray]:
-    """Suffixes of a run, the prefix each shares with the one before, and their least doc_ids."""
-    shared, sizes, rest, least = _unpack(value)
-    shared, sizes = shared.tolist(), sizes.tolist()
+def slices_of(value: bytes) -> list[tuple]:
+    """The slices of a run, still front-coded."""
+    shared, sizes, rest, least, counts = _unpack(value)
+    ends = np.cumsum(counts)
+    read = np.concatenate(([0], np.cumsum(sizes.astype(np.int64) - shared)))
+    return [
+        (shared[a:b], sizes[a:b], memoryview(rest)[read[a] : read[b]], least[a:b])
+        for a, b in zip(ends - counts, ends)
+    ]
+
+
+def decoded(part: tuple) -> tuple[list[bytes], list[int], np.ndarray]:
+    """Suffixes of a slice, the prefix each shares with the one before, and their least doc_ids."""
+    shared, sizes, rest, least = part
+    shared, sizes, rest = shared.tolist(), sizes.tolist(), bytes(rest)
     found, before, at = [], b"", 0
     for same, size in zip(shared, sizes):
         end = at + size - same
@@ -305,7 +325,14 @@ def window_keys(grid: np.ndarray, sizes: np.ndarray, match: int):
 
 def bucket_bits(values: Sequence[bytes], match: int) -> list[np.ndarray]:
     """For each run, whether each of its strings is in a document before the run's own."""
-    runs = [decoded(value) for value in values]
+    slices = zip(*[slices_of(value) for value in values])
+    found = [_slice_bits([decoded(part) for part in parts], match) for parts in slices]
+    return [np.concatenate(bits) for bits in zip(*found)]
+
+
+def _slice_bits(runs: Sequence[tuple], match: int) -> list[np.ndarray]:
+    if not any(run for run, _, _ in runs):
+        return [np.zeros(0, bool)] * len(runs)
     distinct: list[bytes] = []
     place = [np.empty(len(run), np.int64) for run, _, _ in runs]
     for run, at, shared in merged([(run, codes) for run, codes, _ in runs]):
@@ -345,6 +372,7 @@ def _by_bucket(frame: DataFrame, work) -> DataFrame:
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by("block")
         bits = work(table["value"].to_pylist())
+        release()
         return pa.table(
             {
                 "block": table["block"],
