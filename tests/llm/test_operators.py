@@ -260,7 +260,7 @@ def line_facts(text):
     }
 
 
-def plain_line_rules(rows, share, least):
+def plain_line_rules(rows, least, least_words):
     norm = lambda line: re.sub("[0-9]", "0", "".join(
         c.lower() if "A" <= c <= "Z" else c for c in line.strip(" \t\n\x0b\f\r")))
     texts, counts = {}, Counter()
@@ -274,7 +274,7 @@ def plain_line_rules(rows, share, least):
         facts = line_facts(text)
         gone = [
             line for line in (text or "").split("\n")
-            if split(line) and counts[source or "", norm(line)] > max(least, share * len(texts[source or ""]))
+            if len(split(line)) >= max(1, least_words) and counts[source or "", norm(line)] > least
         ]
         left = facts["n_words"] - sum(len(split(line)) for line in gone)
         kept = not facts["base_failed"] and left >= 10 and left >= 0.5 * facts["n_words"]
@@ -282,18 +282,35 @@ def plain_line_rules(rows, share, least):
     return found
 
 
-@pytest.mark.parametrize("share, least", [(0.05, 10), (0.0, 1), (0.3, 1)])
-def test_line_rules(some, share, least):
+@pytest.mark.parametrize("least, words", [(10, 3), (1, 0), (1, 6)])
+def test_line_rules(some, least, words):
     rows = [(r["doc_id"], r["text"], r["source"]) for r in some.collect()]
-    found = line_rules.line_rules(some, share, least)
-    assert Counter(map(tuple, found.collect())) == plain_line_rules(rows, share, least)
+    found = line_rules.line_rules(some, least, words)
+    assert Counter(map(tuple, found.collect())) == plain_line_rules(rows, least, words)
+
+
+def test_a_larger_host_keeps_no_line_that_a_smaller_one_lost(spark):
+    line, short = "all rights reserved by the shop", "thank you"
+    schema = "doc_id int, text string, source string"
+
+    def text(i, *lines):
+        name = "".join(chr(97 + int(digit)) for digit in str(i))  # digits are one to the rule
+        return "\n".join((*lines, " ".join(name + sign for sign in "klmnopqrstuv")))
+
+    with_line = [(i, text(i, line, short), "h") for i in range(11)]
+    for others in (0, 2000):
+        rows = with_line + [(100 + i, text(100 + i, short), "h") for i in range(others)]
+        found = line_rules.line_rules(spark.createDataFrame(rows, schema)).where("doc_id < 11").collect()
+        assert [r["n_removed_lines"] for r in found] == [1] * 11 and all(r["kept"] for r in found)
+    few = line_rules.line_rules(spark.createDataFrame(with_line[:10], schema)).collect()
+    assert [r["n_removed_lines"] for r in few] == [0] * 10
 
 
 def test_line_rules_clean_text(spark):
     line = "buy now for 5 coins at the shop"
     texts = [f"{line}\nsomething {'abc'[i]} else that is written here by someone\n\n{line}" for i in range(3)]
     frame = spark.createDataFrame([(i, t, "h") for i, t in enumerate(texts)], "doc_id int, text string, source string")
-    found = line_rules.line_rules(frame, 0.5, 1, with_text=True).collect()
+    found = line_rules.line_rules(frame, 1, with_text=True).collect()
     assert sorted(r["clean_text"] for r in found) == [
         f"something {c} else that is written here by someone\n" for c in "abc"
     ]

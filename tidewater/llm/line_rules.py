@@ -11,10 +11,11 @@ SYMBOLS = "#*$%&|<>"
 REPEAT_WORDS = 5
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
-# A line is boilerplate in more than this share of a host's distinct texts ...
-LINE_SHARE = 0.05
-# ... and in more of them than this: below it, a share of a small host says little.
+# A line is boilerplate in more than this many of a host's distinct texts, however large the
+# host: rows that are added never bring back a line that was removed before.
 LINE_DOCUMENTS = 10
+# Lines of fewer words are spared: short ones ("thank you") meet by chance.
+LINE_WORDS = 3
 # A document is depleted if less than this share of its words is left, or too few.
 LEFT_SHARE = 0.5
 
@@ -100,39 +101,37 @@ def measures(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
 
 
 def frequent_lines(
-    rows: DataFrame, share: float = LINE_SHARE, documents: int = LINE_DOCUMENTS
+    rows: DataFrame, documents: int = LINE_DOCUMENTS, words: int = LINE_WORDS
 ) -> DataFrame:
-    """``host, line``: in more than ``documents`` and ``share`` of the host's distinct texts.
+    """``host, line``: of ``words`` words at least, in more than ``documents`` distinct texts of the host.
 
     Copies of a text count once in a host, else a much-copied document would lose
     all of its lines. The hot host is no hot key: lines are grouped by host and hash,
     and summed up before the shuffle.
     """
     first = rows.groupBy("host", "text_hash").agg(F.min("row").alias("row"))
-    totals = first.groupBy("host").agg(F.count("*").alias("total"))
+    listed = F.filter(
+        F.arrays_zip("line_hashes", "line_words"), lambda line: line["line_words"] >= words
+    )
     lines = rows.join(first.select("row"), "row", "left_semi").select(
-        "host", F.explode(F.array_distinct("line_hashes")).alias("line")
+        "host", F.explode(F.array_distinct(F.transform(listed, lambda x: x["line_hashes"]))).alias("line")
     )
     counts = lines.groupBy("host", "line").agg(F.count("*").alias("n"))
-    return (
-        counts.where(F.col("n") > documents)
-        .join(totals, "host")
-        .where(F.col("n") > share * F.col("total"))
-        .select("host", "line")
-    )
+    return counts.where(F.col("n") > documents).select("host", "line")
 
 
 def line_rules(
     docs: DataFrame,
-    share: float = LINE_SHARE,
     documents: int = LINE_DOCUMENTS,
+    words: int = LINE_WORDS,
     with_text: bool = False,
 ) -> DataFrame:
     """One row per document: its measures, ``n_removed_lines, n_removed_words``, the verdict.
 
     ``base_failed``: fewer than 10 words, or more than a fifth of them in repeated
     windows. ``kept``: not that, and not depleted: without the lines its host repeats,
-    10 words and half of all are left. The host is ``source``. ``with_text`` adds
+    10 words and half of all are left. A line of ``words`` words or more is repeated if more
+    than ``documents`` distinct texts of the host have it. The host is ``source``. ``with_text`` adds
     ``clean_text``, the text without these lines.
 
     NULL text is empty (no words: base_failed). NULL sources are one host, as the
@@ -143,7 +142,7 @@ def line_rules(
     rows = written(
         measures(docs, keep).withColumn("row", F.monotonically_increasing_id()), "lines"
     )
-    frequent = written(frequent_lines(rows, share, documents), "frequent")
+    frequent = written(frequent_lines(rows, documents, words), "frequent")
     lines = rows.select(
         "row", "host", F.explode(F.arrays_zip("line_hashes", "line_words")).alias("at")
     ).select("row", "host", F.col("at.line_hashes").alias("line"), F.col("at.line_words").alias("w"))

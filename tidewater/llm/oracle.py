@@ -27,10 +27,8 @@ lines AS (
   FROM (SELECT doc_id, host, text, unnest(string_split(text, chr(10))) AS line FROM d)
   WHERE regexp_matches(line, '{_BLANK}')
 ),
-totals AS (SELECT host, count(DISTINCT text) AS total FROM d GROUP BY host),
 frequent AS (
-  SELECT host, norm FROM lines JOIN totals USING (host) GROUP BY host, norm, total
-  HAVING count(DISTINCT text) > 10 AND count(DISTINCT text) > 0.05 * total
+  SELECT host, norm FROM lines WHERE n >= 3 GROUP BY host, norm HAVING count(DISTINCT text) > 10
 ),
 by_document AS (
   SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines,
