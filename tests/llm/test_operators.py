@@ -351,7 +351,8 @@ def test_model_beats_counts_on_held_out_texts(spark):
 def test_probabilities_sum_to_one(docs):
     counts = common.written(neural_lm.word_counts(docs), "counts")
     words = neural_lm.vocabulary(counts, head=300)
-    model = neural_lm.LogBilinear(words.size, words.unit_counts, neural_lm.train(docs, words, 1))
+    learned = neural_lm.train(neural_lm.numbered(docs, words), words, 1)
+    model = neural_lm.LogBilinear(words.size, words.unit_counts, learned)
     a, b = np.array([words.size, 3, 7]), np.array([words.size, 0, 7])
     scores = model.query(a, b) @ model.target.T + model.bias
     units = np.exp(scores - model.log_totals(a, b)[:, None])

@@ -22,6 +22,7 @@ NOISE, BATCH, RATE, ROUNDS = 32, 2048, 0.15, 2
 SMOOTH = 0.1
 END = b"\n"  # the token behind each text; no word has a line feed
 COUNTER_WORDS = 400_000
+NUMBER = np.dtype("<u2")  # of a word or class of the model
 
 
 def tokens(text: bytes | None) -> list[bytes]:
@@ -216,27 +217,25 @@ def contexts(numbers: np.ndarray, ends: np.ndarray, start: int):
     return a, b
 
 
-def train(docs: DataFrame, words: Vocabulary, rounds: int = ROUNDS) -> np.ndarray:
-    """Parameters learned from all of these documents' tokens.
+def train(rows: DataFrame, words: Vocabulary, rounds: int = ROUNDS) -> np.ndarray:
+    """Parameters learned from all tokens of these rows of ``numbered``.
 
     Every task runs through its own texts from the same start; the results are
     averaged, weighted by tokens, and the next round starts from there. What the
     driver gets is one set of parameters a round.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(words)
-    rows = docs.select(F.col("text").cast("string"))
+    shared = rows.sparkSession.sparkContext.broadcast(words.unit_counts)
     parameters = None
     for turn in range(rounds):
         begin = parameters
 
         def work(batches: Iterator[dict], begin=begin, turn=turn) -> Iterator[dict]:
-            words = shared.value
-            model = LogBilinear(words.size, words.unit_counts, begin)
-            learner = NoiseContrastive(model, words.unit_counts, turn)
-            lookup = Numbers(words)
+            unit_counts = shared.value
+            model = LogBilinear(len(unit_counts), unit_counts, begin)
+            learner = NoiseContrastive(model, unit_counts, turn)
             seen = 0
             for batch in batches:
-                numbers, ends = lookup.of([tokens(text) for text in batch["text"]])
+                numbers, ends = _numbers_of(batch)
                 a, b = contexts(numbers, ends, model.start)
                 order = learner.random.permutation(len(numbers))
                 for at in range(0, len(order), BATCH):
@@ -246,7 +245,7 @@ def train(docs: DataFrame, words: Vocabulary, rounds: int = ROUNDS) -> np.ndarra
             n = len(model.all) if seen else 0
             yield {"i": np.arange(n), "v": model.all[:n] * float(seen), "n": np.full(n, seen)}
 
-        learned = in_python(rows, work, "i int, v double, n bigint")
+        learned = in_python(rows.select("numbers"), work, "i int, v double, n bigint")
         means = learned.groupBy("i").agg((F.sum("v") / F.sum("n")).alias("v"))
         found = sorted((row["i"], row["v"]) for row in means.collect())
         if not found:
@@ -274,59 +273,51 @@ class Numbers:
         return numbers, np.cumsum([len(text) for text in texts])
 
 
-def scores(docs: DataFrame, words: Vocabulary, parameters: np.ndarray, counts: DataFrame) -> DataFrame:
-    """One row per document; see ``score_texts``."""
-    context = docs.sparkSession.sparkContext
-    shared = context.broadcast((words, parameters))
-    names = ("doc_id", "held_out", "n_tokens", "known", "base", "score", "tail")
+def _numbers_of(batch: dict) -> tuple[np.ndarray, np.ndarray]:
+    sizes = np.array([len(one) for one in batch["numbers"]], np.int64) // NUMBER.itemsize
+    numbers = np.frombuffer(b"".join(batch["numbers"]), NUMBER).astype(np.int64)
+    return numbers, np.cumsum(sizes)
+
+
+def numbered(docs: DataFrame, words: Vocabulary) -> DataFrame:
+    """``row, doc_id, held_out, n_tokens, known, base, inside, numbers, tail``, written.
+
+    All that texts themselves are needed for, so that they are split once: the number of each
+    token (16 bits each, in one value), the sums of the head words' logs (``base``) and of
+    the shares of words in their classes (``inside``), and the words outside the head.
+    """
+    if words.size > np.iinfo(NUMBER).max:
+        raise ValueError("more words and classes than numbers of 16 bits")
+    shared = docs.sparkSession.sparkContext.broadcast(words)
 
     def work(batches: Iterator[dict]) -> Iterator[dict]:
-        words, parameters = shared.value
-        model = LogBilinear(words.size, words.unit_counts, parameters)
+        words = shared.value
         lookup = Numbers(words)
-        head_counts = np.array([*words.counts.values(), 0], np.float64)
-        head_logs = np.log10(head_counts + SMOOTH)
+        head_logs = np.log10(np.array([*words.counts.values(), 0], np.float64) + SMOOTH)
         class_logs = np.zeros(words.size)
         is_class = words.class_sizes > 0
         class_logs[is_class] = np.log10(words.class_sizes[is_class])
-        width = words.size + 1
-        totals = np.full(width * width, np.nan)
-        in_first = model.context @ model.moves[1]
-        in_second = model.context @ model.moves[0]
         for batch in batches:
-            texts = [tokens(text) for text in batch["text"]]
-            numbers, ends = lookup.of(texts)
-            a, b = contexts(numbers, ends, model.start)
-            pair = a * width + b
-            need = np.unique(pair)
-            need = need[np.isnan(totals[need])]
-            totals[need] = model.log_totals(need // width, need % width)
-            raw = np.empty(len(pair))
-            for at in range(0, len(pair), 1 << 16):
-                part = slice(at, at + (1 << 16))
-                query = in_first[a[part]] + in_second[b[part]]
-                raw[part] = np.einsum("bd,bd->b", query, model.target[numbers[part]])
-            raw += model.bias[numbers] - totals[pair]
+            numbers, ends = lookup.of([tokens(text) for text in batch["text"]])
+            starts = np.concatenate(([0], ends[:-1])).astype(np.int64)
             known = lookup.place >= 0
             logs = np.where(known, head_logs[lookup.place], 0.0)
-            score = raw / math.log(10) + np.where(
-                is_class[numbers], logs - class_logs[numbers], 0.0
-            )
-            starts = np.concatenate(([0], ends[:-1])).astype(np.int64)
-            out = {
+            inside = np.where(is_class[numbers], logs - class_logs[numbers], 0.0)
+            narrow = numbers.astype(NUMBER)
+            tail = np.nonzero(~known)[0]
+            cuts = np.searchsorted(tail, np.concatenate((starts, ends[-1:])))
+            yield {
                 "doc_id": batch["doc_id"],
                 "held_out": batch["held_out"],
-                "n_tokens": np.diff(np.concatenate(([0], ends))),
+                "n_tokens": ends - starts,
                 "known": np.add.reduceat(known.astype(np.int64), starts),
                 "base": np.add.reduceat(logs, starts),
-                "score": np.add.reduceat(score, starts),
-                "tail": [],
+                "inside": np.add.reduceat(inside, starts),
+                "numbers": [narrow[x:y].tobytes() for x, y in zip(starts, ends)],
+                "tail": [
+                    [lookup.flat[at].decode() for at in tail[x:y]] for x, y in zip(cuts, cuts[1:])
+                ],
             }
-            tail = np.nonzero(~known)[0]
-            cuts = np.searchsorted(tail, np.concatenate((starts, ends[-1:])))
-            for first, end in zip(cuts, cuts[1:]):
-                out["tail"].append([lookup.flat[at].decode() for at in tail[first:end]])
-            yield {name: out[name] for name in names}
 
     rows = docs.select(
         F.col("doc_id").cast("bigint"),
@@ -335,12 +326,48 @@ def scores(docs: DataFrame, words: Vocabulary, parameters: np.ndarray, counts: D
     )
     schema = (
         "doc_id bigint, held_out boolean, n_tokens bigint, known bigint, base double, "
-        "score double, tail array<string>"
+        "inside double, numbers binary, tail array<string>"
     )
-    local = written(
-        in_python(rows, work, schema).withColumn("row", F.monotonically_increasing_id()), "scores"
+    found = in_python(rows, work, schema).withColumn("row", F.monotonically_increasing_id())
+    return written(found, "numbered")
+
+
+def scores(rows: DataFrame, words: Vocabulary, parameters: np.ndarray, counts: DataFrame) -> DataFrame:
+    """One row per row of ``numbered``; see ``score_texts``."""
+    shared = rows.sparkSession.sparkContext.broadcast((words.unit_counts, parameters))
+
+    def work(batches: Iterator[dict]) -> Iterator[dict]:
+        unit_counts, parameters = shared.value
+        model = LogBilinear(len(unit_counts), unit_counts, parameters)
+        width = model.size + 1
+        totals = np.full(width * width, np.nan)
+        in_first = model.context @ model.moves[1]
+        in_second = model.context @ model.moves[0]
+        for batch in batches:
+            numbers, ends = _numbers_of(batch)
+            a, b = contexts(numbers, ends, model.start)
+            pair = a * width + b
+            need = np.zeros(width * width, bool)
+            need[pair] = True
+            need = np.nonzero(need & np.isnan(totals))[0]
+            totals[need] = model.log_totals(need // width, need % width)
+            raw = np.empty(len(pair))
+            for at in range(0, len(pair), 1 << 16):
+                part = slice(at, at + (1 << 16))
+                query = in_first[a[part]] + in_second[b[part]]
+                raw[part] = np.einsum("bd,bd->b", query, model.target[numbers[part]])
+            raw += model.bias[numbers] - totals[pair]
+            starts = np.concatenate(([0], ends[:-1])).astype(np.int64)
+            sums = np.add.reduceat(raw / math.log(10), starts)
+            yield {**{name: batch[name] for name in passed}, "raw": sums}
+
+    passed = ("row", "doc_id", "held_out", "n_tokens", "known", "base", "inside")
+    schema = (
+        "row bigint, doc_id bigint, held_out boolean, n_tokens bigint, known bigint, "
+        "base double, inside double, raw double"
     )
-    rare = local.select("row", F.explode("tail").alias("word")).join(counts, "word", "left")
+    local = in_python(rows.select(*passed, "numbers"), work, schema)
+    rare = rows.select("row", F.explode("tail").alias("word")).join(counts, "word", "left")
     sums = rare.groupBy("row").agg(
         F.sum(F.log10(F.coalesce("c", F.lit(0)) + SMOOTH)).alias("tail_log"),
         F.count("c").alias("tail_known"),
@@ -354,7 +381,7 @@ def scores(docs: DataFrame, words: Vocabulary, parameters: np.ndarray, counts: D
         (F.col("known") + F.coalesce("tail_known", F.lit(0))).alias("n_known"),
         F.lit(words.total).cast("bigint").alias("train_tokens"),
         (F.col("base") + tail_log - F.col("n_tokens") * base_size).alias("base_score"),
-        (F.col("score") + tail_log).alias("score"),
+        (F.col("raw") + F.col("inside") + tail_log).alias("score"),
     )
 
 
@@ -376,4 +403,5 @@ def score_texts(docs: DataFrame) -> DataFrame:
     learned = docs.where(~is_held_out(F.col("doc_id").cast("bigint")))
     counts = written(word_counts(learned), "words")
     words = vocabulary(counts)
-    return scores(docs, words, train(learned, words), counts)
+    rows = numbered(docs, words)
+    return scores(rows, words, train(rows.where("not held_out"), words), counts)
