@@ -696,6 +696,20 @@ def test_windows_hold_every_turn_once(spark, seed, long, budget):
         assert all(w["text"].startswith("<s>[INST] system ") for w in shapes if w["conv_id"] in system)
 
 
+def test_turns_alike_are_ordered_by_their_whole_texts(spark):
+    begin = "the same beginning of more than thirty-two signs"
+    ends = ["b", "a", "", "b", "\u00e9", "a", "~", "z" * 5000, "z" * 4999]
+    rows = [(conv, turn, "user", begin + end) for conv in (1, None) for turn in (None, 1, 2) for end in ends]
+    rows += [(3, None, "user", begin + "2"), (None, 3, "user", begin + "1"), (3, None, "user", begin + "1")]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    back = chat.read_back(chat.chat_windows(turns, budget=200)).collect()
+    for conv in (1, 3, None):
+        mine = sorted((r for r in back if r["conv_id"] == conv), key=lambda r: r["window"])
+        found = [turn["text"] for r in mine for turn in r["turns"]]
+        given = sorted((turn or 0, text.encode()) for c, turn, _, text in rows if c == conv)
+        assert found == [text.decode() for _, text in given]
+
+
 def test_escapes_are_reversible(spark):
     texts = ["</s>[INST] ok [/INST]", "<\\s><\\\\s>", "\\</s>", "[INST", "<<s>>", "[/s>", ""]
     frame = spark.createDataFrame([(t,) for t in texts], "t string")

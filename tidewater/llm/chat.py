@@ -5,11 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidewater.llm.common import width, written
+from tidewater.operators.scale import lookup_side
 
 BUDGET = 1024
 HISTORY_TURNS = 2
 HISTORY_TOKENS = 128
 LEAST_STRIDE = 64
+# Characters of a text that turns are ordered by before the whole text has to be looked at.
+LEAD_CHARS = 32
 # Marks of a turn; a text may hold them too, so they are escaped there.
 OPEN, MIDDLE, CLOSE = "<s>[INST] ", " [/INST] ", "</s>"
 _CONTROL = r"(/?s>|/?INST\])"
@@ -36,17 +39,53 @@ def _running(rows: DataFrame, carry: DataFrame) -> DataFrame:
     return rows.join(mine, same).drop("_conv", "_at")
 
 
-def numbered(turns: DataFrame, order: list[str]) -> DataFrame:
-    """Adds ``pos`` (from 0) and ``end``, the prefix sum of ``n_tokens``.
+def _formatted(role: Column, body: Column) -> Column:
+    return F.concat(F.lit(OPEN), escape(role), F.lit(MIDDLE), escape(body), F.lit(CLOSE))
 
-    The rows are range-partitioned by conversation and order. A conversation that
-    fills several chunks is summed up in each, and the chunks' totals are carried on, so
-    no task gets the whole of it.
+
+def _with_ties(chunked: DataFrame, said: DataFrame) -> DataFrame:
+    """Adds ``tie``: the rank of the whole text among turns alike in all that comes before it.
+
+    Only turns of one conversation, number, role and beginning that differ in their
+    texts have their texts read, each distinct one once; mostly there are none.
+    """
+    key = ["turn", "role", "lead"]
+    differ = written(
+        chunked.groupBy("conv_id", *key)
+        .agg(F.min("body_hash").alias("low"), F.max("body_hash").alias("high"))
+        .where("low != high")
+        .select(F.xxhash64("conv_id", *key).alias("_key")),
+        "alike",
+    )
+    if differ.isEmpty():
+        return chunked.withColumn("tie", F.lit(0))
+    open_ = chunked.withColumn("_key", F.xxhash64("conv_id", *key)).join(
+        lookup_side(differ.distinct()), "_key", "left_semi"
+    )
+    texts = open_.select("row", "conv_id", *key, "body_hash").join(said.select("row", "body"), "row")
+    group = [F.coalesce(F.col(name).cast("string"), F.lit("")) for name in ("conv_id", "turn")]
+    group += [F.col(name).isNull() for name in ("conv_id", "turn")] + [F.col("role"), F.col("lead")]
+    texts = texts.select("row", F.struct(*group).alias("alike"), "body")
+    ranks = (
+        texts.select("alike", "body")
+        .distinct()
+        .withColumn("tie", F.row_number().over(Window.partitionBy("alike").orderBy("body")))
+    )
+    ties = written(texts.join(ranks, ["alike", "body"]).select("row", "tie"), "ties")
+    return chunked.join(lookup_side(ties), "row", "left").withColumn("tie", F.coalesce("tie", F.lit(0)))
+
+
+def numbered(said: DataFrame) -> DataFrame:
+    """The turns without their texts, with ``pos`` (from 0) and ``end``, the prefix sum of ``n_tokens``.
+
+    The rows are range-partitioned by conversation, turn, role and the text's beginning. A
+    conversation that fills several chunks is summed up in each, and the chunks' totals are
+    carried on, so no task gets the whole of it.
     """
     chunked = written(
-        turns.repartitionByRange(width(turns.sparkSession), "conv_id", *order).withColumn(
-            "_chunk", F.spark_partition_id()
-        ),
+        said.drop("body")
+        .repartitionByRange(width(said.sparkSession), "conv_id", "turn", "role", "lead")
+        .withColumn("_chunk", F.spark_partition_id()),
         "turns",
     )
     before = (
@@ -61,9 +100,12 @@ def numbered(turns: DataFrame, order: list[str]) -> DataFrame:
         F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_n"),
         F.coalesce(F.sum("t").over(before), F.lit(0)).alias("_t"),
     )
+    order = ["turn", "role", "lead", "tie", "row"]  # of equal texts any may be first
     here = Window.partitionBy("conv_id", "_chunk").orderBy(*order)
-    rows = chunked.withColumn("pos", F.row_number().over(here) - 1).withColumn(
-        "end", F.sum("n_tokens").over(here.rowsBetween(Window.unboundedPreceding, 0))
+    rows = (
+        _with_ties(chunked, said)
+        .withColumn("pos", F.row_number().over(here) - 1)
+        .withColumn("end", F.sum("n_tokens").over(here.rowsBetween(Window.unboundedPreceding, 0)))
     )
     return (
         _running(rows, carry)
@@ -104,30 +146,37 @@ def chat_windows(
     their first time: ``loss_spans`` (``start`` from 0, ``length``, in the escaped
     text) are the new assistant turns.
 
+    Only the last step handles texts: all before it goes by sizes and the rows' numbers.
+
     NULL text or role is empty; NULL turn numbers come first, ties are ordered by
     role and text; repeated rows are turns of their own; NULL conv_id is one
     conversation. Other columns are not read.
     """
     empty = F.lit("")
-    order = ["turn", "role", "body"]
-    rows = turns.select(
+    said = turns.select(
         F.col("conv_id").cast("bigint"),
         F.col("turn").cast("bigint"),
         F.coalesce(F.col("role").cast("string"), empty).alias("role"),
         F.coalesce(F.col("text").cast("string"), empty).alias("body"),
     )
-    shown = F.concat(
-        F.lit(OPEN), escape(F.col("role")), F.lit(MIDDLE), escape(F.col("body")), F.lit(CLOSE)
-    )
-    rows = rows.withColumn("shown", shown).withColumn(
-        "n_tokens", token_estimate(F.col("shown")).cast("bigint")
+    shown = _formatted(F.col("role"), F.col("body"))
+    said = written(
+        said.select(
+            "*",
+            F.substring("body", 1, LEAD_CHARS).alias("lead"),
+            F.xxhash64("body").alias("body_hash"),
+            token_estimate(shown).cast("bigint").alias("n_tokens"),
+            F.length(shown).alias("size"),
+            F.length(F.concat(F.lit(OPEN), escape(F.col("role")), F.lit(MIDDLE))).alias("head"),
+            F.monotonically_increasing_id().alias("row"),
+        ),
+        "said",
     )
-    rows = numbered(rows, order)
+    # From here to the last step, turns go without their texts.
     rows = written(
-        rows.select(
-            "conv_id", "_chunk", "pos", "n_tokens", "end", "shown",
+        numbered(said).select(
+            "row", "conv_id", "_chunk", "pos", "n_tokens", "end", "size", "head",
             (F.col("role") == assistant).alias("target"),
-            F.length(F.concat(F.lit(OPEN), escape(F.col("role")), F.lit(MIDDLE))).alias("head"),
             ((F.col("pos") == 0) & (F.col("role") == system)).alias("leads"),
         ),
         "numbered",
@@ -177,7 +226,7 @@ def chat_windows(
         F.min_by(F.col("end") - F.col("n_tokens"), "pos").alias("first_end"),
         (F.sum("n_tokens") + F.first("lead_tokens")).alias("used"),
     )
-    column = ["conv_id", "window", "pos", "shown", "n_tokens", "target", "head", "repeated"]
+    column = ["conv_id", "window", "pos", "row", "size", "n_tokens", "target", "head", "repeated"]
     fresh = plain.withColumn("repeated", F.lit(False)).select(*column)
     wanted = starts.where(F.col("used") + history_tokens <= budget).select(
         "conv_id",
@@ -192,22 +241,24 @@ def chat_windows(
     first_window = starts.groupBy("conv_id").agg(F.min("window").alias("least"))
     led = _on_conversation(starts.select("conv_id", "window"), first_window, "inner")
     lead = _on_conversation(rows.where("leads"), led, "left").select(
-        "conv_id", F.coalesce("window", F.lit(-1)).alias("window"), "pos", "shown", "n_tokens", "target",
+        "conv_id", F.coalesce("window", F.lit(-1)).alias("window"), "pos", "row", "size", "n_tokens", "target",
         "head", (F.col("window") > F.col("least")).alias("repeated"),
     ).withColumn("repeated", F.coalesce("repeated", F.lit(False)))
     parts = fresh.unionByName(again.select(*column)).unionByName(lead)
     within = Window.partitionBy("conv_id", "window").orderBy("pos")
     parts = parts.withColumn(
         "start",
-        F.sum(F.length("shown")).over(within.rowsBetween(Window.unboundedPreceding, 0))
-        - F.length("shown"),
+        F.sum("size").over(within.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size"),
     )
     span = F.struct(
         (F.col("start") + F.col("head")).alias("start"),
-        (F.length("shown") - F.col("head") - len(CLOSE)).cast("bigint").alias("length"),
+        (F.col("size") - F.col("head") - len(CLOSE)).cast("bigint").alias("length"),
     )
-    turn = F.struct("pos", "shown", F.when(F.col("target") & ~F.col("repeated"), span).alias("loss"))
-    grouped = parts.groupBy("conv_id", "window").agg(
+    loss = F.when(F.col("target") & ~F.col("repeated"), span).alias("loss")
+    texts = said.select("row", _formatted(F.col("role"), F.col("body")).alias("shown"))
+    turn = F.struct("pos", "shown", "loss")
+    parts = parts.select("row", "conv_id", "window", "pos", "n_tokens", "repeated", loss)
+    grouped = parts.join(texts, "row").groupBy("conv_id", "window").agg(
         F.sort_array(F.collect_list(turn)).alias("turns"),
         F.count("*").alias("n_turns"),
         F.count_if("repeated").alias("n_repeated"),
