@@ -381,8 +381,9 @@ def quality(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) -> D
 
     Trusted texts are those labelled ``quality`` 1 and not ``toxic``. Four in five teach
     the model (by crc32 of doc_id); the perplexities of the fifth set each language's
-    limit at ``quantile``. A language, NULL included, with fewer than 20 of these takes the
-    limit over all; without any trusted text there is no limit, and all are kept.
+    limit at ``quantile`` (approximate, to a ten-thousandth of the ranks). A language, NULL
+    included, with fewer than 20 of these takes the limit over all; without any trusted
+    text there is no limit, and all are kept.
 
     The model is over whole words and the end of the text, however many there are; a word
     that no text of the model has shares what unseen words get. Words and n-grams go by

@@ -322,7 +322,8 @@ def identify(docs: DataFrame, model: Model, with_words: bool = False) -> DataFra
     """``doc_id, held_out, lang_pred, score``, one row per document, from its text alone.
 
     Every word of the text gets its probability of each language by forward-backward
-    over its line; the prediction is the language with the largest mean over words with
+    over its line (a longer line than ``CHAIN_WORDS`` words is cut into chains of that many, each
+    labelled by itself); the prediction is the language with the largest mean over words with
     letters, and that mean is the score. Ties go to the first language by name. A
     NULL text, or one without any letter, is ``und`` with score 0, and so is all text if
     nothing was learned. ``with_words`` adds ``words`` (the language of each word, ``und``
@@ -366,7 +367,8 @@ def identify(docs: DataFrame, model: Model, with_words: bool = False) -> DataFra
 def without_unknown(docs: DataFrame, least_score: float = 0.5) -> DataFrame:
     """The documents with a language: predicted with a mean probability of ``least_score``.
 
-    Texts of two languages in equal parts and texts without letters go. Each row is judged by
+    Texts without letters go, and so do texts of which no language has that share: most of
+    two languages in equal parts and all of three. Each row is judged by
     its own text, whatever its doc_id.
     """
     shared = docs.sparkSession.sparkContext.broadcast(language_model(docs))
