@@ -1,5 +1,6 @@
 import json
 import os
+from pathlib import Path
 
 import pytest
 from helpers import frame
@@ -82,6 +83,55 @@ def test_keyed_table_reads_and_merges_touched_buckets(spark):
     assert len(small._buckets_in(spark, "full", 0)) == 7
 
 
+def bytes_read(spark):
+    """Of local files, by this process so far."""
+    statistics = spark.sparkContext._jvm.org.apache.hadoop.fs.FileSystem.getGlobalStorageStatistics()
+    return statistics.get("file").getLong("bytesRead")
+
+
+def test_few_keys_are_read_by_page(spark):
+    table = KeyedTable(new_folder(spark, "test"), "mid string, n bigint", "mid", buckets=4)
+    mid = F.concat(F.lit("mid_"), F.xxhash64("id").cast("string"))
+    table.add(0, spark.range(1_000_000).select(mid.alias("mid"), F.col("id").alias("n")))
+    table.merge(spark, 0, lambda rows: rows.drop("batch_id"))
+    table.add(1, spark.range(1_000_000, 1_000_500).select(mid.alias("mid"), F.col("id").alias("n")))
+    size = sum(f.stat().st_size for f in Path(table.path.removeprefix("file:")).glob("full/*/*/*.parquet"))
+    keys = spark.range(100).select((F.col("id") * 9_973 + 3_000).alias("id")).select(mid.alias("mid"))
+    before = bytes_read(spark)
+    rows = table.before(spark, 2, keys).select("mid", "n").collect()
+    assert sorted(row["n"] for row in rows) == [9_973 * i + 3_000 for i in range(100)]
+    assert bytes_read(spark) - before < 0.05 * size
+    # With more keys than are looked for one by one, whole buckets.
+    many = spark.range(2_000).select(mid.alias("mid"))
+    found = table.before(spark, 2, many).join(many, "mid", "left_semi")
+    assert found.count() == 2_000
+    none = table.before(spark, 2, many.where("false"))
+    assert none.count() == 0 and none.columns == rows[0].__fields__ + ["batch_id"]
+
+
+def test_a_merge_spreads_a_bucket_over_tasks(spark):
+    table = KeyedTable(new_folder(spark, "test"), "n bigint", "n", buckets=1)
+    table.add(0, spark.range(5_000).toDF("n"))
+    adaptive = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    table.merge(spark, 0, lambda rows: rows.drop("batch_id"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", adaptive)
+    files = list(Path(table.path.removeprefix("file:")).glob("full/batch_id=0/bucket=0/*.parquet"))
+    assert len(files) > 4
+    table.add(1, spark.range(5_000, 5_001).toDF("n"))
+    table.merge(spark, 1, lambda rows: rows.drop("batch_id"))
+    assert found(table.before(spark, 5, numbers(spark, 7, 5_000))) == [7, 5_000]
+    assert found(table.latest(spark)) == list(range(5_001))
+
+
+def test_keys_may_be_null(spark):
+    table = KeyedTable(new_folder(spark, "test"), "n int", "n", buckets=4)
+    table.add(0, spark.createDataFrame([(1,), (None,), (2,)], "n int"))
+    table.merge(spark, 0, lambda rows: rows.drop("batch_id"))
+    asked = spark.createDataFrame([(None,), (2,)], "n int")
+    assert sorted(row["n"] or 0 for row in table.before(spark, 1, asked).collect()) == [0, 2]
+
+
 def test_last_per_key(spark):
     rows = spark.createDataFrame([("a", 1, 0), ("a", 2, 3), ("b", 3, 1)], "k string, n int, batch_id long")
     assert found(last_per_key(rows, ["k"], ["n"])) == [2, 3]

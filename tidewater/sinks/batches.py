@@ -7,6 +7,13 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 
+# Rows of a page of a keyed table: readers that ask for a few keys read their pages only.
+PAGE_ROWS = 256
+# A batch with more keys than this reads their buckets whole.
+ASKED_KEYS = 1_000
+_IN_PAGES = "spark.sql.parquet.pushdown.inFilterThreshold"
+
+
 def hadoop_path(spark: SparkSession, path: str):
     return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
 
@@ -20,10 +27,12 @@ def is_complete(spark: SparkSession, path: str) -> bool:
     return file_system(spark, path).exists(hadoop_path(spark, f"{path}/_SUCCESS"))
 
 
-def write_once(frame: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
+def write_once(
+    frame: DataFrame, path: str, partition_by: Sequence[str] = (), **options: str | int
+) -> None:
     """Write the folder, unless an earlier attempt at the same batch has finished it."""
     if not is_complete(frame.sparkSession, path):
-        frame.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+        frame.write.mode("overwrite").partitionBy(*partition_by).options(**options).parquet(path)
 
 
 class BatchTable:
@@ -103,21 +112,28 @@ class KeyedTable(BatchTable):
     """A ``BatchTable`` cut into buckets by a key, each in folders of its own.
 
     A batch reads only the buckets its keys are in, and a merge writes only those that
-    changed since the merge before; of each bucket, the newest merge counts.
+    changed since the merge before; of each bucket, the newest merge counts. Files are
+    sorted by the key, in short pages: a batch of few keys reads, by Parquet's page index,
+    the pages these can be in. A large bucket is several files, each of a range of keys, so
+    that a merge has as many tasks as its shuffle has partitions.
     """
 
     def __init__(self, path: str, schema: str, key: str, buckets: int = 64):
         super().__init__(path, f"{schema}, bucket int", ("bucket",))
         self.key, self.buckets = key, buckets
 
-    def _bucketed(self, frame: DataFrame) -> DataFrame:
-        return frame.withColumn("bucket", self._bucket()).repartition("bucket")
+    def _write(self, frame: DataFrame, folder: str, ranges: bool) -> None:
+        """Sorted by bucket and key; by ``ranges`` of these, which looks at the rows twice."""
+        rows = frame.withColumn("bucket", self._bucket())
+        spread = rows.repartitionByRange("bucket", self.key) if ranges else rows.repartition("bucket")
+        pages = {"parquet.page.row.count.limit": PAGE_ROWS, f"parquet.enable.dictionary#{self.key}": "false"}
+        write_once(spread.sortWithinPartitions("bucket", self.key), folder, self.partition_by, **pages)
 
     def _bucket(self) -> Column:
         return F.pmod(F.xxhash64(self.key), F.lit(self.buckets)).cast("int")
 
     def add(self, batch_id: int, frame: DataFrame) -> None:
-        super().add(batch_id, self._bucketed(frame))
+        self._write(frame, self._folder("delta", batch_id), ranges=False)
 
     def _newest(self, spark: SparkSession, batch_id: int) -> dict[int, int]:
         """Of each merged bucket, the newest merge before the batch."""
@@ -136,12 +152,23 @@ class KeyedTable(BatchTable):
     def before(
         self, spark: SparkSession, batch_id: int, keys: DataFrame | None = None
     ) -> DataFrame:
-        """The state before the batch; with ``keys``, only of buckets these are in."""
-        wanted = None
-        if keys is not None:
-            rows = self._bucketed(keys.select(self.key)).select("bucket").distinct().collect()
-            wanted = {row["bucket"] for row in rows}
-        return self._rows(spark, batch_id, wanted)
+        """The state before the batch; with ``keys``, only of buckets these are in.
+
+        With few keys, only their rows. The frame of keys is evaluated twice if it is large.
+        """
+        if keys is None:
+            return self._rows(spark, batch_id, None)
+        asked = keys.select(F.col(self.key).alias("key"), self._bucket().alias("bucket"))
+        few = asked.limit(ASKED_KEYS + 1).collect()
+        if len(few) > ASKED_KEYS:
+            wanted = {row["bucket"] for row in asked.select("bucket").distinct().collect()}
+            return self._rows(spark, batch_id, wanted)
+        rows = self._rows(spark, batch_id, {row["bucket"] for row in few})
+        if int(spark.conf.get(_IN_PAGES)) < ASKED_KEYS:  # beyond it, least and largest are all that is looked for
+            spark.conf.set(_IN_PAGES, str(ASKED_KEYS))
+        values = {row["key"] for row in few}
+        found = F.col(self.key).isin(*(values - {None}))
+        return rows.where(found | F.col(self.key).isNull() if None in values else found)
 
     def _rows(self, spark: SparkSession, batch_id: int, wanted: set[int] | None) -> DataFrame:
         newest = self._newest(spark, batch_id)
@@ -187,9 +214,7 @@ class KeyedTable(BatchTable):
         changed = {bucket for n in deltas for bucket in self._buckets_in(spark, "delta", n)}
         if changed:
             rows = self._rows(spark, batch_id + 1, changed)
-            write_once(
-                self._bucketed(combine(rows)), self._folder("full", batch_id), self.partition_by
-            )
+            self._write(combine(rows), self._folder("full", batch_id), ranges=True)
         over = set()
         idle = set(before) - changed
         if expired is not None and idle:
