@@ -426,6 +426,30 @@ def test_forward_backward_against_enumeration():
     assert np.allclose(pairs, expected_pairs)
 
 
+def test_long_lines_are_one_chain(monkeypatch):
+    rng = np.random.default_rng(7)
+    model = langid.Model(
+        ["a", "b", "c"],
+        rng.normal(0, 0.6, (langid.FEATURES, 3)).astype(np.float32),
+        rng.normal(0, 2.0, (3, 3)),
+        {},
+    )
+    words = [f"{a}{b}".encode() for a in "abcdefg" for b in "hijkl"]
+    line = [words[i] for i in rng.integers(0, len(words), 700)]
+    short = [words[i] for i in rng.integers(0, len(words), 11)]
+    text = b" ".join(line) + b"\n" + b" ".join(short) + b"\n\n" + b" ".join(line[:256])
+    expected = []
+    for chain in (line, short, line[:256]):
+        scores = model.emissions([langid.form_of(word) for word in chain])[None]
+        found, _ = langid.posteriors(scores, np.array([len(chain)]), model.moves)
+        expected.append(found[0])
+    for size in (256, 100, 7, 1):
+        monkeypatch.setattr(langid, "CHAIN_WORDS", size)
+        (_, shares, _), (none, _, _) = langid.Labeller(model).label([text, b""])
+        assert none is None
+        assert shares == pytest.approx(np.concatenate(expected), abs=1e-4)
+
+
 def test_unknown_languages(odd, nothing):
     rows = langid.identify(odd, langid.language_model(odd)).collect()
     assert len(rows) == odd.count()

@@ -18,7 +18,7 @@ SAMPLE_DOCUMENTS = 300
 SAMPLE_WORDS = 400
 SEGMENT, SEGMENTS = 16, 3
 EPOCHS, BATCH, RATE, DECAY = 6, 256, 0.3, 1e-4
-# A chain is a line; longer lines are cut.
+# A chain is a line; longer lines are worked on in pieces that pass messages on.
 CHAIN_WORDS = 256
 LEXICON_COUNT = 5
 CACHE_WORDS = 200_000
@@ -89,26 +89,35 @@ def _summed(rows: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 
 def posteriors(
-    scores: np.ndarray, lengths: np.ndarray, moves: np.ndarray, with_pairs: bool = True
+    scores: np.ndarray,
+    lengths: np.ndarray,
+    moves: np.ndarray,
+    with_pairs: bool = True,
+    before: np.ndarray | float = 1.0,
+    after: np.ndarray | float = 1.0,
 ):
     """Forward-backward over padded chains (chain, position, label).
 
     Gives each position's label probabilities, and the expected moves of all chains.
+    ``before`` and ``after`` (chain, label) are the messages from what stands around a
+    piece of a longer chain.
     """
     chains, size, labels = scores.shape
     step = np.exp(moves - moves.max())
     here = np.exp(scores - scores.max(axis=2, keepdims=True))
     inside = np.arange(size)[None, :] < lengths[:, None]
     forward = np.empty_like(here)
-    backward = np.ones_like(here)
-    forward[:, 0] = here[:, 0] / here[:, 0].sum(axis=1, keepdims=True)
+    backward = np.empty_like(here)
+    backward[:, -1] = after
+    now = here[:, 0] * before
+    forward[:, 0] = now / now.sum(axis=1, keepdims=True)
     for t in range(1, size):
         now = (forward[:, t - 1] @ step) * here[:, t]
         forward[:, t] = now / now.sum(axis=1, keepdims=True)
     for t in range(size - 2, -1, -1):
         now = (backward[:, t + 1] * here[:, t + 1]) @ step.T
         now /= now.sum(axis=1, keepdims=True)
-        backward[:, t] = np.where(inside[:, t + 1, None], now, 1.0)
+        backward[:, t] = np.where(inside[:, t + 1, None], now, after)
     found = forward * backward
     found /= found.sum(axis=2, keepdims=True)
     found *= inside[:, :, None]
@@ -121,6 +130,21 @@ def posteriors(
     return found, pairs
 
 
+def passages(scores: np.ndarray, lengths: np.ndarray, moves: np.ndarray) -> np.ndarray:
+    """Of each piece (chain, position, label), what it does to a message that goes through it.
+
+    A matrix (chain, label at the first position, label at the last), up to a factor.
+    """
+    step = np.exp(moves - moves.max())
+    here = np.exp(scores - scores.max(axis=2, keepdims=True))
+    found = np.eye(scores.shape[2]) * here[:, 0][:, :, None]
+    for t in range(1, scores.shape[1]):
+        now = (found @ step) * here[:, t][:, None, :]
+        now /= now.max(axis=(1, 2), keepdims=True)
+        found = np.where((t < lengths)[:, None, None], now, found)
+    return found
+
+
 def fit(rows: Sequence[tuple[str, list[bytes]]], seed: int = 0) -> Model:
     """Learn from ``(language, words)`` of documents, by stochastic gradient steps.
 
@@ -197,6 +221,14 @@ def fit(rows: Sequence[tuple[str, list[bytes]]], seed: int = 0) -> Model:
     return model
 
 
+def _padded(chains: np.ndarray, starts: np.ndarray, lengths: np.ndarray):
+    """Some chains at a time, the places of their words, and which of these are theirs."""
+    for at in range(0, len(chains), 1024):
+        some = chains[at : at + 1024]
+        columns = np.arange(lengths[some].max())[None, :]
+        yield some, starts[some][:, None] + columns, columns < lengths[some][:, None]
+
+
 class Labeller:
     """Labels words with a model; remembers the scores of words it has met."""
 
@@ -231,6 +263,34 @@ class Labeller:
         self.words.update({word: self.forms[form] for word, form in forms.items()})
         return np.fromiter(map(self.words.__getitem__, words), np.int64, len(words))
 
+    def _scores(self, ids: np.ndarray, places: np.ndarray) -> np.ndarray:
+        return self.scores[ids[np.minimum(places, len(ids) - 1)]].astype(np.float64)
+
+    def _messages(
+        self, ids: np.ndarray, starts: np.ndarray, lengths: np.ndarray, goes_on: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """What pieces of one line tell each other; ones where a line begins or ends."""
+        moves = self.model.moves
+        before = np.ones((len(lengths), len(moves)))
+        after = before.copy()
+        later = np.nonzero(goes_on)[0]
+        if not len(later):
+            return before, after
+        parts = np.union1d(later, later - 1)
+        through = np.empty((len(parts), *moves.shape))
+        for some, places, _ in _padded(parts, starts, lengths):
+            at = np.searchsorted(parts, some)
+            through[at] = passages(self._scores(ids, places), lengths[some], moves)
+        step = np.exp(moves - moves.max())
+        at = np.searchsorted(parts, later)
+        for piece, i in zip(later, at):
+            message = before[piece - 1] @ through[i - 1] @ step
+            before[piece] = message / message.sum()
+        for piece, i in zip(later[::-1], at[::-1]):
+            message = step @ (through[i] @ after[piece])
+            after[piece - 1] = message / message.sum()
+        return before, after
+
     def label(self, texts: Sequence[bytes | None]):
         """``_label`` of all texts, some at a time."""
         for at in range(0, len(texts), TEXTS):
@@ -243,6 +303,7 @@ class Labeller:
         """
         words: list[bytes] = []
         chain_sizes: list[int] = []
+        goes_on: list[bool] = []
         ends = []
         for text in texts:
             for line in (text or b"").split(b"\n"):
@@ -250,19 +311,19 @@ class Labeller:
                 words += found
                 full, rest = divmod(len(found), CHAIN_WORDS)
                 chain_sizes += [CHAIN_WORDS] * full + [rest] * bool(rest)
+                goes_on += [i > 0 for i in range(full + bool(rest))]
             ends.append(len(words))
         ids = self._numbers(words)
         lengths = np.array(chain_sizes, np.int64)
         starts = np.cumsum(lengths) - lengths
+        moves = self.model.moves
         shares = np.zeros((len(words), len(self.model.languages)))
+        before, after = self._messages(ids, starts, lengths, np.array(goes_on, bool))
         order = np.argsort(lengths, kind="stable")
-        for at in range(0, len(order), 1024):
-            some = order[at : at + 1024]
-            size = lengths[some].max()
-            places = starts[some][:, None] + np.arange(size)[None, :]
-            inside = np.arange(size)[None, :] < lengths[some][:, None]
-            scores = self.scores[ids[np.minimum(places, len(ids) - 1)]].astype(np.float64)
-            found, _ = posteriors(scores, lengths[some], self.model.moves, with_pairs=False)
+        for some, places, inside in _padded(order, starts, lengths):
+            found, _ = posteriors(
+                self._scores(ids, places), lengths[some], moves, False, before[some], after[some]
+            )
             shares[places[inside]] = found[inside]
         letters = ids > 0
         counted = shares * letters[:, None]
@@ -322,8 +383,7 @@ def identify(docs: DataFrame, model: Model, with_words: bool = False) -> DataFra
     """``doc_id, held_out, lang_pred, score``, one row per document, from its text alone.
 
     Every word of the text gets its probability of each language by forward-backward
-    over its line (a longer line than ``CHAIN_WORDS`` words is cut into chains of that many, each
-    labelled by itself); the prediction is the language with the largest mean over words with
+    over its line, however long; the prediction is the language with the largest mean over words with
     letters, and that mean is the score. Ties go to the first language by name. A
     NULL text, or one without any letter, is ``und`` with score 0, and so is all text if
     nothing was learned. ``with_words`` adds ``words`` (the language of each word, ``und``
