@@ -851,10 +851,43 @@ def test_repeated_passages_of_few_letters(spark):
         rows.append((doc_id, "".join(parts)))
     rows += [(60 + i, text[rng.randint(0, 40) :] + text[: rng.randint(0, 80)]) for i, (_, text) in enumerate(rows[:40])]
     frame = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
-    found = suffixes.without_repeats(frame, block_bytes=700).collect()
-    assert Counter(
-        (r["doc_id"], r["n_bytes"], sum(r["span_lengths"]), len(r["span_starts"]), bytes(r["kept"])) for r in found
-    ) == Counter(plain_removed(rows))
+    expected = Counter(plain_removed(rows))
+    for options in ({}, {"hot_blocks": 2}, {"hot_blocks": 4, "bucket_bytes": 300}):
+        found = suffixes.without_repeats(frame, block_bytes=700, **options).collect()
+        assert expected == Counter(
+            (r["doc_id"], r["n_bytes"], sum(r["span_lengths"]), len(r["span_starts"]), bytes(r["kept"])) for r in found
+        )
+
+
+def test_strings_at_one_anchor_are_told_apart(spark):
+    # One gram of least hash in every document, with other bytes on both sides of it.
+    rng = random.Random(9)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    sides = ["".join(rng.choices(letters, k=26)) for _ in range(40)]
+    found = suffixes.Anchors(np.zeros(0, np.uint8), np.zeros(0, np.int64))
+    while not len(found.ids) or Counter(found.ids.tolist()).most_common(1)[0][1] < 150:
+        gram = "".join(rng.choices(letters, k=24))
+        texts = [f"{rng.choice(sides)}{gram}{rng.choice(sides)}{rng.choice(sides)}" for _ in range(200)]
+        data = np.frombuffer("".join(texts).encode(), np.uint8)
+        found = suffixes.Anchors(data, np.array([len(text) for text in texts]))
+    rows = list(enumerate(texts))
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    plain = Counter((doc_id, removed, spans) for doc_id, _, removed, spans, _ in plain_removed(rows))
+    for hot_blocks in (2, suffixes.HOT_BLOCKS):
+        found = suffixes.without_repeats(frame, block_bytes=400, bucket_bytes=2000, hot_blocks=hot_blocks).collect()
+        assert plain == Counter((r["doc_id"], sum(r["span_lengths"]), len(r["span_starts"])) for r in found)
+
+    # Split, each part has an id of its own and the strings are the same ones.
+    sizes = np.array([len(text) for text in texts])
+    whole, parts = suffixes.Anchors(data, sizes), suffixes.Anchors(data, sizes)
+    parts.split(np.ones(len(parts.ids), bool), data)
+    strings = [
+        sorted((start, doc) for a, b, doc in zip(one.starts, one.stops, one.docs) for start in range(a, b + 1))
+        for one in (whole, parts)
+    ]
+    assert strings[0] == strings[1]
+    most = [Counter(one.ids.tolist()).most_common(1)[0][1] for one in (whole, parts)]
+    assert most[1] < most[0] / 4
 
 
 def test_loser_tree_merges_with_shared_prefixes():

@@ -7,7 +7,9 @@ where it matters:
 1. Every 50-byte string has an anchor: the 24-byte gram in it with the least hash. Equal
    strings have equal anchors, wherever they stand. A census of the anchors' hashes
    (sorted and delta-coded runs, three bytes each) tells which occur in two documents.
-2. Around each of these, the bytes of all its 50-byte strings are one suffix. Each
+2. Around each of these, the bytes of all its 50-byte strings are one suffix. (At an anchor
+   of very many blocks, two: equal strings have it at the same place and so share the bytes
+   before it, or those after it, which then count as part of the anchor.) Each
    block of documents sorts its distinct suffixes, front-codes them (length of the prefix
    shared with the one before, and the rest) and sends the runs to buckets by anchor.
    A bucket merges its runs, a sixteenth of the anchors at a time, with a loser tree that
@@ -33,8 +35,12 @@ MATCH = 50
 GRAM = 24
 # Bytes of text in a block: a Python worker needs about 60 times as much.
 BLOCK_BYTES = 2 << 20
+# Text whose suffixes meet in a bucket, so buckets are as many as the input needs.
+BUCKET_BYTES = 48 << 20
 # A bucket is merged slice by slice, so that only a slice is decoded at a time.
 SLICES = 16
+# Strings at an anchor that so many blocks have are told apart by the bytes beside it, too.
+HOT_BLOCKS = 1024
 ID_BITS = 40
 NO_ID = np.iinfo(np.int64).max
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -112,12 +118,43 @@ class Anchors:
         last[:-1] &= ~valid[1:] | (anchor[1:] != anchor[:-1])
         self.starts, self.stops = np.nonzero(new)[0], np.nonzero(last)[0]
         # Neighbouring documents may share a place, not a run.
-        at = anchor[self.starts]
+        self.at = anchor[self.starts]
         with np.errstate(over="ignore"):
-            mixed = hashes[at] * _BASE
+            mixed = hashes[self.at] * _BASE
         self.ids = mixed >> np.uint64(64 - ID_BITS)
         self.docs = np.searchsorted(ends, self.starts, "right")
 
+    def choose(self, chosen: np.ndarray) -> None:
+        """Keep these runs only."""
+        for name in ("starts", "stops", "at", "ids", "docs"):
+            setattr(self, name, getattr(self, name)[chosen])
+
+    def split(self, hot: np.ndarray, data: np.ndarray, match: int = MATCH, gram: int = GRAM) -> None:
+        """Cut these runs into strings with ``side`` bytes or more before the anchor, and others.
+
+        The others have as many after it. Each part's id is made of the anchor and these bytes.
+        """
+        side = (match - gram) // 2
+        if not side or not hot.any():
+            return
+        with np.errstate(over="ignore"):
+            beside = gram_hashes(data, side)
+        cold, last = np.nonzero(~hot)[0], self.at - side
+        left = np.nonzero(hot & (self.starts <= last))[0]
+        right = np.nonzero(hot & (self.stops > last))[0]
+        runs = np.concatenate((cold, left, right))
+        starts, stops, ids = self.starts, self.stops, self.ids
+        parts = [(cold, starts[cold], stops[cold], ids[cold])]
+        for where, low, high, context in (
+            (left, starts[left], np.minimum(stops[left], last[left]), last[left]),
+            (right, np.maximum(starts[right], last[right] + 1), stops[right], self.at[right] + gram),
+        ):
+            with np.errstate(over="ignore"):
+                mixed = (ids[where] ^ (beside[context] * _OTHER)) * _BASE
+            parts.append((where, low, high, mixed >> np.uint64(64 - ID_BITS)))
+        self.at, self.docs = self.at[runs], self.docs[runs]
+        self.starts, self.stops, self.ids = (np.concatenate([part[i] for part in parts]) for i in (1, 2, 3))
+
 
 class Block:
     """Documents side by side, as a row of the block table holds them."""
@@ -153,27 +190,31 @@ def census(anchors: Anchors) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return ids, low != high, place
 
 
-def repeated_ids(runs: Sequence[tuple[np.ndarray, np.ndarray]]) -> list[np.ndarray]:
-    """For each run of a bucket, which of its ids two documents have."""
+def repeated_ids(
+    runs: Sequence[tuple[np.ndarray, np.ndarray]], hot_blocks: int = HOT_BLOCKS
+) -> list[np.ndarray]:
+    """For each run of a bucket, two bits for each id: two documents have it, very many blocks do."""
     ids = np.concatenate([run for run, _ in runs])
     both = np.concatenate([flags for _, flags in runs])
     found, place, n = np.unique(ids, return_inverse=True, return_counts=True)
     many = n > 1
     many[place[both]] = True
-    return np.split(many[place], np.cumsum([len(run) for run, _ in runs])[:-1])
+    bits = np.stack((many[place], n[place] >= hot_blocks), axis=1)
+    cuts = np.cumsum([len(run) for run, _ in runs])[:-1]
+    return [part.ravel() for part in np.split(bits, cuts)]
 
 
 class Suffixes:
     """The distinct suffixes of a block at its repeated anchors, sorted by bucket and bytes."""
 
-    def __init__(self, block: Block, anchors: Anchors, chosen: np.ndarray, buckets: int, match: int):
+    def __init__(self, block: Block, anchors: Anchors, buckets: int, match: int):
         longest = 2 * match - GRAM
-        self.starts, self.docs = anchors.starts[chosen], anchors.docs[chosen]
-        self.lengths = anchors.stops[chosen] - self.starts + match
+        self.starts, self.docs = anchors.starts, anchors.docs
+        self.lengths = anchors.stops - self.starts + match
         places = self.starts[:, None] + np.arange(longest)[None, :]
         grid = block.data[np.minimum(places, max(0, len(block.data) - 1))]
         grid[np.arange(longest)[None, :] >= self.lengths[:, None]] = 0
-        ids = anchors.ids[chosen]
+        ids = anchors.ids
         head = bucket_of(ids, buckets).astype(">u4").view(np.uint8).reshape(-1, 4)
         # The low bits, as buckets are made of the high ones.
         part = (ids % np.uint64(SLICES)).astype(np.uint8)[:, None]
@@ -444,6 +485,8 @@ def without_repeats(
     match: int = MATCH,
     carry: Sequence[str] = (),
     block_bytes: int = BLOCK_BYTES,
+    bucket_bytes: int = BUCKET_BYTES,
+    hot_blocks: int = HOT_BLOCKS,
 ) -> DataFrame:
     """``doc_id, n_bytes, span_starts, span_lengths, kept`` and the ``carry`` columns.
 
@@ -455,9 +498,8 @@ def without_repeats(
     """
     if not GRAM < match <= 140:
         raise ValueError(f"strings of {GRAM + 1} to 140 bytes can be matched")
-    spark = docs.sparkSession
-    buckets = width(spark)
     blocks = written(text_blocks(docs, carry, block_bytes), "blocks")
+    buckets = max(width(docs.sparkSession), -(-blocks.count() * block_bytes // bucket_bytes))
 
     def count(batches: Iterator[dict]) -> Iterator[dict]:
         for batch in batches:
@@ -476,7 +518,7 @@ def without_repeats(
             planes, flags = _unpack(value)
             ids = _undelta(planes)
             runs.append((ids, np.unpackbits(flags, count=len(ids)).astype(bool)))
-        return repeated_ids(runs)
+        return repeated_ids(runs, hot_blocks)
 
     counted = in_python(blocks, count, "block bigint, bucket int, value binary")
     known = written(_answers(_by_bucket(counted, common), "repeated"), "census")
@@ -484,8 +526,12 @@ def without_repeats(
     def sorted_suffixes(block: Block, repeated: Sequence[bytes]) -> Suffixes:
         anchors = block.anchors(match)
         ids, _, place = census(anchors)
-        flags = _flags(repeated or (), bucket_of(ids, buckets), np.ones(len(ids), np.int64))
-        return Suffixes(block, anchors, np.nonzero(flags[place])[0], buckets, match)
+        flags = _flags(repeated or (), bucket_of(ids, buckets), np.full(len(ids), 2))
+        many, hot = flags.reshape(-1, 2).T
+        chosen = many[place]
+        anchors.choose(chosen)
+        anchors.split(hot[place[chosen]], block.data, match)
+        return Suffixes(block, anchors, buckets, match)
 
     def send(batches: Iterator[dict]) -> Iterator[dict]:
         for batch in batches:
