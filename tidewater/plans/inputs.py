@@ -20,13 +20,22 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
-def spread(rows: DataFrame, *keys: str) -> DataFrame:
-    """Rows of a table in fewer splits than there are cores, over all cores.
+# Rows that one task makes text of: some 100 MB of lines, whatever the size of the table.
+ROWS_A_TASK = 250_000
 
-    Making and parsing text is costly next to reading; big tables have splits enough.
+
+def spread(rows: DataFrame, *keys: str, least: int | None = None, rows_a_task: int = ROWS_A_TASK) -> DataFrame:
+    """Rows of a table dealt out by their keys: over all cores, and to more tasks the more there are.
+
+    Making and parsing text is costly next to reading. The splits of a file say nothing of its
+    rows: a row group is in one of them, however many rows it has, and neighbours are in the
+    same one, so that a slice of a topic would come from a few tasks. ``least`` is for tables
+    that are small by nature: in one task they stay as they are.
     """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(cores, *keys) if rows.rdd.getNumPartitions() < cores else rows
+    if least is None:
+        least = rows.sparkSession.sparkContext.defaultParallelism
+    tasks = max(least, -(-rows.count() // rows_a_task))
+    return rows.repartition(tasks, *keys) if tasks > 1 else rows
 
 
 def _event_ms() -> Column:
@@ -179,7 +188,7 @@ def dimension_change_lines(spark: SparkSession, folder: str) -> DataFrame:
             data.alias("data"),
         )
         part = (
-            table(spark, folder, name)
+            spread(table(spark, folder, name), key, least=1)
             .select(*columns, F.explode(versions).alias("version"))
             .select(F.to_json(fields).alias("value"), (number * 2 + F.col("version")).alias("offset"))
         )

@@ -15,7 +15,7 @@ from tidewater.contract import ARRIVAL, CART_COLUMNS, PAGE_TOPIC, START_TOPIC
 from tidewater.plans import inputs
 from tidewater.plans.inputs import DATABASE
 from tidewater.plans.queries import ROW_SCHEMA, WITHIN_MS, all_facts, event_id
-from tidewater.session import new_folder
+from tidewater.session import new_folder, short_splits
 from tidewater.sinks.fanout import folder_sink, kafka_records, read_topic
 from tidewater.sources.changes import decode_config
 from tidewater.sources.lines import file_lines
@@ -65,7 +65,8 @@ def feed(
         else:
             config.where(number == i).write.mode("append").parquet(f"{folder}/config")
             stream = jobs.with_config(archive("archive"), archive("config"))
-        jobs.start(stream, process, f"{folder}/checkpoint").awaitTermination()
+        with short_splits(spark):
+            jobs.start(stream, process, f"{folder}/checkpoint").awaitTermination()
 
 
 def _log_split(spark: SparkSession, folder: str) -> DataFrame:
