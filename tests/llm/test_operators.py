@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import os
 import random
 import re
 import zlib
@@ -531,6 +532,24 @@ def test_every_trusted_word_has_its_own_probability(spark):
         assert found[1] > found[2] + 500 > found[3] + 500  # order counts, and so do words
 
 
+def test_a_fitted_model_leaves_nothing_but_its_weights(spark, docs):
+    """What it is made from goes as soon as the next tables are there, shuffle files too."""
+    from tidewater.session import shared_folder
+
+    folder = shared_folder(spark).removeprefix("file:")
+    before = set(os.listdir(folder))
+    _, grams = kneser.fit(docs, head=10)
+    left = {name.rpartition("-")[0] for name in set(os.listdir(folder)) - before if name.startswith("llm-")}
+    assert left == {"llm-grams"}
+    assert grams.count() > 10
+
+
+def test_rounds_count_each_triple_once(spark, docs):
+    whole = kneser.trigram_counts(docs).collect()
+    rounds = [row for turn in range(3) for row in kneser.trigram_counts(docs, turn, 3).collect()]
+    assert sorted(whole) == sorted(rounds) and len({row[:3] for row in rounds}) == len(rounds)
+
+
 def test_gram_keys_are_sparks(spark):
     from pyspark.sql import functions as F
 

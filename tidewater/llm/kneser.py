@@ -9,9 +9,9 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidewater.llm.common import in_python, written
+from tidewater.llm.common import Scratch, in_python, written
 from tidewater.llm.neural_lm import contexts, tokens
 from tidewater.operators.scale import lookup_side
 
@@ -31,6 +31,9 @@ HASH_SEED = 42
 CACHE_WORDS = 200_000
 # Bytes of text whose n-grams are looked up at a time.
 PIECE_BYTES = 1 << 20
+# Shuffles of all triples, and of all n-grams asked for, go in so many rounds, so that their
+# files are never there all at once. Counting reads the texts once a round.
+COUNT_ROUNDS, ROUNDS = 2, 4
 
 
 def discounts(counts_of_counts: dict[int, int]) -> tuple[float, float, float]:
@@ -105,8 +108,11 @@ class Model:
         return self.distinct + 2  # with the unknown word and the start
 
 
-def trigram_counts(docs: DataFrame) -> DataFrame:
-    """``a, b, c, n``: numbers of three words, summed up in every batch before the shuffle."""
+def trigram_counts(docs: DataFrame, turn: int = 0, turns: int = 1) -> DataFrame:
+    """``a, b, c, n``: numbers of three words, summed up in every batch before the shuffle.
+
+    Rows are dealt out by ``a, b``. Of ``turns`` rounds, each has the triples of some middle words.
+    """
 
     def work(batches: Iterator[dict]) -> Iterator[dict]:
         words = Words()
@@ -114,13 +120,16 @@ def trigram_counts(docs: DataFrame) -> DataFrame:
             for texts in _pieces(batch["text"]):
                 c, ends = words.of([tokens(text) for text in texts])
                 a, b = contexts(c, ends, START)
+                if turns > 1:
+                    mine = b % turns == turn
+                    a, b, c = a[mine], b[mine], c[mine]
                 _, at, n = np.unique(gram_key(a, b, c), return_index=True, return_counts=True)
                 yield {"a": a[at], "b": b[at], "c": c[at], "n": n}
 
     rows = in_python(
         docs.select(F.col("text").cast("string")), work, "a bigint, b bigint, c bigint, n bigint"
     )
-    return rows.groupBy("a", "b", "c").agg(F.sum("n").cast("bigint").alias("n"))
+    return rows.repartition("a", "b").groupBy("a", "b", "c").agg(F.sum("n").cast("bigint").alias("n"))
 
 
 def _pieces(texts: list[bytes | None]) -> Iterator[list[bytes | None]]:
@@ -155,89 +164,115 @@ def fit(docs: DataFrame, head: int = HEAD_GRAMS) -> tuple[Model, DataFrame]:
     shorter one, and its backoff. All tables are grouped and joined by Spark; the driver
     gets the head, sums and the filter.
     """
-    trigrams = written(trigram_counts(docs), "trigrams")
-    taken = discounts(_counts_of_counts(trigrams, "n"))
-    before, last, key = F.xxhash64("a", "b"), F.xxhash64("b", "c"), F.xxhash64("a", "b", "c")
-    after_two = written(
-        trigrams.groupBy(before.alias("before")).agg(
-            F.sum("n").alias("total"), F.sum(_off("n", taken)).alias("off")
-        ),
-        "after-two",
-    )
+    spark = docs.sparkSession
+    counted, n = Scratch(spark, "trigrams"), F.col("n")
+    after_two = Window.partitionBy("a", "b")
+    for turn in range(COUNT_ROUNDS):
+        counted.add(
+            trigram_counts(docs, turn, COUNT_ROUNDS).select(
+                "a", "b", "c", "n",
+                F.sum("n").over(after_two).alias("total"),
+                *[F.count_if(n == i if i < 3 else n >= i).over(after_two).alias(f"n{i}") for i in (1, 2, 3)],
+                (F.min("c").over(after_two) == F.col("c")).alias("one_of_two"),
+            )
+        )
+    taken = discounts(_counts_of_counts(counted.rows(), "n"))
+    off = sum(F.col(f"n{i}") * one for i, one in enumerate(taken, 1))
+    trigrams = counted.rows().select(
+        "a", "b", "c", "n", "total", "one_of_two",
+        ((n - _off("n", taken)) / F.col("total")).alias("own"),
+        F.log10(off / F.col("total")).alias("two_backoff"),
+    )
     # Lower orders count in how many contexts a pair or word occurs, not how often.
-    pairs = written(
-        trigrams.groupBy("b", "c").agg(F.count("*").alias("n"), F.sum("n").alias("times")), "pairs"
+    paired = Scratch(spark, "pairs")
+    for turn in range(ROUNDS):
+        mine = _of_round(counted.rows(), "b", turn)
+        paired.add(mine.groupBy("b", "c").agg(F.count("*").alias("n"), F.sum("n").alias("times")))
+    pairs = paired.rows()
+    # A pair occurs before a word as often as at all, unless it has the start or the end.
+    backoffs = Scratch(spark, "after-two")
+    backoffs.add(
+        trigrams.where("one_of_two").select(
+            F.xxhash64("a", "b").alias("key"), F.col("two_backoff").alias("weight"), F.col("total").alias("times")
+        )
     )
     pair_taken = discounts(_counts_of_counts(pairs, "n"))
-    after_one = written(
+    one_word = Scratch(spark, "after-one")
+    one_word.add(
         pairs.groupBy("b").agg(
             F.log10(F.sum(_off("n", pair_taken)) / F.sum("n")).alias("backoff"),
-            F.sum("n").alias("total"),
-        ),
-        "after-one",
-    )
-    single = written(
-        pairs.groupBy("c").agg(F.count("*").alias("n"), F.sum("times").alias("times")), "singles"
+            F.sum("n").alias("pair_total"),
+            F.sum("times").alias("word_times"),
+        )
     )
+    after_one = one_word.rows()
+    singles = Scratch(spark, "singles")
+    singles.add(pairs.groupBy("c").agg(F.count("*").alias("n"), F.sum("times").alias("times")))
+    single = singles.rows()
     single_taken = discounts(_counts_of_counts(single, "n"))
     sums = single.agg(
         F.count("*").alias("words"), F.sum("n").alias("n"), F.sum(_off("n", single_taken)).alias("off")
     ).first()
     unknown = (sums["off"] / sums["n"] if sums["n"] else 1.0) / (sums["words"] + 1)
     own = (F.col("n") - _off("n", single_taken)) / F.lit(float(sums["n"] or 1)) + F.lit(unknown)
-    words = written(single.select("c", F.log10(own).alias("word_log"), "times"), "words")
+    words = single.select("c", F.log10(own).alias("word_log"), "times")
 
     pair = F.log10(
-        (F.col("n") - _off("n", pair_taken)) / F.col("total")
+        (F.col("n") - _off("n", pair_taken)) / F.col("pair_total")
         + F.pow(F.lit(10.0), F.col("backoff") + F.col("word_log"))
     )
-    pair_logs = written(
-        pairs.join(lookup_side(after_one), "b")
-        .join(lookup_side(words.select("c", "word_log")), "c")
+    logged = Scratch(spark, "pair-logs")
+    logged.add(
+        pairs.join(lookup_side(after_one.drop("word_times")), "b")
+        .join(lookup_side(words.drop("times")), "c")
         .select(
-            last.alias("last"),
-            pair.alias("pair_log"),
+            "b", "c", pair.alias("pair_log"),
             (pair - F.col("backoff") - F.col("word_log")).alias("weight"),
             "times",
-        ),
-        "pair-logs",
-    )
-    two_backoff = F.log10(F.col("off") / F.col("total"))
-    triple = F.log10(
-        (F.col("n") - _off("n", taken)) / F.col("total")
-        + F.pow(F.lit(10.0), two_backoff + F.col("pair_log"))
-    )
-    triples = (
-        trigrams.select(before.alias("before"), last.alias("last"), key.alias("key"), "n")
-        .join(lookup_side(after_two), "before")
-        .join(lookup_side(pair_logs.select("last", "pair_log")), "last")
-        .select("key", (triple - two_backoff - F.col("pair_log")).alias("weight"), F.col("n").alias("times"))
-    )
-    zero = F.lit(0).cast("bigint").alias("times")
-    shorter = (
-        words.select(
-            F.xxhash64("c").alias("key"), (F.col("word_log") - math.log10(unknown)).alias("weight"), "times"
         )
-        .unionByName(after_one.select(F.xxhash64("b").alias("key"), F.col("backoff").alias("weight"), zero))
-        .unionByName(pair_logs.select(F.col("last").alias("key"), "weight", "times"))
-        .unionByName(after_two.select(F.col("before").alias("key"), two_backoff.alias("weight"), zero))
-        .groupBy("key")
-        .agg(F.sum("weight").alias("weight"), F.sum("times").alias("times"))
-    )
-    grams = written(triples.unionByName(shorter), "grams")
+    )
+    paired.delete()
+    pair_logs = logged.rows()
+    triple = F.log10(F.col("own") + F.pow(F.lit(10.0), F.col("two_backoff") + F.col("pair_log")))
+    found = Scratch(spark, "grams")
+    for turn in range(ROUNDS):
+        logs = _of_round(pair_logs.select("b", "c", "pair_log"), "b", turn)
+        mine = _of_round(trigrams, "b", turn).join(logs, ["b", "c"])
+        weight = triple - F.col("two_backoff") - F.col("pair_log")
+        found.add(_grams(mine, F.xxhash64("a", "b", "c"), weight, "n"))
+    weight = F.col("word_log") - math.log10(unknown)
+    found.add(_grams(words, F.xxhash64("c"), weight, "times"))
+    found.add(_grams(after_one, F.xxhash64("b"), F.col("backoff"), "word_times"))
+    found.add(_grams(pair_logs, F.xxhash64("b", "c"), F.col("weight"), "times"))
+    found.add(_grams(backoffs.rows(), F.col("key"), F.col("weight"), "times"))
+    for done in (counted, backoffs, logged, one_word, singles):
+        done.delete()
+    # An n-gram that is a context too has two rows, equal in their times.
+    grams = found.rows()
     level, size, in_head = _level_of_head(grams, head)
     top = F.lit(False) if level is None else _times() >= level
     table = grams.where(top).select("key", "weight").toArrow()
     keys, weights = table["key"].to_numpy(), table["weight"].to_numpy()
-    order = np.argsort(keys)
+    keys, place = np.unique(keys, return_inverse=True)
+    weights = np.bincount(place, weights, len(keys)).astype(np.float32)
     rest = grams.where(~top).select("key", "weight")
     model = Model(
-        Words(), sums["words"], math.log10(unknown), keys[order], weights[order].astype(np.float32),
+        Words(), sums["words"], math.log10(unknown), keys, weights,
         size > in_head, _seen(rest, size - in_head),
     )
     return model, rest
 
 
+def _of_round(frame: DataFrame, column: str, turn: int) -> DataFrame:
+    return frame.where(F.pmod(column, F.lit(ROUNDS)) == turn)
+
+
+def _grams(frame: DataFrame, key: Column, weight: Column, times: str) -> DataFrame:
+    return frame.select(
+        key.alias("key"), weight.alias("weight"), F.col(times).cast("bigint").alias("times")
+    )
+
+
 def _times() -> Column:
     return F.least(F.col("times"), F.lit(1 << 20))
 
@@ -311,21 +346,25 @@ def log_probabilities(docs: DataFrame, model: Model, grams: DataFrame) -> DataFr
     rows = docs.select(
         F.col("doc_id").cast("bigint"), F.col("lang").cast("string"), F.col("text").cast("string")
     )
-    schema = (
-        "doc_id bigint, lang string, n_tokens bigint, known double, "
-        "keys array<bigint>, times array<int>"
-    )
+    asked = [f"keys{turn} array<bigint>, times{turn} array<int>" for turn in range(ROUNDS)]
+    schema = ", ".join(["doc_id bigint, lang string, n_tokens bigint, known double", *asked])
     local = in_python(rows, work, schema)
     columns = ("doc_id", "lang", "n_tokens")
     if not model.rest:
         return local.select(*columns, F.col("known").alias("log10_prob"))
     local = written(local.withColumn("row", F.monotonically_increasing_id()), "local")
-    open_ = local.select("row", F.explode(F.arrays_zip("keys", "times")).alias("at")).select(
-        "row", F.col("at.keys").alias("key"), F.col("at.times").alias("times")
-    )
-    joined = open_.join(grams, "key").groupBy("row").agg(
-        F.sum(F.col("times") * F.col("weight")).alias("more")
-    )
+    more = Scratch(docs.sparkSession, "more")
+    for turn in range(ROUNDS):
+        mine = local.select("row", F.explode(F.arrays_zip(f"keys{turn}", f"times{turn}")).alias("at"))
+        open_ = mine.select(
+            "row", F.col(f"at.keys{turn}").alias("key"), F.col(f"at.times{turn}").alias("times")
+        )
+        more.add(
+            open_.join(_of_round(grams, "key", turn), "key").groupBy("row").agg(
+                F.sum(F.col("times") * F.col("weight")).alias("more")
+            )
+        )
+    joined = more.rows().groupBy("row").agg(F.sum("more").alias("more"))
     return local.join(joined, "row", "left").select(
         *columns, (F.col("known") + F.coalesce("more", F.lit(0.0))).alias("log10_prob")
     )
@@ -358,9 +397,10 @@ def _settled(model: Model, numbers: np.ndarray, ends: np.ndarray, sizes: np.ndar
             left &= ((model.seen[place >> 3] >> (7 - (place & 7)).astype(np.uint8)) & 1).astype(bool)
         keys.append(found[left])
         places.append(text[left])
+    found = {"known": known}
     if not keys:
         none = [np.zeros(0, np.int64)] * count
-        return {"known": known, "keys": none, "times": none}
+        return found | {f"{name}{turn}": none for name in ("keys", "times") for turn in range(ROUNDS)}
     key, text = np.concatenate(keys), np.concatenate(places)
     order = np.lexsort((key, text))
     key, text = key[order], text[order]
@@ -368,12 +408,13 @@ def _settled(model: Model, numbers: np.ndarray, ends: np.ndarray, sizes: np.ndar
     first[1:] = (key[1:] != key[:-1]) | (text[1:] != text[:-1])
     first = np.nonzero(first)[0]
     times = np.diff(first, append=len(key)).astype(np.int32)
-    cuts = np.searchsorted(text[first], np.arange(count + 1))
-    return {
-        "known": known,
-        "keys": [key[first[x:y]] for x, y in zip(cuts, cuts[1:])],
-        "times": [times[x:y] for x, y in zip(cuts, cuts[1:])],
-    }
+    key, text = key[first], text[first]
+    for turn in range(ROUNDS):
+        mine = key % ROUNDS == turn
+        cuts = np.searchsorted(text[mine], np.arange(count + 1))
+        for name, values in (("keys", key[mine]), ("times", times[mine])):
+            found[f"{name}{turn}"] = [values[x:y] for x, y in zip(cuts, cuts[1:])]
+    return found
 
 
 def quality(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) -> DataFrame:
